@@ -1,0 +1,24 @@
+"""Join-side sizing: broadcast only what is proven small, shuffle the rest.
+
+The proof is a bounded count (``limit(n + 1).count()`` stops once it has seen ``n + 1`` rows), so
+the check costs at most one small scan. Without a proof the join is left to the planner and AQE,
+which decide from runtime shuffle sizes and split skewed partitions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# ---- fixed values: default row bounds for broadcasting query-side tables ----
+QUERY_ROWS_BOUND = 2_000_000
+LOOKUP_ROWS_BOUND = 5_000_000
+
+
+def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = QUERY_ROWS_BOUND) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
+    return F.broadcast(df) if row_bound_holds(df, max_rows) else df
