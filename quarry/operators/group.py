@@ -119,6 +119,10 @@ def group_totals(hits: DataFrame, func: str, attr: str) -> DataFrame:
     return h.groupBy("query_id").agg(F.count_distinct("group").alias("total_found"))
 
 
+def _facet_item_fn(name: str):
+    return lambda v: F.struct(F.lit(name).alias("facet"), v.alias("value"))
+
+
 def facets(hits: DataFrame, groupings: list[tuple[str, str, str]]) -> DataFrame:
     """Several groupings of one match set in one pass: ``query_id, facet, value, count``.
 
@@ -132,6 +136,6 @@ def facets(hits: DataFrame, groupings: list[tuple[str, str, str]]) -> DataFrame:
             vals = F.transform(F.array_distinct(F.col(attr)), lambda x: x.cast("string"))
         else:
             vals = F.array(group_key(func, attr).cast("string"))
-        items.append(F.transform(vals, lambda v, name=name: F.struct(F.lit(name).alias("facet"), v.alias("value"))))
+        items.append(F.transform(vals, _facet_item_fn(name)))
     ex = hits.select("query_id", F.inline(F.flatten(F.array(*items))))
     return ex.groupBy("query_id", "facet", "value").agg(F.count(F.lit(1)).alias("count"))

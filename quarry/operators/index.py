@@ -234,13 +234,18 @@ def attr_token(index: str, attr: str, value) -> str:
     return f"{index}_{attr}_{value}".lower()
 
 
+def _attr_word_fn(index: str, attr: str):
+    # one-argument lambda: Spark reads a second argument as the element index
+    return lambda v: F.lower(F.concat_ws("_", F.lit(index), F.lit(attr), v.cast("string")))
+
+
 def attr_tokens(docs: DataFrame, index: str, attrs: list[str], field_name: str = "_attrs") -> DataFrame:
     """Postings rows for the words ``<index>_<attr>_<value>`` (multi-value attributes: one per value)."""
     items = []
     for a in attrs:
         dt = docs.schema[a].dataType
         vals = F.col(a) if isinstance(dt, T.ArrayType) else F.array(F.col(a))
-        items.append(F.transform(vals, lambda v, a=a: F.lower(F.concat_ws("_", F.lit(index), F.lit(a), v.cast("string")))))
+        items.append(F.transform(vals, _attr_word_fn(index, a)))
     return (docs.select(F.col("doc_id"), F.explode(F.flatten(F.array(*items))).alias("term"))
             .where(F.col("term").isNotNull())
             .select("term", "doc_id", F.lit(field_name).alias("field"), F.lit(0).cast("int").alias("pos")))

@@ -183,3 +183,264 @@ w AS (SELECT mt.query_id, mt.doc_id, round(coalesce(bm.bm25, 0), 6) AS weight, c
       FROM mt LEFT JOIN bm USING (query_id, doc_id) JOIN corpus c USING (doc_id) WHERE c.lang IN ('en')),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY weight DESC, doc_id) AS rank FROM w)
 SELECT query_id, doc_id, weight, lang, source, rank FROM r WHERE rank <= 10""")(flagship)
+
+
+# =============================================================================================
+# 2.1 sources, scans and sinks
+
+from quarry.sources import links as lk  # noqa: E402
+from quarry.sources import scan as sc  # noqa: E402
+from quarry.spec import IndexSpec  # noqa: E402
+
+
+def mva_text(c: str):
+    """Compared form of a multi-value attribute: sorted values joined by commas."""
+    return F.array_join(F.transform(F.sort_array(F.col(c)), lambda x: x.cast("string")), ",")
+
+
+def mva_text_sql(expr: str) -> str:
+    return f"coalesce(array_to_string(list_sort(list_distinct({expr})), ','), '')"
+
+
+ENTRY_SPEC = IndexSpec(name="entry", id_col="doc_id", fields=("title", "body"), string_attrs=("lang",),
+                       uint_attrs=("author_id",), select_values=(("lang", "en"),))
+ORDER_SPEC = IndexSpec(name="orders", id_col="o_orderkey", uint_attrs=("o_custkey",),
+                       float_attrs=("o_totalprice",), ts_attrs=("o_orderdate",),
+                       rename=(("o_custkey", "author_id"), ("o_orderdate", "created_on")))
+# ---- fixed values: metadata keys (the integer-typed keys of the meta stand-in) ----
+META_KEYS = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("scan_source", f"""WITH {o.CORPUS} SELECT doc_id, title, body, lang, author_id FROM corpus WHERE lang = 'en'""")
+def q_scan_source(spark, sf):
+    st.prep(spark)
+    return sc.scan_source(st.corpus(spark, sf), ENTRY_SPEC)
+
+
+@register("select_columns", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""")
+def q_select_columns(spark, sf):
+    return sc.select_columns(st.table(spark, sf, "orders"), "o_orderkey",
+                             exclude=["o_orderdate", "o_orderpriority"])
+
+
+@register("build_attributes", """SELECT o_orderkey AS doc_id, o_custkey AS author_id, o_totalprice,
+ CAST(epoch(o_orderdate) AS BIGINT) AS created_on FROM orders""")
+def q_build_attributes(spark, sf):
+    st.prep(spark)
+    return sc.build_attributes(st.table(spark, sf, "orders"), ORDER_SPEC)
+
+
+@register("timestamp_attr", """SELECT o_orderkey, CAST(epoch(o_orderdate) AS BIGINT) AS o_orderdate_ts FROM orders""")
+def q_timestamp_attr(spark, sf):
+    st.prep(spark)
+    o_ = st.table(spark, sf, "orders")
+    return o_.select("o_orderkey", sc.timestamp_attr("o_orderdate").alias("o_orderdate_ts"))
+
+
+@register("string_attr_crc")
+def q_string_attr_crc(spark, sf):
+    c = st.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return sc.string_attr_crc(c, "c_mktsegment")
+
+
+@register("count_column", """SELECT o.o_orderkey AS doc_id, CAST(count(l.l_orderkey) AS BIGINT) AS n_returned
+FROM orders o LEFT JOIN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') l ON l.l_orderkey = o.o_orderkey
+GROUP BY o.o_orderkey""")
+def q_count_column(spark, sf):
+    docs = st.table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"))
+    return lk.count_column(docs, st.table(spark, sf, "lineitem"), "l_orderkey", "n_returned",
+                           where=F.col("l_returnflag") == "R")
+
+
+@register("mva_attach", f"""SELECT o.o_orderkey AS doc_id, {mva_text_sql('list(l.l_partkey) FILTER (WHERE l.l_partkey IS NOT NULL)')} AS tag
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey""")
+def q_mva_attach(spark, sf):
+    docs = st.table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"))
+    d = lk.mva_attach(docs, st.table(spark, sf, "lineitem"), ("l_orderkey", "l_partkey"), "tag")
+    return d.select("doc_id", mva_text("tag").alias("tag"))
+
+
+@register("mva_query", f"""SELECT o.o_orderkey AS doc_id, {mva_text_sql('list(l.l_suppkey) FILTER (WHERE l.l_suppkey IS NOT NULL)')} AS supplier
+FROM orders o LEFT JOIN (SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_quantity > 25) l ON l.l_orderkey = o.o_orderkey
+GROUP BY o.o_orderkey""")
+def q_mva_query(spark, sf):
+    docs = st.table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"))
+    pairs = st.table(spark, sf, "lineitem").where(F.col("l_quantity") > 25).select("l_orderkey", "l_suppkey")
+    d = lk.mva_query(docs, pairs, "supplier")
+    return d.select("doc_id", mva_text("supplier").alias("supplier"))
+
+
+@register("mva_tags", f"""SELECT o.o_orderkey AS doc_id, {mva_text_sql('list(l.l_partkey) FILTER (WHERE l.l_partkey IS NOT NULL)')} AS tag
+FROM orders o LEFT JOIN (SELECT l_orderkey, l_partkey FROM lineitem WHERE l_linestatus = 'O') l ON l.l_orderkey = o.o_orderkey
+GROUP BY o.o_orderkey""")
+def q_mva_tags(spark, sf):
+    docs = st.table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"))
+    d = lk.mva_tags(docs, st.object_tags(spark, sf), "entry")
+    return d.select("doc_id", mva_text("tag").alias("tag"))
+
+
+def _meta_sql():
+    cols = ", ".join(
+        f"{mva_text_sql(f'list(m.value) FILTER (WHERE m.key = {chr(39)}{k}{chr(39)} AND m.value IS NOT NULL)')} AS meta_{k}"
+        for k in META_KEYS)
+    return f"""WITH m AS (SELECT user_id AS owner_id, event_type AS key, CAST(json_extract_string(props, '$.k') AS BIGINT) AS value FROM events)
+SELECT c.c_custkey AS doc_id, {cols} FROM customer c LEFT JOIN m ON m.owner_id = c.c_custkey GROUP BY c.c_custkey"""
+
+
+@register("mva_meta", _meta_sql())
+def q_mva_meta(spark, sf):
+    docs = st.table(spark, sf, "customer").select(F.col("c_custkey").alias("doc_id"))
+    d = lk.mva_meta(docs, st.meta(spark, sf), META_KEYS)
+    return d.select("doc_id", *[mva_text(f"meta_{k}").alias(f"meta_{k}") for k in META_KEYS])
+
+
+@register("response_to", """WITH c AS (SELECT conv_id * 1000 + turn AS comment_id, conv_id AS entry_id, turn AS created_on,
+ role AS commenter_id FROM conversations)
+SELECT DISTINCT a.comment_id, b.commenter_id AS response_to FROM c a JOIN c b
+ ON a.entry_id = b.entry_id AND a.created_on > b.created_on WHERE b.commenter_id IS NOT NULL""")
+def q_response_to(spark, sf):
+    return lk.response_to(st.comments(spark, sf))
+
+
+_CATS_SQL = ("cats AS (SELECT row_number() OVER (ORDER BY c_mktsegment) AS id, 1 AS blog_id, lower(c_mktsegment) AS basename, "
+             "c_mktsegment AS label FROM (SELECT DISTINCT c_mktsegment FROM customer))")
+
+
+@register("tag_category_pairs", f"""WITH {_CATS_SQL}
+SELECT DISTINCT l.l_partkey AS tag_id, CAST(cats.id AS BIGINT) AS category_id
+FROM part p JOIN lineitem l ON l.l_partkey = p.p_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey
+JOIN customer c ON c.c_custkey = o.o_custkey JOIN cats ON cats.label = c.c_mktsegment""")
+def q_tag_category_pairs(spark, sf):
+    return lk.tag_category_pairs(st.tags(spark, sf), st.object_tags(spark, sf), st.placements(spark, sf))
+
+
+@register("delta_source", f"""WITH {o.CORPUS} SELECT doc_id, CAST(epoch(created_on) AS BIGINT) AS created_on FROM corpus
+WHERE created_on > TIMESTAMP '{st.DELTA_AS_OF}' - INTERVAL 36 HOUR""")
+def q_delta_source(spark, sf):
+    st.prep(spark)
+    d = sc.delta_source(st.corpus(spark, sf), "created_on", st.DELTA_AS_OF)
+    return d.select("doc_id", sc.timestamp_attr("created_on").alias("created_on"))
+
+
+@register("fetch_by_id", f"""WITH {o.CORPUS} SELECT doc_id, title, lang, source FROM corpus
+WHERE doc_id IN (SELECT doc_id FROM labels)""")
+def q_fetch_by_id(spark, sf):
+    st.prep(spark)
+    c = st.corpus(spark, sf).select("doc_id", "title", "lang", "source")
+    return sc.fetch_by_id(c, st.table(spark, sf, "labels"))
+
+
+@register("max_matches_estimate", f"""WITH {o.CORPUS}
+SELECT CAST(greatest(1000, floor(1.5 * max(n))) AS BIGINT) AS max_matches FROM (SELECT source, count(*) AS n FROM corpus GROUP BY source)""")
+def q_max_matches_estimate(spark, sf):
+    st.prep(spark)
+    return sc.max_matches_estimate(st.corpus(spark, sf), "source")
+
+
+# =============================================================================================
+# 2.2 text preparation (rest)
+
+from quarry.functions import text as tx  # noqa: E402
+
+
+def _strip_sql(x: str) -> str:
+    s = x
+    for pat in (tx.SCRIPT_PATTERN, tx.STYLE_PATTERN, tx.COMMENT_PATTERN, tx.TAG_PATTERN):
+        s = f"regexp_replace({s}, '{pat}', ' ', 'g')"
+    for ent, ch in tx.ENTITIES:
+        ch_sql = ch.replace("'", "''")
+        s = f"replace({s}, '{ent}', '{ch_sql}')"
+    return s
+
+
+@register("html_strip", f"""SELECT page_id, {_strip_sql('html')} AS text FROM pages""")
+def q_html_strip(spark, sf):
+    p = st.table(spark, sf, "pages")
+    return p.select("page_id", tx.html_strip("html").alias("text"))
+
+
+HTML_ATTRS = {"a": ["href"]}
+
+
+@register("html_index_attrs", f"""SELECT page_id, array_to_string(regexp_extract_all(html, '{tx.attr_pattern("a", "href")}', 1), ' ') AS attrs FROM pages""")
+def q_html_index_attrs(spark, sf):
+    p = st.table(spark, sf, "pages")
+    return p.select("page_id", tx.html_attr_values(F.col("html"), HTML_ATTRS).alias("attrs"))
+
+
+@register("min_word_len", f"""WITH {o.INDEX} SELECT doc_id, field, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum FROM postings
+WHERE length(term) >= 3 GROUP BY doc_id, field""")
+def q_min_word_len(spark, sf):
+    st.prep(spark)
+    p = ix.min_word_len(ix.tokenize(st.corpus(spark, sf), ("title", "body")), 3)
+    return p.groupBy("doc_id", "field").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").cast("long").alias("pos_sum"))
+
+
+# ---- fixed values: a stop list ----
+STOP = ["the", "of", "and", "in", "en"]
+
+
+@register("stopwords", f"""WITH {o.INDEX} SELECT doc_id, field, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum FROM postings
+WHERE term NOT IN ({", ".join(repr(w) for w in STOP)}) GROUP BY doc_id, field""")
+def q_stopwords(spark, sf):
+    st.prep(spark)
+    stop = spark.createDataFrame([(w,) for w in STOP], "term string")
+    p = ix.stopwords(ix.tokenize(st.corpus(spark, sf), ("title", "body")), stop)
+    return p.groupBy("doc_id", "field").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").cast("long").alias("pos_sum"))
+
+
+def _norm_query(method):
+    def fn(spark, sf):
+        v = corpus_index(spark, sf).vocabulary()
+        return ix.normalize_terms(v, method)
+
+    return fn
+
+
+register("morphology_stem_en")(_norm_query("stem_en"))
+register("morphology_stem_ru")(_norm_query("stem_ru"))
+register("morphology_stem_enru")(_norm_query("stem_enru"))
+register("morphology_soundex")(_norm_query("soundex"))
+
+
+@register("build_postings", f"""WITH toks AS (SELECT page_id AS doc_id, 'html' AS field, {o.words_sql(_strip_sql('html'))} AS t FROM pages)
+SELECT unnest(t) AS term, doc_id, field, generate_subscripts(t, 1) - 1 AS pos FROM toks""")
+def q_build_postings(spark, sf):
+    p = st.table(spark, sf, "pages")
+    idx = ix.build_index("pages", p, ("html",), "page_id", attrs=["url"], strip_html=("html",))
+    return idx.postings.select("term", "doc_id", "field", F.col("pos").cast("long").alias("pos"))
+
+
+BENCH_Q = f"""bq AS (SELECT CAST(item_id AS INTEGER) AS query_id, {o.words_sql('text')} AS t FROM benchmark),
+qb AS (SELECT query_id, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS qpos, unnest(t) AS term FROM bq)"""
+
+
+def bench_queries(spark, sf):
+    return ix.queries_from_column(st.table(spark, sf, "benchmark"), "item_id", "text")
+
+
+@register("query_word_stats", f"""WITH {o.INDEX}, {BENCH_Q},
+v AS (SELECT term, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM postings GROUP BY term)
+SELECT DISTINCT qb.query_id, qb.term, CAST(coalesce(v.docs, 0) AS BIGINT) AS docs, CAST(coalesce(v.hits, 0) AS BIGINT) AS hits
+FROM qb LEFT JOIN v USING (term)""")
+def q_query_word_stats(spark, sf):
+    idx = corpus_index(spark, sf)
+    return ix.query_word_stats(bench_queries(spark, sf), idx.vocabulary())
+
+
+@register("keywords", f"""WITH {o.INDEX}, {BENCH_Q},
+v AS (SELECT term, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM postings GROUP BY term)
+SELECT qb.query_id, qb.qpos, qb.term AS tokenized, qb.term AS normalized, CAST(coalesce(v.docs, 0) AS BIGINT) AS docs,
+ CAST(coalesce(v.hits, 0) AS BIGINT) AS hits FROM qb LEFT JOIN v USING (term)""")
+def q_keywords(spark, sf):
+    idx = corpus_index(spark, sf)
+    return ix.keywords(st.table(spark, sf, "benchmark"), idx, id_col="item_id", text_col="text")
+
+
+@register("attr_tokens", f"""WITH {o.CORPUS}
+SELECT lower('entry_lang_' || lang) AS term, doc_id, '_attrs' AS field, 0 AS pos FROM corpus
+UNION ALL SELECT lower('entry_source_' || source), doc_id, '_attrs', 0 FROM corpus
+UNION ALL SELECT 'entry_author_id_' || CAST(author_id AS VARCHAR), doc_id, '_attrs', 0 FROM corpus""")
+def q_attr_tokens(spark, sf):
+    st.prep(spark)
+    return ix.attr_tokens(st.corpus(spark, sf), "entry", ["lang", "source", "author_id"])
