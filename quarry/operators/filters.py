@@ -146,16 +146,16 @@ def filter_date_range(df: DataFrame, start: str | None = None, end: str | None =
 
 def tag_ids_for(tags: DataFrame, names: str | list[str]) -> DataFrame:
     """Tag ids for a comma list of names: by name or normalized name, widened to every tag sharing
-    the normalized id. Unknown names give id 0 (matches nothing)."""
+    the normalized id. Unknown names match nothing."""
     if isinstance(names, str):
         names = [n.strip() for n in names.split(",") if n.strip()]
-    spark = tags.sparkSession
     norms = [normalize_tag(n) for n in names]
     t = tags.select("id", "name", F.coalesce("n8d_id", "id").alias("grp"))
     hit = (t.where(F.col("name").isin(names) | normalize_tag_col(F.col("name")).isin(norms))
            .select("grp").distinct())
-    widened = t.join(hit, "grp", "left_semi").select(F.col("id").cast("long").alias("tag_id"))
-    return widened.unionByName(spark.createDataFrame([(0,)], "tag_id long")).distinct()
+    # Unknown names match nothing: the semi join on an empty id set keeps no rows (the reference
+    # pushes id 0 for that, which would hit a real row where 0 is a valid id).
+    return t.join(hit, "grp", "left_semi").select(F.col("id").cast("long").alias("tag_id")).distinct()
 
 
 def normalize_tag(name: str) -> str:

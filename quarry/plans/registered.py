@@ -444,3 +444,206 @@ UNION ALL SELECT 'entry_author_id_' || CAST(author_id AS VARCHAR), doc_id, '_att
 def q_attr_tokens(spark, sf):
     st.prep(spark)
     return ix.attr_tokens(st.corpus(spark, sf), "entry", ["lang", "source", "author_id"])
+
+
+# =============================================================================================
+# 2.5 filters and lookups
+
+from quarry.operators import filters as fl  # noqa: E402
+from quarry.spec import Filter, SearchSpec, near, phrase, term  # noqa: E402
+
+ENTRIES_SQL = f"""{_CATS_SQL},
+entries AS (SELECT o.o_orderkey AS doc_id, o.o_custkey AS author_id, o.o_orderstatus, o.o_totalprice, o.o_orderdate,
+  coalesce(t.tag, []) AS tag, CAST(coalesce(r.n, 0) AS BIGINT) AS n_returned, CASE WHEN cats.id IS NULL THEN [] ELSE [cats.id] END AS category
+  FROM orders o
+  LEFT JOIN (SELECT l_orderkey, list_sort(list(DISTINCT l_partkey)) AS tag FROM lineitem GROUP BY l_orderkey) t ON t.l_orderkey = o.o_orderkey
+  LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey) r ON r.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN cats ON cats.label = c.c_mktsegment)"""
+
+# ---- fixed values: filter arguments ----
+AUTHORS_IN = [3, 7, 11, 100, 250]
+TAGS_IN = [1, 2, 3, 50]
+AUTHOR_NAMES = "Customer#000000003,Customer#000000010"
+TAG_NAMES = "red widget, blue bolt"
+CATEGORY_NAMES = "building, machinery"
+DATE_START, DATE_END = "2024010812", "2024011023"
+GEO_ANCHOR = (0.5, -1.1)
+GEO_RADIUS_M = 2_000_000.0
+# ---- end of fixed values ----
+
+
+def entry_hits(spark, sf):
+    """Full-scan hits over the entries stand-in (weight 1)."""
+    st.prep(spark)
+    return st.entries(spark, sf).select(F.lit(1).cast("int").alias("query_id"), F.lit(1.0).alias("weight"), "*")
+
+
+def corpus_hits(spark, sf):
+    st.prep(spark)
+    return st.corpus(spark, sf).select(F.lit(1).cast("int").alias("query_id"), F.lit(1.0).alias("weight"), "*")
+
+
+def _ids(df):
+    return df.select("doc_id")
+
+
+def _in(vals):
+    return ", ".join(str(v) for v in vals)
+
+
+@register("filter_values", f"""WITH {ENTRIES_SQL} SELECT doc_id, author_id FROM entries WHERE author_id IN ({_in(AUTHORS_IN)})""")
+def q_filter_values(spark, sf):
+    return fl.filter_values(entry_hits(spark, sf), "author_id", AUTHORS_IN).select("doc_id", "author_id")
+
+
+@register("filter_values_mva", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE list_has_any(tag, [{_in(TAGS_IN)}])""")
+def q_filter_values_mva(spark, sf):
+    return _ids(fl.filter_values(entry_hits(spark, sf), "tag", TAGS_IN))
+
+
+@register("filter_values_exclude", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE author_id NOT IN ({_in(AUTHORS_IN)})
+ AND NOT list_has_any(tag, [{_in(TAGS_IN)}])""")
+def q_filter_values_exclude(spark, sf):
+    h = fl.filter_values(entry_hits(spark, sf), "author_id", AUTHORS_IN, exclude=True)
+    return _ids(fl.filter_values(h, "tag", TAGS_IN, exclude=True))
+
+
+@register("filter_range", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE author_id BETWEEN 100 AND 300
+ AND len(list_filter(tag, lambda x: x BETWEEN 10 AND 400)) > 0""")
+def q_filter_range(spark, sf):
+    h = fl.filter_range(entry_hits(spark, sf), "author_id", 100, 300)
+    return _ids(fl.filter_range(h, "tag", 10, 400))
+
+
+@register("filter_range_exclude", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE NOT (author_id BETWEEN 100 AND 300)""")
+def q_filter_range_exclude(spark, sf):
+    return _ids(fl.filter_range(entry_hits(spark, sf), "author_id", 100, 300, exclude=True))
+
+
+@register("filter_float_range", """SELECT p_partkey AS doc_id FROM part WHERE p_retailprice BETWEEN 920.5 AND 950.25
+ AND p_size BETWEEN 10 AND 20""")
+def q_filter_float_range(spark, sf):
+    p = st.table(spark, sf, "part").select(F.col("p_partkey").alias("doc_id"), "p_retailprice", "p_size")
+    return _ids(fl.filter_range(fl.filter_float_range(p, "p_retailprice", 920.5, 950.25), "p_size", 10, 20))
+
+
+@register("filter_id_range", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE doc_id BETWEEN 1000 AND 2000""")
+def q_filter_id_range(spark, sf):
+    return _ids(fl.filter_id_range(entry_hits(spark, sf), 1000, 2000))
+
+
+@register("filter_string", f"""WITH {o.CORPUS} SELECT doc_id, lang FROM corpus WHERE lang IN ('fr', 'de')""")
+def q_filter_string(spark, sf):
+    return fl.filter_string(corpus_hits(spark, sf), "lang", ["fr", "de"]).select("doc_id", "lang")
+
+
+@register("filter_lookup", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE author_id IN
+ (SELECT c_custkey FROM customer WHERE c_name = 'Customer#000000003')""")
+def q_filter_lookup(spark, sf):
+    return _ids(fl.filter_lookup(entry_hits(spark, sf), "author_id", st.authors(spark, sf), "name", "Customer#000000003"))
+
+
+@register("filter_lookup_meta", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE author_id IN
+ (SELECT user_id FROM events WHERE event_type = 'click' AND CAST(json_extract_string(props, '$.k') AS BIGINT) = 69)""")
+def q_filter_lookup_meta(spark, sf):
+    return _ids(fl.filter_lookup_meta(entry_hits(spark, sf), "author_id", st.meta(spark, sf), "click", 69))
+
+
+@register("filter_blogs", f"""WITH {o.CORPUS} SELECT doc_id FROM corpus WHERE source IN ('src1', 'src2')""")
+def q_filter_blogs(spark, sf):
+    return _ids(fl.filter_blogs(corpus_hits(spark, sf), ["src1", "src2"], "source"))
+
+
+@register("filter_date_range", f"""WITH {o.CORPUS} SELECT doc_id FROM corpus WHERE epoch(created_on) BETWEEN
+ epoch(strptime('{DATE_START}0000', '%Y%m%d%H%M%S')) AND epoch(strptime('{DATE_END}0000', '%Y%m%d%H%M%S'))""")
+def q_filter_date_range(spark, sf):
+    return _ids(fl.filter_date_range(corpus_hits(spark, sf), DATE_START, DATE_END, "created_on"))
+
+
+def _tag_names():
+    return [n.strip() for n in TAG_NAMES.split(",")]
+
+
+@register("filter_tags", f"""WITH {ENTRIES_SQL}, tg AS (SELECT p_partkey AS id FROM part
+  WHERE p_name IN ({", ".join(repr(n) for n in _tag_names())})
+     OR regexp_replace(lower(p_name), '[^a-z0-9_]', '', 'g') IN ({", ".join(repr(fl.normalize_tag(n)) for n in _tag_names())}))
+SELECT doc_id FROM entries WHERE list_has_any(tag, (SELECT list(id) FROM tg))""")
+def q_filter_tags(spark, sf):
+    return _ids(fl.filter_tags(entry_hits(spark, sf), st.tags(spark, sf), TAG_NAMES))
+
+
+@register("filter_category", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE list_has_any(category,
+ (SELECT list(id) FROM cats WHERE basename IN ('building', 'machinery')))""")
+def q_filter_category(spark, sf):
+    return _ids(fl.filter_category(entry_hits(spark, sf), st.categories(spark, sf), CATEGORY_NAMES))
+
+
+@register("filter_author", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE author_id IN
+ (SELECT c_custkey FROM customer WHERE c_name IN ('Customer#000000003', 'Customer#000000010'))""")
+def q_filter_author(spark, sf):
+    return _ids(fl.filter_author(entry_hits(spark, sf), st.authors(spark, sf), AUTHOR_NAMES))
+
+
+@register("filter_following", f"""WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE author_id IN
+ (SELECT DISTINCT l.l_suppkey FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_custkey = 3)""")
+def q_filter_following(spark, sf):
+    return _ids(fl.filter_following(entry_hits(spark, sf), st.follows(spark, sf), 3))
+
+
+def _attr_index(spark, sf):
+    st.prep(spark)
+    docs = st.corpus(spark, sf)
+    extra = ix.attr_tokens(docs, "entry", ["lang", "source"])
+    return ix.build_index("entry", docs, ("title", "body"), "doc_id",
+                          attrs=["lang", "source", "author_id", "created_on"], extra_postings=extra)
+
+
+MATCH_THE = f"""mt AS (SELECT DISTINCT doc_id FROM postings WHERE term = 'the')"""
+
+
+@register("filter_text_level1", f"""WITH {o.INDEX}, {MATCH_THE}
+SELECT 1 AS query_id, doc_id FROM mt JOIN corpus USING (doc_id) WHERE lang = 'en'""")
+def q_filter_text_level1(spark, sf):
+    from quarry.plans.search import search
+
+    idx = _attr_index(spark, sf)
+    spec = SearchSpec(mode="all", ranker="none", filters=(Filter("values", "lang", ("en",)),), limit=100000,
+                      max_matches=100000)
+    return search(idx, qtable(spark, [(1, 0, "the")]), spec, text_filter_level=1).matches.select("query_id", "doc_id")
+
+
+@register("filter_text_level2", f"""WITH {o.INDEX}, {MATCH_THE}
+SELECT 1 AS query_id, doc_id FROM mt JOIN corpus USING (doc_id) WHERE lang = 'en' AND source IN ('src1', 'src2', 'src3')""")
+def q_filter_text_level2(spark, sf):
+    from quarry.plans.search import search
+
+    idx = _attr_index(spark, sf)
+    spec = SearchSpec(mode="all", ranker="none", limit=100000, max_matches=100000,
+                      filters=(Filter("values", "lang", ("en",)), Filter("values", "source", ("src1", "src2", "src3"))))
+    return search(idx, qtable(spark, [(1, 0, "the")]), spec, text_filter_level=2).matches.select("query_id", "doc_id")
+
+
+@register("filter_text_forced", f"""WITH {o.INDEX}, {MATCH_THE}
+SELECT 1 AS query_id, doc_id FROM mt JOIN corpus USING (doc_id) WHERE lang = 'en' AND source IN ('src1', 'src2', 'src3')""")
+def q_filter_text_forced(spark, sf):
+    from quarry.plans.search import search
+
+    idx = _attr_index(spark, sf)
+    spec = SearchSpec(mode="all", ranker="none", limit=100000, max_matches=100000,
+                      filters=(Filter("values", "lang", ("en",)), Filter("values", "source", ("src1", "src2", "src3"))))
+    return search(idx, qtable(spark, [(1, 0, "the")]), spec, text_filter_level=2,
+                  forced=("source",)).matches.select("query_id", "doc_id")
+
+
+def _geo_sql():
+    la0, lo0 = GEO_ANCHOR
+    a = (f"sin((lat - {la0}) / 2) * sin((lat - {la0}) / 2) + cos(lat) * cos({la0}) * sin((long - {lo0}) / 2) "
+         f"* sin((long - {lo0}) / 2)")
+    return f"{2 * fl.EARTH_RADIUS_M} * asin(sqrt(least(1.0, {a})))"
+
+
+@register("geo_distance", f"""WITH {o.CORPUS} SELECT doc_id, round({_geo_sql()}, 3) AS geodist FROM corpus
+WHERE {_geo_sql()} < {GEO_RADIUS_M}""")
+def q_geo_distance(spark, sf):
+    h = corpus_hits(spark, sf).withColumn("geodist", fl.geo_distance("lat", "long", *GEO_ANCHOR))
+    return h.where(F.col("geodist") < GEO_RADIUS_M).select("doc_id", F.round("geodist", 3).alias("geodist"))
