@@ -125,8 +125,9 @@ def page_table(totals: DataFrame, limit: int, current: int | None = None, lastn:
         F.least(F.lit(limit).cast("long"), F.col("total_found") - (F.col("page") - 1) * limit).alias("rows"),
         (F.col("page") == 1).alias("is_first"),
         (F.col("page") == F.col("pages")).alias("is_last"),
-        F.when(F.col("page") > 1, F.col("page") - 1).alias("prev_page"),
-        F.when(F.col("page") < F.col("pages"), F.col("page") + 1).alias("next_page"),
+        # 0 = no previous / next page
+        F.when(F.col("page") > 1, F.col("page") - 1).otherwise(F.lit(0)).alias("prev_page"),
+        F.when(F.col("page") < F.col("pages"), F.col("page") + 1).otherwise(F.lit(0)).alias("next_page"),
     )
     if current is not None:
         p = p.withColumn("is_current", F.col("page") == F.lit(current))

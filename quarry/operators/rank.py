@@ -112,7 +112,7 @@ def rank(idx: Index, queries: DataFrame | None, matched: DataFrame, ranker: str
     return matched.join(s, keys, "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
 
 
-def apply_index_weights(hits: DataFrame, index_weights: dict | None, index_col: str = "index") -> DataFrame:
+def apply_index_weights(hits: DataFrame, index_weights: dict | None, index_col: str = "index_name") -> DataFrame:
     """Multiply weights by an integer per index name (missing = 1)."""
     if not index_weights:
         return hits

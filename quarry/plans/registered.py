@@ -647,3 +647,287 @@ WHERE {_geo_sql()} < {GEO_RADIUS_M}""")
 def q_geo_distance(spark, sf):
     h = corpus_hits(spark, sf).withColumn("geodist", fl.geo_distance("lat", "long", *GEO_ANCHOR))
     return h.where(F.col("geodist") < GEO_RADIUS_M).select("doc_id", F.round("geodist", 3).alias("geodist"))
+
+
+# =============================================================================================
+# 2.3 matching (rest)
+
+from quarry.plans import search as sr  # noqa: E402
+
+BOOL_EXPR = (term("of") & term("the")) | (term("tion") & ~term("ble"))
+FIELD_EXPR = term("of", field="title") & term("the")
+PHRASE_EXPR = phrase("of", "the") & ~term("tion")
+NOT_EXPR = ~term("the")
+NEAR_EXPR = near("of", "the", n=5) | term("ouoi")
+
+_FLAGS = """f AS (SELECT doc_id, bool_or(term = 'of') AS f_of, bool_or(term = 'the') AS f_the, bool_or(term = 'tion') AS f_tion,
+ bool_or(term = 'ble') AS f_ble, bool_or(term = 'of' AND field = 'title') AS f_of_title, bool_or(term = 'ouoi') AS f_ouoi
+ FROM postings WHERE term IN ('of', 'the', 'tion', 'ble', 'ouoi') GROUP BY doc_id)"""
+_PHRASE_OF_THE = """ph AS (SELECT DISTINCT a.doc_id FROM postings a JOIN postings b ON a.doc_id = b.doc_id AND a.field = b.field
+ AND b.pos = a.pos + 1 WHERE a.term = 'of' AND b.term = 'the')"""
+_NEAR_OF_THE = """nr AS (SELECT DISTINCT a.doc_id FROM postings a JOIN postings b ON a.doc_id = b.doc_id AND a.field = b.field
+ AND abs(b.pos - a.pos) <= 4 WHERE a.term = 'of' AND b.term = 'the')"""
+
+
+@register("match_boolean", f"""WITH {o.INDEX}, {_FLAGS}
+SELECT 1 AS query_id, doc_id FROM f WHERE (f_of AND f_the) OR (f_tion AND NOT f_ble)""")
+def q_match_boolean(spark, sf):
+    return mt.match_boolean(corpus_index(spark, sf), BOOL_EXPR)
+
+
+@register("match_boolean_not", f"""WITH {o.INDEX}, {_FLAGS}
+SELECT 1 AS query_id, c.doc_id FROM corpus c LEFT JOIN f USING (doc_id) WHERE NOT coalesce(f.f_the, false)""")
+def q_match_boolean_not(spark, sf):
+    return mt.match_boolean(corpus_index(spark, sf), NOT_EXPR)
+
+
+@register("match_extended_field", f"""WITH {o.INDEX}, {_FLAGS}
+SELECT 1 AS query_id, doc_id FROM f WHERE f_of_title AND f_the""")
+def q_match_extended_field(spark, sf):
+    return mt.match_extended(corpus_index(spark, sf), FIELD_EXPR)
+
+
+@register("match_extended_phrase", f"""WITH {o.INDEX}, {_FLAGS}, {_PHRASE_OF_THE}
+SELECT 1 AS query_id, ph.doc_id FROM ph LEFT JOIN f USING (doc_id) WHERE NOT coalesce(f.f_tion, false)""")
+def q_match_extended_phrase(spark, sf):
+    return mt.match_extended(corpus_index(spark, sf), PHRASE_EXPR)
+
+
+@register("match_extended_near", f"""WITH {o.INDEX}, {_FLAGS}, {_NEAR_OF_THE}
+SELECT 1 AS query_id, doc_id FROM f FULL JOIN nr USING (doc_id) WHERE nr.doc_id IS NOT NULL OR coalesce(f.f_ouoi, false)""")
+def q_match_extended_near(spark, sf):
+    return mt.match_extended(corpus_index(spark, sf), NEAR_EXPR)
+
+
+@register("match_fullscan", f"""WITH {o.CORPUS} SELECT 1 AS query_id, doc_id FROM corpus""")
+def q_match_fullscan(spark, sf):
+    return mt.match_fullscan(corpus_index(spark, sf))
+
+
+def _wc_sql(corpus_cte: str = "corpus") -> str:
+    return f"""q AS (SELECT DISTINCT query_id, term FROM qv), nq AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id),
+mt AS (SELECT q.query_id, p.doc_id FROM postings p JOIN q USING (term) JOIN nq USING (query_id)
+       GROUP BY q.query_id, p.doc_id HAVING count(DISTINCT p.term) = max(nq.n)),
+wc AS (SELECT q.query_id, p.doc_id, count(*) AS hits FROM postings p JOIN qv q USING (term) GROUP BY ALL),
+wch AS (SELECT mt.query_id, mt.doc_id, CAST(wc.hits AS DOUBLE) AS weight, c.author_id, c.created_on, c.lang, c.source
+        FROM mt JOIN wc USING (query_id, doc_id) JOIN {corpus_cte} c USING (doc_id))"""
+
+
+LANGS_A, LANGS_B = ("en", "fr"), ("fr", "de", "es")
+IDX_WEIGHTS = {"a": 2, "b": 3}
+
+
+def _two_indexes(spark, sf):
+    st.prep(spark)
+    docs = st.corpus(spark, sf)
+    mk = lambda n, langs: ix.build_index(n, docs.where(F.col("lang").isin(list(langs))), ("title", "body"),
+                                         "doc_id", attrs=["lang", "source", "author_id", "created_on"])
+    reg = sr.IndexRegistry()
+    reg.declare(mk("a", LANGS_A))
+    reg.declare(mk("b", LANGS_B))
+    return reg
+
+
+@register("search_many_indexes", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()},
+u AS (SELECT query_id, doc_id, 'a' AS index_name, weight * 2 AS weight FROM wch WHERE lang IN ('en', 'fr')
+      UNION ALL SELECT query_id, doc_id, 'b', weight * 3 FROM wch WHERE lang IN ('fr', 'de', 'es'))
+SELECT query_id, doc_id, index_name, weight FROM (SELECT *, row_number() OVER (PARTITION BY query_id, doc_id
+ ORDER BY weight DESC, index_name) AS rn FROM u) WHERE rn = 1""")
+def q_search_many_indexes(spark, sf):
+    reg = _two_indexes(spark, sf)
+    r = sr.search_indexes(reg.resolve("a, b"), qtable(spark, Q_TERMS), "all", "wordcount", IDX_WEIGHTS)
+    return r.select("query_id", "doc_id", "index_name", "weight")
+
+
+@register("index_weights", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()}
+SELECT query_id, doc_id, 'a' AS index_name, weight * 2 AS weight FROM wch WHERE lang IN ('en', 'fr')
+UNION ALL SELECT query_id, doc_id, 'b', weight * 3 FROM wch WHERE lang IN ('fr', 'de', 'es')""")
+def q_index_weights(spark, sf):
+    reg = _two_indexes(spark, sf)
+    q = qtable(spark, Q_TERMS)
+    parts = [rk.rank(i, q, mt.match_all(i, q), "wordcount").withColumn("index_name", F.lit(n)) for n, i in reg.items()]
+    u = parts[0].unionByName(parts[1])
+    return rk.apply_index_weights(u, IDX_WEIGHTS).select("query_id", "doc_id", "index_name", "weight")
+
+
+_DELTA_CORPUS = f"""corpus2 AS (SELECT doc_id, title, CASE WHEN created_on > TIMESTAMP '{st.DELTA_AS_OF}' - INTERVAL 36 HOUR
+ THEN body || ' ' || title ELSE body END AS body, lang, source, author_id, created_on FROM corpus)"""
+
+
+def delta_docs(spark, sf):
+    """Changed documents: those of the last 36 hours, their title appended to the body."""
+    from quarry.sources.scan import delta_source
+
+    d = delta_source(st.corpus(spark, sf), "created_on", st.DELTA_AS_OF)
+    return d.withColumn("body", F.concat_ws(" ", "body", "title"))
+
+
+@register("search_main_delta", f"""WITH {o.CORPUS}, {_DELTA_CORPUS},
+fields AS (SELECT doc_id, 'title' AS field, title AS txt FROM corpus2 UNION ALL SELECT doc_id, 'body' AS field, body AS txt FROM corpus2),
+{o.TOKS}, {o.POSTINGS}, {QV(Q_TERMS)}, {_wc_sql('corpus2')}
+SELECT query_id, doc_id, weight FROM wch""")
+def q_search_main_delta(spark, sf):
+    st.prep(spark)
+    attrs = ["lang", "source", "author_id", "created_on"]
+    main = ix.build_index("entry", st.corpus(spark, sf), ("title", "body"), "doc_id", attrs=attrs)
+    delta = ix.build_index("entry_delta", delta_docs(spark, sf), ("title", "body"), "doc_id", attrs=attrs)
+    idx = mt.main_delta(main, delta)
+    q = qtable(spark, Q_TERMS)
+    return rk.rank(idx, q, mt.match_all(idx, q), "wordcount").select("query_id", "doc_id", "weight")
+
+
+@register("search_batch", f"""WITH {o.INDEX}, {BENCH_Q}, {o.bm25_ctes('qb')},
+mt AS (SELECT DISTINCT q.query_id, p.doc_id FROM postings p JOIN qb q USING (term)),
+w AS (SELECT mt.query_id, mt.doc_id, round(coalesce(bm.bm25, 0), 6) AS weight FROM mt LEFT JOIN bm USING (query_id, doc_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY weight DESC, doc_id) AS rank FROM w)
+SELECT query_id, doc_id, weight, rank FROM r WHERE rank <= 10""")
+def q_search_batch(spark, sf):
+    idx = corpus_index(spark, sf)
+    q = bench_queries(spark, sf)
+    h = rk.rank(idx, q, mt.match_any(idx, q), "bm25")
+    return od.top_per_query(h, od.sort_keys("relevance"), 0, 10).select(
+        "query_id", "doc_id", "weight", F.col("rank").cast("long"))
+
+
+# =============================================================================================
+# 2.4 ranking (rest)
+
+
+@register("rank_proximity_bm25", f"""WITH {o.INDEX}, {QV(Q_RUN)}, {o.lcs_ctes()}, {o.bm25_ctes()},
+q AS (SELECT DISTINCT query_id, term FROM qv), nq AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id),
+mt AS (SELECT q.query_id, p.doc_id FROM postings p JOIN q USING (term) JOIN nq USING (query_id)
+       GROUP BY q.query_id, p.doc_id HAVING count(DISTINCT p.term) = max(nq.n)),
+px AS (SELECT query_id, doc_id, sum(lcs) AS w FROM pf GROUP BY ALL)
+SELECT mt.query_id, mt.doc_id, CAST(px.w * 1000 + floor(999 * round(bm.bm25 / (2.2::DOUBLE * sidf.sum_idf), 6)) AS DOUBLE) AS weight
+FROM mt JOIN px USING (query_id, doc_id) JOIN bm USING (query_id, doc_id) JOIN sidf USING (query_id)""")
+def q_rank_proximity_bm25(spark, sf):
+    idx = corpus_index(spark, sf)
+    q = qtable(spark, Q_RUN)
+    return rk.rank(idx, q, mt.match_all(idx, q), "proximity_bm25")
+
+
+@register("rank_none", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()} SELECT query_id, doc_id, 1.0::DOUBLE AS weight FROM mt""")
+def q_rank_none(spark, sf):
+    idx = corpus_index(spark, sf)
+    q = qtable(spark, Q_TERMS)
+    return rk.rank(idx, q, mt.match_all(idx, q), "none")
+
+
+@register("rank_wordcount", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()} SELECT query_id, doc_id, weight FROM wch""")
+def q_rank_wordcount(spark, sf):
+    idx = corpus_index(spark, sf)
+    q = qtable(spark, Q_TERMS)
+    return rk.rank(idx, q, mt.match_all(idx, q), "wordcount")
+
+
+@register("rank_matchany", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {o.lcs_ctes()},
+q AS (SELECT DISTINCT query_id, term FROM qv), nq AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id),
+ma AS (SELECT DISTINCT q.query_id, p.doc_id FROM postings p JOIN q USING (term)),
+s AS (SELECT pf.query_id, pf.doc_id, sum(pf.lcs * nq.n + pf.n_words) AS w FROM pf JOIN nq USING (query_id) GROUP BY ALL)
+SELECT ma.query_id, ma.doc_id, CAST(coalesce(s.w, 0) AS DOUBLE) AS weight FROM ma LEFT JOIN s USING (query_id, doc_id)""")
+def q_rank_matchany(spark, sf):
+    idx = corpus_index(spark, sf)
+    q = qtable(spark, Q_TERMS)
+    return rk.rank(idx, q, mt.match_any(idx, q), "matchany")
+
+
+FIELD_WEIGHTS = {"title": 5, "body": 1, "nosuchfield": 9}
+
+
+@register("field_weights", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()},
+fw AS (SELECT q.query_id, p.doc_id, sum(CASE WHEN p.field = 'title' THEN 5 ELSE 1 END) AS w FROM postings p JOIN qv q USING (term) GROUP BY ALL)
+SELECT mt.query_id, mt.doc_id, CAST(fw.w AS DOUBLE) AS weight FROM mt JOIN fw USING (query_id, doc_id)""")
+def q_field_weights(spark, sf):
+    idx = corpus_index(spark, sf)
+    q = qtable(spark, Q_TERMS)
+    return rk.rank(idx, q, mt.match_all(idx, q), "wordcount", FIELD_WEIGHTS)
+
+
+# =============================================================================================
+# 2.6 sorting, limits, paging (rest)
+
+
+def wc_hits(spark, sf):
+    idx = corpus_index(spark, sf)
+    q = qtable(spark, Q_TERMS)
+    r = rk.rank(idx, q, mt.match_all(idx, q), "wordcount")
+    return r.join(idx.docs.select("doc_id", "author_id", "created_on", "lang", "source"), "doc_id")
+
+
+def _top_sql(order: str, offset: int = 0, limit: int = 20, extra: str = "") -> str:
+    return f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()}{extra},
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {order}) AS rank FROM wch)
+SELECT query_id, doc_id, weight, rank FROM r WHERE rank > {offset} AND rank <= {offset + limit}"""
+
+
+def _top(spark, sf, mode, by="", offset=0, limit=20, as_of=None):
+    h = wc_hits(spark, sf)
+    return od.top_per_query(h, od.sort_keys(mode, by, as_of), offset, limit).select(
+        "query_id", "doc_id", "weight", F.col("rank").cast("long"))
+
+
+@register("sort_attr_desc", _top_sql("created_on DESC, doc_id"))
+def q_sort_attr_desc(spark, sf):
+    return _top(spark, sf, "attr_desc", "created_on")
+
+
+@register("sort_attr_asc", _top_sql("author_id, doc_id"))
+def q_sort_attr_asc(spark, sf):
+    return _top(spark, sf, "attr_asc", "author_id")
+
+
+_SEG_SQL = f"""CASE WHEN epoch(TIMESTAMP '{st.DELTA_AS_OF}') - epoch(created_on) < 3600 THEN 0
+ WHEN epoch(TIMESTAMP '{st.DELTA_AS_OF}') - epoch(created_on) < 86400 THEN 1
+ WHEN epoch(TIMESTAMP '{st.DELTA_AS_OF}') - epoch(created_on) < 604800 THEN 2
+ WHEN epoch(TIMESTAMP '{st.DELTA_AS_OF}') - epoch(created_on) < 2592000 THEN 3 ELSE 4 END"""
+
+
+@register("sort_time_segments", _top_sql(f"{_SEG_SQL}, weight DESC, doc_id", limit=50))
+def q_sort_time_segments(spark, sf):
+    return _top(spark, sf, "time_segments", "created_on", limit=50, as_of=st.DELTA_AS_OF)
+
+
+@register("sort_extended", _top_sql("author_id DESC, weight DESC, doc_id"))
+def q_sort_extended(spark, sf):
+    return _top(spark, sf, "extended", "author_id desc, @weight desc")
+
+
+@register("sort_expr", _top_sql("weight * 2 + author_id DESC, doc_id"))
+def q_sort_expr(spark, sf):
+    return _top(spark, sf, "expr", "weight * 2 + author_id")
+
+
+LIMITS = od.limits(offset=0, limit=10, max_matches=1000, page=3)
+
+
+@register("limit_offset_max", _top_sql("weight DESC, doc_id", offset=LIMITS[0], limit=LIMITS[1]))
+def q_limit_offset_max(spark, sf):
+    off, lim, _ = LIMITS
+    return _top(spark, sf, "relevance", offset=off, limit=lim)
+
+
+@register("cutoff", f"""WITH {o.INDEX}, {QV(Q_TERMS)},
+ma AS (SELECT DISTINCT q.query_id, p.doc_id FROM postings p JOIN qv q USING (term))
+SELECT query_id, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY doc_id) AS c FROM ma) WHERE c <= 50""")
+def q_cutoff(spark, sf):
+    return od.cutoff(mt.match_any(corpus_index(spark, sf), qtable(spark, Q_TERMS)), 50)
+
+
+@register("result_totals", f"""WITH {o.INDEX}, {QV(Q_TERMS)},
+ma AS (SELECT DISTINCT q.query_id, p.doc_id FROM postings p JOIN qv q USING (term))
+SELECT query_id, count(*) AS total_found, least(count(*), 300) AS total FROM ma GROUP BY query_id""")
+def q_result_totals(spark, sf):
+    return od.result_totals(mt.match_any(corpus_index(spark, sf), qtable(spark, Q_TERMS)), 300)
+
+
+@register("page_table", f"""WITH {o.INDEX}, {QV(Q_TERMS)},
+ma AS (SELECT DISTINCT q.query_id, p.doc_id FROM postings p JOIN qv q USING (term)),
+t AS (SELECT query_id, count(*) AS total_found, CAST(ceil(count(*) / 25) AS INTEGER) AS pages FROM ma GROUP BY query_id),
+p AS (SELECT query_id, total_found, pages, unnest(range(1, pages + 1)) AS page FROM t)
+SELECT query_id, CAST(page AS INTEGER) AS page, pages, CAST((page - 1) * 25 AS BIGINT) AS "offset",
+ least(25, total_found - (page - 1) * 25) AS "rows", page = 1 AS is_first, page = pages AS is_last,
+ CASE WHEN page > 1 THEN CAST(page - 1 AS INTEGER) ELSE 0 END AS prev_page, CASE WHEN page < pages THEN CAST(page + 1 AS INTEGER) ELSE 0 END AS next_page
+FROM p""")
+def q_page_table(spark, sf):
+    t = od.result_totals(mt.match_any(corpus_index(spark, sf), qtable(spark, Q_TERMS)), 300)
+    return od.page_table(t, 25)

@@ -73,3 +73,41 @@ def search(idx: Index, queries: DataFrame | None, spec: SearchSpec = SearchSpec(
         page = page.selectExpr("query_id", *od.split_select(spec.select))
     words = query_word_stats(queries, idx.vocabulary()) if queries is not None else None
     return SearchResult(page, totals, words, hits)
+
+
+# ---------------------------------------------------------------------------------------------
+# several indexes
+
+
+class IndexRegistry(dict):
+    """Named indexes; the first declaration of a name wins, an unknown name is an error."""
+
+    def declare(self, idx: Index) -> Index:
+        return self.setdefault(idx.name, idx)
+
+    def resolve(self, names) -> dict[str, Index]:
+        if isinstance(names, str):
+            names = [n.strip() for n in names.split(",") if n.strip()]
+        missing = [n for n in names if n not in self]
+        if missing:
+            raise KeyError(f"unknown index {missing}")
+        return {n: self[n] for n in names}
+
+
+def search_indexes(indexes: dict[str, Index], queries: DataFrame, mode: str = "all", ranker: str = "wordcount",
+                   index_weights: dict | None = None, field_weights: dict | None = None) -> DataFrame:
+    """Match and rank in every index, tag rows with ``index_name``, weight by index, and keep one
+    row per (query, document): the best weight, then the first index name."""
+    from functools import reduce
+
+    from pyspark.sql import Window
+
+    parts = []
+    for name, idx in indexes.items():
+        m = mt.match(idx, queries, mode)
+        parts.append(rk.rank(idx, queries, m, ranker, field_weights).withColumn("index_name", F.lit(name)))
+    u = reduce(lambda a, b: a.unionByName(b), parts)
+    u = rk.apply_index_weights(u, index_weights)
+    # at most len(indexes) rows per (query, document): a bounded window
+    w = Window.partitionBy("query_id", "doc_id").orderBy(F.col("weight").desc(), F.col("index_name").asc())
+    return u.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
