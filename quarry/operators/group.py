@@ -139,3 +139,28 @@ def facets(hits: DataFrame, groupings: list[tuple[str, str, str]]) -> DataFrame:
         items.append(F.transform(vals, _facet_item_fn(name)))
     ex = hits.select("query_id", F.inline(F.flatten(F.array(*items))))
     return ex.groupBy("query_id", "facet", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
+def tag_cloud(tags: DataFrame, object_tag: DataFrame, datasource: str = "entry", pairs: DataFrame | None = None,
+              category_ids: list | None = None, limit: int | None = None) -> DataFrame:
+    """Public tags with the number of tagged objects of ``datasource``, most used first.
+
+    With ``pairs`` (tag_id, category_id) and ``category_ids`` only tags seen in those categories
+    count. ``limit`` keeps the top tags (the cloud size); ``rank`` numbers them.
+    """
+    from pyspark.sql import Window
+
+    t = tags.where(~F.coalesce(F.col("is_private"), F.lit(False))).select(F.col("id").alias("tag_id"), "name")
+    if pairs is not None and category_ids:
+        ok = pairs.where(F.col("category_id").isin(list(category_ids))).select("tag_id").distinct()
+        t = t.join(ok, "tag_id", "left_semi")
+    cnt = (object_tag.where(F.col("object_datasource") == datasource)
+           .select("tag_id", "object_id").distinct()
+           .groupBy("tag_id").agg(F.count(F.lit(1)).alias("entry_count")))
+    c = t.join(cnt, "tag_id")
+    order = [F.col("entry_count").desc(), F.col("name").asc(), F.col("tag_id").asc()]
+    if limit:
+        # top-k: the planner keeps `limit` rows per partition before the single ordering step
+        top = c.orderBy(*order).limit(limit)
+        return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return c

@@ -75,7 +75,8 @@ def hydrate(hits: DataFrame, rows: DataFrame, rows_id: str = "id", order: list[C
 
 
 def _phrase_starts(toks: Column, phrase: list[str]) -> Column:
-    """1-based start positions of the phrase in a token array."""
+    """1-based start positions of the phrase in a token array column (a plain column reference:
+    inside lambdas an expression would be evaluated again for every element)."""
     m = len(phrase)
     target = F.array(*[F.lit(w) for w in phrase])
     if m == 1:
@@ -86,42 +87,53 @@ def _phrase_starts(toks: Column, phrase: list[str]) -> Column:
                     lambda i: (n >= 1) & (F.slice(toks, i, m) == target))
 
 
-def kwic_column(text: Column, phrase: list[str], around: int = KWIC_AROUND,
-                before: str = EXCERPT_BEFORE, after: str = EXCERPT_AFTER) -> Column:
-    """Keyword in context on the word array: up to ``around`` words either side of the first
-    occurrence of ``phrase``, every word of a phrase occurrence inside the window marked.
-    NULL when the text does not hold the phrase."""
-    toks = word_array(text)
+def with_kwic(df: DataFrame, text_col: str, phrase: list[str], out_col: str, around: int = KWIC_AROUND,
+              before: str = EXCERPT_BEFORE, after: str = EXCERPT_AFTER) -> DataFrame:
+    """Add ``out_col``: keyword in context on the word array of ``text_col`` -- up to ``around``
+    words either side of the first occurrence of ``phrase``, every word of a phrase occurrence in
+    the window marked; NULL when the text does not hold the phrase.
+
+    The word array and the start positions are columns of their own, so the per-element lambdas
+    read them instead of evaluating the split again (linear, not quadratic, in the text length).
+    """
     m = len(phrase)
-    starts = _phrase_starts(toks, phrase)
-    first = F.array_min(starts)
-    s = F.greatest(first - around, F.lit(1))
-    length = first - s + m + around
-    win = F.slice(toks, s, length)
-    # a window word is marked when it belongs to an occurrence of the phrase
+    t, st_, fi = f"_{out_col}_toks", f"_{out_col}_starts", f"_{out_col}_first"
+    d = df.withColumn(t, word_array(F.col(text_col)))
+    d = d.withColumn(st_, _phrase_starts(F.col(t), phrase))
+    d = d.withColumn(fi, F.array_min(F.col(st_)))
+    s = F.greatest(F.col(fi) - around, F.lit(1))
+    win = F.slice(F.col(t), s, F.col(fi) - s + m + around)
+    starts = F.col(st_)
     in_occ = lambda j: F.exists(F.sequence(F.lit(0), F.lit(m - 1)),
                                 lambda k: F.array_contains(starts, s + j - k))
     marked = F.transform(win, lambda x, j: F.when(in_occ(j), F.concat(F.lit(before), x, F.lit(after))).otherwise(x))
-    return F.when(first.isNotNull(), F.array_join(marked, " "))
+    d = d.withColumn(out_col, F.when(F.col(fi).isNotNull(), F.array_join(marked, " ")))
+    return d.drop(t, st_, fi)
 
 
 def excerpt_kwic(hits: DataFrame, texts: DataFrame, phrase: list[str], fields: list[str],
                  around: int = KWIC_AROUND, plain_words: int | None = None) -> DataFrame:
     """``hits`` + ``excerpt``: the keyword-in-context excerpt of the first field holding the
-    phrase; otherwise a plain excerpt (first ``2*around+1`` words of the first field)."""
+    phrase; otherwise a plain excerpt (first ``2*around+1`` words of the first field).
+    Runs on the documents of ``hits`` only (a semi join first), so excerpts cost nothing for the
+    documents outside the result page."""
     plain_words = plain_words or 2 * around + 1
-    t = texts.select("doc_id", *fields)
-    kw = [kwic_column(F.col(f), phrase, around) for f in fields]
+    t = texts.select("doc_id", *fields).join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
+    outs = []
+    for i, f in enumerate(fields):
+        t = with_kwic(t, f, phrase, f"_kw{i}", around)
+        outs.append(F.col(f"_kw{i}"))
     plain = F.array_join(F.slice(word_array(F.col(fields[0])), 1, plain_words), " ")
-    t = t.select("doc_id", F.coalesce(*kw, plain).alias("excerpt"),
-                 F.coalesce(*[F.when(k.isNotNull(), F.lit(True)) for k in kw], F.lit(False)).alias("matched"))
+    t = t.select("doc_id", F.coalesce(*outs, plain).alias("excerpt"),
+                 F.coalesce(*[F.when(k.isNotNull(), F.lit(True)) for k in outs], F.lit(False)).alias("matched"))
     return hits.join(t, "doc_id", "inner")
 
 
-def excerpt_column(text: Column, keywords: list[str], before: str = EXCERPT_BEFORE, after: str = EXCERPT_AFTER,
-                   separator: str = EXCERPT_SEPARATOR, limit: int = EXCERPT_LIMIT, around: int = EXCERPT_AROUND,
-                   exact_phrase: bool = False, single_passage: bool = False, weight_order: bool = False) -> Column:
-    """Snippets built from the word array of one text.
+def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str = "excerpt",
+                 before: str = EXCERPT_BEFORE, after: str = EXCERPT_AFTER, separator: str = EXCERPT_SEPARATOR,
+                 limit: int = EXCERPT_LIMIT, around: int = EXCERPT_AROUND, exact_phrase: bool = False,
+                 single_passage: bool = False, weight_order: bool = False) -> DataFrame:
+    """Add snippets built from the word array of ``text_col``.
 
     Hits are the positions of keyword words (or of whole phrase occurrences when
     ``exact_phrase``); each hit opens a window of ``around`` words either side; overlapping or
@@ -129,18 +141,20 @@ def excerpt_column(text: Column, keywords: list[str], before: str = EXCERPT_BEFO
     (or by number of hits with ``weight_order``; ``single_passage`` keeps the best one) and added
     while the result stays within ``limit`` characters; a first passage that is too long is cut.
     """
-    toks = word_array(text)
+    t, hp, sp = f"_{out_col}_toks", f"_{out_col}_hits", f"_{out_col}_spans"
+    d = df.withColumn(t, word_array(F.col(text_col)))
+    toks = F.col(t)
     kws = F.array(*[F.lit(w) for w in keywords])
     if exact_phrase:
-        starts = _phrase_starts(toks, keywords)
         m = len(keywords)
-        hit_pos = F.flatten(F.transform(starts, lambda s0: F.sequence(s0, s0 + (m - 1))))
+        d = d.withColumn(hp, _phrase_starts(toks, keywords))
+        d = d.withColumn(hp, F.flatten(F.transform(F.col(hp), lambda s0: F.sequence(s0, s0 + (m - 1)))))
     else:
-        hit_pos = F.filter(F.sequence(F.lit(1), F.greatest(F.size(toks), F.lit(1))),
-                           lambda i: F.array_contains(kws, F.element_at(toks, i)))
-    hit_pos = F.array_sort(F.array_distinct(hit_pos))
-    span_t = "struct<s:int,e:int,n:int>"
-    empty = F.array().cast(f"array<{span_t}>")
+        d = d.withColumn(hp, F.filter(F.sequence(F.lit(1), F.greatest(F.size(toks), F.lit(1))),
+                                      lambda i: F.array_contains(kws, F.element_at(toks, i))))
+    d = d.withColumn(hp, F.array_sort(F.array_distinct(F.col(hp))))
+    hit_pos = F.col(hp)
+    empty = F.array().cast("array<struct<s:int,e:int,n:int>>")
 
     def merge(acc, p):
         last = F.element_at(acc, -1)
@@ -155,25 +169,26 @@ def excerpt_column(text: Column, keywords: list[str], before: str = EXCERPT_BEFO
                              .when(a["s"] < b["s"], -1).when(a["s"] > b["s"], 1).otherwise(0))
     if single_passage:
         spans = F.slice(spans, 1, 1)
-    hitset = hit_pos
+    d = d.withColumn(sp, spans)
 
-    def passage(sp):
-        st = F.greatest(sp["s"], F.lit(1))
-        ln = F.least(sp["e"], F.size(toks)) - st + 1
-        idx = F.sequence(st, st + ln - 1)
+    def passage(span):
+        st0 = F.greatest(span["s"], F.lit(1))
+        ln = F.least(span["e"], F.size(toks)) - st0 + 1
+        idx = F.sequence(st0, st0 + ln - 1)
         return F.array_join(F.transform(idx, lambda i: F.when(
-            F.array_contains(hitset, i), F.concat(F.lit(before), F.element_at(toks, i), F.lit(after)))
+            F.array_contains(hit_pos, i), F.concat(F.lit(before), F.element_at(toks, i), F.lit(after)))
             .otherwise(F.element_at(toks, i))), " ")
 
-    passages = F.transform(spans, passage)
+    passages = F.transform(F.col(sp), passage)
     joined = F.aggregate(passages, F.lit(""), lambda acc, p: F.when(acc == "", p).when(
         F.length(acc) + len(separator) + F.length(p) <= limit, F.concat(acc, F.lit(separator), p)).otherwise(acc))
-    return F.when(F.size(spans) > 0, F.substring(joined, 1, limit))
+    d = d.withColumn(out_col, F.when(F.size(F.col(sp)) > 0, F.substring(joined, 1, limit)))
+    return d.drop(t, hp, sp)
 
 
 def build_excerpts(texts: DataFrame, field: str, keywords: list[str], **opts) -> DataFrame:
     """``doc_id, excerpt`` for every document of ``texts`` (NULL excerpt when no keyword occurs)."""
-    return texts.select("doc_id", excerpt_column(F.col(field), keywords, **opts).alias("excerpt"))
+    return with_excerpt(texts.select("doc_id", field), field, keywords, "excerpt", **opts).select("doc_id", "excerpt")
 
 
 def search_categories(cats: DataFrame, names, blog_ids=None) -> DataFrame:

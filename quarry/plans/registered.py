@@ -931,3 +931,229 @@ FROM p""")
 def q_page_table(spark, sf):
     t = od.result_totals(mt.match_any(corpus_index(spark, sf), qtable(spark, Q_TERMS)), 300)
     return od.page_table(t, 25)
+
+
+# =============================================================================================
+# 2.7 grouping and facets
+
+from quarry.operators import group as gr  # noqa: E402
+
+
+def _group_sql(key: str, order: str, cols: str = "doc_id", src: str = "wch") -> str:
+    return f"""g AS (SELECT *, {key} AS "group", count(*) OVER (PARTITION BY query_id, {key}) AS count,
+ row_number() OVER (PARTITION BY query_id, {key} ORDER BY {order}) AS rn FROM {src})
+SELECT query_id, "group", count, {cols} FROM g WHERE rn = 1"""
+
+
+@register("group_attr", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()}, {_group_sql('author_id', 'weight DESC, doc_id', 'doc_id, weight')}""")
+def q_group_attr(spark, sf):
+    return gr.group_by(wc_hits(spark, sf), "attr", "author_id").select("query_id", "group", "count", "doc_id", "weight")
+
+
+@register("group_attrpair", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()},
+g AS (SELECT *, lang AS "group", source AS group2, count(*) OVER (PARTITION BY query_id, lang, source) AS count,
+ row_number() OVER (PARTITION BY query_id, lang, source ORDER BY weight DESC, doc_id) AS rn FROM wch)
+SELECT query_id, "group", group2, count, doc_id FROM g WHERE rn = 1""")
+def q_group_attrpair(spark, sf):
+    h = wc_hits(spark, sf)
+    return gr.group_by(h, "attrpair", "lang").select("query_id", "group", "group2", "count", "doc_id")
+
+
+_EH = "eh AS (SELECT 1 AS query_id, 1.0::DOUBLE AS weight, * FROM entries)"
+_WEEK = "CAST(year(CAST(o_orderdate AS DATE) - CAST(dayofweek(o_orderdate) AS INTEGER)) * 1000 + dayofyear(CAST(o_orderdate AS DATE) - CAST(dayofweek(o_orderdate) AS INTEGER)) AS BIGINT)"
+_CAL = {
+    "day": "CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT)",
+    "week": _WEEK,
+    "month": "CAST(strftime(o_orderdate, '%Y%m') AS BIGINT)",
+    "year": "CAST(year(o_orderdate) AS BIGINT)",
+}
+
+
+def _cal_query(func):
+    def fn(spark, sf):
+        h = entry_hits(spark, sf)
+        return gr.group_by(h, func, "o_orderdate", "attr_desc", "o_totalprice").select("query_id", "group", "count", "doc_id")
+
+    return fn
+
+
+for _f, _k in _CAL.items():
+    register(f"group_{_f}", f"""WITH {ENTRIES_SQL}, {_EH}, {_group_sql(_k, 'o_totalprice DESC, doc_id', 'doc_id', 'eh')}""")(_cal_query(_f))
+
+
+@register("group_mva", f"""WITH {ENTRIES_SQL}, {_EH}, ex AS (SELECT query_id, doc_id, o_totalprice, unnest(tag) AS t FROM eh),
+{_group_sql('t', 'o_totalprice DESC, doc_id', 'doc_id', 'ex')}""")
+def q_group_mva(spark, sf):
+    h = entry_hits(spark, sf)
+    return gr.group_by(h, "attr", "tag", "attr_desc", "o_totalprice").select("query_id", "group", "count", "doc_id")
+
+
+@register("group_distinct", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()},
+g AS (SELECT *, lang AS "group", count(*) OVER (PARTITION BY query_id, lang) AS count,
+ row_number() OVER (PARTITION BY query_id, lang ORDER BY weight DESC, doc_id) AS rn FROM wch),
+d AS (SELECT query_id, lang AS "group", count(DISTINCT source) AS "distinct" FROM wch GROUP BY ALL)
+SELECT g.query_id, g."group", g.count, d."distinct", g.doc_id FROM g JOIN d USING (query_id, "group") WHERE rn = 1""")
+def q_group_distinct(spark, sf):
+    return gr.group_by(wc_hits(spark, sf), "attr", "lang", distinct="source").select(
+        "query_id", "group", "count", "distinct", "doc_id")
+
+
+@register("group_sort", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()},
+g AS (SELECT *, author_id AS "group", count(*) OVER (PARTITION BY query_id, author_id) AS count,
+ row_number() OVER (PARTITION BY query_id, author_id ORDER BY weight DESC, doc_id) AS rn FROM wch),
+b AS (SELECT * FROM g WHERE rn = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY count DESC, "group", doc_id) AS rank FROM b)
+SELECT query_id, "group", count, doc_id, rank FROM r WHERE rank <= 5""")
+def q_group_sort(spark, sf):
+    g = gr.grouped_search(wc_hits(spark, sf), "attr", "author_id", group_sort="@count desc", limit=5)
+    return g.select("query_id", "group", "count", "doc_id", F.col("rank").cast("long"))
+
+
+@register("group_total", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()}
+SELECT query_id, count(DISTINCT author_id) AS total_found FROM wch GROUP BY query_id""")
+def q_group_total(spark, sf):
+    return gr.group_totals(wc_hits(spark, sf), "attr", "author_id")
+
+
+@register("facets", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()}
+SELECT query_id, 'lang' AS facet, lang AS value, count(*) AS count FROM wch GROUP BY ALL
+UNION ALL SELECT query_id, 'source', source, count(*) FROM wch GROUP BY ALL
+UNION ALL SELECT query_id, 'author', CAST(author_id AS VARCHAR), count(*) FROM wch GROUP BY ALL""")
+def q_facets(spark, sf):
+    return gr.facets(wc_hits(spark, sf), [("lang", "attr", "lang"), ("source", "attr", "source"),
+                                         ("author", "attr", "author_id")])
+
+
+@register("facets_mva", f"""WITH {ENTRIES_SQL}
+SELECT 1 AS query_id, 'tag' AS facet, CAST(t AS VARCHAR) AS value, count(*) AS count FROM (SELECT unnest(tag) AS t FROM entries) GROUP BY ALL
+UNION ALL SELECT 1, 'month', strftime(o_orderdate, '%Y%m'), count(*) FROM entries GROUP BY ALL""")
+def q_facets_mva(spark, sf):
+    return gr.facets(entry_hits(spark, sf), [("tag", "attr", "tag"), ("month", "month", "o_orderdate")])
+
+
+@register("tag_cloud", """WITH c AS (SELECT l_partkey AS tag_id, count(DISTINCT l_orderkey) AS entry_count FROM lineitem
+ WHERE l_linestatus = 'O' GROUP BY l_partkey),
+t AS (SELECT p_partkey AS tag_id, p_name AS name, entry_count FROM part JOIN c ON c.tag_id = p.p_partkey)
+SELECT tag_id, name, entry_count, rank FROM (SELECT *, row_number() OVER (ORDER BY entry_count DESC, name, tag_id) AS rank FROM t)
+WHERE rank <= 50""".replace("FROM part JOIN", "FROM part p JOIN"))
+def q_tag_cloud(spark, sf):
+    c = gr.tag_cloud(st.tags(spark, sf), st.object_tags(spark, sf), "entry", limit=50)
+    return c.select("tag_id", "name", "entry_count", F.col("rank").cast("long"))
+
+
+@register("tag_cloud_category", f"""WITH {_CATS_SQL},
+pairs AS (SELECT DISTINCT l.l_partkey AS tag_id, cats.id AS category_id FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  JOIN customer c ON c.c_custkey = o.o_custkey JOIN cats ON cats.label = c.c_mktsegment),
+ok AS (SELECT DISTINCT tag_id FROM pairs WHERE category_id IN (SELECT id FROM cats WHERE basename = 'building')),
+c AS (SELECT l_partkey AS tag_id, count(DISTINCT l_orderkey) AS entry_count FROM lineitem WHERE l_linestatus = 'O' GROUP BY l_partkey)
+SELECT p.p_partkey AS tag_id, p.p_name AS name, c.entry_count FROM part p JOIN c ON c.tag_id = p.p_partkey
+WHERE p.p_partkey IN (SELECT tag_id FROM ok)""")
+def q_tag_cloud_category(spark, sf):
+    cats = st.categories(spark, sf)
+    pairs = lk.tag_category_pairs(st.tags(spark, sf), st.object_tags(spark, sf), st.placements(spark, sf))
+    ids = cats.where(F.col("basename") == "building").select("id")
+    # category ids resolved by a semi join, not a driver-side list
+    pairs = pairs.join(ids.withColumnRenamed("id", "category_id"), "category_id", "left_semi")
+    return gr.tag_cloud(st.tags(spark, sf), st.object_tags(spark, sf), "entry", pairs=pairs,
+                        category_ids=None).join(pairs.select("tag_id").distinct(), "tag_id", "left_semi").select(
+        "tag_id", "name", "entry_count")
+
+
+# =============================================================================================
+# 2.8 projection, overrides, results
+
+from quarry.operators import results as rs  # noqa: E402
+
+
+@register("select_list", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()}
+SELECT query_id, doc_id, weight * 2 AS w2, author_id FROM wch""")
+def q_select_list(spark, sf):
+    h = wc_hits(spark, sf)
+    return rs.select_list(h, "query_id, doc_id, weight * 2 AS w2, author_id")
+
+
+_LABEL_OVR = "lbl AS (SELECT doc_id, CAST(quality * 100 + toxic AS BIGINT) AS value FROM labels)"
+
+
+@register("override_attr", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()}, {_LABEL_OVR}
+SELECT query_id, doc_id, coalesce(lbl.value, author_id) AS author_id FROM wch LEFT JOIN lbl USING (doc_id)
+WHERE coalesce(lbl.value, author_id) IN (100, 101, 5)""")
+def q_override_attr(spark, sf):
+    idx = corpus_index(spark, sf)
+    q = qtable(spark, Q_TERMS)
+    ov = st.table(spark, sf, "labels").select("doc_id", (F.col("quality") * 100 + F.col("toxic")).alias("value"))
+    docs = rs.override_attr(idx.docs, "author_id", ov)
+    h = rk.rank(idx, q, mt.match_all(idx, q), "wordcount").join(docs, "doc_id")
+    return fl.filter_values(h, "author_id", [100, 101, 5]).select("query_id", "doc_id", "author_id")
+
+
+@register("update_attributes", f"""WITH {o.CORPUS}, {_LABEL_OVR}
+SELECT c.doc_id, CASE WHEN lbl.doc_id IS NOT NULL THEN lbl.value ELSE c.author_id END AS author_id FROM corpus c LEFT JOIN lbl USING (doc_id)""")
+def q_update_attributes(spark, sf):
+    st.prep(spark)
+    docs = st.corpus(spark, sf).select("doc_id", "author_id")
+    ch = st.table(spark, sf, "labels").select("doc_id", (F.col("quality") * 100 + F.col("toxic")).alias("author_id"))
+    new, _ = rs.update_attributes(docs, ch, ["author_id"])
+    return new
+
+
+@register("update_attributes_count", f"""WITH {o.CORPUS} SELECT count(*) AS updated FROM corpus WHERE doc_id IN (SELECT doc_id FROM labels)""")
+def q_update_attributes_count(spark, sf):
+    st.prep(spark)
+    docs = st.corpus(spark, sf).select("doc_id", "author_id")
+    ch = st.table(spark, sf, "labels").select("doc_id", (F.col("quality") * 100 + F.col("toxic")).alias("author_id"))
+    return rs.update_attributes(docs, ch, ["author_id"])[1]
+
+
+@register("hydrate", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()},
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY weight DESC, doc_id) AS rank FROM wch),
+pg AS (SELECT query_id, doc_id, weight FROM r WHERE rank <= 20)
+SELECT pg.query_id, pg.doc_id, d.n_chars, lpad(CAST(row_number() OVER (PARTITION BY pg.query_id ORDER BY pg.weight DESC, pg.doc_id) - 1 AS VARCHAR), 4, '0') AS result_index
+FROM pg JOIN documents d USING (doc_id)""")
+def q_hydrate(spark, sf):
+    page = _top(spark, sf, "relevance", limit=20)
+    rows = st.table(spark, sf, "documents").select("doc_id", "n_chars")
+    return rs.hydrate(page, rows, "doc_id").select("query_id", "doc_id", "n_chars", "result_index")
+
+
+@register("search_categories", f"""WITH {_CATS_SQL} SELECT id, basename, label FROM cats WHERE basename IN ('building', 'machinery')""")
+def q_search_categories(spark, sf):
+    return rs.search_categories(st.categories(spark, sf), CATEGORY_NAMES).select("id", "basename", "label")
+
+
+_KW = "tion"
+
+
+@register("excerpt_kwic", f"""WITH {o.INDEX},
+mt AS (SELECT DISTINCT doc_id FROM postings WHERE term = '{_KW}'),
+tk AS (SELECT c.doc_id, {o.words_sql('c.body')} AS t FROM corpus c JOIN mt USING (doc_id))
+SELECT doc_id, CASE WHEN list_contains(t, '{_KW}') THEN array_to_string(list_transform(
+   list_slice(t, greatest(list_position(t, '{_KW}') - 9, 1), list_position(t, '{_KW}') + 9),
+   lambda x: CASE WHEN x = '{_KW}' THEN '<b>' || x || '</b>' ELSE x END), ' ')
+ ELSE array_to_string(list_slice(t, 1, 19), ' ') END AS excerpt FROM tk""")
+def q_excerpt_kwic(spark, sf):
+    idx = corpus_index(spark, sf)
+    m = mt.match_all(idx, qtable(spark, [(1, 0, _KW)])).select("doc_id")
+    return rs.excerpt_kwic(m, idx.texts, [_KW], ["body"]).select("doc_id", "excerpt")
+
+
+@register("excerpt_kwic_phrase")
+def q_excerpt_kwic_phrase(spark, sf):
+    idx = corpus_index(spark, sf)
+    m = mt.match_phrase(idx, qtable(spark, [(1, 0, "of"), (1, 1, "the")])).select("doc_id")
+    return rs.excerpt_kwic(m, idx.texts, ["of", "the"], ["body"]).select("doc_id", "excerpt")
+
+
+@register("build_excerpts")
+def q_build_excerpts(spark, sf):
+    st.prep(spark)
+    t = st.corpus(spark, sf).select("doc_id", "body")
+    return rs.build_excerpts(t, "body", ["of", "the"])
+
+
+@register("build_excerpts_options")
+def q_build_excerpts_options(spark, sf):
+    st.prep(spark)
+    t = st.corpus(spark, sf).select("doc_id", "body")
+    return rs.build_excerpts(t, "body", ["of", "the"], exact_phrase=True, single_passage=True, around=3,
+                             before="[", after="]", limit=120)
