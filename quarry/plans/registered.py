@@ -1157,3 +1157,175 @@ def q_build_excerpts_options(spark, sf):
     t = st.corpus(spark, sf).select("doc_id", "body")
     return rs.build_excerpts(t, "body", ["of", "the"], exact_phrase=True, single_passage=True, around=3,
                              before="[", after="]", limit=120)
+
+
+# =============================================================================================
+# 1.14-1.17 docsets and index files
+
+from quarry.session import scratch_path  # noqa: E402
+from quarry.sources import docset as ds  # noqa: E402
+from quarry.sources import index_io as io  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+
+@register("write_docset", f"""WITH {ENTRIES_SQL} SELECT doc_id, author_id, o_orderstatus, CAST(epoch(o_orderdate) AS BIGINT) AS o_orderdate,
+ array_to_string(tag, ',') AS tag FROM entries""")
+def q_write_docset(spark, sf):
+    e = st.entries(spark, sf).select(
+        "doc_id", "author_id", "o_orderstatus", "o_orderdate", "tag")
+    st.prep(spark)
+    path = scratch_path(spark, "docset-main")
+    ds.write_docset(e, path)
+    # what was written, read back as text fields
+    sch = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("author_id", T.LongType()),
+                        T.StructField("o_orderstatus", T.StringType()), T.StructField("o_orderdate", T.LongType()),
+                        T.StructField("tag", T.StringType())])
+    return spark.read.schema(sch).format("xml").option("rowTag", ds.ROW_TAG).load(path).select(
+        "doc_id", "author_id", "o_orderstatus", "o_orderdate", F.coalesce("tag", F.lit("")).alias("tag"))
+
+
+@register("read_docset", f"""WITH {ENTRIES_SQL} SELECT doc_id, author_id, o_orderstatus, {mva_text_sql('tag')} AS tag FROM entries""")
+def q_read_docset(spark, sf):
+    st.prep(spark)
+    e = st.entries(spark, sf).select("doc_id", "author_id", "o_orderstatus", "tag")
+    path = scratch_path(spark, "docset-read")
+    ds.write_docset(e, path)
+    sch = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("author_id", T.LongType()),
+                        T.StructField("o_orderstatus", T.StringType()),
+                        T.StructField("tag", T.ArrayType(T.LongType()))])
+    back = ds.read_docset(spark, path, sch, mva_cols=("tag",))
+    return back.select("doc_id", "author_id", "o_orderstatus", mva_text("tag").alias("tag"))
+
+
+def _stored_index(spark, sf):
+    idx = corpus_index(spark, sf)
+    path = scratch_path(spark, "index-entry")
+    io.write_index(idx, path, n_buckets=16, spread=2)
+    return io.read_index(spark, path)
+
+
+@register("write_index", f"""WITH {o.INDEX} SELECT term, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM postings GROUP BY term""")
+def q_write_index(spark, sf):
+    return _stored_index(spark, sf).vocabulary()
+
+
+@register("read_index", SQL["match_all"])
+def q_read_index(spark, sf):
+    stored = _stored_index(spark, sf)
+    q = qtable(spark, Q_TERMS)
+    return mt.match_all(stored.pruned(q), q)
+
+
+# =============================================================================================
+# 2.9 streaming
+
+from quarry.streaming import delta as sd  # noqa: E402
+
+
+def _corpus_from_batch(batch: DataFrame) -> DataFrame:
+    """Stand-in columns for a micro-batch of ``documents`` rows (same as ``standins.corpus``)."""
+    return batch.select(
+        "doc_id", F.substring("text", 1, 60).alias("title"), F.col("text").alias("body"), "lang", "source",
+        (F.col("doc_id") % st.N_AUTHORS).alias("author_id"))
+
+
+@register("stream_delta_index", f"""WITH {o.INDEX} SELECT term, doc_id, field, pos FROM postings""")
+def q_stream_delta_index(spark, sf):
+    st.prep(spark)
+    schema = st.table(spark, sf, "documents").schema
+    out = scratch_path(spark, "stream-delta")
+    s = sd.read_stream(spark, sf, schema, glob="documents.parquet")
+    q = sd.stream_delta_index(s, ("title", "body"), out, scratch_path(spark, "stream-delta-ckpt"),
+                              prepare=_corpus_from_batch, available_now=True)
+    q.awaitTermination()
+    idx = sd.read_stream_index(spark, out, ("title", "body"))
+    return idx.postings.select("term", "doc_id", "field", F.col("pos").cast("long").alias("pos"))
+
+
+@register("stream_compact", f"""WITH {o.CORPUS}, {_DELTA_CORPUS},
+fields AS (SELECT doc_id, 'title' AS field, title AS txt FROM corpus2 UNION ALL SELECT doc_id, 'body' AS field, body AS txt FROM corpus2),
+{o.TOKS}, {o.POSTINGS}
+SELECT term, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM postings GROUP BY term""")
+def q_stream_compact(spark, sf):
+    st.prep(spark)
+    attrs = ["lang", "source", "author_id", "created_on"]
+    main = ix.build_index("entry", st.corpus(spark, sf), ("title", "body"), "doc_id", attrs=attrs)
+    delta = ix.build_index("entry_delta", delta_docs(spark, sf), ("title", "body"), "doc_id", attrs=attrs)
+    merged = sd.compact(main, delta, scratch_path(spark, "compact"))
+    return merged.vocabulary()
+
+
+@register("stream_dedup", """SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events)
+GROUP BY user_id, event_type""")
+def q_stream_dedup(spark, sf):
+    st.prep(spark)
+    schema = st.table(spark, sf, "events").schema
+    s = sd.read_stream(spark, sf, schema, glob="events.parquet")
+    d = sd.stream_dedup(s, ["user_id", "event_type"], "ts")
+    out = scratch_path(spark, "dedup")
+    ck = scratch_path(spark, "dedup-ckpt")
+
+    def per_batch(b, bid):
+        b.write.mode("overwrite").parquet(f"{out}/batch={bid}")
+
+    d.writeStream.foreachBatch(per_batch).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+    r = spark.read.parquet(out)
+    return r.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_facets", """SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS window_start,
+ CAST(epoch(date_trunc('day', ts) + INTERVAL 1 DAY) AS BIGINT) AS window_end, event_type, count(*) AS count
+FROM events GROUP BY ALL""")
+def q_stream_facets(spark, sf):
+    st.prep(spark)
+    schema = st.table(spark, sf, "events").schema
+    s = sd.read_stream(spark, sf, schema, glob="events.parquet")
+    f = sd.stream_facets(s, "ts", ["event_type"], window="1 day")
+    return spark.read.parquet(sd.run_to_sink(f, "facets"))
+
+
+@register("stream_facets_session")
+def q_stream_facets_session(spark, sf):
+    st.prep(spark)
+    schema = st.table(spark, sf, "events").schema
+    s = sd.read_stream(spark, sf, schema, glob="events.parquet")
+    f = sd.stream_facets(s, "ts", ["user_id"], session_gap="2 hours")
+    return spark.read.parquet(sd.run_to_sink(f, "facets-session"))
+
+
+@register("stream_alerts", SQL["match_all"])
+def q_stream_alerts(spark, sf):
+    st.prep(spark)
+    schema = st.table(spark, sf, "documents").schema
+    out = scratch_path(spark, "alerts")
+    s = sd.read_stream(spark, sf, schema, glob="documents.parquet")
+    q = sd.stream_alerts(s, qtable(spark, Q_TERMS), ("title", "body"), out, scratch_path(spark, "alerts-ckpt"),
+                         prepare=_corpus_from_batch, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("query_id", "doc_id")
+
+
+# =============================================================================================
+# 2.10 extension surface
+
+from quarry.plans import surface as sfc  # noqa: E402
+
+
+@register("filter_hooks", f"""WITH {o.CORPUS} SELECT doc_id FROM corpus WHERE lang = 'en' AND epoch(created_on) BETWEEN
+ epoch(strptime('{DATE_START}0000', '%Y%m%d%H%M%S')) AND epoch(strptime('{DATE_END}0000', '%Y%m%d%H%M%S')) AND author_id <> 0""")
+def q_filter_hooks(spark, sf):
+    hooks = sfc.FilterHooks()
+    hooks.register("lang", lambda d, v: fl.filter_string(d, "lang", [v]), when="lang")
+    hooks.register("date", lambda d, v: fl.filter_date_range(d, v[0], v[1]), when="date")
+    hooks.register("no_author_zero", lambda d: fl.filter_values(d, "author_id", [0], exclude=True))
+    return _ids(hooks.apply(corpus_hits(spark, sf), {"lang": "en", "date": (DATE_START, DATE_END)}))
+
+
+@register("sql_surface", f"""WITH {o.INDEX}, {_PHRASE_OF_THE},
+ma AS (SELECT doc_id FROM postings WHERE term IN ('of', 'the') GROUP BY doc_id HAVING count(DISTINCT term) = 2)
+SELECT doc_id, doc_id IN (SELECT doc_id FROM ph) AS is_phrase FROM ma""")
+def q_sql_surface(spark, sf):
+    idx = corpus_index(spark, sf)
+    sfc.register_sql(spark, idx)
+    return spark.sql("""SELECT m.doc_id, m.doc_id IN (SELECT doc_id FROM entry_phrase2('of', 'the')) AS is_phrase
+                        FROM entry_match_all2('of', 'the') m""")
