@@ -245,6 +245,7 @@ def attr_tokens(docs: DataFrame, index: str, attrs: list[str], field_name: str =
     for a in attrs:
         dt = docs.schema[a].dataType
         vals = F.col(a) if isinstance(dt, T.ArrayType) else F.array(F.col(a))
+        vals = F.filter(vals, lambda v: v.isNotNull())  # a missing value gives no word
         items.append(F.transform(vals, _attr_word_fn(index, a)))
     return (docs.select(F.col("doc_id"), F.explode(F.flatten(F.array(*items))).alias("term"))
             .where(F.col("term").isNotNull())

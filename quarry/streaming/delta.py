@@ -133,7 +133,10 @@ def run_to_sink(df: DataFrame, name: str, checkpoint: str | None = None, mode: s
     ckpt = checkpoint or scratch_path(spark, f"{name}-ckpt")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        if mode == "complete":
+            batch.write.mode("overwrite").parquet(out)  # each batch holds the whole result
+        else:
+            batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = _run(df, per_batch, ckpt, available_now, output_mode=mode)
     q.awaitTermination()
