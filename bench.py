@@ -54,16 +54,9 @@ def main() -> None:
 
     # --- index build (once, persisted) ---
     t0 = time.perf_counter()
-    idx = R.corpus_index(spark, sf_dir)
-    lvl = StorageLevel.MEMORY_AND_DISK
-    idx.postings = idx.postings.persist(lvl)
-    idx.lengths = idx.lengths.persist(lvl)
-    idx.docs = idx.docs.persist(lvl)
-    idx.texts = idx.texts.persist(lvl)
-    idx.postings.count()
-    idx.lengths.count()
-    idx.docs.count()
-    idx.texts.count()
+    idx = R.corpus_index(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    for df in (idx.postings, idx.term_docs(), idx.lengths, idx.docs, idx.texts):
+        df.count()
     idx.stats()
     timings["index_build"] = round(time.perf_counter() - t0, 3)
 

@@ -38,14 +38,38 @@ class Index:
     texts: DataFrame | None = None
     morphology: str = "none"
     _stats: tuple | None = field(default=None, repr=False)
+    _term_docs: DataFrame | None = field(default=None, repr=False)
 
     # -- derived tables ------------------------------------------------------------------
+    def term_docs(self) -> DataFrame:
+        """``term, doc_id, tf``: one row per word per document (the document lists).
+
+        Matching and BM25 join queries to this table, not to the postings: a frequent word then
+        costs one row per document holding it, not one per occurrence."""
+        if self._term_docs is None:
+            self._term_docs = self.postings.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
+        return self._term_docs
+
+    def lists_for(self, terms: DataFrame) -> DataFrame:
+        """``term, doc_id, tf`` for the words in ``terms`` (a ``term`` column) only.
+
+        With stored or persisted document lists this is a filter on them; otherwise the postings
+        are cut to those words first (broadcast semi join when ``terms`` is proven small), so only
+        their rows are aggregated and shuffled, never the whole postings table."""
+        t = bounded_broadcast(terms.select("term").distinct())
+        if self._term_docs is not None:
+            return self._term_docs.join(t, "term", "left_semi").select("term", "doc_id", "tf")
+        return (self.postings.join(t, "term", "left_semi")
+                .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
+
     def doc_terms(self) -> DataFrame:
         """``term, doc_id, field, tf``: one row per word per field of a document."""
         return self.postings.groupBy("term", "doc_id", "field").agg(F.count(F.lit(1)).alias("tf"))
 
     def vocabulary(self) -> DataFrame:
-        return vocabulary(self.postings)
+        """``term, docs, hits`` from the document lists (no distinct count needed)."""
+        return self.term_docs().groupBy("term").agg(
+            F.count(F.lit(1)).alias("docs"), F.sum("tf").cast("long").alias("hits"))
 
     def doc_lengths(self) -> DataFrame:
         """``doc_id, dl``: words per document over all fields."""
@@ -62,9 +86,17 @@ class Index:
     def with_docs(self, docs: DataFrame) -> "Index":
         return replace(self, docs=docs)
 
-    def persist(self) -> "Index":
-        for df in (self.docs, self.postings, self.lengths):
-            df.persist()
+    def persist(self, level=None) -> "Index":
+        """Keep the index tables in executor memory (spilling to disk) for repeated searches."""
+        from pyspark import StorageLevel
+
+        lvl = level or StorageLevel.MEMORY_AND_DISK
+        self.postings = self.postings.persist(lvl)
+        self.docs = self.docs.persist(lvl)
+        self.lengths = self.lengths.persist(lvl)
+        if self.texts is not None:
+            self.texts = self.texts.persist(lvl)
+        self._term_docs = self.term_docs().persist(lvl)
         return self
 
 
@@ -152,7 +184,10 @@ def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attr
     if extra_postings is not None:
         p = p.unionByName(extra_postings.select("doc_id", "field", "pos", "term"))
     p = p.select("term", "doc_id", "field", "pos")
-    lengths = field_lengths(docs, fields, id_col, strip_html)
+    # words per field from the postings (one small aggregation; no second tokenization pass);
+    # fields without words have no row, which neither the document count nor the mean changes
+    lengths = p.where(F.col("field") != "_attrs").groupBy("doc_id", "field").agg(
+        F.count(F.lit(1)).cast("long").alias("len"))
     return Index(name=name, docs=d, postings=p, lengths=lengths, fields=fields, texts=texts,
                  morphology=morphology)
 
@@ -162,10 +197,9 @@ def build_postings(docs: DataFrame, fields, id_col: str = "doc_id", **kw) -> Dat
 
 
 def vocabulary(postings: DataFrame) -> DataFrame:
-    """``term, docs, hits``: documents holding the word and its total occurrences.
-
-    Hot words are safe: the distinct count aggregates partially on (term, doc_id) first.
-    """
+    """``term, docs, hits`` straight from a postings table (see ``Index.vocabulary`` for the
+    cheaper form over document lists). Hot words are safe: the distinct count aggregates
+    partially on (term, doc_id) first."""
     return postings.groupBy("term").agg(
         F.count_distinct("doc_id").alias("docs"), F.count(F.lit(1)).alias("hits"))
 

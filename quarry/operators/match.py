@@ -32,9 +32,10 @@ def match_all(idx: Index, queries: DataFrame) -> DataFrame:
     q = queries.select("query_id", "term").distinct()
     q = q.withColumn("n_terms", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
     q = bounded_broadcast(q)
-    h = idx.postings.select("term", "doc_id").join(q, "term")
+    # document lists are unique per (term, doc) and q per (query, term): a plain count suffices
+    h = idx.lists_for(q).select("term", "doc_id").join(q, "term")
     return (h.groupBy("query_id", "doc_id", "n_terms")
-            .agg(F.count_distinct("term").alias("matched"))
+            .agg(F.count(F.lit(1)).alias("matched"))
             .where(F.col("matched") == F.col("n_terms"))
             .select("query_id", "doc_id"))
 
@@ -42,7 +43,7 @@ def match_all(idx: Index, queries: DataFrame) -> DataFrame:
 def match_any(idx: Index, queries: DataFrame) -> DataFrame:
     """Documents holding at least one word of the query."""
     q = bounded_broadcast(queries.select("query_id", "term").distinct())
-    return idx.postings.select("term", "doc_id").join(q, "term").select("query_id", "doc_id").distinct()
+    return idx.lists_for(q).select("term", "doc_id").join(q, "term").select("query_id", "doc_id").distinct()
 
 
 def match_phrase(idx: Index, queries: DataFrame, field: str | None = None) -> DataFrame:
@@ -127,7 +128,12 @@ def match_boolean(idx: Index, expr: Expr | dict[int, Expr], query_id: int = 1) -
     flags = None
     if terms:
         words = sorted({t.word for t in terms})
-        h = idx.postings.where(F.col("term").isin(words)).select("doc_id", "term", "field")
+        # field-limited words need the postings; plain words read the document lists
+        if any(t.field is not None for t in terms):
+            h = idx.postings.where(F.col("term").isin(words)).select("doc_id", "term", "field")
+        else:
+            spark = idx.postings.sparkSession
+            h = idx.lists_for(spark.createDataFrame([(w,) for w in words], "term string")).select("doc_id", "term")
         aggs = []
         for t in terms:
             cond = F.col("term") == t.word

@@ -43,9 +43,7 @@ def _hits(idx: Index, queries: DataFrame) -> DataFrame:
 def idf_table(idx: Index, queries: DataFrame) -> DataFrame:
     """``term, idf`` for the distinct words of the queries (document counts of those words only)."""
     n_docs, _ = idx.stats()
-    terms = bounded_broadcast(queries.select("term").distinct())
-    df = (idx.postings.select("term", "doc_id").join(terms, "term")
-          .groupBy("term").agg(F.count_distinct("doc_id").alias("n")))
+    df = idx.lists_for(queries).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return df.select("term", F.log(1 + (F.lit(n_docs) - F.col("n") + 0.5) / (F.col("n") + 0.5)).alias("idf"))
 
 
@@ -54,8 +52,8 @@ def bm25_scores(idx: Index, queries: DataFrame) -> DataFrame:
     _, avgdl = idx.stats()
     qt = queries.select("query_id", "term").distinct()
     idf = idf_table(idx, queries)
-    tf = (idx.postings.select("term", "doc_id").join(bounded_broadcast(qt), "term")
-          .groupBy("query_id", "doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    # document lists: one row per (term, doc) with its count, joined to the queries' words
+    tf = idx.lists_for(qt).join(bounded_broadcast(qt), "term").select("query_id", "doc_id", "term", "tf")
     dl = idx.doc_lengths()
     k1, b = BM25_K1, BM25_B
     s = (tf.join(idf, "term").join(dl, "doc_id")

@@ -5,6 +5,7 @@ Layout under ``path``:
 * ``postings/``  partitioned by ``bucket = pmod(xxhash64(term), n_buckets)``; inside a bucket the
   rows are spread over several files by ``doc_id`` (a frequent word never makes one huge task)
   and sorted by (term, doc_id) so Parquet min/max statistics skip row groups for a term.
+* ``term_docs/``  the document lists (term, doc_id, tf), bucketed the same way.
 * ``docs/``, ``lengths/``, ``texts/``  plain Parquet.
 * ``meta/``  one row: name, fields, morphology, n_buckets, n_docs, total_len.
 
@@ -36,6 +37,10 @@ def write_index(idx: Index, path: str, n_buckets: int = DEFAULT_BUCKETS, spread:
     (p.repartition(n_buckets * spread, "bucket", F.pmod(F.col("doc_id"), F.lit(spread)))
      .sortWithinPartitions("bucket", "term", "doc_id")
      .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
+    td = idx.term_docs().withColumn("bucket", bucket_of(F.col("term"), n_buckets))
+    (td.repartition(n_buckets * spread, "bucket", F.pmod(F.col("doc_id"), F.lit(spread)))
+     .sortWithinPartitions("bucket", "term", "doc_id")
+     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/term_docs"))
     idx.docs.write.mode(mode).parquet(f"{path}/docs")
     idx.lengths.write.mode(mode).parquet(f"{path}/lengths")
     if idx.texts is not None:
@@ -63,6 +68,7 @@ def read_index(spark: SparkSession, path: str) -> "StoredIndex":
         texts=texts,
         morphology=m["morphology"],
         _stats=(m["n_docs"], m["avg_len"]),
+        _term_docs=spark.read.parquet(f"{path}/term_docs"),
     )
     idx.n_buckets = m["n_buckets"]
     return idx
@@ -78,7 +84,11 @@ class StoredIndex(Index):
         b = queries.select(bucket_of(F.col("term"), self.n_buckets).alias("bucket")).distinct()
         return self.postings.join(F.broadcast(b), "bucket", "left_semi")
 
+    def term_docs_for(self, queries: DataFrame) -> DataFrame:
+        b = queries.select(bucket_of(F.col("term"), self.n_buckets).alias("bucket")).distinct()
+        return self._term_docs.join(F.broadcast(b), "bucket", "left_semi")
+
     def pruned(self, queries: DataFrame) -> Index:
         """A view of this index restricted to the buckets of ``queries`` (for the match operators)."""
         return Index(self.name, self.docs, self.postings_for(queries).drop("bucket"), self.lengths, self.fields,
-                     self.texts, self.morphology, self._stats)
+                     self.texts, self.morphology, self._stats, self.term_docs_for(queries).drop("bucket"))
