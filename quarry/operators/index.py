@@ -169,6 +169,12 @@ def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attr
     ``attrs`` are the attribute columns kept in ``idx.docs`` (default: every non-field column).
     """
     fields = tuple([fields] if isinstance(fields, str) else fields)
+    # Tokenizing is CPU work per document: an input read as fewer partitions than the cluster has
+    # task slots (a few large row groups) is spread first. Large inputs already have many splits
+    # and are left as they are (this is a planning-time check, no job runs).
+    slots = docs.sparkSession.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() < slots:
+        docs = docs.repartition(slots)
     if attrs is None:
         attrs = [c for c in docs.columns if c not in fields and c != id_col]
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), *attrs)

@@ -65,8 +65,48 @@ def bm25_scores(idx: Index, queries: DataFrame) -> DataFrame:
     return s.join(sum_idf, "query_id")
 
 
+MASK_BITS = 62  # query positions that fit a 64-bit mask (the window form handles longer queries)
+
+
+def _longest_run(mask: Column) -> Column:
+    """Longest run of consecutive 1-bits of a long: ``m &= m >> 1`` until zero, counted. The run
+    cannot be longer than the number of set bits, so that bounds the loop."""
+    steps = F.sequence(F.lit(1), F.greatest(F.bit_count(mask), F.lit(1)))
+    init = F.struct(mask.alias("m"), F.lit(0).alias("r"))
+    out = F.aggregate(steps, init, lambda acc, _: F.when(
+        acc["m"] == 0, acc).otherwise(F.struct((acc["m"].bitwiseAND(F.shiftright(acc["m"], 1))).alias("m"),
+                                               (acc["r"] + 1).alias("r"))))
+    return out["r"]
+
+
 def lcs_per_field(idx: Index, queries: DataFrame) -> DataFrame:
-    """``query_id, doc_id, field, lcs, n_words, hits``: longest in-order run of query words per field."""
+    """``query_id, doc_id, field, lcs, n_words, hits``: longest in-order run of query words per field.
+
+    Every occurrence lies on the diagonal ``pos - qpos``; a phrase run is a run of consecutive
+    query positions on one diagonal. Per diagonal the query positions are OR-ed into a bit mask
+    (a hash aggregation with map-side combine, no sort), its longest run of 1-bits is the run
+    length, and its popcount the number of occurrences. Words are OR-ed into a second mask for the
+    number of distinct words. Queries longer than 62 words use the window (gaps-and-islands) form.
+    """
+    qmax = queries.agg(F.max("qpos")).first()[0]
+    if qmax is not None and qmax >= MASK_BITS:
+        return _lcs_window(idx, queries)
+    q = queries.select("query_id", "qpos", "term").withColumn(
+        "tidx", F.dense_rank().over(Window.partitionBy("query_id").orderBy("term")) - 1)
+    h = idx.postings.join(bounded_broadcast(q), "term")
+    # the SQL form of shiftleft takes a column as the shift count
+    d = (h.groupBy("query_id", "doc_id", "field", (F.col("pos") - F.col("qpos")).alias("diag"))
+         .agg(F.bit_or(F.expr("shiftleft(cast(1 as bigint), qpos)")).alias("qmask"),
+              F.bit_or(F.expr(f"shiftleft(cast(1 as bigint), least(tidx, {MASK_BITS}))")).alias("tmask")))
+    return (d.groupBy("query_id", "doc_id", "field")
+            .agg(F.max(_longest_run(F.col("qmask"))).cast("long").alias("lcs"),
+                 F.sum(F.bit_count("qmask")).cast("long").alias("hits"),
+                 F.bit_or("tmask").alias("_tm"))
+            .withColumn("n_words", F.bit_count("_tm").cast("long")).drop("_tm"))
+
+
+def _lcs_window(idx: Index, queries: DataFrame) -> DataFrame:
+    """Gaps and islands with a window: island = qpos - row_number() on each diagonal."""
     h = _hits(idx, queries)
     diag = F.col("pos") - F.col("qpos")
     w = Window.partitionBy("query_id", "doc_id", "field", "diag").orderBy("qpos")

@@ -87,3 +87,11 @@ def test_proximity_wordcount_weights(spark, idx):
     assert wc[2] == 3 * 10 + 5
     none = rk.rank(idx, q, mt.match_any(idx, q), "none")
     assert {r["weight"] for r in none.collect()} == {1.0}
+
+
+def test_lcs_mask_equals_window(spark, idx):
+    # repeated word ("the" twice) and a run across title/body boundaries
+    q = Q(spark, [(1, 0, "the"), (1, 1, "quick"), (1, 2, "the"), (2, 0, "of"), (2, 1, "the"), (2, 2, "sea"),
+                  (2, 3, "and")])
+    cols = ("query_id", "doc_id", "field", "lcs", "hits", "n_words")
+    assert rows(rk.lcs_per_field(idx, q), *cols) == rows(rk._lcs_window(idx, q), *cols)
