@@ -1329,3 +1329,39 @@ def q_sql_surface(spark, sf):
     sfc.register_sql(spark, idx)
     return spark.sql("""SELECT m.doc_id, m.doc_id IN (SELECT doc_id FROM entry_phrase2('of', 'the')) AS is_phrase
                         FROM entry_match_all2('of', 'the') m""")
+
+
+# extended2 is the same matcher as extended (engine version only)
+register("match_extended2", SQL["match_extended_field"])(q_match_extended_field)
+
+
+def _excerpt_sql(words: list[str], around: int = 5, limit: int = 256) -> str:
+    kw = "[" + ", ".join(repr(w) for w in words) + "]"
+    return f"""WITH {o.CORPUS},
+tk AS (SELECT doc_id, {o.words_sql('body')} AS t FROM corpus),
+hp AS (SELECT doc_id, t, list_filter(range(1, len(t) + 1), lambda i: list_contains({kw}, t[i])) AS h FROM tk),
+sp AS (SELECT doc_id, t, h, list_reduce(h, lambda acc, p:
+   CASE WHEN len(acc) = 0 OR p - {around} > acc[len(acc)].e + 1
+        THEN list_append(acc, {{'s': p - {around}, 'e': p + {around}}})
+        ELSE list_append(list_slice(acc, 1, len(acc) - 1), {{'s': acc[len(acc)].s, 'e': p + {around}}}) END,
+   CAST([] AS STRUCT(s BIGINT, e BIGINT)[])) AS spans FROM hp),
+pa AS (SELECT doc_id, spans, list_transform(spans, lambda sp: array_to_string(list_transform(
+   range(greatest(sp.s, 1), least(sp.e, len(t)) + 1),
+   lambda i: CASE WHEN list_contains(h, i) THEN '<b>' || t[i] || '</b>' ELSE t[i] END), ' ')) AS ps FROM sp)
+SELECT doc_id, CASE WHEN len(spans) > 0 THEN substring(list_reduce(ps, lambda acc, p:
+   CASE WHEN acc = '' THEN p WHEN length(acc) + 5 + length(p) <= {limit} THEN acc || ' ... ' || p ELSE acc END, ''), 1, {limit})
+ END AS excerpt FROM pa"""
+
+
+SQL["build_excerpts"] = _excerpt_sql(["of", "the"])
+
+
+SQL["excerpt_kwic_phrase"] = f"""WITH {o.INDEX},
+m AS (SELECT DISTINCT a.doc_id FROM postings a JOIN postings b ON a.doc_id = b.doc_id AND a.field = b.field
+      AND b.pos = a.pos + 1 WHERE a.term = 'of' AND b.term = 'the'),
+tk AS (SELECT c.doc_id, {o.words_sql('c.body')} AS t FROM corpus c JOIN m USING (doc_id)),
+st AS (SELECT doc_id, t, list_filter(range(1, len(t)), lambda i: t[i] = 'of' AND t[i + 1] = 'the') AS starts FROM tk),
+fw AS (SELECT doc_id, t, starts, starts[1] AS first, greatest(starts[1] - 9, 1) AS s FROM st)
+SELECT doc_id, CASE WHEN first IS NOT NULL THEN array_to_string(list_transform(range(s, least(first + 10, len(t)) + 1),
+   lambda i: CASE WHEN list_contains(starts, i) OR list_contains(starts, i - 1) THEN '<b>' || t[i] || '</b>' ELSE t[i] END), ' ')
+ ELSE array_to_string(list_slice(t, 1, 19), ' ') END AS excerpt FROM fw"""
