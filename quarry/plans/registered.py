@@ -1365,3 +1365,10 @@ fw AS (SELECT doc_id, t, starts, starts[1] AS first, greatest(starts[1] - 9, 1)
 SELECT doc_id, CASE WHEN first IS NOT NULL THEN array_to_string(list_transform(range(s, least(first + 10, len(t)) + 1),
    lambda i: CASE WHEN list_contains(starts, i) OR list_contains(starts, i - 1) THEN '<b>' || t[i] || '</b>' ELSE t[i] END), ' ')
  ELSE array_to_string(list_slice(t, 1, 19), ' ') END AS excerpt FROM fw"""
+
+
+SQL["stream_facets_session"] = """WITH e AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+    OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 2 HOUR THEN 1 ELSE 0 END AS new_s FROM events),
+s AS (SELECT user_id, ts, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT CAST(floor(epoch(min(ts))) AS BIGINT) AS window_start, CAST(floor(epoch(max(ts) + INTERVAL 2 HOUR)) AS BIGINT) AS window_end,
+ user_id, count(*) AS count FROM s GROUP BY user_id, sid"""
