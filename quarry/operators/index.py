@@ -39,6 +39,7 @@ class Index:
     morphology: str = "none"
     _stats: tuple | None = field(default=None, repr=False)
     _term_docs: DataFrame | None = field(default=None, repr=False)
+    _doc_lengths: DataFrame | None = field(default=None, repr=False)
 
     # -- derived tables ------------------------------------------------------------------
     def term_docs(self) -> DataFrame:
@@ -73,7 +74,9 @@ class Index:
 
     def doc_lengths(self) -> DataFrame:
         """``doc_id, dl``: words per document over all fields."""
-        return self.lengths.groupBy("doc_id").agg(F.sum("len").cast("long").alias("dl"))
+        if self._doc_lengths is None:
+            self._doc_lengths = self.lengths.groupBy("doc_id").agg(F.sum("len").cast("long").alias("dl"))
+        return self._doc_lengths
 
     def stats(self) -> tuple[int, float]:
         """(number of documents, mean words per document); two scalars, computed once."""
@@ -97,6 +100,7 @@ class Index:
         if self.texts is not None:
             self.texts = self.texts.persist(lvl)
         self._term_docs = self.term_docs().persist(lvl)
+        self._doc_lengths = self.doc_lengths().persist(lvl)
         return self
 
 

@@ -128,11 +128,13 @@ def rank(idx: Index, queries: DataFrame | None, matched: DataFrame, ranker: str
     keys = ["query_id", "doc_id"]
     if ranker == "bm25":
         s = bm25_scores(idx, queries).select(*keys, F.round("bm25", 6).alias("weight"))
-    elif ranker in ("proximity", "wordcount", "matchany", "proximity_bm25"):
+    elif ranker == "wordcount":
+        # occurrences per field only: one aggregation, no run lengths needed
+        pf = _hits(idx, queries).groupBy("query_id", "doc_id", "field").agg(F.count(F.lit(1)).alias("hits"))
+        s = pf.groupBy(*keys).agg(F.sum(F.col("hits") * fw).cast("double").alias("weight"))
+    elif ranker in ("proximity", "matchany", "proximity_bm25"):
         pf = lcs_per_field(idx, queries)
-        if ranker == "wordcount":
-            val = F.col("hits") * fw
-        elif ranker == "matchany":
+        if ranker == "matchany":
             n_terms = queries.select("query_id", "term").distinct().groupBy("query_id").agg(
                 F.count(F.lit(1)).alias("n_terms"))
             pf = pf.join(n_terms, "query_id")
