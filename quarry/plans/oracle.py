@@ -64,3 +64,16 @@ runs AS (SELECT query_id, doc_id, field, diag, island, count(*) AS run FROM isl
 lcs AS (SELECT query_id, doc_id, field, max(run) AS lcs FROM runs GROUP BY ALL),
 cnt AS (SELECT query_id, doc_id, field, count(*) AS hits, count(DISTINCT term) AS n_words FROM h GROUP BY ALL),
 pf AS (SELECT * FROM lcs JOIN cnt USING (query_id, doc_id, field))"""
+
+
+# Fixed value: the reflected CRC-32 polynomial (IEEE 802.3, as zlib), 0xEDB88320.
+CRC32_POLY = 0xEDB88320
+
+
+def crc32_sql(x: str) -> str:
+    """CRC32 of the UTF-8 bytes of ``x``, bit by bit (DuckDB has no crc32 function)."""
+    byts = (f"list_transform(range(0, octet_length(encode({x}))), "
+            f"lambda i: ('0x' || substr(hex(encode({x})), 2 * i + 1, 2))::BIGINT)")
+    step = f"lambda r, k: xor(r >> 1, CASE WHEN r & 1 = 1 THEN {CRC32_POLY} ELSE 0 END)"
+    return (f"xor(list_reduce({byts}, lambda acc, b: list_reduce(range(8), {step}, xor(acc, b)), "
+            f"4294967295), 4294967295)")

@@ -237,7 +237,8 @@ def q_timestamp_attr(spark, sf):
     return o_.select("o_orderkey", sc.timestamp_attr("o_orderdate").alias("o_orderdate_ts"))
 
 
-@register("string_attr_crc")
+@register("string_attr_crc", f"""SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment IS NULL OR c_mktsegment IN ('', '0')
+THEN NULL ELSE {o.crc32_sql('c_mktsegment')} END AS c_mktsegment_crc32 FROM customer""")
 def q_string_attr_crc(spark, sf):
     c = st.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     return sc.string_attr_crc(c, "c_mktsegment")
