@@ -77,3 +77,24 @@ def crc32_sql(x: str) -> str:
     step = f"lambda r, k: xor(r >> 1, CASE WHEN r & 1 = 1 THEN {CRC32_POLY} ELSE 0 END)"
     return (f"xor(list_reduce({byts}, lambda acc, b: list_reduce(range(8), {step}, xor(acc, b)), "
             f"4294967295), 4294967295)")
+
+
+# American Soundex digit per letter A..Z, as Spark's soundex uses them
+# (0 = vowel-like, dropped; 7 = H and W, skipped without breaking a run).
+SOUNDEX_CODES = "01230127022455012623017202"
+
+
+def soundex_sql(x: str) -> str:
+    """Spark's ``soundex``: a word not starting with an ASCII letter is kept as it is; else the
+    upper-cased first letter, then the digits of the following letters (a digit equal to the
+    previous one is skipped, any non-letter resets it), padded or cut to four characters."""
+    code = f"substr('{SOUNDEX_CODES}', ascii(upper(c)) - 64, 1)"
+    first = f"upper(substr({x}, 1, 1))"
+    step = (f"lambda a, c: CASE WHEN NOT regexp_full_match(c, '[A-Za-z]') THEN {{'s': a.s, 'l': '0'}} "
+            f"WHEN {code} = '7' THEN a "
+            f"WHEN {code} <> '0' AND {code} <> a.l AND length(a.s) < 4 THEN {{'s': a.s || {code}, 'l': {code}}} "
+            f"ELSE {{'s': a.s, 'l': {code}}} END")
+    init = f"{{'s': {first}, 'l': substr('{SOUNDEX_CODES}', ascii({first}) - 64, 1)}}"
+    fold = f"list_reduce(string_split(substr({x}, 2), ''), {step}, {init}).s"
+    return (f"CASE WHEN {x} = '' OR NOT regexp_matches({x}, '^[A-Za-z]') THEN {x} "
+            f"ELSE rpad(CASE WHEN length({x}) = 1 THEN {first} ELSE {fold} END, 4, '0') END")

@@ -401,7 +401,8 @@ def _norm_query(method):
 register("morphology_stem_en")(_norm_query("stem_en"))
 register("morphology_stem_ru")(_norm_query("stem_ru"))
 register("morphology_stem_enru")(_norm_query("stem_enru"))
-register("morphology_soundex")(_norm_query("soundex"))
+register("morphology_soundex", f"""WITH {o.INDEX}, v AS (SELECT DISTINCT term FROM postings)
+SELECT term, {o.soundex_sql('term')} AS norm FROM v""")(_norm_query("soundex"))
 
 
 @register("build_postings", f"""WITH toks AS (SELECT page_id AS doc_id, 'html' AS field, {o.words_sql(_strip_sql('html'))} AS t FROM pages)
