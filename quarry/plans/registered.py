@@ -1337,25 +1337,39 @@ def q_sql_surface(spark, sf):
 register("match_extended2", SQL["match_extended_field"])(q_match_extended_field)
 
 
-def _excerpt_sql(words: list[str], around: int = 5, limit: int = 256) -> str:
+def _excerpt_sql(words: list[str], around: int = 5, limit: int = 256, before: str = "<b>", after: str = "</b>",
+                 separator: str = " ... ", exact_phrase: bool = False, single_passage: bool = False) -> str:
     kw = "[" + ", ".join(repr(w) for w in words) + "]"
+    if exact_phrase:
+        m = len(words)
+        at = " AND ".join(f"t[i + {k}] = {w!r}" for k, w in enumerate(words))
+        hits = (f"list_sort(list_distinct(flatten(list_transform(list_filter(range(1, len(t) - {m - 2}), lambda i: {at}), "
+                f"lambda s0: range(s0, s0 + {m})))))")
+    else:
+        hits = f"list_filter(range(1, len(t) + 1), lambda i: list_contains({kw}, t[i]))"
+    # best passage first: most hits, then earliest
+    pick = ("list_transform(list_slice(list_sort(list_transform(spans, lambda x: {'k': -x.n, 's': x.s, 'e': x.e})), 1, 1), "
+            "lambda x: {'s': x.s, 'e': x.e, 'n': -x.k})") if single_passage else "spans"
     return f"""WITH {o.CORPUS},
 tk AS (SELECT doc_id, {o.words_sql('body')} AS t FROM corpus),
-hp AS (SELECT doc_id, t, list_filter(range(1, len(t) + 1), lambda i: list_contains({kw}, t[i])) AS h FROM tk),
-sp AS (SELECT doc_id, t, h, list_reduce(h, lambda acc, p:
+hp AS (SELECT doc_id, t, {hits} AS h FROM tk),
+sp0 AS (SELECT doc_id, t, h, list_reduce(h, lambda acc, p:
    CASE WHEN len(acc) = 0 OR p - {around} > acc[len(acc)].e + 1
-        THEN list_append(acc, {{'s': p - {around}, 'e': p + {around}}})
-        ELSE list_append(list_slice(acc, 1, len(acc) - 1), {{'s': acc[len(acc)].s, 'e': p + {around}}}) END,
-   CAST([] AS STRUCT(s BIGINT, e BIGINT)[])) AS spans FROM hp),
+        THEN list_append(acc, {{'s': p - {around}, 'e': p + {around}, 'n': 1}})
+        ELSE list_append(list_slice(acc, 1, len(acc) - 1), {{'s': acc[len(acc)].s, 'e': p + {around}, 'n': acc[len(acc)].n + 1}}) END,
+   CAST([] AS STRUCT(s BIGINT, e BIGINT, n BIGINT)[])) AS spans FROM hp),
+sp AS (SELECT doc_id, t, h, {pick} AS spans FROM sp0),
 pa AS (SELECT doc_id, spans, list_transform(spans, lambda sp: array_to_string(list_transform(
    range(greatest(sp.s, 1), least(sp.e, len(t)) + 1),
-   lambda i: CASE WHEN list_contains(h, i) THEN '<b>' || t[i] || '</b>' ELSE t[i] END), ' ')) AS ps FROM sp)
+   lambda i: CASE WHEN list_contains(h, i) THEN '{before}' || t[i] || '{after}' ELSE t[i] END), ' ')) AS ps FROM sp)
 SELECT doc_id, CASE WHEN len(spans) > 0 THEN substring(list_reduce(ps, lambda acc, p:
-   CASE WHEN acc = '' THEN p WHEN length(acc) + 5 + length(p) <= {limit} THEN acc || ' ... ' || p ELSE acc END, ''), 1, {limit})
+   CASE WHEN acc = '' THEN p WHEN length(acc) + {len(separator)} + length(p) <= {limit} THEN acc || '{separator}' || p ELSE acc END, ''), 1, {limit})
  END AS excerpt FROM pa"""
 
 
 SQL["build_excerpts"] = _excerpt_sql(["of", "the"])
+SQL["build_excerpts_options"] = _excerpt_sql(["of", "the"], exact_phrase=True, single_passage=True, around=3,
+                                                before="[", after="]", limit=120)
 
 
 SQL["excerpt_kwic_phrase"] = f"""WITH {o.INDEX},
