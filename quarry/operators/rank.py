@@ -56,9 +56,11 @@ def bm25_scores(idx: Index, queries: DataFrame) -> DataFrame:
     tf = idx.lists_for(qt).join(bounded_broadcast(qt), "term").select("query_id", "doc_id", "term", "tf")
     dl = idx.doc_lengths()
     k1, b = BM25_K1, BM25_B
-    s = (tf.join(idf, "term").join(dl, "doc_id")
-         .withColumn("part", F.col("idf") * F.col("tf") * (k1 + 1)
-                     / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl))))
+    # a document with no text words (only attribute words) keeps its row, scored 0
+    s = (tf.join(idf, "term").join(dl, "doc_id", "left")
+         .withColumn("part", F.when(F.col("dl").isNull(), F.lit(0.0)).otherwise(
+             F.col("idf") * F.col("tf") * (k1 + 1)
+             / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl)))))
          .groupBy("query_id", "doc_id").agg(F.sum("part").alias("bm25")))
     sum_idf = qt.join(idf, "term", "left").groupBy("query_id").agg(
         F.sum(F.coalesce("idf", F.lit(0.0))).alias("sum_idf"))
@@ -119,10 +121,17 @@ def _lcs_window(idx: Index, queries: DataFrame) -> DataFrame:
     return lcs.join(cnt, ["query_id", "doc_id", "field"])
 
 
-def rank(idx: Index, queries: DataFrame | None, matched: DataFrame, ranker: str = "proximity_bm25",
+def rank(idx: Index, queries: DataFrame | None, matched: DataFrame | None, ranker: str = "proximity_bm25",
          field_weights: dict | None = None) -> DataFrame:
-    """``matched`` (query_id, doc_id, ...) plus a ``weight`` column (double)."""
+    """``matched`` (query_id, doc_id, ...) plus a ``weight`` column (double).
+
+    ``matched=None`` stands for the any-word match set. Every ranker below scores exactly the
+    (query, document) pairs holding at least one query word, so that set is the score table
+    itself: no separate match pass and no join back."""
     if queries is None or ranker == "none":
+        if matched is None:
+            from quarry.operators.match import match_any
+            matched = match_any(idx, queries)
         return matched.withColumn("weight", F.lit(1.0))
     fw = field_weight_col(field_weights)
     keys = ["query_id", "doc_id"]
@@ -149,6 +158,8 @@ def rank(idx: Index, queries: DataFrame | None, matched: DataFrame, ranker: str
                  .select(*keys, (F.col("weight") * 1000 + norm).cast("double").alias("weight")))
     else:
         raise ValueError(f"unknown ranker {ranker!r}")
+    if matched is None:
+        return s.select(*keys, "weight")
     return matched.join(s, keys, "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
 
 

@@ -47,7 +47,10 @@ def search(idx: Index, queries: DataFrame | None, spec: SearchSpec = SearchSpec(
     ranker = "none" if (spec.mode == "fullscan" or queries is None) else spec.ranker
     if spec.mode == "any" and ranker == "proximity_bm25":
         ranker = "matchany"
-    ranked = rk.rank(idx, queries, m, ranker, dict(spec.field_weights) or None)
+    # any-word matching ranked by the hits themselves: the score table is the match set
+    scored_any = (spec.mode == "any" and spec.expr is None and not spec.cutoff and not text_filter_level
+                  and ranker != "none")
+    ranked = rk.rank(idx, queries, None if scored_any else m, ranker, dict(spec.field_weights) or None)
     docs = idx.docs
     for attr, values in spec.overrides:
         docs = __import__("quarry.operators.results", fromlist=["override_attr"]).override_attr(docs, attr, values)

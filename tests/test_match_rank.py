@@ -95,3 +95,11 @@ def test_lcs_mask_equals_window(spark, idx):
                   (2, 3, "and")])
     cols = ("query_id", "doc_id", "field", "lcs", "hits", "n_words")
     assert rows(rk.lcs_per_field(idx, q), *cols) == rows(rk._lcs_window(idx, q), *cols)
+
+
+@pytest.mark.parametrize("ranker", ["bm25", "wordcount", "proximity", "matchany", "proximity_bm25", "none"])
+def test_rank_any_set_direct_equals_join(spark, idx, ranker):
+    # matched=None scores the any-word set directly; it must equal ranking match_any's pairs
+    q = Q(spark, [(1, 0, "the"), (1, 1, "fox"), (2, 0, "dog"), (2, 1, "zzz"), (3, 0, "zzz")])
+    cols = ("query_id", "doc_id", "weight")
+    assert rows(rk.rank(idx, q, None, ranker), *cols) == rows(rk.rank(idx, q, mt.match_any(idx, q), ranker), *cols)
