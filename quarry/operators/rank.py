@@ -95,7 +95,9 @@ def lcs_per_field(idx: Index, queries: DataFrame) -> DataFrame:
         return _lcs_window(idx, queries)
     q = queries.select("query_id", "qpos", "term").withColumn(
         "tidx", F.dense_rank().over(Window.partitionBy("query_id").orderBy("term")) - 1)
-    h = idx.postings.join(bounded_broadcast(q), "term")
+    # hashed on (query, document) once: both aggregations below and the join with the BM25 scores
+    # (same keys) need no further exchange of occurrence rows
+    h = idx.postings.join(bounded_broadcast(q), "term").repartition("query_id", "doc_id")
     # the SQL form of shiftleft takes a column as the shift count
     d = (h.groupBy("query_id", "doc_id", "field", (F.col("pos") - F.col("qpos")).alias("diag"))
          .agg(F.bit_or(F.expr("shiftleft(cast(1 as bigint), qpos)")).alias("qmask"),

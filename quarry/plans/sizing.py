@@ -15,7 +15,46 @@ QUERY_ROWS_BOUND = 2_000_000
 LOOKUP_ROWS_BOUND = 5_000_000
 
 
+# logical operators whose output never has more rows than their inputs together
+_NON_INCREASING = frozenset({
+    "Project", "Filter", "Aggregate", "Window", "Distinct", "Deduplicate", "SubqueryAlias", "Sort",
+    "Repartition", "RepartitionByExpression", "ResolvedHint", "Union", "GlobalLimit", "LocalLimit",
+})
+
+
+def known_row_bound(df: DataFrame) -> int | None:
+    """A row bound read from the plan without running a job, or None.
+
+    Holds when every leaf (after cache substitution) is a materialized cached table, whose exact row
+    count Spark keeps, or a local relation, and every operator above them is in ``_NON_INCREASING``.
+    The bound is then the sum of the leaf rows (at least 1: a global aggregate of nothing is one row).
+    """
+    try:
+        stack, total = [df._jdf.queryExecution().withCachedData()], 0
+        while stack:
+            node = stack.pop()
+            name = node.nodeName()
+            if name == "InMemoryRelation":
+                rc = node.computeStats().rowCount()  # stats() is memoized from before loading
+                if not rc.isDefined():
+                    return None  # not materialized yet
+                total += int(str(rc.get()))
+            elif name == "LocalRelation":
+                total += node.data().size()
+            elif name in _NON_INCREASING:
+                kids = node.children()
+                stack.extend(kids.apply(i) for i in range(kids.size()))
+            else:
+                return None
+        return max(total, 1)
+    except Exception:  # not a classic JVM-backed DataFrame: fall back to counting
+        return None
+
+
 def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
+    known = known_row_bound(df)
+    if known is not None and known <= max_rows:
+        return True
     return df.limit(max_rows + 1).count() <= max_rows
 
 

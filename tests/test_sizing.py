@@ -1,0 +1,22 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from quarry.plans import sizing as sz
+
+
+def test_known_row_bound_from_cached_rows(spark):
+    q = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "a")], "query_id int, qpos int, term string")
+    assert sz.known_row_bound(q) is None  # rows from a Python RDD: unknown without a job
+    q = q.persist()
+    assert sz.known_row_bound(q) is None  # cache not loaded yet
+    q.count()
+    w = q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
+    assert sz.known_row_bound(q.select("term").distinct()) == 3
+    assert sz.known_row_bound(w.where("qpos = 0")) == 3
+    assert sz.known_row_bound(q.unionByName(q)) == 6
+    # operators that can add rows need a counted proof
+    assert sz.known_row_bound(q.join(q, "term")) is None
+    assert sz.known_row_bound(q.select(F.explode(F.array("term", "term")))) is None
+    assert sz.row_bound_holds(q.join(q, "term"), 5) is True  # 5 rows, counted
+    assert sz.row_bound_holds(q.join(q, "term"), 4) is False
+    q.unpersist()
