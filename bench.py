@@ -55,7 +55,7 @@ def main() -> None:
     # --- index build (once, persisted) ---
     t0 = time.perf_counter()
     idx = R.corpus_index(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    for df in (idx.postings, idx.term_docs(), idx.lengths, idx.doc_lengths(), idx.docs, idx.texts):
+    for df in (idx.postings, idx.term_docs(), idx.lengths, idx.doc_lengths(), idx.vocabulary(), idx.docs, idx.texts):
         df.count()
     idx.stats()
     timings["index_build"] = round(time.perf_counter() - t0, 3)

@@ -40,6 +40,7 @@ class Index:
     _stats: tuple | None = field(default=None, repr=False)
     _term_docs: DataFrame | None = field(default=None, repr=False)
     _doc_lengths: DataFrame | None = field(default=None, repr=False)
+    _vocab: DataFrame | None = field(default=None, repr=False)
 
     # -- derived tables ------------------------------------------------------------------
     def term_docs(self) -> DataFrame:
@@ -68,7 +69,10 @@ class Index:
         return self.postings.groupBy("term", "doc_id", "field").agg(F.count(F.lit(1)).alias("tf"))
 
     def vocabulary(self) -> DataFrame:
-        """``term, docs, hits`` from the document lists (no distinct count needed)."""
+        """``term, docs, hits`` from the document lists (no distinct count needed); the stored or
+        persisted table when the index has one."""
+        if self._vocab is not None:
+            return self._vocab
         return self.term_docs().groupBy("term").agg(
             F.count(F.lit(1)).alias("docs"), F.sum("tf").cast("long").alias("hits"))
 
@@ -101,6 +105,7 @@ class Index:
             self.texts = self.texts.persist(lvl)
         self._term_docs = self.term_docs().persist(lvl)
         self._doc_lengths = self.doc_lengths().persist(lvl)
+        self._vocab = self.vocabulary().persist(lvl)
         return self
 
 

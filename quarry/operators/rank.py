@@ -41,9 +41,16 @@ def _hits(idx: Index, queries: DataFrame) -> DataFrame:
 
 
 def idf_table(idx: Index, queries: DataFrame) -> DataFrame:
-    """``term, idf`` for the distinct words of the queries (document counts of those words only)."""
+    """``term, idf`` for the distinct words of the queries (document counts of those words only).
+
+    With a stored or persisted vocabulary the counts are a lookup of one row per word; otherwise
+    the document lists of the query words are counted (a hot word costs one row per document)."""
     n_docs, _ = idx.stats()
-    df = idx.lists_for(queries).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    if idx._vocab is not None:
+        t = bounded_broadcast(queries.select("term").distinct())
+        df = idx._vocab.join(t, "term", "left_semi").select("term", F.col("docs").alias("n"))
+    else:
+        df = idx.lists_for(queries).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return df.select("term", F.log(1 + (F.lit(n_docs) - F.col("n") + 0.5) / (F.col("n") + 0.5)).alias("idf"))
 
 

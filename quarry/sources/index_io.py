@@ -41,6 +41,10 @@ def write_index(idx: Index, path: str, n_buckets: int = DEFAULT_BUCKETS, spread:
     (td.repartition(n_buckets * spread, "bucket", F.pmod(F.col("doc_id"), F.lit(spread)))
      .sortWithinPartitions("bucket", "term", "doc_id")
      .write.mode(mode).partitionBy("bucket").parquet(f"{path}/term_docs"))
+    # one row per word: small, one file per bucket
+    vb = idx.vocabulary().withColumn("bucket", bucket_of(F.col("term"), n_buckets))
+    (vb.repartition(n_buckets, "bucket").sortWithinPartitions("term")
+     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/vocabulary"))
     idx.docs.write.mode(mode).parquet(f"{path}/docs")
     idx.lengths.write.mode(mode).parquet(f"{path}/lengths")
     if idx.texts is not None:
@@ -59,6 +63,10 @@ def read_index(spark: SparkSession, path: str) -> "StoredIndex":
         texts = spark.read.parquet(f"{path}/texts")
     except Exception:  # noqa: BLE001 - an index without texts is valid
         texts = None
+    try:
+        vocab = spark.read.parquet(f"{path}/vocabulary")
+    except Exception:  # noqa: BLE001 - older index files have no vocabulary; it is then derived
+        vocab = None
     idx = StoredIndex(
         name=m["name"],
         docs=spark.read.parquet(f"{path}/docs"),
@@ -69,6 +77,7 @@ def read_index(spark: SparkSession, path: str) -> "StoredIndex":
         morphology=m["morphology"],
         _stats=(m["n_docs"], m["avg_len"]),
         _term_docs=spark.read.parquet(f"{path}/term_docs"),
+        _vocab=vocab,
     )
     idx.n_buckets = m["n_buckets"]
     return idx
@@ -88,7 +97,19 @@ class StoredIndex(Index):
         b = queries.select(bucket_of(F.col("term"), self.n_buckets).alias("bucket")).distinct()
         return self._term_docs.join(F.broadcast(b), "bucket", "left_semi")
 
+    def vocabulary(self) -> DataFrame:
+        v = super().vocabulary()
+        return v.drop("bucket") if "bucket" in v.columns else v
+
+    def _buckets(self, queries: DataFrame) -> DataFrame:
+        # at most n_buckets rows: a broadcast bounded by construction
+        return F.broadcast(queries.select(bucket_of(F.col("term"), self.n_buckets).alias("bucket")).distinct())
+
     def pruned(self, queries: DataFrame) -> Index:
         """A view of this index restricted to the buckets of ``queries`` (for the match operators)."""
+        vocab = None
+        if self._vocab is not None:
+            vocab = self._vocab.join(self._buckets(queries), "bucket", "left_semi").drop("bucket")
         return Index(self.name, self.docs, self.postings_for(queries).drop("bucket"), self.lengths, self.fields,
-                     self.texts, self.morphology, self._stats, self.term_docs_for(queries).drop("bucket"))
+                     self.texts, self.morphology, self._stats, self.term_docs_for(queries).drop("bucket"),
+                     _vocab=vocab)

@@ -103,3 +103,27 @@ def test_rank_any_set_direct_equals_join(spark, idx, ranker):
     q = Q(spark, [(1, 0, "the"), (1, 1, "fox"), (2, 0, "dog"), (2, 1, "zzz"), (3, 0, "zzz")])
     cols = ("query_id", "doc_id", "weight")
     assert rows(rk.rank(idx, q, None, ranker), *cols) == rows(rk.rank(idx, q, mt.match_any(idx, q), ranker), *cols)
+
+
+def test_bm25_from_stored_vocabulary(spark, docs):
+    # idf from a persisted or stored vocabulary (one row per word) equals counting the document lists
+    from dataclasses import replace
+
+    from quarry.session import scratch_path
+    from quarry.sources import index_io as io
+
+    base = ix.build_index("v", docs, ("title", "body"), "doc_id", attrs=["lang"])
+    q = Q(spark, [(1, 0, "the"), (1, 1, "fox"), (2, 0, "sea"), (2, 1, "zzz")])
+    cols = ("query_id", "doc_id", "weight")
+    want = rows(rk.rank(base, q, None, "bm25"), *cols)
+    kept = replace(base).persist()
+    assert kept._vocab is not None
+    assert rows(rk.rank(kept, q, None, "bm25"), *cols) == want
+    path = scratch_path(spark, "t-vocab-index")
+    io.write_index(base, path, n_buckets=4, spread=1)
+    stored = io.read_index(spark, path)
+    assert stored.vocabulary().columns == ["term", "docs", "hits"]
+    assert rows(stored.vocabulary()) == rows(base.vocabulary())
+    pruned = stored.pruned(q)
+    assert pruned._vocab is not None
+    assert rows(rk.rank(pruned, q, None, "bm25"), *cols) == want
