@@ -90,12 +90,10 @@ class StoredIndex(Index):
 
     def postings_for(self, queries: DataFrame) -> DataFrame:
         """Postings of the queries' buckets only (partition pruning through a semi join)."""
-        b = queries.select(bucket_of(F.col("term"), self.n_buckets).alias("bucket")).distinct()
-        return self.postings.join(F.broadcast(b), "bucket", "left_semi")
+        return self.postings.join(self._buckets(queries), "bucket", "left_semi")
 
     def term_docs_for(self, queries: DataFrame) -> DataFrame:
-        b = queries.select(bucket_of(F.col("term"), self.n_buckets).alias("bucket")).distinct()
-        return self._term_docs.join(F.broadcast(b), "bucket", "left_semi")
+        return self._term_docs.join(self._buckets(queries), "bucket", "left_semi")
 
     def vocabulary(self) -> DataFrame:
         v = super().vocabulary()
