@@ -106,3 +106,22 @@ def test_docset_and_index_round_trip(spark, idx):
     assert rows(stored.postings.drop("bucket"), "term", "doc_id", "field", "pos") == rows(idx.postings, "term", "doc_id", "field", "pos")
     q = ix.queries_from_terms(spark, [(1, 0, "the"), (1, 1, "fox")])
     assert rows(mt.match_all(stored.pruned(q), q)) == rows(mt.match_all(idx, q))
+
+
+@pytest.mark.parametrize("ranker", ["bm25", "wordcount", "proximity_bm25"])
+def test_search_any_mode_equals_ranked_match_any(spark, idx, ranker):
+    # search() ranks the any-word set straight from the scores; the page and totals must equal
+    # ranking match_any's pairs explicitly
+    from quarry.operators import order as od
+    from quarry.operators import rank as rk
+
+    q = ix.queries_from_terms(spark, [(1, 0, "the"), (1, 1, "fox"), (2, 0, "sea"), (2, 1, "dog")])
+    spec = SearchSpec(mode="any", ranker=ranker, limit=3)
+    r = search(idx, q, spec)
+    eff = "matchany" if ranker == "proximity_bm25" else ranker
+    h = rk.rank(idx, q, mt.match_any(idx, q), eff).join(idx.docs, "doc_id")
+    want = od.top_per_query(h, od.sort_keys("relevance"), 0, 3)
+    cols = ("query_id", "doc_id", "weight", "rank")
+    assert rows(r.hits, *cols) == rows(want, *cols)
+    assert rows(r.totals, "query_id", "total_found") == rows(od.result_totals(h, spec.max_matches),
+                                                            "query_id", "total_found")
