@@ -14,7 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.operators.index import Index
-from quarry.plans.sizing import bounded_broadcast
+from quarry.plans.sizing import bounded_broadcast, single_partition_if_small
 from quarry.spec import And, Expr, Near, Not, Or, Phrase, Term
 
 
@@ -29,7 +29,7 @@ def term_hits(idx: Index, queries: DataFrame) -> DataFrame:
 
 def match_all(idx: Index, queries: DataFrame) -> DataFrame:
     """Documents holding every distinct word of the query (in any field)."""
-    q = queries.select("query_id", "term").distinct()
+    q = single_partition_if_small(queries).select("query_id", "term").distinct()
     q = q.withColumn("n_terms", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
     q = bounded_broadcast(q)
     # document lists are unique per (term, doc) and q per (query, term): a plain count suffices
@@ -42,7 +42,7 @@ def match_all(idx: Index, queries: DataFrame) -> DataFrame:
 
 def match_any(idx: Index, queries: DataFrame) -> DataFrame:
     """Documents holding at least one word of the query."""
-    q = bounded_broadcast(queries.select("query_id", "term").distinct())
+    q = bounded_broadcast(single_partition_if_small(queries).select("query_id", "term").distinct())
     return idx.lists_for(q).select("term", "doc_id").join(q, "term").select("query_id", "doc_id").distinct()
 
 
@@ -52,7 +52,7 @@ def match_phrase(idx: Index, queries: DataFrame, field: str | None = None) -> Da
     A phrase of m words starting at position s puts every word on the diagonal ``pos - qpos = s``;
     a diagonal holding all m query positions is a phrase occurrence.
     """
-    q = queries.select("query_id", "qpos", "term")
+    q = single_partition_if_small(queries).select("query_id", "qpos", "term")
     q = q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
     q = bounded_broadcast(q)
     p = idx.postings if field is None else idx.postings.where(F.col("field") == field)
@@ -65,7 +65,7 @@ def match_phrase(idx: Index, queries: DataFrame, field: str | None = None) -> Da
 
 def match_near(idx: Index, queries: DataFrame, n: int, field: str | None = None) -> DataFrame:
     """All distinct query words inside a span of ``n`` consecutive positions of one field, any order."""
-    q = queries.select("query_id", "term").distinct()
+    q = single_partition_if_small(queries).select("query_id", "term").distinct()
     q = q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
     q = bounded_broadcast(q)
     p = idx.postings if field is None else idx.postings.where(F.col("field") == field)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.index import Index
-from quarry.plans.sizing import bounded_broadcast
+from quarry.plans.sizing import bounded_broadcast, single_partition_if_small
 from quarry.spec import BM25_B, BM25_K1
 
 
@@ -137,6 +137,8 @@ def rank(idx: Index, queries: DataFrame | None, matched: DataFrame | None, ranke
     ``matched=None`` stands for the any-word match set. Every ranker below scores exactly the
     (query, document) pairs holding at least one query word, so that set is the score table
     itself: no separate match pass and no join back."""
+    if queries is not None:
+        queries = single_partition_if_small(queries)
     if queries is None or ranker == "none":
         if matched is None:
             from quarry.operators.match import match_any

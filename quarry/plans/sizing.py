@@ -30,7 +30,8 @@ def known_row_bound(df: DataFrame) -> int | None:
     The bound is then the sum of the leaf rows (at least 1: a global aggregate of nothing is one row).
     """
     try:
-        stack, total = [df._jdf.queryExecution().withCachedData()], 0
+        # a fresh Dataset: each one memoizes its cache substitution, which may predate a persist()
+        stack, total = [df.select("*")._jdf.queryExecution().withCachedData()], 0
         while stack:
             node = stack.pop()
             name = node.nodeName()
@@ -61,3 +62,15 @@ def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
 def bounded_broadcast(df: DataFrame, max_rows: int = QUERY_ROWS_BOUND) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
     return F.broadcast(df) if row_bound_holds(df, max_rows) else df
+
+
+# ---- fixed value: largest query-side table run as one partition ----
+SINGLE_PARTITION_ROWS = 100_000
+
+
+def single_partition_if_small(df: DataFrame, max_rows: int = SINGLE_PARTITION_ROWS) -> DataFrame:
+    """``df.coalesce(1)`` when the plan already proves ``df`` small (no job is run): distincts,
+    windows and groupings over a one-partition table need no exchange. A table not known to be
+    small (for example a large batch of queries) keeps its partitions."""
+    known = known_row_bound(df)
+    return df.coalesce(1) if known is not None and known <= max_rows else df

@@ -127,3 +127,17 @@ def test_bm25_from_stored_vocabulary(spark, docs):
     pruned = stored.pruned(q)
     assert pruned._vocab is not None
     assert rows(rk.rank(pruned, q, None, "bm25"), *cols) == want
+
+
+def test_small_known_query_table_same_results(spark, idx):
+    # a persisted (proven small) query table runs as one partition; results must not change
+    rows_ = [(1, 0, "the"), (1, 1, "fox"), (2, 0, "of"), (2, 1, "the"), (3, 0, "dog")]
+    plain, kept = Q(spark, rows_), Q(spark, rows_).persist()
+    kept.count()
+    for f in (mt.match_all, mt.match_any, mt.match_phrase, lambda i, q: mt.match_near(i, q, 3)):
+        assert rows(f(idx, kept)) == rows(f(idx, plain))
+    cols = ("query_id", "doc_id", "weight")
+    for r in ("bm25", "proximity_bm25", "wordcount"):
+        assert rows(rk.rank(idx, kept, mt.match_all(idx, kept), r), *cols) == \
+            rows(rk.rank(idx, plain, mt.match_all(idx, plain), r), *cols)
+    kept.unpersist()

@@ -20,3 +20,13 @@ def test_known_row_bound_from_cached_rows(spark):
     assert sz.row_bound_holds(q.join(q, "term"), 5) is True  # 5 rows, counted
     assert sz.row_bound_holds(q.join(q, "term"), 4) is False
     q.unpersist()
+
+
+def test_single_partition_only_when_known_small(spark):
+    q = spark.createDataFrame([(1, 0, "a"), (2, 0, "b")], "query_id int, qpos int, term string").repartition(4)
+    assert sz.single_partition_if_small(q).rdd.getNumPartitions() == 4  # not known: unchanged
+    q = q.persist()
+    q.count()
+    assert sz.single_partition_if_small(q).rdd.getNumPartitions() == 1
+    assert sz.single_partition_if_small(q, max_rows=1).rdd.getNumPartitions() == 4
+    q.unpersist()
