@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,11 +50,14 @@ def get_spark(master: str | None = None, app: str = "quarry", shuffle_partitions
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` as the cluster sets it (a shared file system
-    every executor sees). Only when it is unset (local tests) do we pick a fresh scratch folder.
+    This is ``spark.checkpoint.dir`` as the cluster sets it (a shared file system every executor
+    sees). Where it is unset, a local master (driver and executors in one process, as in tests) gets a fresh
+    scratch folder; any other master is an error, since each executor would write to its own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
