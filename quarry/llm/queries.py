@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, exact_dedup, url_filter
+from quarry.llm import chat_format, exact_dedup, toxicity, url_filter
 from quarry.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,11 @@ def op4(spark, sf):
     return chat_format.chat_digest(chat_format.chat_examples(turns.union(probe)))
 
 
+@register("op6_toxicity")
+def op6(spark, sf):
+    return toxicity.toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
 @register("op8_url_filter")
 def op8(spark, sf):
     labels = read(spark, sf, "labels").select("doc_id", (F.col("quality") == 0).alias("blocked"))
