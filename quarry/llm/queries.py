@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, exact_dedup, toxicity, url_filter
+from quarry.llm import chat_format, exact_dedup, near_dedup, toxicity, url_filter
 from quarry.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op6(spark, sf):
 def op8(spark, sf):
     labels = read(spark, sf, "labels").select("doc_id", (F.col("quality") == 0).alias("blocked"))
     return url_filter.url_filter(read(spark, sf, "pages"), labels, URL_RULES)
+
+
+@register("op9_minhash_near_dedup")
+def op9(spark, sf):
+    return near_dedup.near_duplicates(read(spark, sf, "documents"), shingle=3, percent=85)
