@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, exact_dedup, near_dedup, toxicity, url_filter
+from quarry.llm import chat_format, decontam, exact_dedup, near_dedup, packing, toxicity, url_filter
 from quarry.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,20 @@ def op8(spark, sf):
 @register("op9_minhash_near_dedup")
 def op9(spark, sf):
     return near_dedup.near_duplicates(read(spark, sf, "documents"), shingle=3, percent=85)
+
+
+def packing_rows(docs: DataFrame) -> DataFrame:
+    """Length (words and an end mark), source and cluster (equal texts but for white space) of documents."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", (F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")) + 1).alias("length"), "source",
+                       F.xxhash64(F.regexp_replace(text, exact_dedup.WHITE_SPACE, "")).alias("cluster"))
+
+
+@register("op3_best_fit_packing")
+def op3(spark, sf):
+    return packing.pack(packing_rows(read(spark, sf, "documents")))
+
+
+@register("op10_benchmark_decontamination")
+def op10(spark, sf):
+    return decontam.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
