@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat_format, decontam, exact_dedup, near_dedup, packing, toxicity, url_filter
+from quarry.llm import (chat_format, decontam, exact_dedup, line_dedup, near_dedup, packing, toxicity,
+                        url_filter)
 from quarry.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +91,25 @@ def op3(spark, sf):
 @register("op10_benchmark_decontamination")
 def op10(spark, sf):
     return decontam.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+@register("op7_line_dedup", """WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+p AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS part FROM d),
+l AS (SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY doc_id) AS n,
+  lead(line, 1) OVER w AS l1, lead(line, 2) OVER w AS l2 FROM p WHERE line <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY part)),
+k AS (SELECT doc_id, pos, least(n, 3) AS size, CASE WHEN n >= 3 THEN line || chr(10) || l1 || chr(10) || l2
+  ELSE concat_ws(chr(10), line, l1) END AS k FROM l WHERE pos <= greatest(n - 2, 1)),
+f AS (SELECT k, size, min((doc_id, pos)) AS at FROM k GROUP BY ALL),
+g AS (SELECT DISTINCT k.doc_id, unnest(range(k.pos, k.pos + k.size)) AS pos FROM k JOIN f ON k.k = f.k AND k.size = f.size
+  WHERE (k.doc_id, k.pos) > f.at),
+m AS (SELECT p.doc_id, p.part, p.line, l.pos, g.pos IS NOT NULL AS gone FROM p LEFT JOIN l USING (doc_id, part)
+  LEFT JOIN g ON g.doc_id = p.doc_id AND g.pos = l.pos),
+r AS (SELECT doc_id, pos, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens
+  FROM m WHERE pos IS NOT NULL)
+SELECT m.doc_id, count(m.pos) AS n_lines, count(*) FILTER (m.gone) AS n_removed,
+  coalesce(any_value(o.n), 0) AS n_runs,
+  sha256(coalesce(string_agg(m.line, chr(10) ORDER BY m.part) FILTER (NOT m.gone), '')) AS kept_sha256
+FROM m LEFT JOIN (SELECT doc_id, count(*) FILTER (opens) AS n FROM r GROUP BY doc_id) o USING (doc_id) GROUP BY m.doc_id""")
+def op7(spark, sf):
+    return line_dedup.line_dedup(read(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
