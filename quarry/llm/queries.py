@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (chat_format, decontam, exact_dedup, line_dedup, near_dedup, packing, toxicity,
-                        url_filter)
+from quarry.llm import (chat_format, decontam, exact_dedup, line_dedup, near_dedup, packing,
+                        suffix_dedup, toxicity, url_filter)
 from quarry.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ FROM m LEFT JOIN (SELECT doc_id, count(*) FILTER (opens) AS n FROM r GROUP BY do
 def op7(spark, sf):
     return line_dedup.line_dedup(read(spark, sf, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op5_suffix_array_dedup")
+def op5(spark, sf):
+    return suffix_dedup.suffix_dedup(read(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
