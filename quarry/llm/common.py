@@ -16,11 +16,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back. Cuts the lineage (a lost executor
     rereads files, it does not recompute) and keeps costly columns from being computed again."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

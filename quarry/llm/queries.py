@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (chat_format, decontam, exact_dedup, line_dedup, near_dedup, packing,
-                        suffix_dedup, toxicity, url_filter)
-from quarry.llm.common import read
+                        suffix_dedup, token_codec, toxicity, url_filter)
+from quarry.llm.common import read, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,3 +119,18 @@ def op7(spark, sf):
 def op5(spark, sf):
     return suffix_dedup.suffix_dedup(read(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def byte_bpe() -> str:
+    """The installed byte-level BPE vocabulary (ids 0 to 50256)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op1_token_codec")
+def op1(spark, sf):
+    path = shared_path(spark, "token-files")
+    token_codec.write_tokens(read(spark, sf, "documents"), path, byte_bpe(), end_id=2)
+    back = token_codec.with_start(spark, path, token_codec.read_tokens(spark, path))
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
