@@ -41,7 +41,8 @@ BLOCK_TOKENS, STEPS = 1 << 20, 256
 ORDER0_BITS, TOTAL_BITS, SLOT_BITS = 18, 24, 18
 TOP_HITS = 7
 MAGIC = b"TKB1"
-HEADER = struct.Struct("<4sQIII")
+HEADER = "<4sQIII"
+HEADER_BYTES = struct.calcsize(HEADER)
 BLOCKS = "part int, block int, doc_ids array<long>, lengths array<long>, n_tokens long, payload binary"
 PIECE_CACHE = 600_000
 # texts whose white space is single spaces and newlines between other characters split safely before each
@@ -182,7 +183,7 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
     if len(ids) and int(ids.max()) >= vocab:
         raise ValueError("an id lies outside the vocabulary")
     lanes, last = _lengths(len(ids))
-    head = HEADER.pack(MAGIC, len(ids), vocab, lanes, zlib.crc32(ids.tobytes()))
+    head = struct.pack(HEADER, MAGIC, len(ids), vocab, lanes, zlib.crc32(ids.tobytes()))
     if not lanes:
         return head
     grid = np.zeros(lanes * STEPS, np.int64)
@@ -224,13 +225,13 @@ def _shrink(low: np.ndarray, size: np.ndarray, active: int) -> np.ndarray:
 
 def decode_block(block: bytes) -> np.ndarray:
     """Ids of a block; a block that does not check out is an error."""
-    magic, n, vocab, lanes, crc = HEADER.unpack_from(block)
+    magic, n, vocab, lanes, crc = struct.unpack_from(HEADER, block)
     if magic != MAGIC or (lanes, n) != (_lengths(n)[0], n):
         raise ValueError("not a token block")
     if not lanes:
         return np.empty(0, np.uint32)
-    count = np.frombuffer(block, np.uint16, lanes, HEADER.size).astype(np.int64)
-    body = np.frombuffer(block, np.uint32, -1, HEADER.size + 2 * lanes) if len(block) % 4 == (HEADER.size + 2 * lanes) % 4 else None
+    count = np.frombuffer(block, np.uint16, lanes, HEADER_BYTES).astype(np.int64)
+    body = np.frombuffer(block, np.uint32, -1, HEADER_BYTES + 2 * lanes) if len(block) % 4 == (HEADER_BYTES + 2 * lanes) % 4 else None
     if body is None or len(body) != count.sum():
         raise ValueError("a token block is cut short")
     words = np.append(body.astype(np.uint64), np.uint64(0))
