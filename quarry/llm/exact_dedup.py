@@ -4,9 +4,8 @@ Pass 1 counts filter cells: every text key sets two cells of a bit table, and th
 stay, packed into 4 KB bitmaps. Pass 2 looks each key up: a key with a cell that nobody else set is certainly
 unique, so its row passes straight through; only possibly repeated keys are shuffled and grouped.
 
-The filter is the only broadcast. Its size is bounded before it is built: ``cells / 8`` bytes, where
-``cells`` follows the row count up to ``MAX_CELLS`` (128 MB). Beyond that bound the filter lets more unique
-rows through to the grouping (a slower, equally exact run), never fewer copies.
+The filter (``id_filter``) is the only broadcast and bounded in size. Beyond its bound it lets more unique rows
+through to the grouping (a slower, equally exact run), never fewer copies.
 
 Edge cases: null text is the empty text, so null, empty and blank texts are equal; of equal texts the one with
 most code points stays, then the smallest id (null ids last); repeated rows (same id, same text) count each
@@ -20,10 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import stored
+from quarry.llm.id_filter import both_cells, cells_for, flag, pack_bits
 
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
-MIN_CELLS, MAX_CELLS = 1 << 20, 1 << 30
-CELLS_PER_ROW = 16
 
 
 def text_key(text: Column) -> Column:
@@ -31,34 +29,11 @@ def text_key(text: Column) -> Column:
     return F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), WHITE_SPACE, "").cast("binary"), 256)
 
 
-def _cell(key: Column, k: int, cells: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(k), key), F.lit(cells)) + 1
-
-
 def repeat_filter(keys: DataFrame) -> tuple[DataFrame, int]:
-    """Pass 1 over ``keys`` (_key): bitmaps (_bucket, _bits) of the cells set at least twice, and the
-    number of cells."""
-    rows = keys.count()
-    cells = min(MAX_CELLS, max(MIN_CELLS, 1 << (CELLS_PER_ROW * max(rows, 1) - 1).bit_length()))
-    cell = keys.select(F.explode(F.array(_cell(F.col("_key"), 0, cells), _cell(F.col("_key"), 1, cells))).alias("c"))
-    twice = cell.groupBy("c").count().where("count >= 2")
-    bits = twice.groupBy(F.bitmap_bucket_number("c").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("c")).alias("_bits"))
-    return stored(bits, "repeat-filter"), cells
-
-
-def flag_repeats(rows: DataFrame, bits: DataFrame, cells: int) -> DataFrame:
-    """Pass 2: ``rows`` (with _key) plus _maybe, true where both cells of the key are set."""
-    for k in (0, 1):
-        c = _cell(F.col("_key"), k, cells)
-        at = F.bitmap_bit_position(c)
-        one = F.broadcast(bits.select(F.col("_bucket").alias(f"_bucket{k}"), F.col("_bits").alias(f"_bits{k}")))
-        rows = (rows.withColumns({f"_bucket{k}": F.bitmap_bucket_number(c), f"_at{k}": at})
-                .join(one, f"_bucket{k}", "left"))
-    hit = [F.coalesce(F.expr(f"getbit(cast(conv(hex(substring(_bits{k}, cast(_at{k} div 8 as int) + 1, 1)), 16, 10) "
-                             f"as int), cast(_at{k} % 8 as int)) = 1"), F.lit(False)) for k in (0, 1)]
-    return rows.withColumn("_maybe", hit[0] & hit[1]).drop(
-        *(f"{c}{k}" for c in ("_bucket", "_bits", "_at") for k in (0, 1)))
+    """Pass 1 over ``keys`` (_key): bitmaps of the cells set at least twice, and the number of cells."""
+    cells = cells_for(keys.count())
+    twice = both_cells(keys, cells).groupBy("c").count().where("count >= 2")
+    return pack_bits(twice), cells
 
 
 def _winners(maybe: DataFrame) -> DataFrame:
@@ -76,7 +51,7 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     keys = stored(docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_key"),
                               F.char_length(text).alias("_len")), "exact-keys")
     bits, cells = repeat_filter(keys)
-    rows = flag_repeats(keys, bits, cells)
+    rows = flag(keys, bits, cells)
     maybe = rows.where("_maybe")
     single = rows.where("NOT _maybe").select(
         F.col("_id").alias(id_col), F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
@@ -97,8 +72,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "_len": F.char_length(F.coalesce(F.col(key), F.lit("")))})
     keys = stored(rows.select("_id", "_key", "_len"), "exact-keys")
     bits, cells = repeat_filter(keys)
-    winners = _winners(flag_repeats(keys, bits, cells).where("_maybe"))
-    flagged = flag_repeats(rows, bits, cells)
+    winners = _winners(flag(keys, bits, cells).where("_maybe"))
+    flagged = flag(rows, bits, cells)
     stays = (flagged.where("_maybe").join(winners, "_key")
              .where(F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_len") == F.col("_keep_len")))
              .dropDuplicates(["_id", "_key"]))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import mix64, stored, text_bytes
+from quarry.llm.id_filter import maybe_among
 from quarry.llm.words import slabs, word_hashes
 
 WINDOW = 3
@@ -128,7 +129,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.collect_set("line").alias("_starts"), F.max("size").alias("_size")), "line-removed")
     names = [f"_c{i}" for i in range(len(docs.columns))]  # internal names cannot clash with the caller's
     key, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
-    rows = docs.toDF(*names)
-    rows = rows.join(found, rows[key].cast("long") == found["doc_id"], "left").select(*names, "_starts", "_size")
+    # only rows that may have lines to lose meet the marks; the others stay in their partition
+    rows = maybe_among(docs.toDF(*names), F.col(key).cast("long"), found.select("doc_id"))
+    hit = rows.where("_maybe").join(found, F.col("_key") == found["doc_id"], "left").select(*names, "_starts", "_size")
+    rows = rows.where("NOT _maybe").select(*names, F.lit(None).cast("array<int>").alias("_starts"),
+                                           F.lit(None).cast("int").alias("_size")).union(hit)
     schema = T.StructType([*rows.schema.fields[:len(names)], *(T.StructField(n, T.LongType()) for n in ("n_lines", "n_removed", "n_runs"))])
     return rows.mapInArrow(_cut(text, "_starts", "_size"), schema).toDF(*docs.columns, "n_lines", "n_removed", "n_runs")

@@ -8,7 +8,8 @@
 3. Bands of ``BAND_ROWS`` bins: equal bands link a class to the smallest id of its bucket. With 32 bands of 4 a
    pair at 0.85 similarity shares no band with probability 6e-11 (3e-8 at 0.8). Connected components of
    these links are the candidate groups; a linked pair never lies in two groups.
-4. Inside a group all pairs are verified on full sets, without emitting them: members are dealt to blocks of
+4. Only the texts of group members are read again (a Bloom filter of their ids lets the others pass
+   unshuffled). Inside a group all pairs are verified on full sets, without emitting them: members are dealt to blocks of
    about ``BLOCK`` by hash, a task gets two blocks, counts all common shingles by matrix products, and
    returns only a spanning forest of the true links. A group of any size is so spread over many tasks.
 5. Components of the true links give the result; classes bring the copies back.
@@ -30,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import connected_components, mix64, stored, text_bytes
+from quarry.llm.id_filter import maybe_among
 from quarry.llm.words import byte_tables, row_shingles, slabs, word_hashes
 
 BINS, BAND_ROWS = 128, 4
-BLOCK = 128
+BLOCK = 256
 COLUMNS = 4096
 SIGNATURE = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -204,7 +206,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = (groups.join(stored(sizes, "near-sizes"), "component")
               .join(classes.select(F.col("rep").alias("id"), "k1", "k2"), "id")
               .select(F.col("id").alias("doc_id"), F.col("component").alias("grp"), "blocks", "k1", "k2"))
-    sets = plain.join(stored(member, "near-members"), "doc_id").mapInArrow(
+    member = stored(member, "near-members")
+    maybe = maybe_among(plain, F.col("doc_id"), member.select("doc_id")).where("_maybe").select("doc_id", "text")
+    sets = maybe.join(member, "doc_id").mapInArrow(
         _sets(shingle), "doc_id long, grp long, blocks int, shingles binary")
     dealt = (sets.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -225,4 +229,6 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one document of each group left (the smallest id), same columns."""
     gone = stored(near_duplicates(docs, id_col, text_col, shingle, percent).where("NOT kept")
                   .select(F.col(id_col).alias("_gone")).distinct(), "near-gone")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    rows = maybe_among(docs.select(F.struct(*docs.columns).alias("_row")), F.col(f"_row.{id_col}").cast("long"), gone)
+    stays = rows.where("_maybe").join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    return rows.where("NOT _maybe").select("_row.*").union(stays.select("_row.*"))

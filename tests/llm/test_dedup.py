@@ -40,7 +40,7 @@ def test_exact_dedup_keeps_columns_and_one_row_of_each_text(spark):
 def test_repeat_filter_flags_every_repeat_and_few_others(spark):
     keys = spark.range(5000).selectExpr("cast(id % 4000 as string) AS _key")
     bits, cells = exact_dedup.repeat_filter(keys)
-    flagged = exact_dedup.flag_repeats(keys, bits, cells).where("_maybe").groupBy("_key").count()
+    flagged = exact_dedup.flag(keys, bits, cells).where("_maybe").groupBy("_key").count()
     got = {r["_key"] for r in flagged.collect()}
     assert {str(i) for i in range(1000)} <= got and len(got) < 1100
 
