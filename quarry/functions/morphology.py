@@ -12,22 +12,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions import stemmers
+from quarry.functions.stemmers import enru_stem, porter_stem, russian_stem
 
 
 @F.pandas_udf(T.StringType())
 def _stem_en(s: pd.Series) -> pd.Series:
-    return s.map(stemmers.porter_stem)
+    return s.map(porter_stem)
 
 
 @F.pandas_udf(T.StringType())
 def _stem_ru(s: pd.Series) -> pd.Series:
-    return s.map(stemmers.russian_stem)
+    return s.map(russian_stem)
 
 
 @F.pandas_udf(T.StringType())
 def _stem_enru(s: pd.Series) -> pd.Series:
-    return s.map(stemmers.enru_stem)
+    return s.map(enru_stem)
 
 
 def normalize_column(c: Column, method: str = "none") -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.plans.sizing import LOOKUP_ROWS_BOUND, bounded_broadcast
 from quarry.spec import Filter
 
 # ---- fixed values: open date-range ends and earth radius ----
@@ -88,6 +87,8 @@ def filter_blogs(df: DataFrame, blog_ids, attr: str = "blog_id") -> DataFrame:
 
 
 def _ensure_found(target: DataFrame, what: str) -> None:
+    """An unknown name is an error of the request, so it is looked up when the filter is built (pass
+    ``check=False`` to skip this one-row read)."""
     if target.limit(1).count() == 0:
         raise LookupError_(f"no {what} found")
 
@@ -107,7 +108,7 @@ def filter_lookup(df: DataFrame, attr: str, target: DataFrame, column: str, valu
 
 def semi_on_attr(df: DataFrame, attr: str, ids: DataFrame, id_col: str) -> DataFrame:
     """Documents whose attribute (scalar or any element of a multi-value one) is in ``ids``."""
-    ids = bounded_broadcast(ids.select(F.col(id_col).alias("_v")).distinct(), LOOKUP_ROWS_BOUND)
+    ids = ids.select(F.col(id_col).alias("_v")).distinct()
     if _is_array(df, attr):
         ex = df.select("doc_id", F.explode(attr).alias("_v")).join(ids, "_v").select("doc_id").distinct()
         return df.join(ex, "doc_id", "left_semi")

@@ -37,6 +37,7 @@ def group_key(func: str, attr: str) -> Column:
 
 
 def _neg(c: Column, dt: T.DataType) -> Column:
+    """A key whose ascending order is the descending order of ``c``."""
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return -F.unix_micros(c.cast("timestamp"))
     if isinstance(dt, T.DateType):
@@ -45,15 +46,19 @@ def _neg(c: Column, dt: T.DataType) -> Column:
         return -c.cast("int")
     if isinstance(dt, T.NumericType):
         return -c
+    if isinstance(dt, T.StringType):  # complemented bytes; the end mark puts a longer text first
+        return F.concat(F.translate(F.hex(c.cast("binary")), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
     raise TypeError(f"descending order on {dt.simpleString()} is not supported in grouping")
 
 
 def ordering_struct(df: DataFrame, pairs: list[tuple[Column, bool]]) -> Column:
-    """A struct whose natural (ascending) order is the requested order: descending keys negated."""
+    """A struct whose natural (ascending) order is the requested order, NULLs as in ``sort_keys``: first
+    when ascending, last when descending."""
     parts = []
     for i, (c, asc) in enumerate(pairs):
         dt = df.select(c).schema.fields[0].dataType
-        parts.append((c if asc else _neg(c, dt)).alias(f"k{i}"))
+        key = F.struct(c.isNotNull().alias("n"), c.alias("v")) if asc else F.struct(c.isNull().alias("n"), _neg(c, dt).alias("v"))
+        parts.append(key.alias(f"k{i}"))
     return F.struct(*parts)
 
 
@@ -65,6 +70,18 @@ def _next_attr(df: DataFrame, attr: str) -> str:
     return cols[i + 1]
 
 
+def with_groups(hits: DataFrame, func: str, attr: str, attr_order: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """``hits`` with its group column(s), one row per group a hit is in, and the grouping keys."""
+    if isinstance(hits.schema[attr].dataType, T.ArrayType):
+        h = hits.withColumn("group", F.explode(F.array_distinct(F.col(attr))))
+    else:
+        h = hits.withColumn("group", group_key(func, attr))
+    if func != "attrpair":
+        return h, ["query_id", "group"]
+    nxt = attr_order[attr_order.index(attr) + 1] if attr_order else _next_attr(hits, attr)
+    return h.withColumn("group2", F.col(nxt)), ["query_id", "group", "group2"]
+
+
 def group_by(hits: DataFrame, func: str, attr: str, sort_mode: str = "relevance", sort_by: str = "",
              distinct: str | None = None, approx: bool = False, as_of: str | None = None,
              attr_order: list[str] | None = None) -> DataFrame:
@@ -74,16 +91,7 @@ def group_by(hits: DataFrame, func: str, attr: str, sort_mode: str = "relevance"
     A multi-value attribute puts a document in one group per value. ``attrpair`` groups by the
     attribute and the next one in schema order (``attr_order`` overrides that order).
     """
-    h = hits
-    if isinstance(h.schema[attr].dataType, T.ArrayType):
-        h = h.withColumn("group", F.explode(F.array_distinct(F.col(attr))))
-    else:
-        h = h.withColumn("group", group_key(func, attr))
-    keys = ["query_id", "group"]
-    if func == "attrpair":
-        nxt = attr_order[attr_order.index(attr) + 1] if attr_order else _next_attr(hits, attr)
-        h = h.withColumn("group2", F.col(nxt))
-        keys.append("group2")
+    h, keys = with_groups(hits, func, attr, attr_order)
     pairs = sort_pairs(sort_mode, sort_by, as_of)
     order = ordering_struct(h, pairs)
     row_cols = [c for c in hits.columns if c != "query_id"]
@@ -109,14 +117,10 @@ def grouped_search(hits: DataFrame, func: str, attr: str, sort_mode: str = "rele
     return top_per_query(g, group_sort_keys(group_sort), offset, limit, rank_col="rank")
 
 
-def group_totals(hits: DataFrame, func: str, attr: str) -> DataFrame:
-    """``total_found`` in group mode: the number of groups per query."""
-    if isinstance(hits.schema[attr].dataType, T.ArrayType):
-        k = F.explode(F.col(attr))
-        h = hits.select("query_id", k.alias("group"))
-    else:
-        h = hits.select("query_id", group_key(func, attr).alias("group"))
-    return h.groupBy("query_id").agg(F.count_distinct("group").alias("total_found"))
+def group_totals(hits: DataFrame, func: str, attr: str, attr_order: list[str] | None = None) -> DataFrame:
+    """``total_found`` in group mode: the number of groups per query, a NULL group included."""
+    h, keys = with_groups(hits, func, attr, attr_order)
+    return h.select(*keys).distinct().groupBy("query_id").agg(F.count(F.lit(1)).alias("total_found"))
 
 
 def _facet_item_fn(name: str):
@@ -133,7 +137,8 @@ def facets(hits: DataFrame, groupings: list[tuple[str, str, str]]) -> DataFrame:
     items = []
     for name, func, attr in groupings:
         if isinstance(hits.schema[attr].dataType, T.ArrayType):
-            vals = F.transform(F.array_distinct(F.col(attr)), lambda x: x.cast("string"))
+            vals = F.coalesce(F.transform(F.array_distinct(F.col(attr)), lambda x: x.cast("string")),
+                              F.array().cast("array<string>"))  # a missing array has no value of this facet
         else:
             vals = F.array(group_key(func, attr).cast("string"))
         items.append(F.transform(vals, _facet_item_fn(name)))
@@ -142,17 +147,19 @@ def facets(hits: DataFrame, groupings: list[tuple[str, str, str]]) -> DataFrame:
 
 
 def tag_cloud(tags: DataFrame, object_tag: DataFrame, datasource: str = "entry", pairs: DataFrame | None = None,
-              category_ids: list | None = None, limit: int | None = None) -> DataFrame:
+              category_ids: DataFrame | list | None = None, limit: int | None = None) -> DataFrame:
     """Public tags with the number of tagged objects of ``datasource``, most used first.
 
-    With ``pairs`` (tag_id, category_id) and ``category_ids`` only tags seen in those categories
-    count. ``limit`` keeps the top tags (the cloud size); ``rank`` numbers them.
+    With ``pairs`` (tag_id, category_id) and ``category_ids`` (values, or a DataFrame with a category_id
+    column) only tags seen in those categories count. ``limit`` keeps the top tags (the cloud size); ``rank`` numbers them.
     """
     from pyspark.sql import Window
 
     t = tags.where(~F.coalesce(F.col("is_private"), F.lit(False))).select(F.col("id").alias("tag_id"), "name")
-    if pairs is not None and category_ids:
-        ok = pairs.where(F.col("category_id").isin(list(category_ids))).select("tag_id").distinct()
+    if pairs is not None and category_ids is not None:
+        ok = (pairs.join(category_ids.select("category_id").distinct(), "category_id", "left_semi")
+              if isinstance(category_ids, DataFrame) else pairs.where(F.col("category_id").isin(list(category_ids))))
+        ok = ok.select("tag_id").distinct()
         t = t.join(ok, "tag_id", "left_semi")
     cnt = (object_tag.where(F.col("object_datasource") == datasource)
            .select("tag_id", "object_id").distinct()

@@ -14,12 +14,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.text import html_strip, words
-from quarry.plans.sizing import LOOKUP_ROWS_BOUND, bounded_broadcast
+from quarry.functions.text import html_attr_values, html_strip, words
+from quarry.session import local_table
+
+# The tag attributes the reference indexes with a page's text.
+HTML_INDEX_ATTRS = {"img": ["alt", "title"], "a": ["title"]}
 
 QUERY_SCHEMA = T.StructType([
     T.StructField("query_id", T.IntegerType(), False),
@@ -56,17 +59,18 @@ class Index:
         """``term, doc_id, tf`` for the words in ``terms`` (a ``term`` column) only.
 
         With stored or persisted document lists this is a filter on them; otherwise the postings
-        are cut to those words first (broadcast semi join when ``terms`` is proven small), so only
-        their rows are aggregated and shuffled, never the whole postings table."""
-        t = bounded_broadcast(terms.select("term").distinct())
+        are cut to those words first (a semi join, broadcast when Spark knows ``terms`` to be small),
+        so only their rows are aggregated and shuffled, never the whole postings table."""
+        t = terms.select("term").distinct()
         if self._term_docs is not None:
             return self._term_docs.join(t, "term", "left_semi").select("term", "doc_id", "tf")
-        return (self.postings.join(t, "term", "left_semi")
+        return (self.postings_for(t).join(t, "term", "left_semi")
                 .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
 
-    def doc_terms(self) -> DataFrame:
-        """``term, doc_id, field, tf``: one row per word per field of a document."""
-        return self.postings.groupBy("term", "doc_id", "field").agg(F.count(F.lit(1)).alias("tf"))
+    def postings_for(self, terms: DataFrame) -> DataFrame:
+        """Postings that can hold the words in ``terms``: all of them here, the words' buckets of a
+        stored index."""
+        return self.postings
 
     def vocabulary(self) -> DataFrame:
         """``term, docs, hits`` from the document lists (no distinct count needed); the stored or
@@ -82,13 +86,14 @@ class Index:
             self._doc_lengths = self.lengths.groupBy("doc_id").agg(F.sum("len").cast("long").alias("dl"))
         return self._doc_lengths
 
-    def stats(self) -> tuple[int, float]:
-        """(number of documents, mean words per document); two scalars, computed once."""
+    def stats(self) -> tuple[Column, Column]:
+        """Number of documents and mean words per document, as columns: the stored numbers of an index
+        that has them, else scalar subqueries that run with the query that uses them."""
         if self._stats is None:
-            n = self.docs.count()
-            total = self.lengths.agg(F.sum("len")).first()[0] or 0
-            self._stats = (n, (float(total) / n) if n else 0.0)
-        return self._stats
+            n = self.docs.agg(F.count(F.lit(1)).cast("double")).scalar()
+            total = self.lengths.agg(F.coalesce(F.sum("len"), F.lit(0)).cast("double")).scalar()
+            return n, F.when(n > 0, total / F.greatest(n, F.lit(1.0))).otherwise(F.lit(0.0))
+        return F.lit(float(self._stats[0])), F.lit(float(self._stats[1]))
 
     def with_docs(self, docs: DataFrame) -> "Index":
         return replace(self, docs=docs)
@@ -106,6 +111,10 @@ class Index:
         self._term_docs = self.term_docs().persist(lvl)
         self._doc_lengths = self.doc_lengths().persist(lvl)
         self._vocab = self.vocabulary().persist(lvl)
+        if self._stats is None:
+            n, mean = self.stats()
+            row = self.docs.sparkSession.range(1).select(n.alias("n"), mean.alias("mean")).first()
+            self._stats = (row["n"], row["mean"])
         return self
 
 
@@ -148,7 +157,7 @@ def stopwords(postings: DataFrame, stop: DataFrame | None) -> DataFrame:
     """Drop listed words (``stop`` has a ``term`` column). Positions of the others are kept."""
     if stop is None:
         return postings
-    s = bounded_broadcast(stop.select("term").distinct(), LOOKUP_ROWS_BOUND)
+    s = stop.select("term").distinct()
     return postings.join(s, "term", "left_anti")
 
 
@@ -165,25 +174,23 @@ def apply_morphology(postings: DataFrame, method: str = "none") -> DataFrame:
     if method in (None, "none"):
         return postings
     norm = normalize_terms(postings, method)
-    norm = bounded_broadcast(norm, LOOKUP_ROWS_BOUND)
     return (postings.join(norm, "term")
             .select(F.col("norm").alias("term"), "doc_id", "field", "pos"))
 
 
 def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attrs: list[str] | None = None,
                 min_len: int = 1, stop: DataFrame | None = None, morphology: str = "none",
-                strip_html: tuple = (), extra_postings: DataFrame | None = None) -> Index:
+                strip_html: tuple = (), extra_postings: DataFrame | None = None,
+                html_attrs: dict[str, list[str]] | None = None) -> Index:
     """Build the searchable tables of one index from a document DataFrame.
 
     ``attrs`` are the attribute columns kept in ``idx.docs`` (default: every non-field column).
+    ``html_attrs`` names tag attributes of the ``strip_html`` fields whose text is indexed too, after the
+    field's own (``HTML_INDEX_ATTRS``: image and link texts).
     """
     fields = tuple([fields] if isinstance(fields, str) else fields)
-    # Tokenizing is CPU work per document: an input read as fewer partitions than the cluster has
-    # task slots (a few large row groups) is spread first. Large inputs already have many splits
-    # and are left as they are (this is a planning-time check, no job runs).
-    slots = docs.sparkSession.sparkContext.defaultParallelism
-    if docs.rdd.getNumPartitions() < slots:
-        docs = docs.repartition(slots)
+    for f in strip_html if html_attrs else ():
+        docs = docs.withColumn(f, F.concat_ws(" ", F.col(f), html_attr_values(F.coalesce(F.col(f), F.lit("")), html_attrs)))
     if attrs is None:
         attrs = [c for c in docs.columns if c not in fields and c != id_col]
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), *attrs)
@@ -201,12 +208,17 @@ def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attr
     p = p.select("term", "doc_id", "field", "pos")
     # words per field from the postings (one small aggregation; no second tokenization pass);
     # fields without words have no row, which neither the document count nor the mean changes
-    lengths = p.where(F.col("field") != "_attrs").groupBy("doc_id", "field").agg(
-        F.count(F.lit(1)).cast("long").alias("len"))
+    lengths = postings_lengths(p)
     return Index(name=name, docs=d, postings=p, lengths=lengths, fields=fields, texts=texts,
                  morphology=morphology)
 
 
+def postings_lengths(postings: DataFrame) -> DataFrame:
+    """``doc_id, field, len``: words per field, attribute words left out."""
+    return postings.where(F.col("field") != "_attrs").groupBy("doc_id", "field").agg(
+        F.count(F.lit(1)).cast("long").alias("len"))
+
+
 def build_postings(docs: DataFrame, fields, id_col: str = "doc_id", **kw) -> DataFrame:
     return build_index("idx", docs, fields, id_col, **kw).postings
 
@@ -234,12 +246,12 @@ def queries_from_column(df: DataFrame, id_col: str, text_col: str, morphology: s
 def queries_from_texts(spark: SparkSession, texts: dict[int, str] | list[tuple[int, str]],
                        morphology: str = "none") -> DataFrame:
     rows = list(texts.items()) if isinstance(texts, dict) else list(texts)
-    df = spark.createDataFrame(rows, "query_id int, text string")
+    df = local_table(spark, rows, "query_id int, text string")
     return queries_from_column(df, "query_id", "text", morphology)
 
 
 def queries_from_terms(spark: SparkSession, rows: list[tuple[int, int, str]]) -> DataFrame:
-    return spark.createDataFrame(rows, QUERY_SCHEMA)
+    return local_table(spark, rows, QUERY_SCHEMA)
 
 
 def normalize_queries(queries: DataFrame, morphology: str = "none") -> DataFrame:
@@ -295,7 +307,8 @@ def attr_tokens(docs: DataFrame, index: str, attrs: list[str], field_name: str =
         dt = docs.schema[a].dataType
         vals = F.col(a) if isinstance(dt, T.ArrayType) else F.array(F.col(a))
         vals = F.filter(vals, lambda v: v.isNotNull())  # a missing value gives no word
-        items.append(F.transform(vals, _attr_word_fn(index, a)))
+        # a missing multi-value attribute gives no word, and takes none from the others
+        items.append(F.coalesce(F.transform(vals, _attr_word_fn(index, a)), F.array().cast("array<string>")))
     return (docs.select(F.col("doc_id"), F.explode(F.flatten(F.array(*items))).alias("term"))
             .where(F.col("term").isNotNull())
             .select("term", "doc_id", F.lit(field_name).alias("field"), F.lit(0).cast("int").alias("pos")))

@@ -1,37 +1,36 @@
 """Matching: which documents satisfy each query of a queries table ``query_id, qpos, term``.
 
 Every function returns ``query_id, doc_id`` (one row per matching document). The queries table is
-joined to the postings by ``term``: broadcast when its row count is proven small, otherwise a
-shuffle join on ``term`` that AQE splits where a frequent word makes a partition skewed.
+joined to the postings by ``term``: broadcast when Spark knows its size in bytes to be small, otherwise
+a shuffle join on ``term`` that AQE splits where a frequent word makes a partition skewed.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.index import Index
-from quarry.plans.sizing import bounded_broadcast, single_partition_if_small
+from quarry.session import local_table
 from quarry.spec import And, Expr, Near, Not, Or, Phrase, Term
 
 
 def _q(queries: DataFrame) -> DataFrame:
-    return bounded_broadcast(queries.select("query_id", "qpos", "term"))
+    return queries.select("query_id", "qpos", "term")
 
 
 def term_hits(idx: Index, queries: DataFrame) -> DataFrame:
     """``query_id, qpos, term, doc_id, field, pos``: every occurrence of every query word."""
-    return idx.postings.join(_q(queries), "term")
+    return idx.postings_for(queries).join(_q(queries), "term")
 
 
 def match_all(idx: Index, queries: DataFrame) -> DataFrame:
     """Documents holding every distinct word of the query (in any field)."""
-    q = single_partition_if_small(queries).select("query_id", "term").distinct()
+    q = queries.select("query_id", "term").distinct()
     q = q.withColumn("n_terms", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
-    q = bounded_broadcast(q)
     # document lists are unique per (term, doc) and q per (query, term): a plain count suffices
     h = idx.lists_for(q).select("term", "doc_id").join(q, "term")
     return (h.groupBy("query_id", "doc_id", "n_terms")
@@ -42,7 +41,7 @@ def match_all(idx: Index, queries: DataFrame) -> DataFrame:
 
 def match_any(idx: Index, queries: DataFrame) -> DataFrame:
     """Documents holding at least one word of the query."""
-    q = bounded_broadcast(single_partition_if_small(queries).select("query_id", "term").distinct())
+    q = queries.select("query_id", "term").distinct()
     return idx.lists_for(q).select("term", "doc_id").join(q, "term").select("query_id", "doc_id").distinct()
 
 
@@ -52,10 +51,10 @@ def match_phrase(idx: Index, queries: DataFrame, field: str | None = None) -> Da
     A phrase of m words starting at position s puts every word on the diagonal ``pos - qpos = s``;
     a diagonal holding all m query positions is a phrase occurrence.
     """
-    q = single_partition_if_small(queries).select("query_id", "qpos", "term")
+    q = queries.select("query_id", "qpos", "term")
     q = q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
-    q = bounded_broadcast(q)
-    p = idx.postings if field is None else idx.postings.where(F.col("field") == field)
+    p = idx.postings_for(q)
+    p = p if field is None else p.where(F.col("field") == field)
     h = p.join(q, "term")
     return (h.groupBy("query_id", "doc_id", "field", (F.col("pos") - F.col("qpos")).alias("diag"), "m")
             .agg(F.count_distinct("qpos").alias("k"))
@@ -65,15 +64,11 @@ def match_phrase(idx: Index, queries: DataFrame, field: str | None = None) -> Da
 
 def match_near(idx: Index, queries: DataFrame, n: int, field: str | None = None) -> DataFrame:
     """All distinct query words inside a span of ``n`` consecutive positions of one field, any order."""
-    q = single_partition_if_small(queries).select("query_id", "term").distinct()
-    q = q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
-    q = bounded_broadcast(q)
-    p = idx.postings if field is None else idx.postings.where(F.col("field") == field)
-    h = p.join(q, "term")
-    w = Window.partitionBy("query_id", "doc_id", "field").orderBy("pos").rangeBetween(0, n - 1)
-    return (h.withColumn("k", F.size(F.collect_set("term").over(w)))
-            .where(F.col("k") == F.col("m"))
-            .select("query_id", "doc_id").distinct())
+    q = queries.select("query_id", "term").distinct()
+    q = q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("query_id"))).withColumn("n", F.lit(n))
+    p = idx.postings_for(q)
+    p = p if field is None else p.where(F.col("field") == field)
+    return _near(p.join(q, "term"), "query_id").select("query_id", "doc_id").distinct()
 
 
 def match_fullscan(idx: Index, query_id: int = 1) -> DataFrame:
@@ -97,71 +92,95 @@ def match(idx: Index, queries: DataFrame | None, mode: str = "all", query_id: in
 # boolean / extended
 
 
-def _leaf_docs(idx: Index, leaf, qid: int) -> DataFrame:
-    """``doc_id`` set of one leaf (phrase or near), as a small query table of its own."""
-    spark = idx.postings.sparkSession
-    rows = [(qid, i, w) for i, w in enumerate(leaf.words)]
-    qt = spark.createDataFrame(rows, "query_id int, qpos int, term string")
-    if isinstance(leaf, Phrase):
-        d = match_phrase(idx, qt, leaf.field)
-    else:
-        d = match_near(idx, qt, leaf.n, leaf.field)
-    return d.select("doc_id")
+def _leaf_hits(idx: Index, leaves: list, spark: SparkSession) -> DataFrame | None:
+    """``doc_id, leaf`` for every document that satisfies leaf number ``leaf`` (a word, phrase or
+    proximity group): one job per kind of leaf, whatever the number of leaves."""
+    words = local_table(spark, [(i, p, w, lf.field) for i, lf in enumerate(leaves) for p, w in enumerate(
+        (lf.word,) if isinstance(lf, Term) else lf.words)], "leaf int, qpos int, term string, want string")
+    parts = []
+
+    def of(kind):
+        at = [i for i, lf in enumerate(leaves) if isinstance(lf, kind)]
+        return at, words.where(F.col("leaf").isin(at))
+
+    at, q = of(Term)
+    plain = q.where("want IS NULL").select("leaf", "term")
+    if any(leaves[i].field is None for i in at):
+        parts.append(idx.lists_for(plain).select("term", "doc_id").join(plain, "term").select("doc_id", "leaf"))
+    if any(leaves[i].field is not None for i in at):
+        limited = q.where("want IS NOT NULL")
+        h = idx.postings_for(limited).join(limited, "term").where(F.col("field") == F.col("want"))
+        parts.append(h.select("doc_id", "leaf").distinct())
+    at, q = of(Phrase)
+    if at:
+        h = _field_hits(idx, q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("leaf"))))
+        parts.append(h.groupBy("leaf", "doc_id", "field", (F.col("pos") - F.col("qpos")).alias("diag"), "m")
+                     .agg(F.count_distinct("qpos").alias("k")).where(F.col("k") == F.col("m"))
+                     .select("doc_id", "leaf").distinct())
+    at, q = of(Near)
+    if at:
+        spans = local_table(spark, [(i, leaves[i].n) for i in at], "leaf int, n int")
+        q = q.select("leaf", "term", "want").distinct().join(spans, "leaf")
+        h = _field_hits(idx, q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("leaf"))))
+        parts.append(_near(h, "leaf").select("doc_id", "leaf").distinct())
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
+
+
+def _field_hits(idx: Index, q: DataFrame) -> DataFrame:
+    h = idx.postings_for(q).join(q, "term")
+    return h.where(F.col("want").isNull() | (F.col("field") == F.col("want")))
+
+
+def _near(h: DataFrame, key: str) -> DataFrame:
+    """Rows (key, doc_id, field) of ``h`` (term, pos, m words, span n) where m distinct words lie within n
+    positions. A field's occurrences are gathered in one array (no window sort over raw rows) and walked
+    once: a group is found when the latest position of its rarest-seen word is within the span."""
+    g = h.groupBy(key, "doc_id", "field", "m", "n").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("at"))
+    last = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
+
+    def step(acc, x):
+        seen = F.map_zip_with(acc["seen"], F.create_map(x["term"], x["pos"]), lambda k, a, b: F.coalesce(b, a))
+        full = (F.size(seen) == F.col("m")) & (x["pos"] - F.array_min(F.map_values(seen)) < F.col("n"))
+        return F.struct(seen.alias("seen"), (acc["found"] | F.coalesce(full, F.lit(False))).alias("found"))
+
+    start = F.struct(last.alias("seen"), F.lit(False).alias("found"))
+    return g.where(F.aggregate("at", start, step, lambda acc: acc["found"])).select(key, "doc_id", "field")
 
 
 def match_boolean(idx: Index, expr: Expr | dict[int, Expr], query_id: int = 1) -> DataFrame:
     """AND / OR / NOT over words (optionally field-limited), phrases and proximity groups.
 
-    One pass over the postings of the plain words gives per-document flags (``bool_or`` per
-    leaf); phrase and near leaves add one flag each from their own diagonal / window job; the
-    expression is then a Column over the flags. A NOT-only expression also needs documents with
-    no hit at all, so those start from the attribute table.
+    One plan for any number of expressions: the distinct leaves of all of them are matched together
+    (``_leaf_hits``), a document's leaves are gathered in one array, and each expression is a condition
+    over that array. An expression that is true without any leaf (NOT only) also takes the documents
+    that hold none, so those join in from the attribute table.
     """
-    if isinstance(expr, dict):
-        parts = [match_boolean(idx, e, qid) for qid, e in expr.items()]
-        return reduce(lambda a, b: a.unionByName(b), parts)
-    leaves = list(dict.fromkeys(expr.leaves()))
-    names = {leaf: f"f{i}" for i, leaf in enumerate(leaves)}
-    terms = [lf for lf in leaves if isinstance(lf, Term)]
-    others = [lf for lf in leaves if not isinstance(lf, Term)]
-
-    flags = None
-    if terms:
-        words = sorted({t.word for t in terms})
-        # field-limited words need the postings; plain words read the document lists
-        if any(t.field is not None for t in terms):
-            h = idx.postings.where(F.col("term").isin(words)).select("doc_id", "term", "field")
-        else:
-            spark = idx.postings.sparkSession
-            h = idx.lists_for(spark.createDataFrame([(w,) for w in words], "term string")).select("doc_id", "term")
-        aggs = []
-        for t in terms:
-            cond = F.col("term") == t.word
-            if t.field is not None:
-                cond = cond & (F.col("field") == t.field)
-            aggs.append(F.bool_or(cond).alias(names[t]))
-        flags = h.groupBy("doc_id").agg(*aggs)
-    for lf in others:
-        d = _leaf_docs(idx, lf, query_id).withColumn(names[lf], F.lit(True))
-        flags = d if flags is None else flags.join(d, "doc_id", "full_outer")
-
-    empty_matches = expr.evaluate({lf: False for lf in leaves})
-    if empty_matches:
-        base = idx.docs.select("doc_id")
-        flags = base if flags is None else base.join(flags, "doc_id", "left")
-
-    def col_of(e: Expr):
+    spark = idx.postings.sparkSession
+    exprs = expr if isinstance(expr, dict) else {query_id: expr}
+    leaves = list(dict.fromkeys(lf for e in exprs.values() for lf in e.leaves()))
+    number = {lf: i for i, lf in enumerate(leaves)}
+    hits = _leaf_hits(idx, leaves, spark)
+    empty = F.array().cast("array<int>")
+    docs = (idx.docs.select("doc_id", empty.alias("held")) if hits is None else
+            hits.groupBy("doc_id").agg(F.collect_set("leaf").alias("held")))
+    if hits is not None and any(e.evaluate({lf: False for lf in leaves}) for e in exprs.values()):
+        docs = (idx.docs.select("doc_id").join(docs, "doc_id", "left")
+                .select("doc_id", F.coalesce("held", empty).alias("held")))
+
+    def holds(e: Expr):
         if isinstance(e, (Term, Phrase, Near)):
-            return F.coalesce(F.col(names[e]), F.lit(False))
+            return F.array_contains("held", number[e])
         if isinstance(e, And):
-            return reduce(lambda a, b: a & b, [col_of(p) for p in e.parts])
+            return reduce(lambda a, b: a & b, [holds(p) for p in e.parts])
         if isinstance(e, Or):
-            return reduce(lambda a, b: a | b, [col_of(p) for p in e.parts])
+            return reduce(lambda a, b: a | b, [holds(p) for p in e.parts])
         if isinstance(e, Not):
-            return ~col_of(e.part)
+            return ~holds(e.part)
         raise TypeError(e)
 
-    return flags.where(col_of(expr)).select(F.lit(query_id).cast("int").alias("query_id"), "doc_id")
+    true = F.array_compact(F.array(*[F.when(holds(e), F.lit(qid).cast("int")) for qid, e in exprs.items()]))
+    return docs.select(F.explode(true).alias("query_id"), "doc_id")
 
 
 match_extended = match_boolean
@@ -186,7 +205,7 @@ def main_delta(main: Index, delta: Index) -> Index:
     texts = None
     if main.texts is not None and delta.texts is not None:
         texts = keep(main.texts).unionByName(delta.texts)
-    return Index(
+    return MergedIndex(
         name=main.name,
         docs=keep(main.docs).unionByName(delta.docs, allowMissingColumns=True),
         postings=keep(main.postings).unionByName(delta.postings),
@@ -194,4 +213,23 @@ def main_delta(main: Index, delta: Index) -> Index:
         fields=main.fields,
         texts=texts,
         morphology=main.morphology,
+        parts=(main, delta),
     )
+
+
+@dataclass
+class MergedIndex(Index):
+    """Main + delta. A search narrows each part to its words first (a stored main reads only their
+    buckets and uses its document lists), then drops the documents that the delta replaces."""
+
+    parts: tuple[Index, ...] = ()
+
+    def _both(self, table) -> DataFrame:
+        main, delta = self.parts
+        return table(main).join(delta.docs.select("doc_id"), "doc_id", "left_anti").unionByName(table(delta))
+
+    def postings_for(self, terms: DataFrame) -> DataFrame:
+        return self._both(lambda part: part.postings_for(terms))
+
+    def lists_for(self, terms: DataFrame) -> DataFrame:
+        return self._both(lambda part: part.lists_for(terms))

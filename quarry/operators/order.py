@@ -1,12 +1,13 @@
 """Sorting, limits and paging, always per query (``query_id``) and always with a ``doc_id`` tie-break.
 
 Top-k is a ``row_number()`` over ``partitionBy(query_id)`` filtered to the page, which Spark plans
-as WindowGroupLimit (a per-partition top-k before the shuffle), or ``orderBy().offset().limit()``
-(TakeOrderedAndProject) for one query. Never a full global sort.
+as WindowGroupLimit (a per-partition top-k before the shuffle). Never a full global sort.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,21 @@ SPECIAL = {"@id": "doc_id", "@weight": "weight", "@rank": "weight", "@relevance"
            "@group": "group", "@count": "count", "@distinct": "distinct"}
 
 
+# ---- fixed values: sort attribute when none is given, by index name ----
+DEFAULT_SORT = (("entry", "authored_on"), ("tag", "entry_count"))
+OTHER_SORT = "created_on"
+
+
+def default_sort(index: str) -> str:
+    """The attribute an attribute sort falls back to: the first listed word found in the index name(s)."""
+    return next((attr for word, attr in DEFAULT_SORT if re.search(rf"\b{word}\b", index)), OTHER_SORT)
+
+
+def special_names(clause: str) -> str:
+    """``@weight``, ``@id`` and the like in an expression as the columns they stand for."""
+    return re.sub(r"@\w+", lambda m: SPECIAL.get(m[0].lower(), m[0]), clause)
+
+
 def relevance_keys() -> list[Column]:
     return [F.col("weight").desc(), F.col("doc_id").asc()]
 
@@ -50,7 +66,7 @@ def sort_pairs(mode: str = "relevance", by: str = "", as_of: str | None = None)
         if any(n == "doc_id" for n, _ in keys):
             return pairs
     elif mode == "expr":
-        pairs = [(F.expr(by), False)]
+        pairs = [(F.expr(special_names(by)), False)]
     else:
         raise ValueError(f"unknown sort mode {mode!r}")
     return pairs + [(F.col("doc_id"), True)]
@@ -71,12 +87,17 @@ def segment_col(attr: str, as_of: str | None) -> Column:
 
 
 def limits(offset: int = 0, limit: int = DEFAULT_LIMIT, max_matches: int | None = None,
-           page: int | None = None) -> tuple[int, int, int]:
+           page: int | None = None, released: Column | None = None) -> tuple[int, int, int | Column]:
     """Effective (offset, limit, max): offset from page when only a page is given; a window that
-    reaches past max widens max to offset + 2 * limit."""
+    reaches past max widens max to offset + 2 * limit. A negative max stands for ``released``, the number
+    of released documents (a column, counted with the query)."""
     if page and not offset:
         offset = limit * (int(page) - 1)
     mx = DEFAULT_MAX_MATCHES if max_matches is None else max_matches
+    if mx < 0:
+        if released is None:
+            raise ValueError("a negative max_matches needs the number of released documents")
+        return offset, limit, F.when(released <= offset + limit, F.lit(offset + 2 * limit)).otherwise(released)
     if offset + limit >= mx:
         mx = offset + 2 * limit
     return offset, limit, mx
@@ -90,11 +111,6 @@ def top_per_query(hits: DataFrame, keys: list[Column], offset: int = 0, limit: i
             .where((F.col(rank_col) > offset) & (F.col(rank_col) <= offset + limit)))
 
 
-def top_single(hits: DataFrame, keys: list[Column], offset: int = 0, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """One query: ``orderBy().offset().limit()``, planned as one TakeOrderedAndProject."""
-    return hits.orderBy(*keys).offset(offset).limit(limit)
-
-
 def cutoff(hits: DataFrame, n: int) -> DataFrame:
     """Stop after ``n`` matches per query (0 = off); the first ``n`` by doc id so results repeat."""
     if not n:
@@ -103,10 +119,15 @@ def cutoff(hits: DataFrame, n: int) -> DataFrame:
     return hits.withColumn("_c", F.row_number().over(w)).where(F.col("_c") <= n).drop("_c")
 
 
-def result_totals(hits: DataFrame, max_matches: int = DEFAULT_MAX_MATCHES) -> DataFrame:
+def capped(total: str, max_matches: int | Column) -> Column:
+    mx = max_matches if isinstance(max_matches, Column) else F.lit(max_matches)
+    return F.least(F.col(total), mx.cast("long"))
+
+
+def result_totals(hits: DataFrame, max_matches: int | Column = DEFAULT_MAX_MATCHES) -> DataFrame:
     """``query_id, total_found, total``: all matches, and matches kept (at most ``max_matches``)."""
     return (hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("total_found"))
-            .withColumn("total", F.least(F.col("total_found"), F.lit(max_matches).cast("long"))))
+            .withColumn("total", capped("total_found", max_matches)))
 
 
 def page_table(totals: DataFrame, limit: int, current: int | None = None, lastn: int = 0) -> DataFrame:

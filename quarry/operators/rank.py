@@ -14,11 +14,10 @@ table), then joined to the matched pairs:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.index import Index
-from quarry.plans.sizing import bounded_broadcast, single_partition_if_small
 from quarry.spec import BM25_B, BM25_K1
 
 
@@ -30,14 +29,9 @@ def field_weight_col(field_weights: dict | None, field_col: str = "field") -> Co
     return F.coalesce(F.element_at(m, F.col(field_col)), F.lit(1))
 
 
-def positional_weights(fields: tuple[str, ...], weights: list[int]) -> dict:
-    """Deprecated positional form: weights in field order."""
-    return {f: w for f, w in zip(fields, weights)}
-
-
 def _hits(idx: Index, queries: DataFrame) -> DataFrame:
-    q = bounded_broadcast(queries.select("query_id", "qpos", "term"))
-    return idx.postings.join(q, "term")
+    q = queries.select("query_id", "qpos", "term")
+    return idx.postings_for(q).join(q, "term")
 
 
 def idf_table(idx: Index, queries: DataFrame) -> DataFrame:
@@ -47,11 +41,11 @@ def idf_table(idx: Index, queries: DataFrame) -> DataFrame:
     the document lists of the query words are counted (a hot word costs one row per document)."""
     n_docs, _ = idx.stats()
     if idx._vocab is not None:
-        t = bounded_broadcast(queries.select("term").distinct())
-        df = idx._vocab.join(t, "term", "left_semi").select("term", F.col("docs").alias("n"))
+        t = queries.select("term").distinct()
+        df = idx.vocabulary().join(t, "term", "left_semi").select("term", F.col("docs").alias("n"))
     else:
         df = idx.lists_for(queries).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return df.select("term", F.log(1 + (F.lit(n_docs) - F.col("n") + 0.5) / (F.col("n") + 0.5)).alias("idf"))
+    return df.select("term", F.log(1 + (n_docs - F.col("n") + 0.5) / (F.col("n") + 0.5)).alias("idf"))
 
 
 def bm25_scores(idx: Index, queries: DataFrame) -> DataFrame:
@@ -60,74 +54,48 @@ def bm25_scores(idx: Index, queries: DataFrame) -> DataFrame:
     qt = queries.select("query_id", "term").distinct()
     idf = idf_table(idx, queries)
     # document lists: one row per (term, doc) with its count, joined to the queries' words
-    tf = idx.lists_for(qt).join(bounded_broadcast(qt), "term").select("query_id", "doc_id", "term", "tf")
+    tf = idx.lists_for(qt).join(qt, "term").select("query_id", "doc_id", "term", "tf")
     dl = idx.doc_lengths()
     k1, b = BM25_K1, BM25_B
     # a document with no text words (only attribute words) keeps its row, scored 0
     s = (tf.join(idf, "term").join(dl, "doc_id", "left")
          .withColumn("part", F.when(F.col("dl").isNull(), F.lit(0.0)).otherwise(
              F.col("idf") * F.col("tf") * (k1 + 1)
-             / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl)))))
+             / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl))))
          .groupBy("query_id", "doc_id").agg(F.sum("part").alias("bm25")))
     sum_idf = qt.join(idf, "term", "left").groupBy("query_id").agg(
         F.sum(F.coalesce("idf", F.lit(0.0))).alias("sum_idf"))
     return s.join(sum_idf, "query_id")
 
 
-MASK_BITS = 62  # query positions that fit a 64-bit mask (the window form handles longer queries)
+def _longest_run(marks: Column) -> Column:
+    """Longest run of neighbouring (diag, qpos) pairs in a sorted array: qpos grows by one on one diagonal."""
+    start = F.struct(F.lit(None).cast("int").alias("d"), F.lit(-1).alias("q"), F.lit(0).alias("run"), F.lit(0).alias("best"))
 
+    def step(acc, x):
+        run = F.when((acc["d"] == x["diag"]) & (x["qpos"] == acc["q"] + 1), acc["run"] + 1).otherwise(F.lit(1))
+        return F.struct(x["diag"].alias("d"), x["qpos"].alias("q"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
 
-def _longest_run(mask: Column) -> Column:
-    """Longest run of consecutive 1-bits of a long: ``m &= m >> 1`` until zero, counted. The run
-    cannot be longer than the number of set bits, so that bounds the loop."""
-    steps = F.sequence(F.lit(1), F.greatest(F.bit_count(mask), F.lit(1)))
-    init = F.struct(mask.alias("m"), F.lit(0).alias("r"))
-    out = F.aggregate(steps, init, lambda acc, _: F.when(
-        acc["m"] == 0, acc).otherwise(F.struct((acc["m"].bitwiseAND(F.shiftright(acc["m"], 1))).alias("m"),
-                                               (acc["r"] + 1).alias("r"))))
-    return out["r"]
+    return F.aggregate(marks, start, step, lambda acc: acc["best"])
 
 
 def lcs_per_field(idx: Index, queries: DataFrame) -> DataFrame:
     """``query_id, doc_id, field, lcs, n_words, hits``: longest in-order run of query words per field.
 
-    Every occurrence lies on the diagonal ``pos - qpos``; a phrase run is a run of consecutive
-    query positions on one diagonal. Per diagonal the query positions are OR-ed into a bit mask
-    (a hash aggregation with map-side combine, no sort), its longest run of 1-bits is the run
-    length, and its popcount the number of occurrences. Words are OR-ed into a second mask for the
-    number of distinct words. Queries longer than 62 words use the window (gaps-and-islands) form.
+    Every occurrence lies on the diagonal ``pos - qpos``; a phrase run is a run of consecutive query
+    positions on one diagonal. One aggregation gathers a field's (diagonal, query position) pairs (as
+    many as it has occurrences of query words, partly combined before the exchange); the run, the number
+    of occurrences and the number of distinct words all come from that array. Queries of any length take
+    the same path.
     """
-    qmax = queries.agg(F.max("qpos")).first()[0]
-    if qmax is not None and qmax >= MASK_BITS:
-        return _lcs_window(idx, queries)
-    q = queries.select("query_id", "qpos", "term").withColumn(
-        "tidx", F.dense_rank().over(Window.partitionBy("query_id").orderBy("term")) - 1)
-    # hashed on (query, document) once: both aggregations below and the join with the BM25 scores
-    # (same keys) need no further exchange of occurrence rows
-    h = idx.postings.join(bounded_broadcast(q), "term").repartition("query_id", "doc_id")
-    # the SQL form of shiftleft takes a column as the shift count
-    d = (h.groupBy("query_id", "doc_id", "field", (F.col("pos") - F.col("qpos")).alias("diag"))
-         .agg(F.bit_or(F.expr("shiftleft(cast(1 as bigint), qpos)")).alias("qmask"),
-              F.bit_or(F.expr(f"shiftleft(cast(1 as bigint), least(tidx, {MASK_BITS}))")).alias("tmask")))
-    return (d.groupBy("query_id", "doc_id", "field")
-            .agg(F.max(_longest_run(F.col("qmask"))).cast("long").alias("lcs"),
-                 F.sum(F.bit_count("qmask")).cast("long").alias("hits"),
-                 F.bit_or("tmask").alias("_tm"))
-            .withColumn("n_words", F.bit_count("_tm").cast("long")).drop("_tm"))
-
-
-def _lcs_window(idx: Index, queries: DataFrame) -> DataFrame:
-    """Gaps and islands with a window: island = qpos - row_number() on each diagonal."""
-    h = _hits(idx, queries)
-    diag = F.col("pos") - F.col("qpos")
-    w = Window.partitionBy("query_id", "doc_id", "field", "diag").orderBy("qpos")
-    runs = (h.withColumn("diag", diag)
-            .withColumn("island", F.col("qpos") - F.row_number().over(w))
-            .groupBy("query_id", "doc_id", "field", "diag", "island").agg(F.count(F.lit(1)).alias("run")))
-    lcs = runs.groupBy("query_id", "doc_id", "field").agg(F.max("run").alias("lcs"))
-    cnt = h.groupBy("query_id", "doc_id", "field").agg(
-        F.count(F.lit(1)).alias("hits"), F.count_distinct("term").alias("n_words"))
-    return lcs.join(cnt, ["query_id", "doc_id", "field"])
+    q = queries.select("query_id", "qpos", "term")
+    first = q.groupBy("query_id", "term").agg(F.min("qpos").alias("word"))
+    h = idx.postings_for(q).join(q.join(first, ["query_id", "term"]), "term")
+    g = h.groupBy("query_id", "doc_id", "field").agg(F.array_sort(F.collect_list(F.struct(
+        (F.col("pos") - F.col("qpos")).alias("diag"), "qpos", "word"))).alias("marks"))
+    return g.select("query_id", "doc_id", "field", _longest_run(F.col("marks")).cast("long").alias("lcs"),
+                    F.size("marks").cast("long").alias("hits"),
+                    F.size(F.array_distinct(F.transform("marks", lambda x: x["word"]))).cast("long").alias("n_words"))
 
 
 def rank(idx: Index, queries: DataFrame | None, matched: DataFrame | None, ranker: str = "proximity_bm25",
@@ -137,8 +105,6 @@ def rank(idx: Index, queries: DataFrame | None, matched: DataFrame | None, ranke
     ``matched=None`` stands for the any-word match set. Every ranker below scores exactly the
     (query, document) pairs holding at least one query word, so that set is the score table
     itself: no separate match pass and no join back."""
-    if queries is not None:
-        queries = single_partition_if_small(queries)
     if queries is None or ranker == "none":
         if matched is None:
             from quarry.operators.match import match_any

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import words as word_array
-from quarry.operators.order import split_select
-from quarry.plans.sizing import LOOKUP_ROWS_BOUND, bounded_broadcast
+from quarry.operators.order import special_names, split_select
 
 # ---- fixed values: excerpt defaults (reference client and plugin settings) ----
 KWIC_AROUND = 9
@@ -17,22 +16,23 @@ EXCERPT_AFTER = "</b>"
 EXCERPT_SEPARATOR = " ... "
 EXCERPT_LIMIT = 256
 EXCERPT_AROUND = 5
-RESULT_INDEX_WIDTH = 4
+RESULT_INDEX_FORMAT = "%04d"
 
 
 def select_list(hits: DataFrame, clause: str = "*") -> DataFrame:
     """SQL-like list of attributes and expressions, e.g. ``'doc_id, weight * 2 AS w2'``."""
     if not clause or clause.strip() == "*":
         return hits
-    return hits.selectExpr(*split_select(clause))
+    return hits.selectExpr(*split_select(special_names(clause)))
 
 
 def override_attr(hits: DataFrame, attr: str, values: DataFrame) -> DataFrame:
     """Replace ``attr`` for the documents listed in ``values`` (doc_id, value); others unchanged.
 
-    Apply before filters and sorting so both see the overridden value.
+    Apply before filters and sorting so both see the overridden value. An id listed twice takes its
+    largest value.
     """
-    v = bounded_broadcast(values.select("doc_id", F.col("value").alias("_ov")), LOOKUP_ROWS_BOUND)
+    v = values.groupBy("doc_id").agg(F.max("value").alias("_ov"))
     dt = hits.schema[attr].dataType
     return (hits.join(v, "doc_id", "left")
             .withColumn(attr, F.coalesce(F.col("_ov").cast(dt), F.col(attr))).drop("_ov"))
@@ -42,9 +42,11 @@ def update_attributes(docs: DataFrame, changes: DataFrame, attrs: list[str]) ->
     """Apply ``changes`` (doc_id + new values of ``attrs``) to the attribute table.
 
     Returns (new docs, one-row DataFrame ``updated`` = number of documents really changed). Arrays
-    are replaced whole. Unknown ids are ignored, as the reference does.
+    are replaced whole. Unknown ids are ignored, as the reference does. An id listed twice is one
+    change, the largest of its rows.
     """
-    ch = changes.select("doc_id", *[F.col(a).alias(f"_new_{a}") for a in attrs]).withColumn("_hit", F.lit(True))
+    one = changes.groupBy("doc_id").agg(F.max(F.struct(*attrs)).alias("_new"))
+    ch = one.select("doc_id", *[F.col(f"_new.{a}").alias(f"_new_{a}") for a in attrs]).withColumn("_hit", F.lit(True))
     j = docs.join(ch, "doc_id", "left")
     out = j
     for a in attrs:
@@ -58,8 +60,8 @@ def update_attributes(docs: DataFrame, changes: DataFrame, attrs: list[str]) ->
 def hydrate(hits: DataFrame, rows: DataFrame, rows_id: str = "id", order: list[Column] | None = None) -> DataFrame:
     """Match ids -> full source rows, in rank order; ids without a row are dropped.
 
-    ``result_index`` is the zero-padded running number within each query (the key to restore the
-    match order later). Run it after the page limit: the join is then on a bounded page.
+    ``result_index`` is the running number within each query, padded with zeros to four digits and never
+    cut (the key to restore the match order later). Run it after the page limit: the join is then on a bounded page.
     """
     order = order or [F.col("weight").desc(), F.col("doc_id").asc()]
     r = rows.withColumnRenamed(rows_id, "doc_id") if rows_id != "doc_id" else rows
@@ -67,24 +69,26 @@ def hydrate(hits: DataFrame, rows: DataFrame, rows_id: str = "id", order: list[C
     r = r.drop(*dup)
     j = hits.join(r, "doc_id", "inner")
     w = Window.partitionBy("query_id").orderBy(*order)
-    return j.withColumn("result_index", F.lpad((F.row_number().over(w) - 1).cast("string"), RESULT_INDEX_WIDTH, "0"))
+    return j.withColumn("result_index", F.format_string(RESULT_INDEX_FORMAT, F.row_number().over(w) - 1))
 
 
 # ---------------------------------------------------------------------------------------------
 # excerpts
 
 
+def _positions(toks: Column) -> Column:
+    """1, 2, ... up to the number of words; no position for a text without words."""
+    return F.transform(toks, lambda _, i: i + 1)
+
+
 def _phrase_starts(toks: Column, phrase: list[str]) -> Column:
     """1-based start positions of the phrase in a token array column (a plain column reference:
     inside lambdas an expression would be evaluated again for every element)."""
     m = len(phrase)
     target = F.array(*[F.lit(w) for w in phrase])
     if m == 1:
-        return F.filter(F.sequence(F.lit(1), F.greatest(F.size(toks), F.lit(1))),
-                        lambda i: F.element_at(toks, i) == F.lit(phrase[0]))
-    n = F.size(toks) - m + 1
-    return F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                    lambda i: (n >= 1) & (F.slice(toks, i, m) == target))
+        return F.filter(_positions(toks), lambda i: F.element_at(toks, i) == F.lit(phrase[0]))
+    return F.filter(_positions(toks), lambda i: F.slice(toks, i, m) == target)
 
 
 def with_kwic(df: DataFrame, text_col: str, phrase: list[str], out_col: str, around: int = KWIC_AROUND,
@@ -139,9 +143,13 @@ def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str
     ``exact_phrase``); each hit opens a window of ``around`` words either side; overlapping or
     touching windows merge into one passage. Passages are joined by ``separator`` in text order
     (or by number of hits with ``weight_order``; ``single_passage`` keeps the best one) and added
-    while the result stays within ``limit`` characters; a first passage that is too long is cut.
+    while the result stays within ``limit`` characters; a first passage that is too long loses whole words
+    from its end. NULL when there is no hit (an empty text has none).
+
+    Passages are islands of the sorted hit positions: a hit opens one when it is further than two
+    windows from the hit before, so the work grows with the number of hits, not with their square.
     """
-    t, hp, sp = f"_{out_col}_toks", f"_{out_col}_hits", f"_{out_col}_spans"
+    t, hp, at = f"_{out_col}_toks", f"_{out_col}_hits", f"_{out_col}_at"
     d = df.withColumn(t, word_array(F.col(text_col)))
     toks = F.col(t)
     kws = F.array(*[F.lit(w) for w in keywords])
@@ -150,40 +158,47 @@ def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str
         d = d.withColumn(hp, _phrase_starts(toks, keywords))
         d = d.withColumn(hp, F.flatten(F.transform(F.col(hp), lambda s0: F.sequence(s0, s0 + (m - 1)))))
     else:
-        d = d.withColumn(hp, F.filter(F.sequence(F.lit(1), F.greatest(F.size(toks), F.lit(1))),
-                                      lambda i: F.array_contains(kws, F.element_at(toks, i))))
+        d = d.withColumn(hp, F.filter(_positions(toks), lambda i: F.array_contains(kws, F.element_at(toks, i))))
     d = d.withColumn(hp, F.array_sort(F.array_distinct(F.col(hp))))
-    hit_pos = F.col(hp)
-    empty = F.array().cast("array<struct<s:int,e:int,n:int>>")
-
-    def merge(acc, p):
-        last = F.element_at(acc, -1)
-        fresh = F.array_append(acc, F.struct((p - around).alias("s"), (p + around).alias("e"), F.lit(1).alias("n")))
-        grown = F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                         F.array(F.struct(last["s"].alias("s"), (p + around).alias("e"), (last["n"] + 1).alias("n"))))
-        return F.when((F.size(acc) == 0) | (p - around > last["e"] + 1), fresh).otherwise(grown)
-
-    spans = F.aggregate(hit_pos, empty, merge)
+    hits = F.col(hp)
+    # indexes (from 1) of the hits that open a passage, and one past the last hit
+    opens = F.filter(_positions(hits), lambda i: (i == 1) | (
+        F.element_at(hits, i) - F.element_at(hits, F.greatest(i - 1, F.lit(1))) > 2 * around + 1))
+    d = d.withColumn(at, F.concat(opens, F.array(F.size(hits) + 1)))
+    ends = F.col(at)
+    spans = F.transform(F.slice(ends, 1, F.size(ends) - 1), lambda i, k: F.struct(
+        (i - F.element_at(ends, k + 2)).alias("k"), F.element_at(hits, i).alias("first"),
+        F.slice(hits, i, F.element_at(ends, k + 2) - i).alias("own")))  # k: minus the number of hits
     if weight_order or single_passage:
-        spans = F.array_sort(spans, lambda a, b: F.when(a["n"] > b["n"], -1).when(a["n"] < b["n"], 1)
-                             .when(a["s"] < b["s"], -1).when(a["s"] > b["s"], 1).otherwise(0))
+        spans = F.array_sort(spans)
     if single_passage:
         spans = F.slice(spans, 1, 1)
-    d = d.withColumn(sp, spans)
-
-    def passage(span):
-        st0 = F.greatest(span["s"], F.lit(1))
-        ln = F.least(span["e"], F.size(toks)) - st0 + 1
-        idx = F.sequence(st0, st0 + ln - 1)
-        return F.array_join(F.transform(idx, lambda i: F.when(
-            F.array_contains(hit_pos, i), F.concat(F.lit(before), F.element_at(toks, i), F.lit(after)))
-            .otherwise(F.element_at(toks, i))), " ")
-
-    passages = F.transform(F.col(sp), passage)
-    joined = F.aggregate(passages, F.lit(""), lambda acc, p: F.when(acc == "", p).when(
+
+    def marked(span):
+        lo = F.greatest(span["first"] - around, F.lit(1))
+        hi = F.least(F.element_at(span["own"], -1) + around, F.size(toks))
+        return F.transform(F.sequence(lo, hi), lambda i: F.when(
+            F.array_contains(span["own"], i), F.concat(F.lit(before), F.element_at(toks, i), F.lit(after)))
+            .otherwise(F.element_at(toks, i)))
+
+    def fit(words):
+        """The longest head of the words that fits the limit."""
+        start = F.struct(F.lit("").alias("s"), F.lit(True).alias("open"))
+
+        def step(acc, w):
+            longer = F.when(acc["s"] == "", w).otherwise(F.concat(acc["s"], F.lit(" "), w))
+            ok = acc["open"] & (F.length(longer) <= limit)
+            return F.struct(F.when(ok, longer).otherwise(acc["s"]).alias("s"), ok.alias("open"))
+
+        return F.aggregate(words, start, step, lambda acc: acc["s"])
+
+    pw = f"_{out_col}_words"
+    d = d.withColumn(pw, F.transform(spans, marked))
+    rest = F.transform(F.slice(F.col(pw), 2, F.greatest(F.size(pw) - 1, F.lit(0))), lambda w: F.array_join(w, " "))
+    joined = F.aggregate(rest, fit(F.try_element_at(F.col(pw), F.lit(1))), lambda acc, p: F.when(
         F.length(acc) + len(separator) + F.length(p) <= limit, F.concat(acc, F.lit(separator), p)).otherwise(acc))
-    d = d.withColumn(out_col, F.when(F.size(F.col(sp)) > 0, F.substring(joined, 1, limit)))
-    return d.drop(t, hp, sp)
+    d = d.withColumn(out_col, F.when(F.size(hits) > 0, joined))
+    return d.drop(t, hp, at, pw)
 
 
 def build_excerpts(texts: DataFrame, field: str, keywords: list[str], **opts) -> DataFrame:

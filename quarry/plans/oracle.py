@@ -28,7 +28,7 @@ def values_sql(rows: list[tuple], cols: str) -> str:
 
 
 CORPUS = (
-    "corpus AS (SELECT doc_id, substring(text, 1, 60) AS title, text AS body, lang, source, "
+    "corpus AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, text AS body, lang, source, "
     f"doc_id % {N_AUTHORS} AS author_id, "
     f"TIMESTAMP '{CORPUS_EPOCH}' + to_hours(CAST(doc_id AS INTEGER)) AS created_on, "
     "radians(doc_id % 180 - 90) AS lat, radians(doc_id % 360 - 180) AS long FROM documents)"

@@ -11,12 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators import index as ix
 from quarry.operators import match as mt
 from quarry.operators import order as od
 from quarry.operators import rank as rk
 from quarry.plans import oracle as o
+from quarry.session import local_table, scratch_path
+from quarry.sources import docset as ds
+from quarry.sources import index_io as io
 from quarry.sources import standins as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,8 +52,6 @@ Q_RUN = [(1, 0, "of"), (1, 1, "the"), (1, 2, "and")]
 
 QV = lambda rows: f"qv AS {o.values_sql(rows, 'query_id, qpos, term')}"
 
-_INDEX_CACHE: dict = {}
-
 
 def corpus_index(spark: SparkSession, sf_dir: str, **kw) -> ix.Index:
     """The entry index over the corpus stand-in: fields title and body."""
@@ -385,7 +387,7 @@ STOP = ["the", "of", "and", "in", "en"]
 WHERE term NOT IN ({", ".join(repr(w) for w in STOP)}) GROUP BY doc_id, field""")
 def q_stopwords(spark, sf):
     st.prep(spark)
-    stop = spark.createDataFrame([(w,) for w in STOP], "term string")
+    stop = local_table(spark, [(w,) for w in STOP], "term string")
     p = ix.stopwords(ix.tokenize(st.corpus(spark, sf), ("title", "body")), stop)
     return p.groupBy("doc_id", "field").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").cast("long").alias("pos_sum"))
 
@@ -772,8 +774,10 @@ def q_search_main_delta(spark, sf):
     st.prep(spark)
     attrs = ["lang", "source", "author_id", "created_on"]
     main = ix.build_index("entry", st.corpus(spark, sf), ("title", "body"), "doc_id", attrs=attrs)
+    path = scratch_path(spark, "main-index")
+    io.write_index(main, path)
     delta = ix.build_index("entry_delta", delta_docs(spark, sf), ("title", "body"), "doc_id", attrs=attrs)
-    idx = mt.main_delta(main, delta)
+    idx = mt.main_delta(io.read_index(spark, path), delta)  # as in production: a stored main, a fresh delta
     q = qtable(spark, Q_TERMS)
     return rk.rank(idx, q, mt.match_all(idx, q), "wordcount").select("query_id", "doc_id", "weight")
 
@@ -1053,11 +1057,8 @@ WHERE p.p_partkey IN (SELECT tag_id FROM ok)""")
 def q_tag_cloud_category(spark, sf):
     cats = st.categories(spark, sf)
     pairs = lk.tag_category_pairs(st.tags(spark, sf), st.object_tags(spark, sf), st.placements(spark, sf))
-    ids = cats.where(F.col("basename") == "building").select("id")
-    # category ids resolved by a semi join, not a driver-side list
-    pairs = pairs.join(ids.withColumnRenamed("id", "category_id"), "category_id", "left_semi")
-    return gr.tag_cloud(st.tags(spark, sf), st.object_tags(spark, sf), "entry", pairs=pairs,
-                        category_ids=None).join(pairs.select("tag_id").distinct(), "tag_id", "left_semi").select(
+    ids = cats.where(F.col("basename") == "building").select(F.col("id").alias("category_id"))
+    return gr.tag_cloud(st.tags(spark, sf), st.object_tags(spark, sf), "entry", pairs=pairs, category_ids=ids).select(
         "tag_id", "name", "entry_count")
 
 
@@ -1164,10 +1165,6 @@ def q_build_excerpts_options(spark, sf):
 # =============================================================================================
 # 1.14-1.17 docsets and index files
 
-from quarry.session import scratch_path  # noqa: E402
-from quarry.sources import docset as ds  # noqa: E402
-from quarry.sources import index_io as io  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
 
 @register("write_docset", f"""WITH {ENTRIES_SQL} SELECT doc_id, author_id, o_orderstatus, CAST(epoch(o_orderdate) AS BIGINT) AS o_orderdate,
@@ -1202,7 +1199,7 @@ def q_read_docset(spark, sf):
 def _stored_index(spark, sf):
     idx = corpus_index(spark, sf)
     path = scratch_path(spark, "index-entry")
-    io.write_index(idx, path, n_buckets=16, spread=2)
+    io.write_index(idx, path, n_buckets=16)
     return io.read_index(spark, path)
 
 
@@ -1215,7 +1212,7 @@ def q_write_index(spark, sf):
 def q_read_index(spark, sf):
     stored = _stored_index(spark, sf)
     q = qtable(spark, Q_TERMS)
-    return mt.match_all(stored.pruned(q), q)
+    return mt.match_all(stored, q)
 
 
 # =============================================================================================
@@ -1227,7 +1224,7 @@ from quarry.streaming import delta as sd  # noqa: E402
 def _corpus_from_batch(batch: DataFrame) -> DataFrame:
     """Stand-in columns for a micro-batch of ``documents`` rows (same as ``standins.corpus``)."""
     return batch.select(
-        "doc_id", F.substring("text", 1, 60).alias("title"), F.col("text").alias("body"), "lang", "source",
+        "doc_id", F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("body"), "lang", "source",
         (F.col("doc_id") % st.N_AUTHORS).alias("author_id"))
 
 
@@ -1253,26 +1250,28 @@ def q_stream_compact(spark, sf):
     attrs = ["lang", "source", "author_id", "created_on"]
     main = ix.build_index("entry", st.corpus(spark, sf), ("title", "body"), "doc_id", attrs=attrs)
     delta = ix.build_index("entry_delta", delta_docs(spark, sf), ("title", "body"), "doc_id", attrs=attrs)
-    merged = sd.compact(main, delta, scratch_path(spark, "compact"))
-    return merged.vocabulary()
+    once = sd.compact(main, delta, scratch_path(spark, "compact"))
+    return sd.compact(once, delta, scratch_path(spark, "compact-again")).vocabulary()  # main is a stored index now
 
 
-@register("stream_dedup", """SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events)
-GROUP BY user_id, event_type""")
+@register("stream_dedup", """SELECT user_id, event_type, epoch_us(ts) AS ts_us, event_id, value, props FROM (SELECT *, row_number() OVER (
+ PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC, value DESC, props DESC) AS r FROM events) WHERE r = 1""")
 def q_stream_dedup(spark, sf):
+    """Three batches: the first and second half of the events, then the oldest day again, too late."""
     st.prep(spark)
-    schema = st.table(spark, sf, "events").schema
-    s = sd.read_stream(spark, sf, schema, glob="events.parquet")
-    d = sd.stream_dedup(s, ["user_id", "event_type"], "ts")
+    ev = st.table(spark, sf, "events")
+    src = scratch_path(spark, "dedup-source")
+    lo, hi = (ev.agg(f("ts")).scalar() for f in (F.min, F.max))
+    mid = F.timestamp_seconds((F.unix_timestamp(lo) + F.unix_timestamp(hi)) / 2).cast("timestamp_ntz")
+    day = F.make_dt_interval(F.lit(1))
+    for part in (F.col("ts") < mid, F.col("ts") >= mid, F.col("ts") < lo + day):
+        ev.where(part).coalesce(1).write.mode("append").parquet(src)
+    s = sd.read_stream(spark, src, ev.schema, max_files=1)
     out = scratch_path(spark, "dedup")
-    ck = scratch_path(spark, "dedup-ckpt")
-
-    def per_batch(b, bid):
-        b.write.mode("overwrite").parquet(f"{out}/batch={bid}")
-
-    d.writeStream.foreachBatch(per_batch).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
-    r = spark.read.parquet(out)
-    return r.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    sd.run_versions(sd.stream_dedup(s, ["user_id", "event_type"], "ts"), out, scratch_path(spark, "dedup-ckpt"),
+                    available_now=True).awaitTermination()
+    r = sd.latest_versions(spark.read.parquet(out), ["user_id", "event_type"], "ts")
+    return r.select("user_id", "event_type", F.unix_micros("ts").alias("ts_us"), "event_id", "value", "props")
 
 
 @register("stream_facets", """SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS window_start,
@@ -1359,12 +1358,14 @@ sp0 AS (SELECT doc_id, t, h, list_reduce(h, lambda acc, p:
         ELSE list_append(list_slice(acc, 1, len(acc) - 1), {{'s': acc[len(acc)].s, 'e': p + {around}, 'n': acc[len(acc)].n + 1}}) END,
    CAST([] AS STRUCT(s BIGINT, e BIGINT, n BIGINT)[])) AS spans FROM hp),
 sp AS (SELECT doc_id, t, h, {pick} AS spans FROM sp0),
-pa AS (SELECT doc_id, spans, list_transform(spans, lambda sp: array_to_string(list_transform(
+pa AS (SELECT doc_id, spans, list_transform(spans, lambda sp: list_transform(
    range(greatest(sp.s, 1), least(sp.e, len(t)) + 1),
-   lambda i: CASE WHEN list_contains(h, i) THEN '{before}' || t[i] || '{after}' ELSE t[i] END), ' ')) AS ps FROM sp)
-SELECT doc_id, CASE WHEN len(spans) > 0 THEN substring(list_reduce(ps, lambda acc, p:
-   CASE WHEN acc = '' THEN p WHEN length(acc) + {len(separator)} + length(p) <= {limit} THEN acc || '{separator}' || p ELSE acc END, ''), 1, {limit})
- END AS excerpt FROM pa"""
+   lambda i: CASE WHEN list_contains(h, i) THEN '{before}' || t[i] || '{after}' ELSE t[i] END)) AS ws FROM sp),
+fi AS (SELECT doc_id, spans, ws, list_reduce(list_transform(ws[1], lambda w: {{'s': w, 'o': length(w) <= {limit}}}), lambda a, x:
+   CASE WHEN a.o AND length(a.s) + 1 + length(x.s) <= {limit} THEN {{'s': a.s || ' ' || x.s, 'o': true}} ELSE {{'s': a.s, 'o': false}} END) AS f FROM pa)
+SELECT doc_id, CASE WHEN len(spans) > 0 THEN list_reduce(list_slice(ws, 2, len(ws)), lambda acc, p:
+   CASE WHEN length(acc) + {len(separator)} + length(p) <= {limit} THEN acc || '{separator}' || p ELSE acc END,
+   CASE WHEN length(f.s) <= {limit} THEN f.s ELSE '' END) END AS excerpt FROM (SELECT doc_id, spans, f, list_transform(ws, lambda w: array_to_string(w, ' ')) AS ws FROM fi)"""
 
 
 SQL["build_excerpts"] = _excerpt_sql(["of", "the"])

@@ -8,9 +8,10 @@ stages; Catalyst pushes attribute filters below the join with the match set.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import filters as flt
@@ -18,7 +19,8 @@ from quarry.operators import group as grp
 from quarry.operators import match as mt
 from quarry.operators import order as od
 from quarry.operators import rank as rk
-from quarry.operators.index import Index, query_word_stats
+from quarry.operators.index import Index, normalize_queries, query_word_stats
+from quarry.operators.results import RESULT_INDEX_FORMAT, override_attr
 from quarry.spec import SearchSpec
 
 
@@ -36,8 +38,10 @@ def matched_docs(idx: Index, queries: DataFrame | None, spec: SearchSpec, query_
     return mt.match(idx, queries, spec.mode, query_id)
 
 
-def search(idx: Index, queries: DataFrame | None, spec: SearchSpec = SearchSpec(), query_id: int = 1,
-           text_filter_level: int = 0, forced: tuple = (), hooks: list | None = None) -> SearchResult:
+def ranked_hits(idx: Index, queries: DataFrame | None, spec: SearchSpec, query_id: int = 1, text_filter_level: int = 0,
+                forced: tuple = (), hooks: list | None = None) -> DataFrame:
+    """All matches of one index with weight and attributes, filtered. Attribute filters cut the match set
+    before it is ranked (the ranking joins only documents that pass)."""
     m = matched_docs(idx, queries, spec, query_id)
     if spec.cutoff:
         m = od.cutoff(m, spec.cutoff)
@@ -47,37 +51,91 @@ def search(idx: Index, queries: DataFrame | None, spec: SearchSpec = SearchSpec(
     ranker = "none" if (spec.mode == "fullscan" or queries is None) else spec.ranker
     if spec.mode == "any" and ranker == "proximity_bm25":
         ranker = "matchany"
-    # any-word matching ranked by the hits themselves: the score table is the match set
-    scored_any = (spec.mode == "any" and spec.expr is None and not spec.cutoff and not text_filter_level
-                  and ranker != "none")
-    ranked = rk.rank(idx, queries, None if scored_any else m, ranker, dict(spec.field_weights) or None)
     docs = idx.docs
     for attr, values in spec.overrides:
-        docs = __import__("quarry.operators.results", fromlist=["override_attr"]).override_attr(docs, attr, values)
-    hits = ranked.join(docs, "doc_id")
+        docs = override_attr(docs, attr, values)
     if spec.geo_anchor is not None:
         la, lo, la0, lo0 = spec.geo_anchor
-        hits = hits.withColumn("geodist", flt.geo_distance(la, lo, la0, lo0))
+        docs = docs.withColumn("geodist", flt.geo_distance(la, lo, la0, lo0))
+    late = [f for f in filters if f.attr in od.SPECIAL or f.attr == "weight"]  # on the weight itself
+    filters = [f for f in filters if f not in late]
     for f in filters:
-        hits = flt.apply_filter(hits, f)
+        docs = flt.apply_filter(docs, f)
+    # any-word matching ranked by the hits themselves: the score table is the match set
+    scored_any = (spec.mode == "any" and spec.expr is None and not spec.cutoff and not text_filter_level
+                  and ranker != "none")
+    if filters and not scored_any:
+        m = m.join(docs.select("doc_id"), "doc_id", "left_semi")
+    ranked = rk.rank(idx, queries, None if scored_any else m, ranker, dict(spec.field_weights) or None)
+    hits = ranked.join(docs, "doc_id")
+    for f in late:
+        hits = flt.apply_filter(hits, replace(f, attr=od.SPECIAL.get(f.attr, f.attr)))
     for hook in hooks or []:
         hits = hits.transform(hook)
-    offset, limit, mx = od.limits(spec.offset, spec.limit, spec.max_matches)
+    weight = dict(spec.index_weights).get(idx.name)
+    return hits if weight is None else hits.withColumn("weight", F.col("weight") * F.lit(weight))
+
+
+def search(idx: Index | dict[str, Index], queries: DataFrame | None, spec: SearchSpec = SearchSpec(), query_id: int = 1,
+           text_filter_level: int = 0, forced: tuple = (), hooks: list | None = None) -> SearchResult:
+    """One search over one index, or over several (a dict of named indexes): there a document keeps its best
+    weight, then its first index, and ``index_name`` says which. Query words are normalized as the index's
+    words were. An attribute sort without ``sort_by`` uses the default attribute of the index (name); a negative
+    ``max_matches`` stands for the number of documents that can match at all; ``tags`` replaces the search words by a
+    filter on tag names."""
+    several = idx if isinstance(idx, dict) else {idx.name: idx}
+    one = next(iter(several.values()))
+    if spec.tags is not None:
+        tag_table, names, attr = spec.tags
+        queries, spec = None, spec.with_(mode="fullscan", expr=None)
+        hooks = [lambda h: flt.filter_tags(h, tag_table, names, attr), *(hooks or [])]
+    if spec.sort_mode in ("attr_desc", "attr_asc", "desc", "asc") and not spec.sort_by:
+        spec = spec.with_(sort_by=od.default_sort(",".join(several)))
+
+    def normalized(x: Index):
+        return None if queries is None else normalize_queries(queries, x.morphology)
+
+    parts = [ranked_hits(x, normalized(x), spec, query_id, text_filter_level, forced, hooks) for x in several.values()]
+    if len(parts) == 1:
+        hits = parts[0]
+    else:
+        tagged = [h.withColumn("index_name", F.lit(n)) for n, h in zip(several, parts, strict=True)]
+        hits = best_of_indexes(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged))
+    released = one.docs.agg(F.count(F.lit(1))).scalar() if spec.max_matches < 0 else None
+    offset, limit, mx = od.limits(spec.offset, spec.limit, spec.max_matches, released=released)
     if spec.group_func:
         page = grp.grouped_search(hits, spec.group_func, spec.group_by, spec.sort_mode, spec.sort_by,
                                   spec.group_sort, spec.group_distinct, offset, limit, spec.as_of)
-        totals = grp.group_totals(hits, spec.group_func, spec.group_by).withColumn(
-            "total", F.least(F.col("total_found"), F.lit(mx).cast("long")))
+        totals = grp.group_totals(hits, spec.group_func, spec.group_by).withColumn("total", od.capped("total_found", mx))
     else:
         keys = od.sort_keys(spec.sort_mode, spec.sort_by, spec.as_of)
         page = od.top_per_query(hits, keys, offset, limit)
         totals = od.result_totals(hits, mx)
     if spec.select and spec.select.strip() != "*":
-        page = page.selectExpr("query_id", *od.split_select(spec.select))
-    words = query_word_stats(queries, idx.vocabulary()) if queries is not None else None
+        page = page.selectExpr("query_id", *od.split_select(od.special_names(spec.select)))
+    words = query_word_stats(normalized(one), one.vocabulary()) if queries is not None else None
     return SearchResult(page, totals, words, hits)
 
 
+def best_of_indexes(hits: DataFrame) -> DataFrame:
+    """One row per (query, document) of hits tagged with ``index_name``: the best weight, then the first name (at
+    most one row per index to choose from)."""
+    w = Window.partitionBy("query_id", "doc_id").orderBy(F.col("weight").desc(), F.col("index_name").asc())
+    return hits.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+
+
+def hydrate_indexes(page: DataFrame, rows: dict[str, DataFrame], rows_id: str = "id") -> DataFrame:
+    """Full source rows of a several-index page: each index's hits meet that index's own table."""
+    w = Window.partitionBy("query_id").orderBy(F.col("weight").desc(), F.col("doc_id").asc())
+    page = page.withColumn("result_index", F.format_string(RESULT_INDEX_FORMAT, F.row_number().over(w) - 1))
+    parts = []
+    for name, table in rows.items():
+        own = page.where(F.col("index_name") == name)
+        table = table.withColumnRenamed(rows_id, "doc_id") if rows_id != "doc_id" else table
+        parts.append(own.join(table.drop(*(c for c in table.columns if c in own.columns and c != "doc_id")), "doc_id"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 # ---------------------------------------------------------------------------------------------
 # several indexes
 
@@ -101,16 +159,9 @@ def search_indexes(indexes: dict[str, Index], queries: DataFrame, mode: str = "a
                    index_weights: dict | None = None, field_weights: dict | None = None) -> DataFrame:
     """Match and rank in every index, tag rows with ``index_name``, weight by index, and keep one
     row per (query, document): the best weight, then the first index name."""
-    from functools import reduce
-
-    from pyspark.sql import Window
-
     parts = []
     for name, idx in indexes.items():
         m = mt.match(idx, queries, mode)
         parts.append(rk.rank(idx, queries, m, ranker, field_weights).withColumn("index_name", F.lit(name)))
     u = reduce(lambda a, b: a.unionByName(b), parts)
-    u = rk.apply_index_weights(u, index_weights)
-    # at most len(indexes) rows per (query, document): a bounded window
-    w = Window.partitionBy("query_id", "doc_id").orderBy(F.col("weight").desc(), F.col("index_name").asc())
-    return u.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+    return best_of_indexes(rk.apply_index_weights(u, index_weights))

@@ -6,7 +6,9 @@ import os
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings every job of the library expects. AQE re-plans joins from runtime sizes (this is the
 # size check behind every join that is not hinted), coalesces small shuffle partitions and splits
@@ -66,6 +68,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
+    """A small table given by the caller (query words, ids) as a local relation.
+
+    Spark knows its size in bytes, so joins broadcast it below ``spark.sql.autoBroadcastJoinThreshold``
+    and shuffle it above, with no hint and no counting job.
+    """
+    fields = (schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).fields
+    cols = [pa.array([r[i] for r in rows], to_arrow(f.dataType)) for i, f in enumerate(fields)]
+    return spark.createDataFrame(pa.table(cols, names=[f.name for f in fields]), schema=StructType(fields))
+
+
+def to_arrow(dt) -> pa.DataType:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "double": pa.float64(),
+             "boolean": pa.bool_()}
+    return kinds[dt.simpleString()]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one written table."""
     import uuid

@@ -2,112 +2,98 @@
 
 Layout under ``path``:
 
-* ``postings/``  partitioned by ``bucket = pmod(xxhash64(term), n_buckets)``; inside a bucket the
-  rows are spread over several files by ``doc_id`` (a frequent word never makes one huge task)
-  and sorted by (term, doc_id) so Parquet min/max statistics skip row groups for a term.
+* ``postings/``  partitioned by ``bucket = pmod(xxhash64(term), n_buckets)``; rows are
+  range-partitioned and sorted by (bucket, term, doc_id), so a frequent word is split by size and Parquet
+  min/max statistics skip row groups for a term.
 * ``term_docs/``  the document lists (term, doc_id, tf), bucketed the same way.
 * ``docs/``, ``lengths/``, ``texts/``  plain Parquet.
-* ``meta/``  one row: name, fields, morphology, n_buckets, n_docs, total_len.
+* ``vocabulary/``  (term, docs, hits), bucketed the same way.
+* ``meta/``  one row: name, fields, morphology, n_buckets, n_docs, avg_len, has_texts.
 
-A search on a reloaded index joins the queries' buckets to the postings on the partition column,
-so Spark prunes the other buckets (dynamic partition pruning) and reads only the words asked for.
+A search on a reloaded index turns its words' buckets into a literal partition filter (``PartitionFilters``
+in the plan) and reads only those folders.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.index import Index
+from quarry.operators.index import Index, postings_lengths
+from quarry.session import local_table
 
-# ---- fixed values: default layout sizes ----
+# ---- fixed value: default number of word buckets ----
 DEFAULT_BUCKETS = 64
-DEFAULT_SPREAD = 4
 
 
 def bucket_of(term_col, n_buckets: int):
     return F.pmod(F.xxhash64(term_col), F.lit(n_buckets)).cast("int")
 
 
-def write_index(idx: Index, path: str, n_buckets: int = DEFAULT_BUCKETS, spread: int = DEFAULT_SPREAD,
-                mode: str = "overwrite") -> None:
-    """Write the index; ``spread`` files per bucket (by ``doc_id``) keep hot buckets parallel."""
+def write_index(idx: Index, path: str, n_buckets: int = DEFAULT_BUCKETS, mode: str = "overwrite") -> None:
+    """Write the index. Rows are range-partitioned by (bucket, term, doc_id): the number of tasks follows
+    ``spark.sql.shuffle.partitions`` and the data, and a frequent word is split by size over as many files as
+    it needs. The postings are tokenized and written once; document lists, vocabulary, lengths and
+    statistics are derived from the written files."""
     spark = idx.postings.sparkSession
-    p = idx.postings.withColumn("bucket", bucket_of(F.col("term"), n_buckets))
-    (p.repartition(n_buckets * spread, "bucket", F.pmod(F.col("doc_id"), F.lit(spread)))
-     .sortWithinPartitions("bucket", "term", "doc_id")
-     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
-    td = idx.term_docs().withColumn("bucket", bucket_of(F.col("term"), n_buckets))
-    (td.repartition(n_buckets * spread, "bucket", F.pmod(F.col("doc_id"), F.lit(spread)))
-     .sortWithinPartitions("bucket", "term", "doc_id")
-     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/term_docs"))
-    # one row per word: small, one file per bucket
-    vb = idx.vocabulary().withColumn("bucket", bucket_of(F.col("term"), n_buckets))
-    (vb.repartition(n_buckets, "bucket").sortWithinPartitions("term")
-     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/vocabulary"))
+
+    def save(df: DataFrame, name: str, *order: str) -> DataFrame:
+        (df.withColumn("bucket", bucket_of(F.col("term"), n_buckets)).repartitionByRange("bucket", *order)
+         .sortWithinPartitions("bucket", *order).write.mode(mode).partitionBy("bucket").parquet(f"{path}/{name}"))
+        return spark.read.parquet(f"{path}/{name}")
+
+    postings = save(idx.postings.select("term", "doc_id", "field", "pos"), "postings", "term", "doc_id")
+    lists = save(postings.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")), "term_docs", "term", "doc_id")
+    save(lists.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").cast("long").alias("hits")),
+         "vocabulary", "term")
     idx.docs.write.mode(mode).parquet(f"{path}/docs")
-    idx.lengths.write.mode(mode).parquet(f"{path}/lengths")
+    postings_lengths(postings).write.mode(mode).parquet(f"{path}/lengths")
     if idx.texts is not None:
         idx.texts.write.mode(mode).parquet(f"{path}/texts")
-    n_docs, avg = idx.stats()
-    meta = spark.createDataFrame(
-        [(idx.name, ",".join(idx.fields), idx.morphology, n_buckets, n_docs, avg)],
-        "name string, fields string, morphology string, n_buckets int, n_docs long, avg_len double")
+    n = spark.read.parquet(f"{path}/docs").count()
+    total = spark.read.parquet(f"{path}/lengths").agg(F.sum("len")).first()[0] or 0
+    meta = local_table(
+        spark, [(idx.name, ",".join(idx.fields), idx.morphology, n_buckets, n, total / n if n else 0.0, idx.texts is not None)],
+        "name string, fields string, morphology string, n_buckets int, n_docs long, avg_len double, has_texts boolean")
     meta.write.mode(mode).parquet(f"{path}/meta")
 
 
-def read_index(spark: SparkSession, path: str) -> "StoredIndex":
+def read_index(spark: SparkSession, path: str) -> StoredIndex:
     m = spark.read.parquet(f"{path}/meta").first()
-    texts = None
-    try:
-        texts = spark.read.parquet(f"{path}/texts")
-    except Exception:  # noqa: BLE001 - an index without texts is valid
-        texts = None
-    try:
-        vocab = spark.read.parquet(f"{path}/vocabulary")
-    except Exception:  # noqa: BLE001 - older index files have no vocabulary; it is then derived
-        vocab = None
-    idx = StoredIndex(
+    postings, lists, vocab = (spark.read.parquet(f"{path}/{n}") for n in ("postings", "term_docs", "vocabulary"))
+    return StoredIndex(
         name=m["name"],
         docs=spark.read.parquet(f"{path}/docs"),
-        postings=spark.read.parquet(f"{path}/postings"),
+        postings=postings.select("term", "doc_id", "field", "pos"),
         lengths=spark.read.parquet(f"{path}/lengths"),
         fields=tuple(m["fields"].split(",")),
-        texts=texts,
+        texts=spark.read.parquet(f"{path}/texts") if m["has_texts"] else None,
         morphology=m["morphology"],
         _stats=(m["n_docs"], m["avg_len"]),
-        _term_docs=spark.read.parquet(f"{path}/term_docs"),
-        _vocab=vocab,
+        _term_docs=lists.select("term", "doc_id", "tf"),
+        _vocab=vocab.select("term", "docs", "hits"),
+        files=(postings, lists),
+        n_buckets=m["n_buckets"],
     )
-    idx.n_buckets = m["n_buckets"]
-    return idx
 
 
+@dataclass
 class StoredIndex(Index):
-    """An index read back from files: postings carry the ``bucket`` partition column."""
+    """An index read back from files. Searches read only the buckets of their words: the bucket ids (at most
+    ``n_buckets``) are resolved once per search and become a literal partition filter."""
 
+    files: tuple[DataFrame, ...] = ()
     n_buckets: int = DEFAULT_BUCKETS
 
-    def postings_for(self, queries: DataFrame) -> DataFrame:
-        """Postings of the queries' buckets only (partition pruning through a semi join)."""
-        return self.postings.join(self._buckets(queries), "bucket", "left_semi")
-
-    def term_docs_for(self, queries: DataFrame) -> DataFrame:
-        return self._term_docs.join(self._buckets(queries), "bucket", "left_semi")
-
-    def vocabulary(self) -> DataFrame:
-        v = super().vocabulary()
-        return v.drop("bucket") if "bucket" in v.columns else v
-
-    def _buckets(self, queries: DataFrame) -> DataFrame:
-        # at most n_buckets rows: a broadcast bounded by construction
-        return F.broadcast(queries.select(bucket_of(F.col("term"), self.n_buckets).alias("bucket")).distinct())
-
-    def pruned(self, queries: DataFrame) -> Index:
-        """A view of this index restricted to the buckets of ``queries`` (for the match operators)."""
-        vocab = None
-        if self._vocab is not None:
-            vocab = self._vocab.join(self._buckets(queries), "bucket", "left_semi").drop("bucket")
-        return Index(self.name, self.docs, self.postings_for(queries).drop("bucket"), self.lengths, self.fields,
-                     self.texts, self.morphology, self._stats, self.term_docs_for(queries).drop("bucket"),
-                     _vocab=vocab)
+    def _in_buckets(self, df: DataFrame, terms: DataFrame) -> DataFrame:
+        rows = terms.select(bucket_of(F.col("term"), self.n_buckets).alias("bucket")).distinct().collect()
+        return df.where(F.col("bucket").isin(sorted(r["bucket"] for r in rows))).drop("bucket")
+
+    def postings_for(self, terms: DataFrame) -> DataFrame:
+        return self._in_buckets(self.files[0], terms)
+
+    def lists_for(self, terms: DataFrame) -> DataFrame:
+        lists = self._in_buckets(self.files[1], terms)
+        return lists.join(terms.select("term").distinct(), "term", "left_semi").select("term", "doc_id", "tf")

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.plans.sizing import LOOKUP_ROWS_BOUND, bounded_broadcast
 from quarry.spec import DELTA_HOURS, IndexSpec
 
 # ---- fixed values: result cap rule ----
@@ -71,15 +70,18 @@ def string_attr_crc(df: DataFrame, c: str, name: str | None = None) -> DataFrame
 
 def build_attributes(df: DataFrame, spec: IndexSpec) -> DataFrame:
     """Typed attribute table: uint -> long, float -> double, bool, timestamp -> epoch seconds,
-    string -> kept + CRC32; renamed where the spec says so."""
+    string -> kept + CRC32; renamed where the spec says so. ``blog_id`` is kept wherever the source has
+    it, and an audited table keeps its creation and change times."""
     out = [F.col(spec.id_col).cast("long").alias("doc_id")]
-    for c in spec.uint_attrs:
+    blog = ("blog_id",) if "blog_id" in df.columns and "blog_id" not in spec.uint_attrs else ()
+    audit = tuple(c for c in ("created_on", "modified_on") if spec.audit and c not in spec.ts_attrs)
+    for c in (*spec.uint_attrs, *blog):
         out.append(F.col(c).cast("long").alias(spec.attr_name(c)))
     for c in spec.float_attrs:
         out.append(F.col(c).cast("double").alias(spec.attr_name(c)))
     for c in spec.bool_attrs:
         out.append(F.col(c).cast("boolean").alias(spec.attr_name(c)))
-    for c in spec.ts_attrs:
+    for c in (*spec.ts_attrs, *audit):
         out.append(timestamp_attr(c).alias(spec.attr_name(c)))
     for c in spec.string_attrs:
         n = spec.attr_name(c)
@@ -100,7 +102,7 @@ def delta_source(df: DataFrame, col: str, as_of: str, hours: int = DELTA_HOURS)
 
 def fetch_by_id(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Full source rows for the given ids (``ids`` has an ``id_col`` column)."""
-    i = bounded_broadcast(ids.select(id_col).distinct(), LOOKUP_ROWS_BOUND)
+    i = ids.select(id_col).distinct()
     return df.join(i, id_col, "left_semi")
 
 

@@ -31,7 +31,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select(
         "doc_id",
-        F.substring("text", 1, 60).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("body"),
         "lang", "source",
         (F.col("doc_id") % N_AUTHORS).alias("author_id"),

@@ -7,10 +7,8 @@ DataFrame. Nothing here touches data.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Iterable
 
 # ---- fixed values: names of match modes, rankers, sort modes, group modes ----
-MATCH_MODES = ("all", "any", "phrase", "boolean", "extended", "extended2", "fullscan")
 RANKERS = ("proximity_bm25", "bm25", "none", "wordcount", "proximity", "matchany")
 SORT_MODES = ("relevance", "attr_desc", "attr_asc", "time_segments", "extended", "expr")
 GROUP_FUNCS = ("day", "week", "month", "year", "attr", "attrpair")
@@ -47,6 +45,12 @@ class IndexSpec:
     select_values: tuple[tuple[str, object], ...] = ()
     delta_col: str | None = None
     html_fields: tuple[str, ...] = ()
+    audit: bool = False  # the table records created_on and modified_on
+
+    @property
+    def change_column(self) -> str | None:
+        """The delta's change-time column; audited tables fall back to ``modified_on``."""
+        return self.delta_col or ("modified_on" if self.audit else None)
 
     def attr_name(self, c: str) -> str:
         return dict(self.rename).get(c, c)
@@ -200,13 +204,10 @@ class SearchSpec:
     as_of: str | None = None
     geo_anchor: tuple[str, str, float, float] | None = None
     overrides: tuple = ()
+    tags: tuple | None = None  # tag mode: (tag table, names, tag attribute) instead of search words
     expr: Expr | None = None
 
     def with_(self, **kw) -> "SearchSpec":
         from dataclasses import replace
 
         return replace(self, **kw)
-
-
-def as_tuple(xs: Iterable | None) -> tuple:
-    return tuple(xs) if xs else ()

@@ -4,7 +4,7 @@
   (``foreachBatch``; every batch goes to its own ``batch=<id>`` folder with overwrite, so a replayed
   batch rewrites the same files: exactly-once output on top of at-least-once execution).
 * ``compact``: merge delta into main as a batch job (anti join + union, written to a new folder).
-* ``stream_dedup``: latest-version dedup within the 36-hour look-back (watermark).
+* ``stream_dedup``: the latest version of each key, with a 36-hour look-back (watermark).
 * ``stream_facets``: counts per time bucket as data arrives (tumbling / sliding / session windows).
 * ``stream_alerts``: standing queries (a stored queries table) matched against each new batch.
 
@@ -26,7 +26,6 @@ from quarry.session import scratch_path
 
 # ---- fixed values: refresh intervals and look-back of the reference ----
 DELTA_TRIGGER = "120 seconds"
-MAIN_TRIGGER = "86400 seconds"
 LOOKBACK = "36 hours"
 
 
@@ -55,9 +54,11 @@ def stream_delta_index(stream: DataFrame, fields, out_dir: str, checkpoint: str,
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         d = prepare(batch) if prepare else batch
         idx = ix.build_index("delta", d, fields, id_col)
-        idx.postings.write.mode("overwrite").parquet(f"{out_dir}/postings/batch={batch_id}")
+        path = f"{out_dir}/postings/batch={batch_id}"
+        idx.postings.write.mode("overwrite").parquet(path)
         idx.docs.write.mode("overwrite").parquet(f"{out_dir}/docs/batch={batch_id}")
-        idx.lengths.write.mode("overwrite").parquet(f"{out_dir}/lengths/batch={batch_id}")
+        lengths = ix.postings_lengths(d.sparkSession.read.parquet(path))  # from what was written, not tokenized again
+        lengths.write.mode("overwrite").parquet(f"{out_dir}/lengths/batch={batch_id}")
 
     return _run(stream, per_batch, checkpoint, available_now)
 
@@ -86,11 +87,31 @@ def compact(main: ix.Index, delta: ix.Index, out_dir: str) -> ix.Index:
 
 
 def stream_dedup(stream: DataFrame, keys: list[str], ts_col: str, delay: str = LOOKBACK) -> DataFrame:
-    """Drop repeated keys within the look-back; events later than the watermark are dropped.
+    """The latest version of every key as it arrives (update mode): the newest row by ``ts_col``, then by
+    the other columns. Versions older than the watermark are dropped. State holds one row per key and
+    look-back window and is freed once the watermark has passed the window; ``latest_versions``
+    picks a key's newest row from what was written.
 
     ``timestamp_ntz`` columns are cast to ``timestamp`` first (watermarks need it)."""
-    s = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-    return s.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)
+    s = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, delay)
+    rest = [c for c in s.columns if c != ts_col and c not in keys]
+    return (s.groupBy(F.window(ts_col, delay).alias("_w"), *keys)
+            .agg(F.max(F.struct(ts_col, *rest)).alias("_row")).select(*keys, "_row.*"))
+
+
+def run_versions(df: DataFrame, out_dir: str, checkpoint: str, available_now: bool = False):
+    """Write every batch of ``stream_dedup`` to its own folder. Returns the running query."""
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+
+    return _run(df, per_batch, checkpoint, available_now, output_mode="update")
+
+
+def latest_versions(written: DataFrame, keys: list[str], ts_col: str) -> DataFrame:
+    """One row per key: the newest of its written versions."""
+    rest = [c for c in written.columns if c not in (ts_col, "batch", *keys)]
+    return written.groupBy(*keys).agg(F.max(F.struct(ts_col, *rest)).alias("_row")).select(*keys, "_row.*")
 
 
 def stream_facets(stream: DataFrame, ts_col: str, keys: list[str], window: str = "1 day",

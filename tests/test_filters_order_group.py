@@ -133,3 +133,36 @@ def test_group_mva_and_facets(hits):
     f = gr.facets(hits, [("lang", "attr", "lang"), ("tags", "attr", "tags")])
     assert rows(f, "facet", "value", "count") == [("lang", "en", 5), ("lang", "ru", 1), ("tags", "1", 3),
                                                   ("tags", "2", 3), ("tags", "3", 3)]
+
+
+def test_group_order_totals_and_facets_with_nulls(spark):
+    rows_ = [(1, 1.0, 1, "a", None, None, "x"), (1, 2.0, 2, "a", 5, [1, 2], "yy"), (1, 3.0, 3, None, 7, [2], "y"),
+             (1, 4.0, 4, None, None, None, None)]
+    h = spark.createDataFrame(rows_, "query_id int, weight double, doc_id long, lang string, day int, tags array<int>, name string")
+    best = {r["group"]: r["doc_id"] for r in gr.group_by(h, "attr", "lang", "attr_desc", "day").collect()}
+    assert best == {"a": 2, None: 3}  # a NULL never beats a value when descending
+    best = {r["group"]: r["doc_id"] for r in gr.group_by(h, "attr", "lang", "attr_asc", "day").collect()}
+    assert best == {"a": 1, None: 4}  # and comes first when ascending, as in the sorts
+    best = {r["group"]: r["doc_id"] for r in gr.group_by(h, "attr", "lang", "attr_desc", "name").collect()}
+    assert best == {"a": 2, None: 3}  # text in descending order
+    assert gr.group_totals(h, "attr", "lang").first()["total_found"] == 2
+    pairs = gr.group_by(h, "attrpair", "lang", attr_order=["lang", "day"])
+    assert gr.group_totals(h, "attrpair", "lang", ["lang", "day"]).first()["total_found"] == pairs.count() == 4
+    got = {(r["facet"], r["value"]): r["count"] for r in gr.facets(h, [("lang", "attr", "lang"), ("tag", "attr", "tags")]).collect()}
+    assert got == {("lang", "a"): 2, ("lang", None): 2, ("tag", "1"): 1, ("tag", "2"): 2}
+
+
+def test_descending_text_keys_are_the_reverse_order(spark):
+    words = ["", "a", "ab", "b", "é", "日本", "Z", "aa"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r["w"] for r in df.orderBy(gr.ordering_struct(df, [(F.col("w"), False)])).collect()]
+    assert got == [r["w"] for r in df.orderBy(F.col("w").desc()).collect()]
+
+
+def test_limits_special_names_and_default_sort():
+    assert od.limits(0, 20, 10) == (0, 20, 40)
+    with pytest.raises(ValueError):
+        od.limits(0, 20, -1)
+    assert od.special_names("@weight * 2 + @id - price") == "weight * 2 + doc_id - price"
+    assert [od.default_sort(n) for n in ("entry", "comment,entry", "tag", "comment", "entry_x")] == [
+        "authored_on", "authored_on", "entry_count", "created_on", "created_on"]

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from quarry.operators import index as ix
@@ -58,7 +59,7 @@ def test_fullscan_and_main_delta(spark, idx, docs):
 
 
 def _bm25(idx, words, doc):
-    n, avg = idx.stats()
+    n, avg = idx.docs.sparkSession.range(1).select(*idx.stats()).first()
     p = [(r["term"], r["doc_id"]) for r in idx.postings.collect()]
     dl = sum(1 for _, d in p if d == doc)
     s = 0.0
@@ -89,12 +90,68 @@ def test_proximity_wordcount_weights(spark, idx):
     assert {r["weight"] for r in none.collect()} == {1.0}
 
 
-def test_lcs_mask_equals_window(spark, idx):
-    # repeated word ("the" twice) and a run across title/body boundaries
-    q = Q(spark, [(1, 0, "the"), (1, 1, "quick"), (1, 2, "the"), (2, 0, "of"), (2, 1, "the"), (2, 2, "sea"),
-                  (2, 3, "and")])
-    cols = ("query_id", "doc_id", "field", "lcs", "hits", "n_words")
-    assert rows(rk.lcs_per_field(idx, q), *cols) == rows(rk._lcs_window(idx, q), *cols)
+def _runs(words, toks):
+    """(longest in-order run, hits, distinct words) of query ``words`` in a field's words."""
+    at = {(p - q, q): w for q, w in enumerate(words) for p, t in enumerate(toks) if t == w}
+    best = 0
+    for d, q in at:
+        n = 0
+        while (d, q + n) in at:
+            n += 1
+        best = max(best, n)
+    return best, len(at), len(set(at.values()))
+
+
+def test_longest_run_matches_brute_force_at_any_length(spark):
+    toks = [f"w{i % 90}" for i in range(300)]
+    docs = spark.createDataFrame([(1, " ".join(toks)), (2, "the quick the of the sea and"), (3, ""), (4, None)],
+                                 "doc_id long, body string")
+    index = ix.build_index("r", docs, ("body",), "doc_id")
+    long_query = [f"w{i}" for i in range(100)]  # more than 62 words on few positions
+    queries = {1: ["the", "quick", "the"], 2: ["of", "the", "sea", "and"], 3: long_query, 4: ["the", "the"]}
+    q = Q(spark, [(k, i, w) for k, ws in queries.items() for i, w in enumerate(ws)])
+    got = {(r["query_id"], r["doc_id"]): (r["lcs"], r["hits"], r["n_words"]) for r in rk.lcs_per_field(index, q).collect()}
+    fields = {1: toks, 2: "the quick the of the sea and".split()}
+    want = {(k, d): _runs(ws, t) for k, ws in queries.items() for d, t in fields.items() if set(ws) & set(t)}
+    assert got == want and got[3, 1][2] == 90
+
+
+def test_batch_of_expressions_is_one_plan(spark, idx):
+    from quarry.spec import near, phrase, term
+
+    exprs = {1: term("the") & ~term("dog"), 2: phrase("of", "the") | term("fox", "title"), 3: ~term("the"),
+             4: near("sea", "songs", n=4) & term("wind"), 5: near("cat", "dog", n=3), 6: near("dog", "cat", n=4, field="body")}
+    got = rows(mt.match_boolean(idx, exprs))
+    one_by_one = [rows(mt.match_boolean(idx, e, k)) for k, e in exprs.items()]
+    assert got == sorted(r for part in one_by_one for r in part)
+    assert one_by_one[4] == [] and one_by_one[5] == [(6, 3)]
+    many = {k: exprs[k % 6 + 1] for k in range(60)}
+    scans = mt.match_boolean(idx, many)._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD")
+    assert scans == mt.match_boolean(idx, exprs)._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD")
+
+
+def test_stored_index_reads_the_buckets_of_its_words(spark, docs):
+    from quarry.session import scratch_path
+    from quarry.sources import index_io as io
+    from quarry.streaming.delta import compact
+
+    main = ix.build_index("m", docs, ("title", "body"), "doc_id", attrs=["lang"])
+    path = scratch_path(spark, "t-main")
+    io.write_index(main, path, n_buckets=16)
+    stored = io.read_index(spark, path)
+    q = Q(spark, [(1, 0, "fox"), (1, 1, "the")])
+    plan = mt.match_phrase(stored, q)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket#" in plan or "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    delta = ix.build_index("d", docs.where("doc_id = 1").withColumn("body", F.lit("a new text with the wolf")),
+                           ("title", "body"), "doc_id", attrs=["lang"])
+    both = mt.main_delta(stored, delta)
+    words = Q(spark, [(1, 0, "wolf"), (2, 0, "quick"), (3, 0, "the")])
+    assert rows(mt.match_any(both, words)) == [(1, 1), (3, 1), (3, 2), (3, 3), (3, 6)]
+    once = compact(stored, delta, scratch_path(spark, "t-compact"))
+    twice = compact(once, delta, scratch_path(spark, "t-compact"))
+    cols = ("term", "doc_id", "field", "pos")
+    assert rows(once.postings, *cols) == rows(twice.postings, *cols) == rows(both.postings, *cols)
+    assert rows(rk.rank(twice, words, None, "proximity_bm25")) == rows(rk.rank(both, words, None, "proximity_bm25"))
 
 
 @pytest.mark.parametrize("ranker", ["bm25", "wordcount", "proximity", "matchany", "proximity_bm25", "none"])
@@ -120,13 +177,11 @@ def test_bm25_from_stored_vocabulary(spark, docs):
     assert kept._vocab is not None
     assert rows(rk.rank(kept, q, None, "bm25"), *cols) == want
     path = scratch_path(spark, "t-vocab-index")
-    io.write_index(base, path, n_buckets=4, spread=1)
+    io.write_index(base, path, n_buckets=4)
     stored = io.read_index(spark, path)
     assert stored.vocabulary().columns == ["term", "docs", "hits"]
     assert rows(stored.vocabulary()) == rows(base.vocabulary())
-    pruned = stored.pruned(q)
-    assert pruned._vocab is not None
-    assert rows(rk.rank(pruned, q, None, "bm25"), *cols) == want
+    assert rows(rk.rank(stored, q, None, "bm25"), *cols) == want
 
 
 def test_small_known_query_table_same_results(spark, idx):

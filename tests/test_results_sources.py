@@ -101,11 +101,11 @@ def test_docset_and_index_round_trip(spark, idx):
     back = ds.read_docset(spark, path, src.schema, ("tag",))
     assert rows(back) == [(1, "a <b>", [1, 3]), (2, "z", [])]
     ipath = scratch_path(spark, "t-index")
-    io.write_index(idx, ipath, n_buckets=4, spread=2)
+    io.write_index(idx, ipath, n_buckets=4)
     stored = io.read_index(spark, ipath)
-    assert rows(stored.postings.drop("bucket"), "term", "doc_id", "field", "pos") == rows(idx.postings, "term", "doc_id", "field", "pos")
+    assert rows(stored.postings, "term", "doc_id", "field", "pos") == rows(idx.postings, "term", "doc_id", "field", "pos")
     q = ix.queries_from_terms(spark, [(1, 0, "the"), (1, 1, "fox")])
-    assert rows(mt.match_all(stored.pruned(q), q)) == rows(mt.match_all(idx, q))
+    assert rows(mt.match_all(stored, q)) == rows(mt.match_all(idx, q))
 
 
 @pytest.mark.parametrize("ranker", ["bm25", "wordcount", "proximity_bm25"])
@@ -125,3 +125,78 @@ def test_search_any_mode_equals_ranked_match_any(spark, idx, ranker):
     assert rows(r.hits, *cols) == rows(want, *cols)
     assert rows(r.totals, "query_id", "total_found") == rows(od.result_totals(h, spec.max_matches),
                                                             "query_id", "total_found")
+
+
+def test_excerpts_of_empty_texts_and_whole_words_at_the_limit(spark):
+    t = spark.createDataFrame([(1, ""), (2, "..."), (3, None), (4, "of the sea"), (5, "x " * 40 + "of the end")],
+                              "doc_id long, body string")
+    got = {r["doc_id"]: r["excerpt"] for r in rs.build_excerpts(t, "body", ["the"], around=1).collect()}
+    assert got == {1: None, 2: None, 3: None, 4: "of <b>the</b> sea", 5: "of <b>the</b> end"}
+    cut = {r["doc_id"]: r["excerpt"] for r in rs.build_excerpts(t, "body", ["the"], around=1, limit=8).collect()}
+    assert cut[4] == "of" and cut[5] == "of"  # never through a mark
+    assert rs.build_excerpts(t, "body", ["of", "the"], exact_phrase=True).count() == 5
+    kwic = rs.excerpt_kwic(t.select("doc_id"), t, ["of", "the"], ["body"]).select("doc_id", "excerpt").collect()
+    assert {r["doc_id"]: r["excerpt"] for r in kwic}[1] == ""
+
+
+def test_result_index_is_never_cut(spark):
+    hits = spark.range(10050).selectExpr("1 AS query_id", "id AS doc_id", "cast(-id AS double) AS weight")
+    got = rs.hydrate(hits, spark.range(10050), "id").where("doc_id IN (7, 9999, 10000, 10049)")
+    assert rows(got, "doc_id", "result_index") == [(7, "0007"), (9999, "9999"), (10000, "10000"), (10049, "10049")]
+
+
+def test_repeated_changes_update_once(spark):
+    docs = spark.createDataFrame([(1, 1), (2, 2)], "doc_id long, author_id long")
+    new, n = rs.update_attributes(docs, spark.createDataFrame([(1, 7), (1, 9), (5, 1)], "doc_id long, author_id long"), ["author_id"])
+    assert rows(new, "doc_id", "author_id") == [(1, 9), (2, 2)] and n.first()["updated"] == 1
+    over = rs.override_attr(docs, "author_id", spark.createDataFrame([(2, 4), (2, 3)], "doc_id long, value long"))
+    assert rows(over, "doc_id", "author_id") == [(1, 1), (2, 4)]
+
+
+def test_attribute_words_survive_a_missing_array(spark):
+    docs = spark.createDataFrame([(1, None, "en"), (2, [4, 5], None)], "doc_id long, tag array<int>, lang string")
+    got = rows(ix.attr_tokens(docs, "entry", ["tag", "lang"]), "doc_id", "term")
+    assert got == [(1, "entry_lang_en"), (2, "entry_tag_4"), (2, "entry_tag_5")]
+
+
+def test_search_settings(spark, docs):
+    from quarry.plans.search import hydrate_indexes, search
+    from quarry.spec import Filter, SearchSpec
+
+    idx = ix.build_index("entry", docs, ("title", "body"), "doc_id", attrs=["lang", "author_id", "created_on"])
+    idx = idx.with_docs(idx.docs.withColumn("authored_on", F.col("created_on")))
+    q = ix.queries_from_terms(spark, [(1, 0, "fox")])
+    base = SearchSpec(ranker="wordcount")
+    heavy = search(idx, q, base.with_(index_weights=(("entry", 7),)))
+    assert {r["doc_id"]: r["weight"] for r in heavy.hits.collect()} == {1: 7.0, 6: 28.0}
+    first = search(idx, q, base.with_(sort_mode="attr_desc")).hits.orderBy("rank").select("doc_id").collect()
+    assert [r["doc_id"] for r in first] == [6, 1]  # authored_on by default
+    expr = search(idx, q, base.with_(sort_mode="expr", sort_by="0 - @weight", select="@id as i, @weight * 2 as w"))
+    assert {(r["i"], r["w"]) for r in expr.hits.collect()} == {(1, 2.0), (6, 8.0)}
+    assert search(idx, q, base.with_(max_matches=-1, limit=1)).totals.first()["total"] == 2
+    assert search(idx, q, base.with_(filters=(Filter("range", "@weight", lo=2, hi=9),))).hits.count() == 1
+    tags = spark.createDataFrame([(3, "rain", None, False)], "id long, name string, n8d_id long, is_private boolean")
+    tagged = search(idx, q, base.with_(tags=(tags, "rain", "author_id"))).hits
+    assert {r["doc_id"] for r in tagged.collect()} == {1, 3}  # the tag list replaced the search words
+    stems = ix.build_index("s", docs, ("body",), "doc_id", attrs=["lang"], morphology="stem_en")
+    assert {r["doc_id"] for r in search(stems, ix.queries_from_terms(spark, [(1, 0, "jumping")]), base).hits.collect()} == {1}
+    other = ix.build_index("other", docs.where("doc_id IN (1, 2)"), ("body",), "doc_id", attrs=["lang"])
+    both = search({"entry": idx, "other": other}, q, base.with_(index_weights=(("other", 5),)))
+    got = {r["doc_id"]: (r["index_name"], r["weight"]) for r in both.hits.collect()}
+    assert got == {1: ("other", 5.0), 6: ("entry", 4.0)}
+    full = hydrate_indexes(both.hits, {"entry": docs.select("doc_id", F.lit("E").alias("kind")),
+                                       "other": docs.select("doc_id", F.lit("O").alias("kind"))}, "doc_id")
+    assert rows(full, "doc_id", "kind", "result_index") == [(1, "O", "0000"), (6, "E", "0001")]
+
+
+def test_audited_sources_and_indexed_tag_attributes(spark):
+    from quarry.spec import IndexSpec
+
+    src = spark.createDataFrame([(1, 9, "2024-01-01 00:00:00", "2024-01-02 00:00:00")],
+                                "id long, blog_id int, created_on string, modified_on string")
+    spec = IndexSpec("entry", audit=True)
+    got = sc.build_attributes(src.selectExpr("id", "blog_id", "timestamp(created_on) created_on", "timestamp(modified_on) modified_on"), spec)
+    assert got.columns == ["doc_id", "blog_id", "created_on", "modified_on"] and spec.change_column == "modified_on"
+    page = spark.createDataFrame([(1, '<p>text</p><img src="x" alt="a cat"><a title="link words" href="y">z</a>')], "doc_id long, html string")
+    index = ix.build_index("p", page, ("html",), "doc_id", strip_html=("html",), html_attrs=ix.HTML_INDEX_ATTRS)
+    assert [r["term"] for r in index.postings.orderBy("pos").collect()] == ["text", "z", "a", "cat", "link", "words"]

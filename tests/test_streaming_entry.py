@@ -39,9 +39,23 @@ def test_stream_facets_and_dedup(spark):
     s = spark.readStream.schema(ev.schema).parquet(root)
     out = sd.run_to_sink(sd.stream_facets(s, "ts", ["k"], window="1 day"), "t-facets")
     assert rows(spark.read.parquet(out), "k", "count") == [("a", 1), ("a", 2), ("b", 1)]
-    d = sd.stream_dedup(spark.readStream.schema(ev.schema).parquet(root), ["k"], "ts")
-    dout = sd.run_to_sink(d, "t-dedup", mode="append")
-    assert spark.read.parquet(dout).count() == 2
+
+
+def test_stream_dedup_keeps_the_latest_version(spark):
+    root = scratch_path(spark, "t-versions")
+    batches = [[("a", "2024-01-01 00:00:00", "old"), ("b", "2024-01-01 00:00:00", "only")],
+               [("a", "2024-01-05 00:00:00", "new"), ("a", "2024-01-04 00:00:00", "between")],
+               [("c", "2024-01-05 00:00:00", "fresh")], [("a", "2024-01-01 12:00:00", "too late")]]
+    schema = "k string, ts timestamp, v string"
+    for part in batches:
+        df = spark.createDataFrame(part, "k string, t string, v string").selectExpr("k", "timestamp(t) ts", "v")
+        df.coalesce(1).write.mode("append").parquet(root)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(root)
+    out = scratch_path(spark, "t-versions-out")
+    sd.run_versions(sd.stream_dedup(s, ["k"], "ts"), out, scratch_path(spark, "t-versions-ckpt"), True).awaitTermination()
+    written = spark.read.parquet(out)
+    assert rows(sd.latest_versions(written, ["k"], "ts"), "k", "v") == [("a", "new"), ("b", "only"), ("c", "fresh")]
+    assert written.where("v = 'too late'").count() == 0  # past the watermark
 
 
 def test_entry_contract(spark):

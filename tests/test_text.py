@@ -21,7 +21,7 @@ def test_tokenize_positions_per_field(idx):
 
 def test_lengths_and_stats(idx):
     assert rows(idx.lengths.where("doc_id = 5"), "field", "len") == [("title", 1)]  # empty body: no row
-    n, avg = idx.stats()
+    n, avg = idx.docs.sparkSession.range(1).select(*idx.stats()).first()
     assert n == 6
     total = sum(r["len"] for r in idx.lengths.collect())
     assert abs(avg - total / 6) < 1e-12
