@@ -3,8 +3,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, line_dedup, near_dedup, suffix_dedup
+from quarry.llm import exact_dedup, id_filter, line_dedup, near_dedup, suffix_dedup
 from quarry.llm.common import connected_components
 from tests.llm.helpers import edge_docs, edge_rows, near_components, prose, shingles
 
@@ -45,6 +46,15 @@ def test_repeat_filter_flags_every_repeat_and_few_others(spark):
     assert {str(i) for i in range(1000)} <= got and len(got) < 1100
 
 
+def test_id_filter_never_misses(spark):
+    keys = spark.range(0, 3000, 7).toDF("k")
+    rows = spark.range(-5, 3005)
+    got = id_filter.maybe_among(rows, F.col("id"), keys)
+    maybe = {r["id"] for r in got.where("_maybe").collect()}
+    assert set(range(0, 3000, 7)) <= maybe and len(maybe) < 1.2 * 3000 / 7
+    assert id_filter.maybe_among(rows, F.col("id"), keys.limit(0)).where("_maybe").count() == 0
+
+
 @pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
 def test_near_duplicates_match_all_pairs(spark, size, percent):
     base = [prose(s, 80).split() for s in range(6)]
