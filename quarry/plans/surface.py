@@ -42,7 +42,9 @@ class FilterHooks:
 
 def register_sql(spark: SparkSession, idx: Index) -> list[str]:
     """Expose ``idx`` to SQL: views ``<name>_docs``, ``<name>_postings``, ``<name>_vocab`` and table
-    functions ``<name>_match_any(w)``, ``<name>_match_all2(w1, w2)``, ``<name>_phrase2(w1, w2)``."""
+    functions ``<name>_match_any(w)``, ``<name>_match_all2(w1, w2)``, ``<name>_phrase2(w1, w2)``, and over an
+    array of words ``<name>_match_all``, ``<name>_match_words`` (any), ``<name>_phrase``, ``<name>_rank_wordcount``.
+    Filters, grouping and limits are plain SQL over the results joined to ``<name>_docs``."""
     n = idx.name
     idx.docs.createOrReplaceTempView(f"{n}_docs")
     idx.postings.createOrReplaceTempView(f"{n}_postings")
@@ -59,4 +61,23 @@ def register_sql(spark: SparkSession, idx: Index) -> list[str]:
         RETURN SELECT DISTINCT a.doc_id FROM {n}_postings a JOIN {n}_postings b
                ON a.doc_id = b.doc_id AND a.field = b.field AND b.pos = a.pos + 1
                WHERE a.term = w1 AND b.term = w2""")
-    return [f"{n}_docs", f"{n}_postings", f"{n}_vocab", f"{n}_match_any", f"{n}_match_all2", f"{n}_phrase2"]
+    # words as an array: any number of them
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_match_all(ws ARRAY<STRING>)
+        RETURNS TABLE (doc_id BIGINT)
+        RETURN SELECT doc_id FROM {n}_postings WHERE array_contains(ws, term)
+               GROUP BY doc_id HAVING count(DISTINCT term) = max(size(array_distinct(ws)))""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_match_words(ws ARRAY<STRING>)
+        RETURNS TABLE (doc_id BIGINT)
+        RETURN SELECT DISTINCT doc_id FROM {n}_postings WHERE array_contains(ws, term)""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_phrase(ws ARRAY<STRING>)
+        RETURNS TABLE (doc_id BIGINT)
+        RETURN SELECT DISTINCT doc_id FROM (
+               SELECT doc_id, field, pos - q AS diag, q, size(ws) AS m FROM (
+                 SELECT doc_id, field, pos, explode(filter(sequence(0, size(ws) - 1), i -> ws[i] = term)) AS q
+                 FROM {n}_postings WHERE array_contains(ws, term)))
+               GROUP BY doc_id, field, diag HAVING count(DISTINCT q) = max(m)""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_rank_wordcount(ws ARRAY<STRING>)
+        RETURNS TABLE (doc_id BIGINT, weight BIGINT)
+        RETURN SELECT doc_id, count(*) AS weight FROM {n}_postings WHERE array_contains(ws, term) GROUP BY doc_id""")
+    words = ["match_all", "match_words", "phrase", "rank_wordcount"]
+    return [*(f"{n}_{w}" for w in words), f"{n}_docs", f"{n}_postings", f"{n}_vocab", f"{n}_match_any", f"{n}_match_all2", f"{n}_phrase2"]
