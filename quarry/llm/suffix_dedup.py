@@ -5,7 +5,7 @@ Suffixes are dealt to independent buckets by their content, so that equal string
 is sorted by the difference-cover algorithm: sort sampled triples, recurse on their names, merge the remaining
 suffixes, compare adjacent prefixes. Only suffixes that can repeat are dealt:
 
-1. Whole texts are packed into chunks of about ``CHUNK_BYTES``, written once (texts are never split).
+1. Exact copies of a text of a smaller id lose every byte at once. The other whole texts are packed into chunks of about ``CHUNK_BYTES``, written once (texts are never split).
 2. Of every 50-byte window the 25-byte gram with the smallest hash is its anchor: equal windows have equal anchors.
    Each chunk sends its distinct anchor hashes (4 bytes each) to buckets, which answer with one bit per anchor:
    does it occur in another chunk? A very common passage costs one entry per chunk, not one per document.
@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import mix64, shuffle_partitions, stored, text_bytes
+from quarry.llm.id_filter import maybe_among
 
 LENGTH, GRAM = 50, 25
 CHUNK_BYTES = 4 << 20
 PIECE = 1 << 18
+BUCKET_BYTES = 1 << 19  # text per bucket: bounds what one suffix array is built over
 CHUNKS = "chunk_id long, doc_ids array<long>, sizes array<long>, blob binary"
 
 
@@ -355,12 +357,32 @@ def _cut(buckets: int):
     return run
 
 
+def _without_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` without the exact copies of a text of a smaller id, and the results of those copies: every byte
+    of theirs is covered. What a copy holds starts in its original too, so it need not be indexed."""
+    key = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    keys = stored(rows.where("doc_id IS NOT NULL").select("doc_id", key.alias("_key"), F.octet_length("text").cast("long").alias("n"))
+                  .where(F.col("n") >= LENGTH), "suffix-texts")
+    first = stored(keys.groupBy("_key").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+                   .select("_key", "_first"), "suffix-first")
+    flagged = maybe_among(rows, key, first.select("_key"))
+    held = flagged.where("_maybe").join(first, "_key", "left").where(
+        "_first IS NULL OR doc_id IS NULL OR doc_id <= _first").select("doc_id", "text")
+    copies = keys.join(first, "_key").where("doc_id > _first").select(
+        "doc_id", F.col("n").alias("n_bytes"), F.col("n").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+        F.lit(b"").alias("kept"))
+    return flagged.where("NOT _maybe").select("doc_id", "text").union(held), copies
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, n_removed, n_spans (maximal removed runs) and kept (the
     remaining UTF-8 bytes, which a cut may leave in the middle of a character)."""
-    buckets = 4 * shuffle_partitions(docs.sparkSession)
-    chunks = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-                    .mapInArrow(_pack_chunks, CHUNKS), "suffix-chunks")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rest, copies = _without_copies(rows)
+    chunks = stored(rest.mapInArrow(_pack_chunks, CHUNKS), "suffix-chunks")
+
+    total = chunks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    buckets = max(4 * shuffle_partitions(docs.sparkSession), -(-total // BUCKET_BYTES))
 
     def per_chunk(df: DataFrame, name: str) -> DataFrame:
         return stored(df.groupBy("chunk_id").agg(F.collect_list(F.struct("bucket", "bits")).alias(name)), f"suffix-{name}")
@@ -373,4 +395,4 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = per_chunk(segments.groupBy("bucket").applyInPandas(_match, "chunk_id long, bucket int, bits binary"), "found")
     out = known.join(found, "chunk_id", "left").mapInArrow(
         _cut(buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return out.withColumnRenamed("doc_id", id_col)
+    return out.union(copies).withColumnRenamed("doc_id", id_col)
