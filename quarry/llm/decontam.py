@@ -246,11 +246,18 @@ def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, id
         win = np.flatnonzero((nxt | alone) & (both_in >= min_cosine ** 2 * both_all) & (both_in > 0))
         if not len(win):
             return
+        # steps of the surviving windows
         need = np.unique(np.concatenate([win, win[nxt[win]] + 1]))
         step_of = np.searchsorted(begin, at, "right") - 1
         pick = np.isin(step_of, need)
         vec = np.zeros((len(need), rows32.shape[1]), np.float32)
-        np.add.at(vec, np.searchsorted(need, step_of[pick]), rows32[pos[pick]] * idf[cell[at[pick]]][:, None])
+        which, own, scale = np.searchsorted(need, step_of[pick]), pos[pick], idf[cell[at[pick]]]
+        heads = np.flatnonzero(np.append(True, which[1:] != which[:-1]))  # words come step by step
+        for k in range(0, len(heads), 256):
+            a, b = heads[k], heads[k + 256] if k + 256 < len(heads) else len(which)
+            part = rows32[own[a:b]]
+            part *= scale[a:b, None]
+            vec[which[heads[k:k + 256]]] = np.add.reduceat(part, heads[k:k + 256] - a, axis=0)
         for k in range(0, len(win), 4096):
             w = win[k: k + 4096]
             v = vec[np.searchsorted(need, w)]
