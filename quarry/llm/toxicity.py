@@ -32,9 +32,9 @@ from quarry.llm.common import stored
 FEATURE_BITS = 20
 ORDERS = (3, 4, 5)
 FIT_ROWS, FIT_CHARS = 12_000, 50_000
-MIN_ROWS, MIN_Z = 3, 2.0
+MIN_ROWS, MIN_Z = 3, 2.5
 BLOCK_BITS = 14
-SLAB_CHARS = 1 << 18
+SLAB_CHARS = 1 << 16
 
 
 def _slabs(texts: list[str], most: int = SLAB_CHARS) -> Iterator[tuple[int, int]]:
@@ -49,30 +49,42 @@ def _slabs(texts: list[str], most: int = SLAB_CHARS) -> Iterator[tuple[int, int]
         yield a, len(texts)
 
 
-def gram_cells(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, cell) pairs of the grams of ``texts``, rows ascending. ``wanted`` (boolean per
-    cell) keeps only those cells."""
+def _cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Row of every character of the joined texts, where each text ends, and (order, cell of the gram that
+    starts at each character)."""
     joined = "\x00".join(f" {t.replace(chr(0), ' ')} " for t in texts).lower()
     chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    row = np.cumsum(chars == 0, dtype=np.int64)
-    keys, poly = [], chars.copy()
-    ends = np.flatnonzero(chars == 0)
-    for n in range(2, max(ORDERS) + 1):
-        if len(chars) < n:
-            break
+    ends = np.append(np.flatnonzero(chars == 0), len(chars))
+    poly, out = chars.copy(), []
+    for n in range(2, min(max(ORDERS), len(chars)) + 1):
         poly = poly[:-1] * np.uint32(0x01000193) + chars[n - 1:]
-        if n not in ORDERS:
-            continue
-        cell = poly * np.uint32(0x9E3779B1) ^ (poly >> np.uint32(15)) * np.uint32(0x85EBCA77 + 2 * n)
-        cell >>= np.uint32(32 - FEATURE_BITS)
-        ok = np.ones(len(cell), bool)
-        for k in range(n):  # grams that would cross from one text to the next
-            at = ends - k
-            ok[at[(at >= 0) & (at < len(cell))]] = False
-        if wanted is not None:
-            ok &= wanted[cell]
-        at = np.flatnonzero(ok)
-        keys.append(row[at] << FEATURE_BITS | cell[at])
+        if n in ORDERS:
+            cell = poly * np.uint32(0x9E3779B1) ^ (poly >> np.uint32(15)) * np.uint32(0x85EBCA77 + 2 * n)
+            out.append((n, cell >> np.uint32(32 - FEATURE_BITS)))
+    return chars, ends, out
+
+
+def distinct_cells(texts: list[str]) -> Iterator[np.ndarray]:
+    """Distinct cells of the grams of each text."""
+    _, ends, grams = _cells(texts)
+    last, begin = np.zeros(1 << FEATURE_BITS, np.int32), 0
+    for end in ends:
+        own = np.concatenate([c[begin: max(end - n + 1, begin)] for n, c in grams]) if grams else np.empty(0, np.uint32)
+        at = np.arange(len(own), dtype=np.int32)
+        last[own] = at  # a cell remembers one of its positions, so one position of each cell stays
+        yield own[last[own] == at]
+        begin = end + 1
+
+
+def wanted_cells(texts: list[str], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, cell) pairs of the grams of ``texts`` in the ``wanted`` cells, rows ascending."""
+    chars, ends, grams = _cells(texts)
+    keys = []
+    for n, cell in grams:
+        at = np.flatnonzero(wanted[cell])
+        row = np.searchsorted(ends, at, "left")
+        inside = at + n <= ends[row]  # not across the end of a text
+        keys.append(row[inside] << FEATURE_BITS | cell[at[inside]])
     flat = np.unique(np.concatenate(keys)) if keys else np.empty(0, np.int64)
     return flat >> FEATURE_BITS, flat & ((1 << FEATURE_BITS) - 1)
 
@@ -83,10 +95,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, label = batch.column("text").to_pylist(), np.asarray(batch.column("label").to_pylist(), np.int64)
         for a, b in _slabs(texts):
-            row, cell = gram_cells(texts[a:b])
-            kind = label[a:b][row]
-            for k in (0, 1):
-                both[k] += np.bincount(cell[kind == k], minlength=1 << FEATURE_BITS).astype(np.int32)
+            for kind, cells in zip(label[a:b], distinct_cells(texts[a:b]), strict=True):
+                both[kind][cells] += 1
     out = []
     for block in range(1 << (FEATURE_BITS - BLOCK_BITS)):
         part = both[:, block << BLOCK_BITS: (block + 1) << BLOCK_BITS]
@@ -123,7 +133,7 @@ def _present(wanted: np.ndarray):
         for batch in batches:
             texts, out = batch.column("text").to_pylist(), []
             for a, b in _slabs(texts):
-                row, cell = gram_cells(texts[a:b], wanted)
+                row, cell = wanted_cells(texts[a:b], wanted)
                 ends = np.searchsorted(row, np.arange(b - a + 1))
                 out += [cell[x:y].astype(np.int32).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(out, pa.binary())],
@@ -132,9 +142,10 @@ def _present(wanted: np.ndarray):
     return run
 
 
-def fit_logistic(ratio: np.ndarray, cells: list[np.ndarray], label: np.ndarray, l2: float = 1e-3,
-                 steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights per cell (already times the ratio) and the bias, by accelerated gradient descent."""
+def fit_logistic(ratio: np.ndarray, cells: list[np.ndarray], label: np.ndarray, l1: float = 3e-4,
+                 steps: int = 150) -> tuple[np.ndarray, float]:
+    """Weights per cell (already times the ratio) and the bias, by adaptive proximal gradient steps. The L1
+    term leaves weights on few cells, so that scoring looks at few grams."""
     flat = np.concatenate(cells) if cells else np.empty(0, np.int64)
     used, col = np.unique(flat, return_inverse=True)
     value, row = ratio[used][col], np.repeat(np.arange(len(cells)), [len(c) for c in cells])
@@ -144,11 +155,13 @@ def fit_logistic(ratio: np.ndarray, cells: list[np.ndarray], label: np.ndarray,
     for _ in range(steps):
         s = np.bincount(row, value * w[col], minlength=n) + b
         e = 1 / (1 + np.exp(-np.clip(s, -30, 30))) - label
-        g = np.bincount(col, value * e[row], minlength=len(used)) / n + l2 * w
+        g = np.bincount(col, value * e[row], minlength=len(used)) / n
         gb = e.mean()
         grad2 += g * g
         gb2 += gb * gb
-        w -= 0.3 * g / np.sqrt(grad2)
+        rate = 0.3 / np.sqrt(grad2)
+        w -= rate * g
+        w = np.sign(w) * np.maximum(np.abs(w) - rate * l1, 0)
         b -= 0.3 * gb / np.sqrt(gb2)
     out = np.zeros(len(ratio), np.float32)
     out[used] = w * ratio[used]
@@ -191,14 +204,14 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_chars:
 
 
 def _score(weights: np.ndarray, bias: float, text: str):
-    used = np.abs(weights) > 1e-4
+    used = weights != 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(text).to_pylist()]
             total = np.full(len(texts), bias)
             for a, b in _slabs(texts):
-                row, cell = gram_cells(texts[a:b], used)
+                row, cell = wanted_cells(texts[a:b], used)
                 total[a:b] += np.bincount(row, weights[cell], minlength=b - a)
             score = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())],
