@@ -8,6 +8,9 @@ goes when it lies in a window that also occurs earlier (smaller id, then earlier
 the input, each window against its first occurrence, so a run found in a third of all documents costs one
 row per occurrence.
 
+With ``window`` 1 every line that occurs earlier goes: runs of any length, inside documents of any length, so a
+one-line text is also found within a longer document.
+
 Edge cases: a document with fewer than ``window`` lines is one run of all its lines; null and empty texts have
 no lines and stay as they are (null stays null); rows with a null id are neither changed nor compared; rows that
 share an id are one document (a window of theirs has one position); repeated lines of one document follow the
@@ -59,6 +62,14 @@ def _fingerprints(window: int):
             for a, b in slabs(offsets):
                 lines, line_ends = word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], values, newline)
                 lines = lines.view(np.int64)
+                if window == 1:  # every line is a run of its own
+                    counts = np.diff(line_ends)
+                    doc.extend(np.repeat(np.array(ids[a:b], np.int64), counts).tolist())
+                    fp.extend(lines.tolist())
+                    first.extend((np.arange(len(lines)) - np.repeat(line_ends[:-1], counts)).tolist())
+                    around.append(lines)
+                    ends.extend(range(ends[-1] + 1, ends[-1] + 1 + len(lines)))
+                    continue
                 for i in range(b - a):
                     own = lines[line_ends[i]:line_ends[i + 1]]
                     for at, lo, hi in selected_runs(own, window):

@@ -93,6 +93,11 @@ def op10(spark, sf):
     return decontam.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
+def line_digest(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", "n_lines", "n_removed", "n_runs",
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 @register("op7_line_dedup", """WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 p AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS part FROM d),
 l AS (SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY doc_id) AS n,
@@ -111,8 +116,22 @@ SELECT m.doc_id, count(m.pos) AS n_lines, count(*) FILTER (m.gone) AS n_removed,
   sha256(coalesce(string_agg(m.line, chr(10) ORDER BY m.part) FILTER (NOT m.gone), '')) AS kept_sha256
 FROM m LEFT JOIN (SELECT doc_id, count(*) FILTER (opens) AS n FROM r GROUP BY doc_id) o USING (doc_id) GROUP BY m.doc_id""")
 def op7(spark, sf):
-    return line_dedup.line_dedup(read(spark, sf, "documents").select("doc_id", "text")).select(
-        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    return line_digest(line_dedup.line_dedup(read(spark, sf, "documents").select("doc_id", "text")))
+
+
+@register("op7_line_dedup_every_line", """WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+p AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS part FROM d),
+l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY part) AS pos FROM p WHERE line <> ''),
+f AS (SELECT line, min((doc_id, pos)) AS at FROM l GROUP BY line),
+g AS (SELECT l.doc_id, l.part, l.pos, (l.doc_id, l.pos) > f.at AS gone FROM l JOIN f USING (line)),
+r AS (SELECT doc_id, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens FROM g),
+m AS (SELECT p.doc_id, p.part, p.line, g.pos, coalesce(g.gone, false) AS gone FROM p LEFT JOIN g USING (doc_id, part))
+SELECT m.doc_id, count(m.pos) AS n_lines, count(*) FILTER (m.gone) AS n_removed,
+  coalesce(any_value(o.n), 0) AS n_runs,
+  sha256(coalesce(string_agg(m.line, chr(10) ORDER BY m.part) FILTER (NOT m.gone), '')) AS kept_sha256
+FROM m LEFT JOIN (SELECT doc_id, count(*) FILTER (opens) AS n FROM r GROUP BY doc_id) o USING (doc_id) GROUP BY m.doc_id""")
+def op7_every_line(spark, sf):
+    return line_digest(line_dedup.line_dedup(read(spark, sf, "documents").select("doc_id", "text"), window=1))
 
 
 @register("op5_suffix_array_dedup")

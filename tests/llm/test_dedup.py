@@ -195,6 +195,23 @@ def test_line_dedup_matches_brute_force(spark):
     assert line_dedup.line_dedup(docs.limit(0)).count() == 0
 
 
+def test_every_repeated_line_goes_whatever_the_run_or_document(spark, tmp_path):
+    from quarry.llm.queries import QUERIES
+
+    long = "a line of its own with many words " * 8
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd"), (3, long), (4, "b\nc"), (5, None), (6, ""), (7, "e\n\ne\nf\ng"),
+            (8, "x\nf\ng\ny"), (9, "\n".join(f"l{k % 2000}" for k in range(3000))), (0, "alone"), (10, "y\nalone")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op7_line_dedup_every_line"](spark, str(tmp_path)).collect()
+    want = {i: (n, gone, runs) for i, _, n, gone, runs in brute_lines(rows, 1)}
+    assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["n_runs"]) for r in got} == want
+    assert want[2][1] == want[3][1] == 1 and want[8][1] == 2 and want[9][1] == 1000
+    more = edge_docs(spark, [*rows, (None, long), (2, "again\nagain")])
+    out = line_dedup.line_dedup(more, window=1)
+    assert out.where("doc_id IS NULL").first()["n_removed"] == 0
+    assert out.columns == [*more.columns, "n_lines", "n_removed", "n_runs"]
+
+
 def test_line_fingerprints_cover_every_window():
     rng = np.random.default_rng(1)
     for n in (1, 2, 3, 4, 50):
