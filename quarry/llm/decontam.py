@@ -8,12 +8,16 @@
 3. Every document is cut into overlapping windows of ``2 * STEP`` words. A window whose weight in benchmark
    words is too small to reach the cosine threshold is skipped (an exact bound); the others are projected
    and compared with every item.
-4. A candidate is verified on the words themselves: longest common subsequence of the item with the words
+4. Whatever its cosine, an item is also a candidate where the verdict of step 5 can accept it: documents are cut into
+   overlapping chunks that hold the surroundings of ``CHUNK`` or more windows, and the item's words that occur in a
+   chunk, counted as often as the item has them, bound every common subsequence in it from above (``_Cover``). A chunk
+   that reaches the verdict's own shares is verified as a whole, then window by window. So the cosine decides which
+   near items are reported, never whether a document is contaminated.
+5. A candidate is verified on the words themselves: longest common subsequence of the item with the words
    around the window, and a check of the item's answer (its last words, or a given answer column) in order.
 
 Items are handled in blocks of ``ITEMS`` so that what is sent to workers stays bounded by a block's words
-times ``RANK``, however many items there are. Within a block of up to ``RANK`` items the space is complete, so
-retrieval loses nothing; recall is measured in the tests.
+times ``RANK``, however many items there are. The tests compare the result with the verdict over all windows and items.
 
 Edge cases: null or empty documents are clean; null or wordless items match nothing; repeated items or rows give
 repeated results; an empty benchmark leaves every document clean; empty tables give no rows; an item shorter
@@ -23,6 +27,7 @@ than four words must be found whole; other columns pass through ``decontaminate`
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,6 +41,7 @@ from quarry.llm.words import byte_tables, slabs, word_hashes
 
 CELL_BITS, BLOCK_BITS = 20, 14
 STEP = 16
+CHUNK = 32  # windows of a chunk, at least
 RANK, ITEMS = 256, 256
 MIN_COSINE, SURE, LIKELY = 0.4, 0.7, 0.5
 ANSWER_WORDS = 5
@@ -210,9 +216,75 @@ def verdict(item: np.ndarray, answer: np.ndarray, around: np.ndarray) -> tuple[f
     return share, said, share >= SURE or (share >= LIKELY and said)
 
 
+class _Cover:
+    """Pairs of chunk and item that the verdict may accept, for the items of one class of lengths."""
+
+    def __init__(self, which: list[int], items: list[np.ndarray], answers: list[np.ndarray], terms: np.ndarray):
+        self.which = which
+        self.longest = max(len(items[i]) for i in which)
+        self.windows = max(CHUNK, -(-2 * self.longest // STEP))
+        own = np.unique(np.concatenate([items[i] for i in which]))
+        self.index = np.full(len(terms), -1, np.int64)
+        self.index[np.searchsorted(terms, own)] = np.arange(len(own))
+        # a word's count in the item, and above the shift whether it is in the answer
+        kind, self.shift, most = (np.uint32, 20, 1 << 11) if self.longest < 1 << 20 else (np.uint64, 40, 1 << 20)
+        self.counts = np.zeros((len(own), len(which)), kind)
+        self.sure, self.likely, self.said = (np.zeros(len(which), np.int64) for _ in range(3))
+        for k, i in enumerate(which):
+            term, n = np.unique(items[i], return_counts=True)
+            self.counts[np.searchsorted(own, term), k] = n
+            answer = np.intersect1d(answers[i], own)[:most]
+            self.counts[np.searchsorted(own, answer), k] += kind(1 << self.shift)
+            self.said[k] = len(answer)
+            m = len(items[i])
+            share = np.arange(m + 1) / m
+            self.sure[k] = m if m < 4 else np.argmax(share >= SURE)
+            self.likely[k] = m if m < 4 else np.argmax(share >= LIKELY)
+
+    def pairs(self, ends: np.ndarray, at: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """(row, first and last window, first and last word, item); ``at`` are the places of words of the
+        block, ``pos`` their terms."""
+        own = self.index[pos]
+        at, own = at[own >= 0], own[own >= 0]
+        n_windows = np.maximum(-(-np.diff(ends) // STEP) - 1, np.minimum(np.diff(ends), 1))
+        n_chunks = -(-n_windows // self.windows)
+        row = np.repeat(np.arange(len(n_windows)), n_chunks)
+        first = self.windows * (np.arange(len(row)) - np.repeat(np.cumsum(n_chunks) - n_chunks, n_chunks))
+        last = np.minimum(first + self.windows, n_windows[row])
+        lo = np.maximum(ends[row], ends[row] + STEP * first - self.longest)
+        hi = np.minimum(ends[row + 1], ends[row] + STEP * (last + 1) + self.longest)
+        a, b = np.searchsorted(at, lo), np.searchsorted(at, hi)
+        full = np.flatnonzero(b - a >= 1)
+        size = max(1, min(256, (1 << 24) // len(self.counts)))
+        for k in range(0, len(full), size):
+            c = full[k: k + size]
+            n = b[c] - a[c]
+            place = np.arange(n.sum()) + np.repeat(a[c] - (np.cumsum(n) - n), n)
+            seen = np.zeros((len(c), len(self.counts)), bool)
+            seen[np.repeat(np.arange(len(c)), n), own[place]] = True
+            chunk, word = np.nonzero(seen)
+            heads = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+            for h in range(0, len(heads), 64):
+                end = heads[h + 64] if h + 64 < len(heads) else len(word)
+                sums = np.add.reduceat(self.counts[word[heads[h]:end]], heads[h: h + 64] - heads[h], axis=0).astype(np.int64)
+                cover = sums & ((1 << self.shift) - 1)
+                good = (cover >= self.sure) | ((cover >= self.likely) & (sums >> self.shift >= self.said))
+                for x, item in zip(*np.nonzero(good), strict=True):
+                    j = c[h + x]
+                    yield int(row[j]), int(first[j]), int(last[j]), int(lo[j]), int(hi[j]), self.which[item]
+
+
+def _covers(items: list[np.ndarray], answers: list[np.ndarray], terms: np.ndarray) -> list[_Cover]:
+    """One cover per class of lengths: up to 2 * STEP words, twice that, and so on."""
+    classes: dict[int, list[int]] = {}
+    for i, words in enumerate(items):
+        classes.setdefault(max(0, (len(words) - 1) // (2 * STEP)).bit_length(), []).append(i)
+    return [_Cover(which, items, answers, terms) for _, which in sorted(classes.items())]
+
+
 def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, ids: list, items: list[np.ndarray],
             answers: list[np.ndarray], latent: np.ndarray, min_cosine: float):
-    """Adds _hits to every row: the best verified or best candidate item."""
+    """Adds _hit to every row: the best verified or best candidate item."""
     weight2 = (idf.astype(np.float64) ** 2).astype(np.float32)
     holds = np.zeros(1 << CELL_BITS, bool)
     holds[_cells(terms)] = True
@@ -220,7 +292,31 @@ def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, id
     kind = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()),
                       ("answer_found", pa.bool_()), ("contaminated", pa.bool_())])
 
-    def candidates(words: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+    def known(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words that the items have, and their terms."""
+        at = np.flatnonzero(holds[_cells(words)])
+        pos = np.searchsorted(terms, words[at])
+        pos[pos == len(terms)] = 0
+        good = terms[pos] == words[at]
+        return at[good], pos[good]
+
+    def accepted(words: np.ndarray, ends: np.ndarray, at: np.ndarray, pos: np.ndarray, covers: list[_Cover]) -> Iterator[tuple]:
+        """The same for all windows that the verdict accepts, whatever their cosine."""
+        for cover in covers:
+            for row, first, last, lo, hi, item in cover.pairs(ends, at, pos):
+                if not verdict(items[item], answers[item], words[lo:hi])[2]:
+                    continue
+                m = len(items[item])
+                for s in range(first, last):
+                    begin = int(ends[row]) + STEP * s
+                    end = min(begin + 2 * STEP, int(ends[row + 1]))
+                    if verdict(items[item], answers[item], words[max(ends[row], begin - m): min(ends[row + 1], end + m)])[2]:
+                        i, j = np.searchsorted(at, [begin, end])
+                        cell = _cells(words[begin:end])
+                        dot = idf[cell[at[i:j] - begin]] @ (rows32[pos[i:j]] @ latent32[item])
+                        yield row, begin, end, item, float(dot / np.sqrt(weight2[cell].sum()))
+
+    def candidates(words: np.ndarray, ends: np.ndarray, at: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
         """(row, first word, last word, item, cosine) of the windows that reach the threshold."""
         n_words = np.diff(ends)
         n_steps = -(-n_words // STEP)
@@ -231,11 +327,6 @@ def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, id
         begin = ends[:-1][row] + STEP * (np.arange(first[-1]) - first[:-1][row])
         cell = _cells(words)
         w2 = weight2[cell]
-        at = np.flatnonzero(holds[cell])
-        pos = np.searchsorted(terms, words[at])
-        pos[pos == len(terms)] = 0
-        good = terms[pos] == words[at]
-        at, pos = at[good], pos[good]
         inside = np.zeros(len(words), np.float32)
         inside[at] = w2[at]
         e_all, e_in = np.add.reduceat(w2, begin), np.add.reduceat(inside, begin)
@@ -271,13 +362,15 @@ def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, space = _tables()
+        covers = _covers(items, answers, terms) if len(terms) else []
         for batch in batches:
             data, offsets = text_bytes(batch.column(text))
             hits: list[dict | None] = [None] * batch.num_rows
             ranks: list[tuple] = [()] * batch.num_rows
             for a, b in slabs(offsets) if len(terms) else ():
                 words, ends = word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], values, space)
-                for row, lo, hi, item, cosine in candidates(words, ends):
+                at, pos = known(words)
+                for row, lo, hi, item, cosine in chain(candidates(words, ends, at, pos), accepted(words, ends, at, pos, covers)):
                     m = len(items[item])
                     around = words[max(ends[row], lo - m): min(ends[row + 1], hi + m)]
                     share, said, bad = verdict(items[item], answers[item], around)

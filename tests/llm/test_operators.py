@@ -274,6 +274,37 @@ def test_contamination_recall_and_clean_documents(spark):
     assert decontam.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_contamination_is_the_verdict_over_all_windows(spark):
+    """Long, short and half-kept items, also with the words of little weight kept, against all windows and items."""
+    lengths = [1, 2, 3, 4, 4, 5, 9, 16, 17, 33, 60, 99, 130, 200, 300, 300, 500]
+    items = [(k, prose(700 + k, n)) for k, n in enumerate(lengths)]
+    common = "the of and to in is it on as at by or".split()
+    items += [(50 + k, " ".join(w + " " + common[j % 12] for j, w in enumerate(prose(800 + k, 10).split()))) for k in range(6)]
+    rng, docs = random.Random(4), [(900, None), (901, "")]
+    for k, (_, text) in enumerate(items * 5):
+        item, body = text.split(), prose(2000 + k, rng.choice([5, 150, 900])).split()
+        body = [w for pair in zip(body, rng.choices(common, k=len(body))) for w in pair]
+        for j in rng.sample(range(max(0, len(item) - 5)), round(max(0, len(item) - 5) * (k // len(items)) / 6)):
+            item[j] = rng.choice(common + [f"new{j}"])
+        at = rng.randint(0, len(body))
+        body[at:at] = item if k % 4 else [w for x in item for w in (x, "between")]
+        docs.append((k, " ".join(body)))
+    want = set()
+    for i, text in docs:
+        doc = np.array([hash(w) for w in (text or "").split()], np.int64)
+        for _, t in items:
+            item = np.array([hash(w) for w in t.split()], np.int64)
+            starts = range(0, max(len(doc) - decontam.STEP, min(len(doc), 1)), decontam.STEP)
+            if any(decontam.verdict(item, item[-5:], doc[max(0, s - len(item)): s + 2 * decontam.STEP + len(item)])[2] for s in starts):
+                want.add(i)
+                break
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.contamination(edge_docs(spark, docs), bench).collect()
+    assert {r["doc_id"] for r in got if r["contaminated"]} == want and 40 < len(want) < len(docs)
+    left = decontam.decontaminate(edge_docs(spark, docs), bench).collect()
+    assert {r["doc_id"] for r in left} == {i for i, _ in docs} - want
+
+
 def test_retrieval_recall_in_several_blocks_of_low_rank(spark, monkeypatch):
     monkeypatch.setattr(decontam, "ITEMS", 12)
     monkeypatch.setattr(decontam, "RANK", 8)
