@@ -16,7 +16,7 @@
 5. A candidate is verified on the words themselves: longest common subsequence of the item with the words
    around the window, and a check of the item's answer (its last words, or a given answer column) in order.
 
-Items are handled in blocks of ``ITEMS`` so that what is sent to workers stays bounded by a block's words
+Items are handled in blocks of at most ``ITEMS`` and ``RANK``, so that a block's space is complete and what is sent to workers stays bounded by a block's words
 times ``RANK``, however many items there are. The tests compare the result with the verdict over all windows and items.
 
 Edge cases: null or empty documents are clean; null or wordless items match nothing; repeated items or rows give
@@ -32,7 +32,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -389,6 +389,25 @@ HIT = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("cosin
                     T.StructField("contaminated", T.BooleanType())])
 
 
+def _dealt(parsed: DataFrame) -> tuple[DataFrame, int]:
+    """Items with their block, by rank over (hash, id): every block but the last is full, none holds more than
+    ``RANK``, so every block's basis is complete."""
+    size = min(ITEMS, RANK)
+    blocks = max(1, -(-parsed.count() // size))
+    if blocks == 1:
+        return parsed.withColumn("block", F.lit(0).cast("long")), 1
+    hashed = parsed.withColumn("_hash", F.xxhash64("item_id", "words")).withColumn("_part", F.pmod("_hash", F.lit(blocks)))
+    starts, upto = [], 0
+    for r in hashed.groupBy("_part").count().orderBy("_part").collect():  # a row per block
+        starts.append((r["_part"], upto))
+        upto += r["count"]
+    starts = parsed.sparkSession.createDataFrame(starts, "_part long, _start long")
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy("_hash", "item_id", "words"))
+    dealt = hashed.withColumn("_rank", rank).join(starts, "_part")
+    block = F.floor((F.col("_start") + F.col("_rank") - 1) / F.lit(size)).cast("long")
+    return stored(dealt.select(*parsed.columns, block.alias("block")), "decontam-blocks"), blocks
+
+
 def _searches(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: str, item_text: str,
               answer: str | None, min_cosine: float) -> list:
     """One search per block of items."""
@@ -398,10 +417,10 @@ def _searches(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: str
     parsed = stored(rows.where("item_id IS NOT NULL").mapInArrow(
         _item_words(idf), "item_id long, words binary, answer binary, terms binary, weights binary")
         .where("length(words) > 0"), "decontam-items")
-    blocks = max(1, -(-parsed.count() // ITEMS))
+    parsed, blocks = _dealt(parsed)
     out = []
     for k in range(blocks):
-        items = parsed.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == k)
+        items = parsed.where(F.col("block") == k)
         terms, basis = latent_basis(items, RANK)
         held = sorted(items.collect(), key=lambda r: (r["item_id"], r["words"]))
         latent = np.zeros((len(held), basis.shape[1]))

@@ -315,6 +315,23 @@ def test_retrieval_recall_in_several_blocks_of_low_rank(spark, monkeypatch):
     assert found <= set(true) and len(found) >= 0.9 * len(true)
 
 
+def test_blocks_of_items_score_like_one_block(spark, monkeypatch):
+    items, rows, true = contaminated_rows()
+    bench, docs = spark.createDataFrame(items, "item_id long, text string"), edge_docs(spark, rows)
+
+    def scores():
+        got = decontam.contamination(docs, bench).where("doc_id IS NOT NULL").collect()
+        return {r["doc_id"]: (r["contaminated"], r["item_id"] and r["item_id"] % 92, r["lcs_share"], r["cosine"]) for r in got}
+
+    one = scores()
+    monkeypatch.setattr(decontam, "ITEMS", 12)
+    monkeypatch.setattr(decontam, "RANK", 8)
+    many = scores()
+    assert {k for k, v in many.items() if v[0]} == set(true)
+    assert {k: v[:3] for k, v in many.items()} == {k: v[:3] for k, v in one.items()}
+    assert all(abs((v[3] or 0) - (one[k][3] or 0)) < 1e-3 for k, v in many.items())
+
+
 def test_words_split_like_the_definition():
     from quarry.llm.common import text_bytes
     from quarry.llm.words import byte_tables, row_shingles, word_hashes
