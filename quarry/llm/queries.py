@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (chat_format, decontam, exact_dedup, line_dedup, near_dedup, packing,
-                        suffix_dedup, token_codec, toxicity, url_filter)
+from quarry.llm import (chat_format, decontam, divergence, exact_dedup, lexical, line_dedup, near_dedup, packing,
+                        simhash, suffix_dedup, token_codec, toxicity, url_filter)
 from quarry.llm.common import read, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,53 @@ def op1(spark, sf):
     # the checksum first, so that the join with the starts moves no ids
     back = token_codec.read_tokens(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return token_codec.with_start(spark, path, back).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+_FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+_LETTERS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
+
+
+@register("op11_ranked_lexical_search", f"""WITH w AS (SELECT doc_id, regexp_extract_all({_FOLD.format('text')}, {_WORD}) AS ts
+  FROM documents),
+d AS (SELECT doc_id, len(ts) AS n, ts FROM w WHERE len(ts) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+p AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS t FROM d) GROUP BY ALL),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_FOLD.format('text')}, {_WORD})) AS t FROM benchmark),
+f AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, s GROUP BY t, docs),
+x AS (SELECT doc_id, t, (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)) AS x FROM p, s),
+r AS (SELECT item_id, doc_id, CAST(sum(w * x) AS BIGINT) AS score FROM i JOIN f USING (t) JOIN x USING (t) GROUP BY ALL),
+o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+  doc_id, score FROM r WHERE score > 0)
+SELECT * FROM o WHERE rank <= 10""")
+def op11(spark, sf):
+    return lexical.ranked_search(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+@register("op12_simhash_near_dedup")
+def op12(spark, sf):
+    return simhash.simhash(read(spark, sf, "documents"))
+
+
+@register("op13_source_divergence_audit", f"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, doc_id,
+  regexp_extract_all({_FOLD.format('text')}, {_LETTERS}) AS ts FROM documents),
+t AS (SELECT lang, source, doc_id, unnest(ts) AS t FROM d),
+k AS (SELECT lang, t, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT doc_id) >= 30),
+l AS (SELECT lang, count(*) AS v, CAST(sum(n) AS HUGEINT) AS total FROM k GROUP BY lang),
+c AS (SELECT lang, source, t, count(*) AS n FROM t SEMI JOIN k USING (lang, t) GROUP BY ALL),
+g AS (SELECT d.lang, d.source, coalesce(any_value(c.total), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) d
+  LEFT JOIN (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM c GROUP BY ALL) c USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.t, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.total + 5 * l.v) AS p
+  FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+q AS (SELECT lang, t, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS q FROM k JOIN l USING (lang)),
+a AS (SELECT x.lang, x.source, y.source AS item, coalesce(s.value, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN (SELECT a.lang, a.source AS s1, b.source AS s2, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b
+    ON a.lang = b.lang AND a.t = b.t GROUP BY ALL) s ON s.lang = x.lang AND s.s1 = x.source AND s.s2 = y.source),
+b AS (SELECT lang, source, t AS item, p - q AS value FROM p JOIN q USING (lang, t) WHERE n > 0 AND p > q),
+r AS (SELECT lang, source, 'pair' AS part, item, value FROM a UNION ALL SELECT lang, source, 'term', item, value FROM b),
+o AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r)
+SELECT * FROM o WHERE part = 'pair' OR rank <= 50""")
+def op13(spark, sf):
+    return divergence.divergence(read(spark, sf, "documents"))
