@@ -75,7 +75,7 @@ def main() -> None:
     timed("match_near", lambda: mt.match_near(idx, q6, 5))
     timed("match_boolean", lambda: mt.match_boolean(idx, R.BOOL_EXPR))
     timed("rank_bm25", lambda: rk.rank(idx, q6, mt.match_any(idx, q6), "bm25"))
-    timed("rank_proximity_bm25", lambda: rk.rank(idx, q6, mt.match_all(idx, q6), "proximity_bm25"))
+    timed("rank_proximity_bm25", lambda: rk.match_and_rank(idx, q6, "all", "proximity_bm25"))
 
     spec = SearchSpec(mode="all", ranker="bm25", filters=(Filter("string", "lang", ("en",)),), limit=10)
     timed("search_top10", lambda: search(idx, q6, spec).hits)

@@ -229,15 +229,8 @@ def apply_filter(df: DataFrame, f: Filter) -> DataFrame:
 # text filters: attribute filters answered by the inverted table through words <index>_<attr>_<value>
 
 
-def filter_text(postings: DataFrame, matched: DataFrame, index: str, filters: list[Filter],
-                level: int = 1, forced: tuple = ()) -> tuple[DataFrame, list[Filter]]:
-    """Answer attribute filters through filter words in the postings (see ``attr_tokens``).
-
-    Level 1: single-value filters become words that every document must hold (AND). Level 2: a
-    multi-value filter becomes an OR group of words too. Level 0, excluded filters, non-value
-    filters and attributes in ``forced`` (or ``'all'``) stay attribute filters, returned to the
-    caller. The filter is always ANDed to the match, whatever the match mode.
-    """
+def _split_filters(index: str, filters: list[Filter], level: int, forced: tuple) -> tuple[list, list, list]:
+    """Filters that stay, words every document must hold, and groups of words of which it must hold one."""
     from quarry.operators.index import attr_token
 
     keep, and_words, groups = [], [], []
@@ -251,6 +244,25 @@ def filter_text(postings: DataFrame, matched: DataFrame, index: str, filters: li
             groups.append([attr_token(index, f.attr, v) for v in f.values])
         else:
             keep.append(f)
+    return keep, and_words, groups
+
+
+def filter_words(index: str, filters: list[Filter], level: int = 1, forced: tuple = ()) -> list[str]:
+    """The words that ``filter_text`` looks up."""
+    _, and_words, groups = _split_filters(index, filters, level, forced)
+    return sorted({*and_words, *(w for g in groups for w in g)})
+
+
+def filter_text(postings: DataFrame, matched: DataFrame, index: str, filters: list[Filter],
+                level: int = 1, forced: tuple = ()) -> tuple[DataFrame, list[Filter]]:
+    """Answer attribute filters through filter words in the postings (see ``attr_tokens``).
+
+    Level 1: single-value filters become words that every document must hold (AND). Level 2: a
+    multi-value filter becomes an OR group of words too. Level 0, excluded filters, non-value
+    filters and attributes in ``forced`` (or ``'all'``) stay attribute filters, returned to the
+    caller. The filter is always ANDed to the match, whatever the match mode.
+    """
+    keep, and_words, groups = _split_filters(index, filters, level, forced)
     if and_words:
         need = len(set(and_words))
         ok = (postings.where(F.col("term").isin(and_words)).groupBy("doc_id")

@@ -3,8 +3,11 @@
 An :class:`Index` is a handful of lazy DataFrames:
 
 * ``docs``      ``doc_id`` + typed attributes (one row per document)
-* ``postings``  ``term, doc_id, field, pos`` (one row per word occurrence; ``pos`` from 0 per field)
-* ``lengths``   ``doc_id, field, len`` (words per field, taken from the token array, no shuffle)
+* ``postings``  ``term, doc_id, field, pos`` (one row per word occurrence; ``pos`` from 0 per field), with the document's
+  number of words ``dl`` where tokenizing knows it
+* ``lists``     ``term, doc_id, tf, dl, at`` (one row per word and document, see ``positions``), kept by persisted and
+  stored indexes, else made of the postings of the words asked for
+* ``lengths``   ``doc_id, field, len`` (words per field)
 * ``texts``     ``doc_id`` + the text fields after markup removal (for excerpts)
 
 Everything else (per-document term counts, vocabulary, statistics) derives from these.
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import html_attr_values, html_strip, words
+from quarry.operators import positions as ps
 from quarry.session import local_table
 
 # The tag attributes the reference indexes with a page's text.
@@ -41,36 +45,62 @@ class Index:
     texts: DataFrame | None = None
     morphology: str = "none"
     _stats: tuple | None = field(default=None, repr=False)
-    _term_docs: DataFrame | None = field(default=None, repr=False)
+    _lists: DataFrame | None = field(default=None, repr=False)
     _doc_lengths: DataFrame | None = field(default=None, repr=False)
     _vocab: DataFrame | None = field(default=None, repr=False)
 
     # -- derived tables ------------------------------------------------------------------
-    def term_docs(self) -> DataFrame:
-        """``term, doc_id, tf``: one row per word per document (the document lists).
-
-        Matching and BM25 join queries to this table, not to the postings: a frequent word then
-        costs one row per document holding it, not one per occurrence."""
-        if self._term_docs is None:
-            self._term_docs = self.postings.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
-        return self._term_docs
+    def lists(self, terms: DataFrame | None = None) -> DataFrame:
+        """The position lists ``term, doc_id, tf, dl, at`` of all words, or of those in ``terms`` (a ``term`` column).
+
+        Kept lists are filtered. Otherwise the postings are cut to the words first (a semi join, broadcast when Spark
+        knows ``terms`` to be small) and a document's occurrences move once, as one array."""
+        if self._lists is not None:
+            return self._lists if terms is None else self._lists.join(terms.select("term").distinct(), "term", "left_semi")
+        if terms is None:
+            rows = self.postings
+        else:
+            whole = [F.first("dl").alias("dl")] if "dl" in self.postings.columns else []
+            rows = (self._cut(terms).groupBy("doc_id").agg(F.collect_list(F.struct("term", "field", "pos")).alias("occ"), *whole)
+                    .select("doc_id", *(["dl"] if whole else []), F.inline("occ")))
+        return self._listed(rows, F.collect_list(F.struct("field", "pos")).alias("occ")).select(
+            "term", "doc_id", "tf", "dl", ps.by_field(F.col("occ")).alias("at"))
 
     def lists_for(self, terms: DataFrame) -> DataFrame:
-        """``term, doc_id, tf`` for the words in ``terms`` (a ``term`` column) only.
+        """``term, doc_id, tf, dl`` for the words in ``terms`` only: the document lists that matching and BM25 read (a
+        frequent word costs one row per document holding it, not one per occurrence)."""
+        rows = self.lists(terms) if self._lists is not None else self._listed(self._cut(terms))
+        return rows.select("term", "doc_id", "tf", "dl")
 
-        With stored or persisted document lists this is a filter on them; otherwise the postings
-        are cut to those words first (a semi join, broadcast when Spark knows ``terms`` to be small),
-        so only their rows are aggregated and shuffled, never the whole postings table."""
-        t = terms.select("term").distinct()
-        if self._term_docs is not None:
-            return self._term_docs.join(t, "term", "left_semi").select("term", "doc_id", "tf")
-        return (self.postings_for(t).join(t, "term", "left_semi")
-                .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
+    def _cut(self, terms: DataFrame) -> DataFrame:
+        return self.postings.join(terms.select("term").distinct(), "term", "left_semi")
+
+    def _listed(self, rows: DataFrame, *more: Column) -> DataFrame:
+        """One row per word and document of ``rows`` (postings), with the document's length."""
+        known = [F.first("dl").alias("dl")] if "dl" in rows.columns else []
+        out = rows.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), *known, *more)
+        return out if known else out.join(self.doc_lengths(), "doc_id", "left")
+
+    def term_docs(self) -> DataFrame:
+        """``term, doc_id, tf``: one row per word per document."""
+        rows = self.lists() if self._lists is not None else self._listed(self.postings)
+        return rows.select("term", "doc_id", "tf")
 
     def postings_for(self, terms: DataFrame) -> DataFrame:
-        """Postings that can hold the words in ``terms``: all of them here, the words' buckets of a
-        stored index."""
-        return self.postings
+        """``term, doc_id, field, pos`` of the words in ``terms``."""
+        return self._cut(terms).select("term", "doc_id", "field", "pos")
+
+    def word_counts(self, terms: DataFrame) -> DataFrame:
+        """``term, docs, hits`` of the words in ``terms``: a lookup in a kept vocabulary, else their lists counted."""
+        t = terms.select("term").distinct()
+        if self._vocab is not None:
+            return self.vocabulary().join(t, "term", "left_semi")
+        return self.lists_for(t).groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").cast("long").alias("hits"))
+
+    def words_of(self, ids: DataFrame) -> DataFrame | None:
+        """``doc_id, dl, words`` (array of term, tf) of the documents in the bitmap ``ids``; None where an index does not
+        keep its words by document."""
+        return None
 
     def vocabulary(self) -> DataFrame:
         """``term, docs, hits`` from the document lists (no distinct count needed); the stored or
@@ -103,12 +133,12 @@ class Index:
         from pyspark import StorageLevel
 
         lvl = level or StorageLevel.MEMORY_AND_DISK
-        self.postings = self.postings.persist(lvl)
+        self._lists = self.lists().persist(lvl)
+        self.postings = ps.occurrences(self._lists)
         self.docs = self.docs.persist(lvl)
         self.lengths = self.lengths.persist(lvl)
         if self.texts is not None:
             self.texts = self.texts.persist(lvl)
-        self._term_docs = self.term_docs().persist(lvl)
         self._doc_lengths = self.doc_lengths().persist(lvl)
         self._vocab = self.vocabulary().persist(lvl)
         if self._stats is None:
@@ -122,23 +152,31 @@ class Index:
 # tokenize / postings
 
 
-def _stack_fields(df: DataFrame, fields, id_col: str, strip_html: tuple = ()) -> DataFrame:
-    """One row per (doc_id, field) with the field's word array."""
-    items = []
-    for f in fields:
+def _stack_fields(df: DataFrame, fields, id_col: str, strip_html: tuple = (), min_len: int = 1) -> DataFrame:
+    """One row per (doc_id, field) with the field's word array, and ``dl``, the words of ``min_len`` or more of all fields."""
+    cols, items, size = [], [], F.lit(0).cast("long")
+    for i, f in enumerate(fields):
         txt = F.coalesce(F.col(f), F.lit(""))
         if f in strip_html:
             txt = html_strip(txt)
-        items.append(F.struct(F.lit(f).alias("field"), words(txt).alias("toks")))
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.inline(F.array(*items)))
+        toks = F.col(f"toks{i}")
+        cols.append(words(txt).alias(f"toks{i}"))
+        items.append(F.struct(F.lit(f).alias("field"), toks.alias("toks")))
+        size = size + F.size(toks if min_len <= 1 else F.filter(toks, lambda t: F.char_length(t) >= min_len))
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), *cols).select(
+        "doc_id", size.alias("dl"), F.inline(F.array(*items)))
 
 
 def tokenize(df: DataFrame, fields, id_col: str = "doc_id", strip_html: tuple = ()) -> DataFrame:
     """``doc_id, field, pos, term`` for every word of every field (pos from 0 within a field)."""
     if isinstance(fields, str):
         fields = (fields,)
-    st = _stack_fields(df, fields, id_col, strip_html)
-    return st.select("doc_id", "field", F.posexplode("toks").alias("pos", "term"))
+    return _tokens(df, fields, id_col, strip_html).select("doc_id", "field", "pos", "term")
+
+
+def _tokens(df: DataFrame, fields, id_col: str, strip_html: tuple = (), min_len: int = 1) -> DataFrame:
+    st = _stack_fields(df, fields, id_col, strip_html, min_len)
+    return st.select("doc_id", "dl", "field", F.posexplode("toks").alias("pos", "term"))
 
 
 def field_lengths(df: DataFrame, fields, id_col: str = "doc_id", strip_html: tuple = ()) -> DataFrame:
@@ -174,8 +212,7 @@ def apply_morphology(postings: DataFrame, method: str = "none") -> DataFrame:
     if method in (None, "none"):
         return postings
     norm = normalize_terms(postings, method)
-    return (postings.join(norm, "term")
-            .select(F.col("norm").alias("term"), "doc_id", "field", "pos"))
+    return postings.join(norm, "term").select(F.col("norm").alias("term"), *(c for c in postings.columns if c != "term"))
 
 
 def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attrs: list[str] | None = None,
@@ -199,13 +236,15 @@ def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attr
         c = F.coalesce(F.col(f), F.lit(""))
         texts_cols.append((html_strip(c) if f in strip_html else c).alias(f))
     texts = docs.select(*texts_cols)
-    p = tokenize(docs, fields, id_col, strip_html)
+    p = _tokens(docs, fields, id_col, strip_html, min_len)
+    if stop is not None or extra_postings is not None:
+        p = p.drop("dl")  # words go or come after tokenizing: the lengths are counted from the postings
     p = min_word_len(p, min_len)
     p = stopwords(p, stop)
     p = apply_morphology(p, morphology)
     if extra_postings is not None:
         p = p.unionByName(extra_postings.select("doc_id", "field", "pos", "term"))
-    p = p.select("term", "doc_id", "field", "pos")
+    p = p.select("term", "doc_id", "field", "pos", *(c for c in p.columns if c == "dl"))
     # words per field from the postings (one small aggregation; no second tokenization pass);
     # fields without words have no row, which neither the document count nor the mean changes
     lengths = postings_lengths(p)
@@ -220,7 +259,7 @@ def postings_lengths(postings: DataFrame) -> DataFrame:
 
 
 def build_postings(docs: DataFrame, fields, id_col: str = "doc_id", **kw) -> DataFrame:
-    return build_index("idx", docs, fields, id_col, **kw).postings
+    return build_index("idx", docs, fields, id_col, **kw).postings.select("term", "doc_id", "field", "pos")
 
 
 def vocabulary(postings: DataFrame) -> DataFrame:

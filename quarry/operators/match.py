@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import bitmap as bm
+from quarry.operators import positions as ps
 from quarry.operators.index import Index
 from quarry.session import local_table
 from quarry.spec import And, Expr, Near, Not, Or, Phrase, Term
@@ -46,29 +48,21 @@ def match_any(idx: Index, queries: DataFrame) -> DataFrame:
 
 
 def match_phrase(idx: Index, queries: DataFrame, field: str | None = None) -> DataFrame:
-    """Words adjacent and in query order inside one field.
-
-    A phrase of m words starting at position s puts every word on the diagonal ``pos - qpos = s``;
-    a diagonal holding all m query positions is a phrase occurrence.
-    """
-    q = queries.select("query_id", "qpos", "term")
-    q = q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
-    p = idx.postings_for(q)
-    p = p if field is None else p.where(F.col("field") == field)
-    h = p.join(q, "term")
-    return (h.groupBy("query_id", "doc_id", "field", (F.col("pos") - F.col("qpos")).alias("diag"), "m")
-            .agg(F.count_distinct("qpos").alias("k"))
-            .where(F.col("k") == F.col("m"))
-            .select("query_id", "doc_id").distinct())
+    """Words adjacent and in query order inside one field: a word at query position q and position p starts the phrase
+    at ``p - q``; a start that all words share is an occurrence."""
+    return _in_field(idx, queries, field, lambda w: ps.holds_phrase(w, F.col("m")))
 
 
 def match_near(idx: Index, queries: DataFrame, n: int, field: str | None = None) -> DataFrame:
     """All distinct query words inside a span of ``n`` consecutive positions of one field, any order."""
-    q = queries.select("query_id", "term").distinct()
-    q = q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("query_id"))).withColumn("n", F.lit(n))
-    p = idx.postings_for(q)
-    p = p if field is None else p.where(F.col("field") == field)
-    return _near(p.join(q, "term"), "query_id").select("query_id", "doc_id").distinct()
+    return _in_field(idx, queries, field, lambda w: ps.within_span(w, F.col("m"), F.lit(n)))
+
+
+def _in_field(idx: Index, queries: DataFrame, field: str | None, test) -> DataFrame:
+    words = ps.word_table(queries)
+    g = ps.gathered(idx.lists(words), words).where(F.size("words") == F.col("m"))
+    where = ps.in_some_field(F.col("words"), test, None if field is None else F.lit(field))
+    return g.where(where).select("query_id", "doc_id")
 
 
 def match_fullscan(idx: Index, query_id: int = 1) -> DataFrame:
@@ -111,43 +105,19 @@ def _leaf_hits(idx: Index, leaves: list, spark: SparkSession) -> DataFrame | Non
         limited = q.where("want IS NOT NULL")
         h = idx.postings_for(limited).join(limited, "term").where(F.col("field") == F.col("want"))
         parts.append(h.select("doc_id", "leaf").distinct())
-    at, q = of(Phrase)
-    if at:
-        h = _field_hits(idx, q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("leaf"))))
-        parts.append(h.groupBy("leaf", "doc_id", "field", (F.col("pos") - F.col("qpos")).alias("diag"), "m")
-                     .agg(F.count_distinct("qpos").alias("k")).where(F.col("k") == F.col("m"))
-                     .select("doc_id", "leaf").distinct())
-    at, q = of(Near)
-    if at:
-        spans = local_table(spark, [(i, leaves[i].n) for i in at], "leaf int, n int")
-        q = q.select("leaf", "term", "want").distinct().join(spans, "leaf")
-        h = _field_hits(idx, q.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("leaf"))))
-        parts.append(_near(h, "leaf").select("doc_id", "leaf").distinct())
+    for kind in (Phrase, Near):
+        at, q = of(kind)
+        if not at:
+            continue
+        spans = local_table(spark, [(i, leaves[i].field, getattr(leaves[i], "n", None)) for i in at], "leaf int, want string, n int")
+        w = ps.word_table(q, "leaf")
+        g = ps.gathered(idx.lists(w), w, "leaf").where(F.size("words") == F.col("m")).join(spans, "leaf")
+        test = ((lambda x: ps.holds_phrase(x, F.col("m"))) if kind is Phrase else
+                (lambda x: ps.within_span(x, F.col("m"), F.col("n"))))
+        parts.append(g.where(ps.in_some_field(F.col("words"), test, F.col("want"))).select("doc_id", "leaf"))
     return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
 
 
-def _field_hits(idx: Index, q: DataFrame) -> DataFrame:
-    h = idx.postings_for(q).join(q, "term")
-    return h.where(F.col("want").isNull() | (F.col("field") == F.col("want")))
-
-
-def _near(h: DataFrame, key: str) -> DataFrame:
-    """Rows (key, doc_id, field) of ``h`` (term, pos, m words, span n) where m distinct words lie within n
-    positions. A field's occurrences are gathered in one array (no window sort over raw rows) and walked
-    once: a group is found when the latest position of its rarest-seen word is within the span."""
-    g = h.groupBy(key, "doc_id", "field", "m", "n").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("at"))
-    last = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
-
-    def step(acc, x):
-        seen = F.map_zip_with(acc["seen"], F.create_map(x["term"], x["pos"]), lambda k, a, b: F.coalesce(b, a))
-        full = (F.size(seen) == F.col("m")) & (x["pos"] - F.array_min(F.map_values(seen)) < F.col("n"))
-        return F.struct(seen.alias("seen"), (acc["found"] | F.coalesce(full, F.lit(False))).alias("found"))
-
-    start = F.struct(last.alias("seen"), F.lit(False).alias("found"))
-    return g.where(F.aggregate("at", start, step, lambda acc: acc["found"])).select(key, "doc_id", "field")
-
-
 def match_boolean(idx: Index, expr: Expr | dict[int, Expr], query_id: int = 1) -> DataFrame:
     """AND / OR / NOT over words (optionally field-limited), phrases and proximity groups.
 
@@ -199,37 +169,77 @@ def union_indexes(indexes: list[Index]) -> Index:
 
 
 def main_delta(main: Index, delta: Index) -> Index:
-    """Searchable view of main + delta: a document in delta is taken from delta only (anti join)."""
-    ids = delta.docs.select("doc_id")
-    keep = lambda df: df.join(ids, "doc_id", "left_anti")
+    """Searchable view of main + delta: a document in delta is taken from delta only.
+
+    The delta's ids become a bitmap (4 KB for every 32,768 neighbouring ids that hold one) that is applied to main's rows as
+    they are read: nothing of main is joined by document or regrouped."""
+    replaced = bm.id_bitmap(delta.docs.select("doc_id"))
     texts = None
     if main.texts is not None and delta.texts is not None:
-        texts = keep(main.texts).unionByName(delta.texts)
-    return MergedIndex(
+        texts = bm.without(main.texts, replaced).unionByName(delta.texts)
+    merged = MergedIndex(
         name=main.name,
-        docs=keep(main.docs).unionByName(delta.docs, allowMissingColumns=True),
-        postings=keep(main.postings).unionByName(delta.postings),
-        lengths=keep(main.lengths).unionByName(delta.lengths),
+        docs=bm.without(main.docs, replaced).unionByName(delta.docs, allowMissingColumns=True),
+        postings=main.postings,
+        lengths=bm.without(main.lengths, replaced).unionByName(delta.lengths),
         fields=main.fields,
         texts=texts,
         morphology=main.morphology,
         parts=(main, delta),
+        replaced=replaced,
     )
+    merged.postings = merged.both(lambda part: part.postings.select("term", "doc_id", "field", "pos"))
+    return merged
 
 
 @dataclass
 class MergedIndex(Index):
-    """Main + delta. A search narrows each part to its words first (a stored main reads only their
-    buckets and uses its document lists), then drops the documents that the delta replaces."""
+    """Main + delta. A search narrows each part to its words (a stored main reads only their files), then drops the
+    documents that the delta replaces. Counts are main's, less those of the replaced documents, plus the delta's."""
 
     parts: tuple[Index, ...] = ()
+    replaced: DataFrame | None = None
 
-    def _both(self, table) -> DataFrame:
+    def both(self, table) -> DataFrame:
         main, delta = self.parts
-        return table(main).join(delta.docs.select("doc_id"), "doc_id", "left_anti").unionByName(table(delta))
+        return bm.without(table(main), self.replaced).unionByName(table(delta))
 
-    def postings_for(self, terms: DataFrame) -> DataFrame:
-        return self._both(lambda part: part.postings_for(terms))
+    def lists(self, terms: DataFrame | None = None) -> DataFrame:
+        return self.both(lambda part: part.lists(terms))
 
     def lists_for(self, terms: DataFrame) -> DataFrame:
-        return self._both(lambda part: part.lists_for(terms))
+        return self.both(lambda part: part.lists_for(terms))
+
+    def postings_for(self, terms: DataFrame) -> DataFrame:
+        return self.both(lambda part: part.postings_for(terms))
+
+    def term_docs(self) -> DataFrame:
+        return self.both(lambda part: part.term_docs())
+
+    def vocabulary(self) -> DataFrame:
+        """``term, docs, hits``. With a main that keeps the words of each document, only the replaced documents' words are
+        read of it; else its lists are counted without them."""
+        main, delta = self.parts
+        words = main.words_of(self.replaced)
+        if words is None:
+            old = bm.without(main.term_docs(), self.replaced).groupBy("term").agg(
+                F.count(F.lit(1)).alias("docs"), F.sum("tf").alias("hits"))
+        else:
+            gone = words.select(F.inline("words")).select("term", F.lit(-1).cast("long").alias("docs"), (-F.col("tf")).alias("hits"))
+            old = main.vocabulary().unionByName(gone)
+        counts = old.unionByName(delta.vocabulary()).groupBy("term").agg(
+            F.sum("docs").alias("docs"), F.sum("hits").cast("long").alias("hits"))
+        return counts.where("docs > 0")
+
+    def stats(self):
+        main, delta = self.parts
+        words = main.words_of(self.replaced)
+        if words is None or main._stats is None:
+            return super().stats()
+        n, mean = main._stats
+        gone = bm.within(main.docs, self.replaced).agg(F.count(F.lit(1)).cast("double")).scalar()
+        less = words.agg(F.coalesce(F.sum("dl"), F.lit(0)).cast("double")).scalar()
+        new, new_mean = delta.stats()
+        docs = F.lit(float(n)) - gone + new
+        total = F.round(F.lit(float(n)) * F.lit(float(mean))) - less + F.round(new * new_mean)
+        return docs, F.when(docs > 0, total / F.greatest(docs, F.lit(1.0))).otherwise(F.lit(0.0))

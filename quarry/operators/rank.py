@@ -1,12 +1,12 @@
 """Ranking: a ``weight`` for every matched (query_id, doc_id).
 
-Signals are computed from the occurrences of the query words only (postings joined to the queries
-table), then joined to the matched pairs:
+Signals are expressions over a document's position lists of the query words (one read of the lists, one exchange
+that moves position arrays):
 
 * BM25 (k1=1.2, b=0.75, idf ``ln(1 + (N - n + 0.5) / (n + 0.5))``), per document over all fields,
   rounded to 6 places.
-* proximity: per field, the longest run of query words in query order (gaps and islands on the
-  diagonal ``pos - qpos``), times the field weight, summed over fields.
+* proximity: per field, the longest run of query words in query order (on one diagonal ``pos - qpos``), times the field
+  weight, summed over fields.
 * wordcount: occurrences per field times the field weight.
 * matchany: per field ``lcs * n_terms + distinct words``, times the field weight.
 * proximity_bm25: ``proximity * 1000 + floor(999 * bm25 / (2.2 * sum idf))``.
@@ -17,127 +17,129 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators import positions as ps
 from quarry.operators.index import Index
 from quarry.spec import BM25_B, BM25_K1
 
 
-def field_weight_col(field_weights: dict | None, field_col: str = "field") -> Column:
+def field_weight_col(field_weights: dict | None, field: str | Column = "field") -> Column:
     """Integer weight per field name; missing names weigh 1, unknown names are ignored."""
     if not field_weights:
         return F.lit(1)
     m = F.create_map(*[x for k, v in field_weights.items() for x in (F.lit(k), F.lit(int(v)))])
-    return F.coalesce(F.element_at(m, F.col(field_col)), F.lit(1))
+    return F.coalesce(F.element_at(m, F.col(field) if isinstance(field, str) else field), F.lit(1))
 
 
-def _hits(idx: Index, queries: DataFrame) -> DataFrame:
-    q = queries.select("query_id", "qpos", "term")
-    return idx.postings_for(q).join(q, "term")
+def _idf(idx: Index, n: Column) -> Column:
+    n_docs, _ = idx.stats()
+    return F.log(1 + (n_docs - n + 0.5) / (n + 0.5))
 
 
 def idf_table(idx: Index, queries: DataFrame) -> DataFrame:
-    """``term, idf`` for the distinct words of the queries (document counts of those words only).
-
-    With a stored or persisted vocabulary the counts are a lookup of one row per word; otherwise
-    the document lists of the query words are counted (a hot word costs one row per document)."""
-    n_docs, _ = idx.stats()
-    if idx._vocab is not None:
-        t = queries.select("term").distinct()
-        df = idx.vocabulary().join(t, "term", "left_semi").select("term", F.col("docs").alias("n"))
-    else:
-        df = idx.lists_for(queries).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return df.select("term", F.log(1 + (n_docs - F.col("n") + 0.5) / (F.col("n") + 0.5)).alias("idf"))
-
-
-def bm25_scores(idx: Index, queries: DataFrame) -> DataFrame:
-    """``query_id, doc_id, bm25`` (raw sum, unrounded) and ``sum_idf`` of each query."""
-    _, avgdl = idx.stats()
-    qt = queries.select("query_id", "term").distinct()
-    idf = idf_table(idx, queries)
-    # document lists: one row per (term, doc) with its count, joined to the queries' words
-    tf = idx.lists_for(qt).join(qt, "term").select("query_id", "doc_id", "term", "tf")
-    dl = idx.doc_lengths()
-    k1, b = BM25_K1, BM25_B
-    # a document with no text words (only attribute words) keeps its row, scored 0
-    s = (tf.join(idf, "term").join(dl, "doc_id", "left")
-         .withColumn("part", F.when(F.col("dl").isNull(), F.lit(0.0)).otherwise(
-             F.col("idf") * F.col("tf") * (k1 + 1)
-             / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl))))
-         .groupBy("query_id", "doc_id").agg(F.sum("part").alias("bm25")))
-    sum_idf = qt.join(idf, "term", "left").groupBy("query_id").agg(
-        F.sum(F.coalesce("idf", F.lit(0.0))).alias("sum_idf"))
-    return s.join(sum_idf, "query_id")
+    """``term, idf`` for the distinct words of the queries (document counts of those words only)."""
+    return idx.word_counts(queries).select("term", _idf(idx, F.col("docs")).alias("idf"))
 
 
-def _longest_run(marks: Column) -> Column:
-    """Longest run of neighbouring (diag, qpos) pairs in a sorted array: qpos grows by one on one diagonal."""
-    start = F.struct(F.lit(None).cast("int").alias("d"), F.lit(-1).alias("q"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+def _bm25_part(idf: Column, tf: Column, dl: Column, avgdl: Column) -> Column:
+    """A word's share of a document's score; a document with no text words (only attribute words) scores 0."""
+    k1, b = BM25_K1, BM25_B
+    return F.when(dl.isNull(), F.lit(0.0)).otherwise(idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)))
 
-    def step(acc, x):
-        run = F.when((acc["d"] == x["diag"]) & (x["qpos"] == acc["q"] + 1), acc["run"] + 1).otherwise(F.lit(1))
-        return F.struct(x["diag"].alias("d"), x["qpos"].alias("q"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
 
-    return F.aggregate(marks, start, step, lambda acc: acc["best"])
+def _idf_maps(idx: Index, words: DataFrame, g: DataFrame) -> DataFrame:
+    """``query_id, idf`` (word number -> idf), ``sum_idf`` and ``avgdl``. Document counts come from the vocabulary; an index without one
+    counts them in the gathered rows ``g``, whose exchange the plan reuses, so the lists are read once."""
+    if idx._vocab is not None:
+        n = words.select("query_id", "term", "w").join(idx.word_counts(words), "term").select("query_id", "w", F.col("docs").alias("n"))
+    else:
+        n = (g.select("query_id", F.explode(F.transform("words", lambda x: x["w"])).alias("w"))
+             .groupBy("query_id", "w").agg(F.count(F.lit(1)).alias("n")))
+    n = n.select("query_id", "w", _idf(idx, F.col("n")).alias("idf"))
+    return n.groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "idf"))).alias("idf"),
+                                     F.sum("idf").alias("sum_idf")).withColumn("avgdl", idx.stats()[1])
 
 
 def lcs_per_field(idx: Index, queries: DataFrame) -> DataFrame:
     """``query_id, doc_id, field, lcs, n_words, hits``: longest in-order run of query words per field.
 
     Every occurrence lies on the diagonal ``pos - qpos``; a phrase run is a run of consecutive query
-    positions on one diagonal. One aggregation gathers a field's (diagonal, query position) pairs (as
-    many as it has occurrences of query words, partly combined before the exchange); the run, the number
-    of occurrences and the number of distinct words all come from that array. Queries of any length take
-    the same path.
-    """
-    q = queries.select("query_id", "qpos", "term")
-    first = q.groupBy("query_id", "term").agg(F.min("qpos").alias("word"))
-    h = idx.postings_for(q).join(q.join(first, ["query_id", "term"]), "term")
-    g = h.groupBy("query_id", "doc_id", "field").agg(F.array_sort(F.collect_list(F.struct(
-        (F.col("pos") - F.col("qpos")).alias("diag"), "qpos", "word"))).alias("marks"))
-    return g.select("query_id", "doc_id", "field", _longest_run(F.col("marks")).cast("long").alias("lcs"),
-                    F.size("marks").cast("long").alias("hits"),
-                    F.size(F.array_distinct(F.transform("marks", lambda x: x["word"]))).cast("long").alias("n_words"))
+    positions on one diagonal."""
+    g = ps.gathered(idx.lists(queries), ps.word_table(queries))
+    return g.select("query_id", "doc_id", F.inline(ps.field_signals(F.col("words"))))
+
+
+def _sums(idx: Index, queries: DataFrame, ranker: str, mode: str) -> DataFrame:
+    """BM25 or occurrence counts as one plain aggregation over the document lists."""
+    words = ps.word_table(queries)
+    rows = idx.lists_for(words)
+    if ranker == "bm25":
+        rows = rows.join(words.join(idf_table(idx, words), "term", "left"), "term")
+        part = _bm25_part(F.col("idf"), F.col("tf"), F.col("dl"), idx.stats()[1])
+    else:
+        rows = rows.join(words, "term")
+        part = F.col("tf") * F.size("qpos")
+    s = rows.groupBy("query_id", "doc_id").agg(F.sum(part).alias("s"), F.count(F.lit(1)).alias("k"), F.first("m").alias("m"))
+    s = s.where(F.col("k") == F.col("m")) if mode == "all" else s
+    weight = F.round("s", 6) if ranker == "bm25" else F.col("s").cast("double")
+    return s.select("query_id", "doc_id", weight.alias("weight"))
+
+
+def scores(idx: Index, queries: DataFrame, ranker: str, field_weights: dict | None = None, mode: str = "any") -> DataFrame:
+    """``query_id, doc_id, weight`` of the documents that match (``mode`` any, all or phrase): match and rank in one read of
+    the position lists."""
+    if mode != "phrase" and (ranker == "bm25" or (ranker == "wordcount" and not field_weights)):
+        return _sums(idx, queries, ranker, mode)
+    words = ps.word_table(queries)
+    g = ps.gathered(idx.lists(words), words)
+    w = F.col("words")
+    bm25 = ranker in ("bm25", "proximity_bm25")
+    rows = g.join(_idf_maps(idx, words, g), "query_id") if bm25 else g
+    if mode == "all":
+        rows = rows.where(F.size(w) == F.col("m"))
+    elif mode == "phrase":
+        rows = rows.where(ps.in_some_field(w, lambda fw: ps.holds_phrase(fw, F.col("m"))))
+    fw = lambda f: field_weight_col(field_weights, f["field"])
+    zero = F.lit(0).cast("long")
+    if ranker == "wordcount":
+        value = F.aggregate(w, zero, lambda acc, x: acc + F.size(x["qpos"]) * F.aggregate(
+            x["at"], zero, lambda a, f: a + F.size(f["pos"]) * fw(f)))
+    elif ranker in ("proximity", "matchany", "proximity_bm25"):
+        of = (lambda f: f["lcs"] * F.col("m") + f["n_words"]) if ranker == "matchany" else (lambda f: f["lcs"])
+        value = F.aggregate(ps.field_signals(w), zero, lambda acc, f: acc + of(f) * fw(f))
+    elif ranker != "bm25":
+        raise ValueError(f"unknown ranker {ranker!r}")
+    if bm25:
+        raw = F.aggregate(w, F.lit(0.0), lambda acc, x: acc + _bm25_part(
+            F.element_at(F.col("idf"), x["w"]), x["tf"], F.col("dl"), F.col("avgdl")))
+        if ranker == "bm25":
+            value = F.round(raw, 6)
+        else:
+            value = value * 1000 + F.floor(999 * F.round(raw / (F.lit(BM25_K1 + 1) * F.col("sum_idf")), 6))
+    return rows.select("query_id", "doc_id", value.cast("double").alias("weight"))
 
 
 def rank(idx: Index, queries: DataFrame | None, matched: DataFrame | None, ranker: str = "proximity_bm25",
          field_weights: dict | None = None) -> DataFrame:
     """``matched`` (query_id, doc_id, ...) plus a ``weight`` column (double).
 
-    ``matched=None`` stands for the any-word match set. Every ranker below scores exactly the
-    (query, document) pairs holding at least one query word, so that set is the score table
-    itself: no separate match pass and no join back."""
+    ``matched=None`` stands for the any-word match set. Every ranker scores exactly the (query, document) pairs holding
+    at least one query word, so that set is the score table itself: no separate match pass and no join back."""
+    if matched is None:
+        return match_and_rank(idx, queries, "any", ranker, field_weights)
     if queries is None or ranker == "none":
-        if matched is None:
-            from quarry.operators.match import match_any
-            matched = match_any(idx, queries)
         return matched.withColumn("weight", F.lit(1.0))
-    fw = field_weight_col(field_weights)
-    keys = ["query_id", "doc_id"]
-    if ranker == "bm25":
-        s = bm25_scores(idx, queries).select(*keys, F.round("bm25", 6).alias("weight"))
-    elif ranker == "wordcount":
-        # occurrences per field only: one aggregation, no run lengths needed
-        pf = _hits(idx, queries).groupBy("query_id", "doc_id", "field").agg(F.count(F.lit(1)).alias("hits"))
-        s = pf.groupBy(*keys).agg(F.sum(F.col("hits") * fw).cast("double").alias("weight"))
-    elif ranker in ("proximity", "matchany", "proximity_bm25"):
-        pf = lcs_per_field(idx, queries)
-        if ranker == "matchany":
-            n_terms = queries.select("query_id", "term").distinct().groupBy("query_id").agg(
-                F.count(F.lit(1)).alias("n_terms"))
-            pf = pf.join(n_terms, "query_id")
-            val = (F.col("lcs") * F.col("n_terms") + F.col("n_words")) * fw
-        else:
-            val = F.col("lcs") * fw
-        s = pf.groupBy(*keys).agg(F.sum(val).cast("double").alias("weight"))
-        if ranker == "proximity_bm25":
-            b = bm25_scores(idx, queries)
-            norm = F.floor(999 * F.round(F.col("bm25") / (F.lit(BM25_K1 + 1) * F.col("sum_idf")), 6))
-            s = (s.join(b, keys)
-                 .select(*keys, (F.col("weight") * 1000 + norm).cast("double").alias("weight")))
-    else:
-        raise ValueError(f"unknown ranker {ranker!r}")
-    if matched is None:
-        return s.select(*keys, "weight")
-    return matched.join(s, keys, "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+    s = scores(idx, queries, ranker, field_weights)
+    return matched.join(s, ["query_id", "doc_id"], "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+
+
+def match_and_rank(idx: Index, queries: DataFrame, mode: str = "all", ranker: str = "proximity_bm25",
+                   field_weights: dict | None = None) -> DataFrame:
+    """``query_id, doc_id, weight`` of the documents that match all words, any word or the phrase of each query."""
+    if ranker == "none":
+        from quarry.operators.match import match
+
+        return match(idx, queries, mode).withColumn("weight", F.lit(1.0))
+    return scores(idx, queries, ranker, field_weights, mode)
 
 
 def apply_index_weights(hits: DataFrame, index_weights: dict | None, index_col: str = "index_name") -> DataFrame:

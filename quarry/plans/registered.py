@@ -807,9 +807,7 @@ px AS (SELECT query_id, doc_id, sum(lcs) AS w FROM pf GROUP BY ALL)
 SELECT mt.query_id, mt.doc_id, CAST(px.w * 1000 + floor(999 * round(bm.bm25 / (2.2::DOUBLE * sidf.sum_idf), 6)) AS DOUBLE) AS weight
 FROM mt JOIN px USING (query_id, doc_id) JOIN bm USING (query_id, doc_id) JOIN sidf USING (query_id)""")
 def q_rank_proximity_bm25(spark, sf):
-    idx = corpus_index(spark, sf)
-    q = qtable(spark, Q_RUN)
-    return rk.rank(idx, q, mt.match_all(idx, q), "proximity_bm25")
+    return rk.match_and_rank(corpus_index(spark, sf), qtable(spark, Q_RUN), "all", "proximity_bm25")
 
 
 @register("rank_none", f"""WITH {o.INDEX}, {QV(Q_TERMS)}, {_wc_sql()} SELECT query_id, doc_id, 1.0::DOUBLE AS weight FROM mt""")
@@ -1199,7 +1197,7 @@ def q_read_docset(spark, sf):
 def _stored_index(spark, sf):
     idx = corpus_index(spark, sf)
     path = scratch_path(spark, "index-entry")
-    io.write_index(idx, path, n_buckets=16)
+    io.write_index(idx, path)
     return io.read_index(spark, path)
 
 

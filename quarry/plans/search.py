@@ -21,6 +21,7 @@ from quarry.operators import order as od
 from quarry.operators import rank as rk
 from quarry.operators.index import Index, normalize_queries, query_word_stats
 from quarry.operators.results import RESULT_INDEX_FORMAT, override_attr
+from quarry.session import local_table
 from quarry.spec import SearchSpec
 
 
@@ -41,16 +42,23 @@ def matched_docs(idx: Index, queries: DataFrame | None, spec: SearchSpec, query_
 def ranked_hits(idx: Index, queries: DataFrame | None, spec: SearchSpec, query_id: int = 1, text_filter_level: int = 0,
                 forced: tuple = (), hooks: list | None = None) -> DataFrame:
     """All matches of one index with weight and attributes, filtered. Attribute filters cut the match set
-    before it is ranked (the ranking joins only documents that pass)."""
-    m = matched_docs(idx, queries, spec, query_id)
-    if spec.cutoff:
-        m = od.cutoff(m, spec.cutoff)
+    before it is ranked, or the ranked documents where matching and ranking are one pass."""
     filters = list(spec.filters)
-    if text_filter_level:
-        m, filters = flt.filter_text(idx.postings, m, idx.name, filters, text_filter_level, forced)
     ranker = "none" if (spec.mode == "fullscan" or queries is None) else spec.ranker
     if spec.mode == "any" and ranker == "proximity_bm25":
         ranker = "matchany"
+    # words matched and ranked by one read of their lists, unless the match set itself is cut first
+    at_once = (queries is not None and spec.mode in ("all", "any", "phrase") and spec.expr is None and not spec.cutoff
+               and not text_filter_level and ranker != "none")
+    m = None
+    if not at_once:
+        m = matched_docs(idx, queries, spec, query_id)
+        if spec.cutoff:
+            m = od.cutoff(m, spec.cutoff)
+        if text_filter_level:
+            asked = flt.filter_words(idx.name, filters, text_filter_level, forced)
+            held = idx.lists_for(local_table(m.sparkSession, [(w,) for w in asked], "term string")) if asked else idx.term_docs()
+            m, filters = flt.filter_text(held, m, idx.name, filters, text_filter_level, forced)
     docs = idx.docs
     for attr, values in spec.overrides:
         docs = override_attr(docs, attr, values)
@@ -61,12 +69,12 @@ def ranked_hits(idx: Index, queries: DataFrame | None, spec: SearchSpec, query_i
     filters = [f for f in filters if f not in late]
     for f in filters:
         docs = flt.apply_filter(docs, f)
-    # any-word matching ranked by the hits themselves: the score table is the match set
-    scored_any = (spec.mode == "any" and spec.expr is None and not spec.cutoff and not text_filter_level
-                  and ranker != "none")
-    if filters and not scored_any:
-        m = m.join(docs.select("doc_id"), "doc_id", "left_semi")
-    ranked = rk.rank(idx, queries, None if scored_any else m, ranker, dict(spec.field_weights) or None)
+    if at_once:
+        ranked = rk.match_and_rank(idx, queries, spec.mode, ranker, dict(spec.field_weights) or None)
+    else:
+        if filters:
+            m = m.join(docs.select("doc_id"), "doc_id", "left_semi")
+        ranked = rk.rank(idx, queries, m, ranker, dict(spec.field_weights) or None)
     hits = ranked.join(docs, "doc_id")
     for f in late:
         hits = flt.apply_filter(hits, replace(f, attr=od.SPECIAL.get(f.attr, f.attr)))
@@ -84,7 +92,6 @@ def search(idx: Index | dict[str, Index], queries: DataFrame | None, spec: Searc
     ``max_matches`` stands for the number of documents that can match at all; ``tags`` replaces the search words by a
     filter on tag names."""
     several = idx if isinstance(idx, dict) else {idx.name: idx}
-    one = next(iter(several.values()))
     if spec.tags is not None:
         tag_table, names, attr = spec.tags
         queries, spec = None, spec.with_(mode="fullscan", expr=None)
@@ -101,7 +108,9 @@ def search(idx: Index | dict[str, Index], queries: DataFrame | None, spec: Searc
     else:
         tagged = [h.withColumn("index_name", F.lit(n)) for n, h in zip(several, parts, strict=True)]
         hits = best_of_indexes(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged))
-    released = one.docs.agg(F.count(F.lit(1))).scalar() if spec.max_matches < 0 else None
+    released = None
+    if spec.max_matches < 0:
+        released = reduce(lambda a, b: a + b, [x.docs.agg(F.count(F.lit(1))).scalar() for x in several.values()])
     offset, limit, mx = od.limits(spec.offset, spec.limit, spec.max_matches, released=released)
     if spec.group_func:
         page = grp.grouped_search(hits, spec.group_func, spec.group_by, spec.sort_mode, spec.sort_by,
@@ -113,7 +122,10 @@ def search(idx: Index | dict[str, Index], queries: DataFrame | None, spec: Searc
         totals = od.result_totals(hits, mx)
     if spec.select and spec.select.strip() != "*":
         page = page.selectExpr("query_id", *od.split_select(od.special_names(spec.select)))
-    words = query_word_stats(normalized(one), one.vocabulary()) if queries is not None else None
+    words = None if queries is None else reduce(lambda a, b: a.unionByName(b), [
+        query_word_stats(normalized(x), x.word_counts(normalized(x))) for x in several.values()])
+    if words is not None and len(several) > 1:  # a word's counts are summed over the indexes
+        words = words.groupBy("query_id", "term").agg(F.sum("docs").alias("docs"), F.sum("hits").alias("hits"))
     return SearchResult(page, totals, words, hits)
 
 

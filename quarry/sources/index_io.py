@@ -2,98 +2,138 @@
 
 Layout under ``path``:
 
-* ``postings/``  partitioned by ``bucket = pmod(xxhash64(term), n_buckets)``; rows are
-  range-partitioned and sorted by (bucket, term, doc_id), so a frequent word is split by size and Parquet
-  min/max statistics skip row groups for a term.
-* ``term_docs/``  the document lists (term, doc_id, tf), bucketed the same way.
+* ``lists/``       the position lists (term, doc_id, tf, dl, at), range-partitioned and sorted by (term, doc_id): one file
+  per range of words, a frequent word split over as many files as it needs.
+* ``vocabulary/``  (term, docs, hits), sorted by term.
+* ``directory/``   sparse term directory: first and last word of every file of the two tables above.
+* ``words/``       the words of each document (doc_id, dl, words), sorted by doc_id, so that counts can be corrected when
+  documents are replaced.
 * ``docs/``, ``lengths/``, ``texts/``  plain Parquet.
-* ``vocabulary/``  (term, docs, hits), bucketed the same way.
-* ``meta/``  one row: name, fields, morphology, n_buckets, n_docs, avg_len, has_texts.
+* ``meta/``        one row: name, fields, morphology, n_docs, avg_len, has_texts.
 
-A search on a reloaded index turns its words' buckets into a literal partition filter (``PartitionFilters``
-in the plan) and reads only those folders.
+A search on a reloaded index looks its words up in the directory and reads only the files that can hold them, with
+the words pushed to the scan (``PushedFilters: [In(term, ...)]``), where sorted rows let Parquet skip all other row groups
+and pages. The number of files follows the data: the ranges of the shuffle, cut at ``ROWS_PER_FILE`` rows.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.index import Index, postings_lengths
+from quarry.operators import bitmap as bm
+from quarry.operators import positions as ps
+from quarry.operators.index import Index
 from quarry.session import local_table
 
-# ---- fixed value: default number of word buckets ----
-DEFAULT_BUCKETS = 64
+# ---- fixed values: rows of a file at most; words resolved on the driver at most; resolved searches kept ----
+ROWS_PER_FILE = 4_000_000
+PUSHED_WORDS = 1000
+KEPT = 16
+# ---- end of fixed values ----
 
+DIRECTORY = "tab string, file string, first string, last string"
 
-def bucket_of(term_col, n_buckets: int):
-    return F.pmod(F.xxhash64(term_col), F.lit(n_buckets)).cast("int")
 
-
-def write_index(idx: Index, path: str, n_buckets: int = DEFAULT_BUCKETS, mode: str = "overwrite") -> None:
-    """Write the index. Rows are range-partitioned by (bucket, term, doc_id): the number of tasks follows
-    ``spark.sql.shuffle.partitions`` and the data, and a frequent word is split by size over as many files as
-    it needs. The postings are tokenized and written once; document lists, vocabulary, lengths and
-    statistics are derived from the written files."""
-    spark = idx.postings.sparkSession
+def write_index(idx: Index, path: str, rows_per_file: int = ROWS_PER_FILE, mode: str = "overwrite") -> None:
+    """Write the index. The text is tokenized and the lists are made once; vocabulary, words by document, directory
+    and statistics are derived from the written lists."""
+    spark = idx.docs.sparkSession
 
     def save(df: DataFrame, name: str, *order: str) -> DataFrame:
-        (df.withColumn("bucket", bucket_of(F.col("term"), n_buckets)).repartitionByRange("bucket", *order)
-         .sortWithinPartitions("bucket", *order).write.mode(mode).partitionBy("bucket").parquet(f"{path}/{name}"))
-        return spark.read.parquet(f"{path}/{name}")
-
-    postings = save(idx.postings.select("term", "doc_id", "field", "pos"), "postings", "term", "doc_id")
-    lists = save(postings.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")), "term_docs", "term", "doc_id")
-    save(lists.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").cast("long").alias("hits")),
-         "vocabulary", "term")
+        (df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode)
+         .option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/{name}"))
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    lists = save(idx.lists().select("term", "doc_id", "tf", "dl", "at"), "lists", "term", "doc_id")
+    vocab = save(lists.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").cast("long").alias("hits")),
+                 "vocabulary", "term")
+    words = save(lists.groupBy("doc_id").agg(F.first("dl").alias("dl"), F.collect_list(F.struct("term", "tf")).alias("words")),
+                 "words", "doc_id")
+    ranges = [t.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file")).agg(
+        F.min("term").alias("first"), F.max("term").alias("last")).select(F.lit(n).alias("tab"), "file", "first", "last")
+        for n, t in (("lists", lists), ("vocabulary", vocab))]
+    ranges[0].unionByName(ranges[1]).write.mode(mode).parquet(f"{path}/directory")
     idx.docs.write.mode(mode).parquet(f"{path}/docs")
-    postings_lengths(postings).write.mode(mode).parquet(f"{path}/lengths")
+    idx.lengths.select("doc_id", "field", "len").write.mode(mode).parquet(f"{path}/lengths")
     if idx.texts is not None:
         idx.texts.write.mode(mode).parquet(f"{path}/texts")
     n = spark.read.parquet(f"{path}/docs").count()
-    total = spark.read.parquet(f"{path}/lengths").agg(F.sum("len")).first()[0] or 0
+    total = words.agg(F.sum("dl")).first()[0] or 0
     meta = local_table(
-        spark, [(idx.name, ",".join(idx.fields), idx.morphology, n_buckets, n, total / n if n else 0.0, idx.texts is not None)],
-        "name string, fields string, morphology string, n_buckets int, n_docs long, avg_len double, has_texts boolean")
+        spark, [(idx.name, ",".join(idx.fields), idx.morphology, n, total / n if n else 0.0, idx.texts is not None)],
+        "name string, fields string, morphology string, n_docs long, avg_len double, has_texts boolean")
     meta.write.mode(mode).parquet(f"{path}/meta")
 
 
 def read_index(spark: SparkSession, path: str) -> StoredIndex:
     m = spark.read.parquet(f"{path}/meta").first()
-    postings, lists, vocab = (spark.read.parquet(f"{path}/{n}") for n in ("postings", "term_docs", "vocabulary"))
+    lists, vocab = (spark.read.parquet(f"{path}/{n}") for n in ("lists", "vocabulary"))
     return StoredIndex(
         name=m["name"],
         docs=spark.read.parquet(f"{path}/docs"),
-        postings=postings.select("term", "doc_id", "field", "pos"),
+        postings=ps.occurrences(lists),
         lengths=spark.read.parquet(f"{path}/lengths"),
         fields=tuple(m["fields"].split(",")),
         texts=spark.read.parquet(f"{path}/texts") if m["has_texts"] else None,
         morphology=m["morphology"],
         _stats=(m["n_docs"], m["avg_len"]),
-        _term_docs=lists.select("term", "doc_id", "tf"),
-        _vocab=vocab.select("term", "docs", "hits"),
-        files=(postings, lists),
-        n_buckets=m["n_buckets"],
+        _lists=lists,
+        _vocab=vocab,
+        path=path,
+        words=spark.read.parquet(f"{path}/words"),
+        directory=spark.read.schema(DIRECTORY).parquet(f"{path}/directory"),
     )
 
 
 @dataclass
 class StoredIndex(Index):
-    """An index read back from files. Searches read only the buckets of their words: the bucket ids (at most
-    ``n_buckets``) are resolved once per search and become a literal partition filter."""
-
-    files: tuple[DataFrame, ...] = ()
-    n_buckets: int = DEFAULT_BUCKETS
-
-    def _in_buckets(self, df: DataFrame, terms: DataFrame) -> DataFrame:
-        rows = terms.select(bucket_of(F.col("term"), self.n_buckets).alias("bucket")).distinct().collect()
-        return df.where(F.col("bucket").isin(sorted(r["bucket"] for r in rows))).drop("bucket")
+    """An index read back from files. A search's words are resolved once (two small jobs: the distinct words, the files
+    that can hold them) and shared by all its reads. A search of more than ``PUSHED_WORDS`` words joins the whole
+    tables with its words instead; the result is the same."""
+
+    path: str = ""
+    words: DataFrame | None = None
+    directory: DataFrame | None = None
+    _resolved: dict = field(default_factory=dict, repr=False)
+
+    def resolve(self, terms: DataFrame) -> tuple[list[str], dict[str, list[str]]] | None:
+        """The distinct words of ``terms`` and per table the files whose range holds one of them."""
+        distinct = terms.select("term").where("term IS NOT NULL").distinct()
+        key = distinct.semanticHash()
+        if key not in self._resolved:
+            words = sorted(r["term"] for r in distinct.limit(PUSHED_WORDS + 1).collect())
+            files: dict[str, list[str]] = {"lists": [], "vocabulary": []}
+            if 0 < len(words) <= PUSHED_WORDS:
+                asked = F.array(*map(F.lit, words))
+                hit = self.directory.where(F.exists(asked, lambda w: (F.col("first") <= w) & (w <= F.col("last"))))
+                for r in hit.select("tab", "file").collect():
+                    files[r["tab"]].append(f"{self.path}/{r['tab']}/{r['file']}")
+            while len(self._resolved) >= KEPT:
+                self._resolved.pop(next(iter(self._resolved)))
+            self._resolved[key] = (words, files) if len(words) <= PUSHED_WORDS else None
+        return self._resolved[key]
+
+    def _pruned(self, table: str, whole: DataFrame, terms: DataFrame) -> DataFrame:
+        found = self.resolve(terms)
+        if found is None:
+            return whole.join(terms.select("term").distinct(), "term", "left_semi")
+        words, files = found
+        if not files[table]:
+            return whole.where(F.lit(False))
+        rows = whole.sparkSession.read.schema(whole.schema).parquet(*sorted(files[table]))
+        return rows.where(F.col("term").isin(words))
+
+    def lists(self, terms: DataFrame | None = None) -> DataFrame:
+        return self._lists if terms is None else self._pruned("lists", self._lists, terms)
 
     def postings_for(self, terms: DataFrame) -> DataFrame:
-        return self._in_buckets(self.files[0], terms)
+        return ps.occurrences(self.lists(terms))
+
+    def word_counts(self, terms: DataFrame) -> DataFrame:
+        return self._pruned("vocabulary", self._vocab, terms)
 
-    def lists_for(self, terms: DataFrame) -> DataFrame:
-        lists = self._in_buckets(self.files[1], terms)
-        return lists.join(terms.select("term").distinct(), "term", "left_semi").select("term", "doc_id", "tf")
+    def words_of(self, ids: DataFrame) -> DataFrame | None:
+        return bm.within(self.words, ids)

@@ -55,7 +55,7 @@ def stream_delta_index(stream: DataFrame, fields, out_dir: str, checkpoint: str,
         d = prepare(batch) if prepare else batch
         idx = ix.build_index("delta", d, fields, id_col)
         path = f"{out_dir}/postings/batch={batch_id}"
-        idx.postings.write.mode("overwrite").parquet(path)
+        idx.postings.select("term", "doc_id", "field", "pos").write.mode("overwrite").parquet(path)
         idx.docs.write.mode("overwrite").parquet(f"{out_dir}/docs/batch={batch_id}")
         lengths = ix.postings_lengths(d.sparkSession.read.parquet(path))  # from what was written, not tokenized again
         lengths.write.mode("overwrite").parquet(f"{out_dir}/lengths/batch={batch_id}")

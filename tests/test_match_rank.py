@@ -130,18 +130,29 @@ def test_batch_of_expressions_is_one_plan(spark, idx):
     assert scans == mt.match_boolean(idx, exprs)._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD")
 
 
-def test_stored_index_reads_the_buckets_of_its_words(spark, docs):
+def test_stored_index_reads_the_files_of_its_words(spark, docs):
     from quarry.session import scratch_path
     from quarry.sources import index_io as io
     from quarry.streaming.delta import compact
 
     main = ix.build_index("m", docs, ("title", "body"), "doc_id", attrs=["lang"])
     path = scratch_path(spark, "t-main")
-    io.write_index(main, path, n_buckets=16)
+    io.write_index(main, path, rows_per_file=5)
     stored = io.read_index(spark, path)
     q = Q(spark, [(1, 0, "fox"), (1, 1, "the")])
-    plan = mt.match_phrase(stored, q)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [bucket#" in plan or "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    whole = len(stored.lists().inputFiles())
+    assert whole > 5 and len(stored.lists(Q(spark, [(1, 0, "wind")])).inputFiles()) == 1
+    for df in (mt.match_phrase(stored, q), mt.match_all(stored, q), rk.match_and_rank(stored, q, "all", "proximity_bm25")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [In(term, [fox,the])" in plan and "lengths" not in plan
+        assert len(df.inputFiles()) < whole
+        assert "Exchange" in plan and "doc_lengths" not in plan
+    assert mt.match_any(stored, Q(spark, [(1, 0, "zzz")])).count() == mt.match_any(stored, Q(spark, [])).count() == 0
+    io.PUSHED_WORDS, kept = 1, io.PUSHED_WORDS
+    try:  # more words than are pushed: the same result
+        assert rows(mt.match_any(io.read_index(spark, path), q)) == rows(mt.match_any(stored, q))
+    finally:
+        io.PUSHED_WORDS = kept
     delta = ix.build_index("d", docs.where("doc_id = 1").withColumn("body", F.lit("a new text with the wolf")),
                            ("title", "body"), "doc_id", attrs=["lang"])
     both = mt.main_delta(stored, delta)
@@ -154,6 +165,66 @@ def test_stored_index_reads_the_buckets_of_its_words(spark, docs):
     assert rows(rk.rank(twice, words, None, "proximity_bm25")) == rows(rk.rank(both, words, None, "proximity_bm25"))
 
 
+def test_main_delta_counts_equal_a_rebuild(spark, docs):
+    """Replaced, changed to nothing and new documents: vocabulary and statistics without main's lists."""
+    from quarry.session import scratch_path
+    from quarry.sources import index_io as io
+
+    new = docs.where("doc_id IN (1, 2)").withColumn("body", F.expr("CASE WHEN doc_id = 1 THEN 'wolf the wolf' ELSE '' END"))
+    new = new.union(docs.where("doc_id = 3").withColumn("doc_id", F.lit(70000).cast("long")))
+    path = scratch_path(spark, "t-main")
+    make = lambda d: ix.build_index("m", d, ("title", "body"), "doc_id", attrs=["lang"])
+    io.write_index(make(docs), path)
+    whole = make(docs.join(new, "doc_id", "left_anti").union(new))
+    for main in (io.read_index(spark, path), make(docs)):
+        both = mt.main_delta(main, make(new))
+        assert rows(both.vocabulary(), "term", "docs", "hits") == rows(whole.vocabulary(), "term", "docs", "hits")
+        cols = lambda i: spark.range(1).select(i.stats()[0].alias("n"), F.round(i.stats()[1], 9).alias("mean")).first()
+        assert tuple(cols(both)) == tuple(cols(whole))
+        q = Q(spark, [(1, 0, "the"), (1, 1, "wolf"), (2, 0, "cat")])
+        for mode, ranker in (("any", "proximity_bm25"), ("all", "bm25"), ("phrase", "matchany"), ("any", "wordcount")):
+            assert rows(rk.match_and_rank(both, q, mode, ranker)) == rows(rk.match_and_rank(whole, q, mode, ranker))
+        plan = rk.match_and_rank(both, q, "any", "proximity_bm25")._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftAnti" not in plan
+
+
+def test_id_bitmap(spark):
+    from quarry.operators import bitmap as bm
+
+    ids = [0, 1, 7, 8, 32767, 32768, 32769, 10**12, -1, -32768, None]
+    held = bm.id_bitmap(spark.createDataFrame([(i,) for i in ids], "id long"))
+    probe = spark.createDataFrame([(i,) for i in [*ids, 2, 9, 32770, 10**12 + 1, -2, 5]], "doc_id long")
+    assert {r[0] for r in bm.within(probe, held).collect()} == {i for i in ids if i is not None}
+    assert {r[0] for r in bm.without(probe, held).collect()} == {2, 9, 32770, 10**12 + 1, -2, 5, None}
+
+
+@pytest.mark.parametrize("mode", ["any", "all", "phrase"])
+@pytest.mark.parametrize("ranker", ["bm25", "wordcount", "proximity", "matchany", "proximity_bm25", "none"])
+def test_match_and_rank_is_match_then_rank(spark, idx, mode, ranker):
+    q = Q(spark, [(1, 0, "of"), (1, 1, "the"), (2, 0, "the"), (2, 1, "fox"), (2, 2, "the"), (3, 0, "zzz"), (4, 0, "fox")])
+    cols = ("query_id", "doc_id", "weight")
+    want = rk.rank(idx, q, mt.match(idx, q, mode), ranker, {"title": 3})
+    assert rows(rk.match_and_rank(idx, q, mode, ranker, {"title": 3}), *cols) == rows(want, *cols)
+
+
+def test_spans_and_phrases_against_plain_code(spark):
+    """The counting sweep and the shifted positions on random texts."""
+    import random
+
+    rng = random.Random(7)
+    texts = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 14)))) for i in range(80)]
+    index = ix.build_index("r", spark.createDataFrame(texts, "doc_id long, body string"), ("body",), "doc_id")
+    queries = [["a", "b"], ["a", "b", "c"], ["a", "a", "b"], ["d"], ["a", "b", "c", "d"]]
+    q = Q(spark, [(k, p, w) for k, ws in enumerate(queries) for p, w in enumerate(ws)])
+    for n in (1, 2, 3, 5):
+        want = [(k, i) for k, ws in enumerate(queries) for i, t in texts if any(
+            set(ws) <= set(t.split()[s:s + n]) for s in range(len(t.split())))]
+        assert rows(mt.match_near(index, q, n)) == sorted(want)
+    want = [(k, i) for k, ws in enumerate(queries) for i, t in texts if any(
+        t.split()[s:s + len(ws)] == ws for s in range(len(t.split())))]
+    assert rows(mt.match_phrase(index, q)) == sorted(want)
+
+
 @pytest.mark.parametrize("ranker", ["bm25", "wordcount", "proximity", "matchany", "proximity_bm25", "none"])
 def test_rank_any_set_direct_equals_join(spark, idx, ranker):
     # matched=None scores the any-word set directly; it must equal ranking match_any's pairs
@@ -177,7 +248,7 @@ def test_bm25_from_stored_vocabulary(spark, docs):
     assert kept._vocab is not None
     assert rows(rk.rank(kept, q, None, "bm25"), *cols) == want
     path = scratch_path(spark, "t-vocab-index")
-    io.write_index(base, path, n_buckets=4)
+    io.write_index(base, path)
     stored = io.read_index(spark, path)
     assert stored.vocabulary().columns == ["term", "docs", "hits"]
     assert rows(stored.vocabulary()) == rows(base.vocabulary())

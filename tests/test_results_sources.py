@@ -101,7 +101,7 @@ def test_docset_and_index_round_trip(spark, idx):
     back = ds.read_docset(spark, path, src.schema, ("tag",))
     assert rows(back) == [(1, "a <b>", [1, 3]), (2, "z", [])]
     ipath = scratch_path(spark, "t-index")
-    io.write_index(idx, ipath, n_buckets=4)
+    io.write_index(idx, ipath)
     stored = io.read_index(spark, ipath)
     assert rows(stored.postings, "term", "doc_id", "field", "pos") == rows(idx.postings, "term", "doc_id", "field", "pos")
     q = ix.queries_from_terms(spark, [(1, 0, "the"), (1, 1, "fox")])
