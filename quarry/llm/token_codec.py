@@ -54,13 +54,14 @@ STOP = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
 class PieceEncoder:
     """Ids of whole texts from a ``tokenizers`` file. The byte-level pattern always splits before a single
     space, around a single newline and between a word and a stop, so such pieces are encoded once and
-    looked up; a text with any other white space goes through the library whole."""
+    looked up; a text with any other white space, or with the string of an added token (which the library takes
+    out first), goes through the library whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
 
@@ -70,7 +71,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        pieces = [None if UNSAFE.search(t) else
+        pieces = [None if UNSAFE.search(t) or any(x in t for x in self.added) else
                   STOP.sub("\x00", t).replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00") for t in texts]
         if len(self.known) > PIECE_CACHE:
             self.known.clear()

@@ -34,13 +34,17 @@ def test_repetition_is_compressed():
 
 
 TRICKY = ["", "a  b", " x", "a\n\nb", "tab\tq", "don't <|endoftext|> x.y, z", "é ñ 日本 語.", "a\n b", "x\r\ny", "12 34's 'll.",
-          "end ", "a.\nB, c", "nul\x00x", "\u00a0y z", "x., y!. z"]
+          "<|endoftext|>", "a <|endoftext|>b", "x. <|endoftext|>\n<|endoftext|>", "end ", "a.\nB, c", "nul\x00x", "\u00a0y z", "x., y!. z"]
 
 
 def test_pieces_equal_whole_text_encoding():
-    enc = token_codec.PieceEncoder(queries.byte_bpe())
+    from tokenizers import Tokenizer
+
+    enc, plain = token_codec.PieceEncoder(queries.byte_bpe()), Tokenizer.from_file(queries.byte_bpe())
     texts = TRICKY + [t or "" for _, t in edge_rows()]
-    assert enc.encode(texts) == enc._library(texts) == enc.encode(texts)
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in texts]
+    assert enc.encode(texts) == want == enc.encode(texts)
+    assert np.frombuffer(want[TRICKY.index("<|endoftext|>")], np.uint32).tolist() == [50256]
 
 
 def test_token_files_round_trip(spark, tmp_path, monkeypatch):
