@@ -179,9 +179,10 @@ def _tokens(df: DataFrame, fields, id_col: str, strip_html: tuple = (), min_len:
     return st.select("doc_id", "dl", "field", F.posexplode("toks").alias("pos", "term"))
 
 
-def field_lengths(df: DataFrame, fields, id_col: str = "doc_id", strip_html: tuple = ()) -> DataFrame:
+def field_lengths(df: DataFrame, fields, id_col: str = "doc_id", strip_html: tuple = (), min_len: int = 1) -> DataFrame:
     st = _stack_fields(df, fields, id_col, strip_html)
-    return st.select("doc_id", "field", F.size("toks").cast("long").alias("len"))
+    toks = F.col("toks") if min_len <= 1 else F.filter("toks", lambda t: F.char_length(t) >= min_len)
+    return st.select("doc_id", "field", F.size(toks).cast("long").alias("len"))
 
 
 def min_word_len(postings: DataFrame, n: int = 1) -> DataFrame:
@@ -237,7 +238,8 @@ def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attr
         texts_cols.append((html_strip(c) if f in strip_html else c).alias(f))
     texts = docs.select(*texts_cols)
     p = _tokens(docs, fields, id_col, strip_html, min_len)
-    if stop is not None or extra_postings is not None:
+    counted = stop is not None or extra_postings is not None
+    if counted:
         p = p.drop("dl")  # words go or come after tokenizing: the lengths are counted from the postings
     p = min_word_len(p, min_len)
     p = stopwords(p, stop)
@@ -245,9 +247,8 @@ def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attr
     if extra_postings is not None:
         p = p.unionByName(extra_postings.select("doc_id", "field", "pos", "term"))
     p = p.select("term", "doc_id", "field", "pos", *(c for c in p.columns if c == "dl"))
-    # words per field from the postings (one small aggregation; no second tokenization pass);
     # fields without words have no row, which neither the document count nor the mean changes
-    lengths = postings_lengths(p)
+    lengths = postings_lengths(p) if counted else field_lengths(docs, fields, id_col, strip_html, min_len).where("len > 0")
     return Index(name=name, docs=d, postings=p, lengths=lengths, fields=fields, texts=texts,
                  morphology=morphology)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,13 +21,14 @@ from quarry.session import local_table
 from quarry.spec import And, Expr, Near, Not, Or, Phrase, Term
 
 
-def _q(queries: DataFrame) -> DataFrame:
-    return queries.select("query_id", "qpos", "term")
+# ---- fixed values: expressions matched as conditions, alternatives of one expression, the leaf every document has ----
+CONDITIONS, CLAUSES, ANY_DOC = 64, 64, -1
+# ---- end of fixed values ----
 
 
 def term_hits(idx: Index, queries: DataFrame) -> DataFrame:
     """``query_id, qpos, term, doc_id, field, pos``: every occurrence of every query word."""
-    return idx.postings_for(queries).join(_q(queries), "term")
+    return idx.postings_for(queries).join(queries.select("query_id", "qpos", "term"), "term")
 
 
 def match_all(idx: Index, queries: DataFrame) -> DataFrame:
@@ -118,19 +120,89 @@ def _leaf_hits(idx: Index, leaves: list, spark: SparkSession) -> DataFrame | Non
     return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
 
 
+def held_clauses(hits: DataFrame, clauses: DataFrame) -> DataFrame:
+    """``clause, doc_id`` where the document has every item a clause wants and none that it forbids. ``hits``: distinct
+    ``item, doc_id``; ``clauses``: ``clause, item, wanted``, with one wanted item at least.
+
+    An inverted index over the clauses: each is filed under its rarest wanted item, so a document meets only the clauses
+    filed under an item it has, whatever their number; the other items are then looked up for these pairs."""
+    n = hits.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    filed = (clauses.where("wanted").join(n, "item", "left").groupBy("clause")
+             .agg(F.min_by("item", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "item")).alias("key")))
+    rest = clauses.join(filed, "clause").where("NOT (wanted AND item = key)").select("clause", "item", "wanted")
+    pairs = hits.join(filed, F.col("item") == F.col("key")).select("clause", "doc_id")
+    seen = pairs.join(rest, "clause", "left").join(hits.withColumn("held", F.lit(True)), ["item", "doc_id"], "left")
+    ok = F.col("item").isNull() | (F.coalesce("held", F.lit(False)) == F.col("wanted"))
+    return seen.groupBy("clause", "doc_id").agg(F.bool_and(ok).alias("ok")).where("ok").select("clause", "doc_id")
+
+
+def match_standing(lists: DataFrame, queries: DataFrame) -> DataFrame:
+    """All-words matching of very many queries: ``lists`` (term, doc_id, ...) against a queries table that is itself
+    indexed, each query under its rarest word. Equals ``match_all``."""
+    hits = lists.join(queries.select("term").distinct(), "term", "left_semi").select(F.col("term").alias("item"), "doc_id")
+    clauses = queries.select(F.col("query_id").alias("clause"), F.col("term").alias("item")).distinct().withColumn(
+        "wanted", F.lit(True))
+    return held_clauses(hits, clauses).select(F.col("clause").alias("query_id"), "doc_id")
+
+
+def _clauses(e: Expr, number: dict, negated: bool = False) -> set[frozenset] | None:
+    """``e`` as alternatives, each a set of (leaf number, wanted); None beyond ``CLAUSES`` of them."""
+    if isinstance(e, Not):
+        return _clauses(e.part, number, not negated)
+    if not isinstance(e, (And, Or)):
+        return {frozenset([(number[e], not negated)])}
+    parts = [_clauses(p, number, negated) for p in e.parts]
+    if any(p is None for p in parts):
+        return None
+    if isinstance(e, Or) != negated:
+        out = set().union(*parts)
+    else:
+        out = {frozenset()}
+        for p in parts:
+            out = {a | b for a in out for b in p}
+            if len(out) > CLAUSES:
+                return None
+        out = {c for c in out if len({i for i, _ in c}) == len(c)}  # a leaf both wanted and forbidden
+    return out if len(out) <= CLAUSES else None
+
+
+def _match_many(idx: Index, exprs: dict[int, Expr], clauses: dict[int, set], hits: DataFrame) -> DataFrame:
+    """Expressions as rows of a clause table instead of conditions in the plan."""
+    spark = hits.sparkSession
+    rows, owner, wants_all = [], [], False
+    for qid, alternatives in clauses.items():
+        for c in alternatives:
+            if not any(w for _, w in c):  # true without any leaf: wants a document, forbids its leaves
+                c, wants_all = c | {(ANY_DOC, True)}, True
+            rows += [(len(owner), i, w) for i, w in c]
+            owner.append((len(owner), qid))
+    hits = hits.select(F.col("leaf").alias("item"), "doc_id")
+    if wants_all:
+        hits = hits.unionByName(idx.docs.select(F.lit(ANY_DOC).alias("item"), "doc_id"))
+    found = held_clauses(hits, local_table(spark, rows, "clause int, item int, wanted boolean"))
+    return found.join(local_table(spark, owner, "clause int, query_id int"), "clause").select("query_id", "doc_id").distinct()
+
+
 def match_boolean(idx: Index, expr: Expr | dict[int, Expr], query_id: int = 1) -> DataFrame:
     """AND / OR / NOT over words (optionally field-limited), phrases and proximity groups.
 
     One plan for any number of expressions: the distinct leaves of all of them are matched together
-    (``_leaf_hits``), a document's leaves are gathered in one array, and each expression is a condition
-    over that array. An expression that is true without any leaf (NOT only) also takes the documents
-    that hold none, so those join in from the attribute table.
+    (``_leaf_hits``). A few expressions are conditions over a document's array of leaves; more than ``CONDITIONS``
+    become a table of clauses, each filed under its rarest leaf (``held_clauses``), so the plan does not grow with
+    them. An expression that is true without any leaf (NOT only) also takes the documents that hold none, so
+    those join in from the attribute table.
     """
     spark = idx.postings.sparkSession
     exprs = expr if isinstance(expr, dict) else {query_id: expr}
     leaves = list(dict.fromkeys(lf for e in exprs.values() for lf in e.leaves()))
     number = {lf: i for i, lf in enumerate(leaves)}
     hits = _leaf_hits(idx, leaves, spark)
+    if len(exprs) > CONDITIONS and hits is not None:
+        clauses = {qid: _clauses(e, number) for qid, e in exprs.items()}
+        few = {qid: e for qid, e in exprs.items() if clauses[qid] is None}  # too many alternatives: a condition
+        many = _match_many(idx, exprs, {qid: c for qid, c in clauses.items() if c is not None}, hits)
+        parts = [many] + [match_boolean(idx, dict(p)) for p in batched(few.items(), CONDITIONS)]
+        return reduce(lambda a, b: a.unionByName(b), parts)
     empty = F.array().cast("array<int>")
     docs = (idx.docs.select("doc_id", empty.alias("held")) if hits is None else
             hits.groupBy("doc_id").agg(F.collect_set("leaf").alias("held")))

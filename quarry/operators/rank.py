@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import positions as ps
 from quarry.operators.index import Index
+from quarry.session import fits_broadcast
 from quarry.spec import BM25_B, BM25_K1
 
 
@@ -93,7 +94,10 @@ def scores(idx: Index, queries: DataFrame, ranker: str, field_weights: dict | No
     g = ps.gathered(idx.lists(words), words)
     w = F.col("words")
     bm25 = ranker in ("bm25", "proximity_bm25")
-    rows = g.join(_idf_maps(idx, words, g), "query_id") if bm25 else g
+    if bm25:  # at most one entry per word of the queries, so their size bounds the table's
+        maps = _idf_maps(idx, words, g)
+        g = g.join(F.broadcast(maps) if fits_broadcast(queries) else maps, "query_id")
+    rows = g
     if mode == "all":
         rows = rows.where(F.size(w) == F.col("m"))
     elif mode == "phrase":

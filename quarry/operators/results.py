@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from quarry.operators.numbering import numbered
 from pyspark.sql import types as T
 
 from quarry.functions.text import words as word_array
@@ -57,17 +59,21 @@ def update_attributes(docs: DataFrame, changes: DataFrame, attrs: list[str]) ->
     return out, n
 
 
-def hydrate(hits: DataFrame, rows: DataFrame, rows_id: str = "id", order: list[Column] | None = None) -> DataFrame:
+def hydrate(hits: DataFrame, rows: DataFrame, rows_id: str = "id", order: list[Column] | None = None, whole: bool = False) -> DataFrame:
     """Match ids -> full source rows, in rank order; ids without a row are dropped.
 
     ``result_index`` is the running number within each query, padded with zeros to four digits and never
     cut (the key to restore the match order later). Run it after the page limit: the join is then on a bounded page.
+    ``whole=True`` numbers results of any size (``numbering.numbered``: no task holds a whole query; writes them once).
     """
     order = order or [F.col("weight").desc(), F.col("doc_id").asc()]
     r = rows.withColumnRenamed(rows_id, "doc_id") if rows_id != "doc_id" else rows
     dup = [c for c in r.columns if c in hits.columns and c != "doc_id"]
     r = r.drop(*dup)
     j = hits.join(r, "doc_id", "inner")
+    if whole:
+        n = numbered(j, ["query_id"], order, "_n")
+        return n.withColumn("result_index", F.format_string(RESULT_INDEX_FORMAT, F.col("_n"))).drop("_n")
     w = Window.partitionBy("query_id").orderBy(*order)
     return j.withColumn("result_index", F.format_string(RESULT_INDEX_FORMAT, F.row_number().over(w) - 1))
 
@@ -147,9 +153,10 @@ def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str
     from its end. NULL when there is no hit (an empty text has none).
 
     Passages are islands of the sorted hit positions: a hit opens one when it is further than two
-    windows from the hit before, so the work grows with the number of hits, not with their square.
+    windows from the hit before. Words are marked once for the whole text by merging the sorted hits with the word
+    positions, and passages are slices of the marked words: the work is linear in words and hits.
     """
-    t, hp, at = f"_{out_col}_toks", f"_{out_col}_hits", f"_{out_col}_at"
+    mk, t, hp, at = f"_{out_col}_marked", f"_{out_col}_toks", f"_{out_col}_hits", f"_{out_col}_at"
     d = df.withColumn(t, word_array(F.col(text_col)))
     toks = F.col(t)
     kws = F.array(*[F.lit(w) for w in keywords])
@@ -174,23 +181,29 @@ def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str
     if single_passage:
         spans = F.slice(spans, 1, 1)
 
+    # true at every hit: the gap before a hit, the hit, and the words after the last one
+    last = F.coalesce(F.array_max(hits), F.lit(0))
+    gaps = F.transform(hits, lambda h, k: F.concat(F.array_repeat(F.lit(False), h - F.when(
+        k == 0, F.lit(0)).otherwise(F.get(hits, k - 1)) - 1), F.array(F.lit(True))))
+    flags = F.concat(F.flatten(gaps), F.array_repeat(F.lit(False), F.size(toks) - last))
+    d = d.withColumn(mk, F.zip_with(toks, flags, lambda x, f: F.when(
+        f, F.concat(F.lit(before), x, F.lit(after))).otherwise(x)))
+
     def marked(span):
         lo = F.greatest(span["first"] - around, F.lit(1))
-        hi = F.least(F.element_at(span["own"], -1) + around, F.size(toks))
-        return F.transform(F.sequence(lo, hi), lambda i: F.when(
-            F.array_contains(span["own"], i), F.concat(F.lit(before), F.element_at(toks, i), F.lit(after)))
-            .otherwise(F.element_at(toks, i)))
+        hi = F.least(F.element_at(span["own"], -1) + around, F.size(mk))
+        return F.slice(F.col(mk), lo, hi - lo + 1)
 
     def fit(words):
         """The longest head of the words that fits the limit."""
-        start = F.struct(F.lit("").alias("s"), F.lit(True).alias("open"))
+        start = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("chars"), F.lit(True).alias("open"))
 
         def step(acc, w):
-            longer = F.when(acc["s"] == "", w).otherwise(F.concat(acc["s"], F.lit(" "), w))
-            ok = acc["open"] & (F.length(longer) <= limit)
-            return F.struct(F.when(ok, longer).otherwise(acc["s"]).alias("s"), ok.alias("open"))
+            chars = acc["chars"] + 1 + F.length(w)
+            ok = acc["open"] & (chars <= limit)
+            return F.struct((acc["n"] + ok.cast("int")).alias("n"), chars.alias("chars"), ok.alias("open"))
 
-        return F.aggregate(words, start, step, lambda acc: acc["s"])
+        return F.array_join(F.slice(words, 1, F.aggregate(words, start, step, lambda acc: acc["n"])), " ")
 
     pw = f"_{out_col}_words"
     d = d.withColumn(pw, F.transform(spans, marked))
@@ -198,7 +211,7 @@ def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str
     joined = F.aggregate(rest, fit(F.try_element_at(F.col(pw), F.lit(1))), lambda acc, p: F.when(
         F.length(acc) + len(separator) + F.length(p) <= limit, F.concat(acc, F.lit(separator), p)).otherwise(acc))
     d = d.withColumn(out_col, F.when(F.size(hits) > 0, joined))
-    return d.drop(t, hp, at, pw)
+    return d.drop(mk, t, hp, at, pw)
 
 
 def build_excerpts(texts: DataFrame, field: str, keywords: list[str], **opts) -> DataFrame:

@@ -23,6 +23,7 @@ from quarry.spec import SearchSpec, phrase, term
 # ---- fixed values: settings of the queries below ----
 PAGE = SearchSpec(ranker="wordcount", limit=20)
 BATCH_WORDS = ("of", "the", "and", "tion", "ble", "rer")
+MANY_WORDS = ("of", "the", "and", "tion", "ble", "rer", "en", "in", "er", "on", "an", "re")
 EXCERPT_LIMIT = 30
 # ---- end of fixed values ----
 
@@ -88,16 +89,44 @@ def q_hydrate_several_indexes(spark, sf):
 _PAIRS = list(permutations(BATCH_WORDS, 2))
 
 
-@register("match_boolean_batch", f"""WITH {o.INDEX}, t AS (SELECT DISTINCT term, doc_id FROM postings),
-e AS {o.values_sql([(i, a, b) for i, (a, b) in enumerate(_PAIRS)], 'query_id, a, b')}
-SELECT query_id, t.doc_id FROM e JOIN t ON t.term = a WHERE NOT EXISTS (SELECT 1 FROM t u WHERE u.term = b AND u.doc_id = t.doc_id)
-UNION ALL SELECT {len(_PAIRS)}, doc_id FROM (SELECT DISTINCT a.doc_id FROM postings a JOIN postings b ON a.doc_id = b.doc_id
+@register("match_boolean_batch", f"""WITH {o.INDEX}, t AS (SELECT DISTINCT term, doc_id FROM postings WHERE term IN {BATCH_WORDS}),
+e AS {o.values_sql([(i, a, b) for i, (a, b) in enumerate(_PAIRS)], 'query_id, a, b')},
+ph AS (SELECT doc_id, field, term, pos FROM postings WHERE term IN ('of', 'the'))
+SELECT query_id, t.doc_id FROM e JOIN t ON t.term = a LEFT JOIN t u ON u.term = b AND u.doc_id = t.doc_id WHERE u.doc_id IS NULL
+UNION ALL SELECT {len(_PAIRS)}, doc_id FROM (SELECT DISTINCT a.doc_id FROM ph a JOIN ph b ON a.doc_id = b.doc_id
  AND a.field = b.field AND b.pos = a.pos + 1 WHERE a.term = 'of' AND b.term = 'the')""")
 def q_match_boolean_batch(spark, sf):
     exprs = {i: term(a) & ~term(b) for i, (a, b) in enumerate(_PAIRS)}
     return mt.match_boolean(corpus_index(spark, sf), exprs | {len(_PAIRS): phrase("of", "the")})
 
 
+_TRIPLES = list(permutations(MANY_WORDS, 3))[:1000]
+
+
+@register("match_boolean_thousand", f"""WITH {o.INDEX}, t AS (SELECT DISTINCT term, doc_id FROM postings WHERE term IN {MANY_WORDS}),
+e AS {o.values_sql([(i, *w) for i, w in enumerate(_TRIPLES)], 'query_id, a, b, c')}
+SELECT query_id, x.doc_id FROM e JOIN t x ON x.term = a JOIN t y ON y.term = b AND y.doc_id = x.doc_id
+LEFT JOIN t z ON z.term = c AND z.doc_id = x.doc_id WHERE query_id % 2 = 0 AND z.doc_id IS NULL
+UNION ALL SELECT query_id, x.doc_id FROM e JOIN t x ON x.term = a LEFT JOIN t y ON y.term = b AND y.doc_id = x.doc_id
+LEFT JOIN t z ON z.term = c AND z.doc_id = x.doc_id WHERE query_id % 2 = 1 AND (y.doc_id IS NOT NULL OR z.doc_id IS NULL)""")
+def q_match_boolean_thousand(spark, sf):
+    """A thousand expressions at once: a and b but not c, or a with b or without c."""
+    exprs = {i: (term(a) & term(b) & ~term(c)) if i % 2 == 0 else (term(a) & (term(b) | ~term(c)))
+             for i, (a, b, c) in enumerate(_TRIPLES)}
+    return mt.match_boolean(corpus_index(spark, sf), exprs)
+
+
+@register("match_standing", f"""WITH {o.INDEX}, q AS (SELECT DISTINCT CAST(doc_id AS INTEGER) AS query_id, unnest(list_slice(t, 1, 4)) AS term
+  FROM toks WHERE field = 'title'),
+t AS (SELECT DISTINCT doc_id, unnest(t) AS term FROM toks), n AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id)
+SELECT query_id, doc_id FROM q JOIN t USING (term) JOIN n USING (query_id) GROUP BY query_id, doc_id, n HAVING count(*) = n""")
+def q_match_standing(spark, sf):
+    """Every title's first four words as a standing query, against the whole corpus."""
+    st.prep(spark)
+    q = ix.queries_from_column(st.corpus(spark, sf), "doc_id", "title").where("qpos < 4")
+    return mt.match_standing(corpus_index(spark, sf).lists_for(q), q)
+
+
 @register("rank_long_query", f"""WITH {o.INDEX},
 qv AS (SELECT 1 AS query_id, pos AS qpos, term FROM postings WHERE doc_id = 0 AND field = 'body'), {o.lcs_ctes()},
 nq AS (SELECT count(DISTINCT term) AS n FROM qv)
@@ -114,7 +143,7 @@ def q_hydrate_all(spark, sf):
     """Running numbers past 9999 keep all their digits."""
     orders = st.table(spark, sf, "orders")
     hits = orders.select(F.lit(1).alias("query_id"), F.col("o_orderkey").alias("doc_id"), F.col("o_totalprice").alias("weight"))
-    return rs.hydrate(hits, orders.select(F.col("o_orderkey").alias("doc_id"), "o_orderstatus"), "doc_id").select("doc_id", "result_index")
+    return rs.hydrate(hits, orders.select(F.col("o_orderkey").alias("doc_id"), "o_orderstatus"), "doc_id", whole=True).select("doc_id", "result_index")
 
 
 @register("build_excerpts_limit", R._excerpt_sql(["of", "the"], limit=EXCERPT_LIMIT))

@@ -79,6 +79,13 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str | StructType
     return spark.createDataFrame(pa.table(cols, names=[f.name for f in fields]), schema=StructType(fields))
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size of ``df`` (exact for local relations) is below its broadcast threshold. For tables that hold
+    no more than ``df`` does but whose size Spark cannot derive, such as per-query aggregates."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= conf.autoBroadcastJoinThreshold()
+
+
 def to_arrow(dt) -> pa.DataType:
     kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "double": pa.float64(),
              "boolean": pa.bool_()}

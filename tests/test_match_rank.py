@@ -267,3 +267,41 @@ def test_small_known_query_table_same_results(spark, idx):
         assert rows(rk.rank(idx, kept, mt.match_all(idx, kept), r), *cols) == \
             rows(rk.rank(idx, plain, mt.match_all(idx, plain), r), *cols)
     kept.unpersist()
+
+
+def test_clause_table_equals_conditions(spark, idx, monkeypatch):
+    """Random expressions, NOT only and impossible ones among them, as table rows and as conditions."""
+    import random
+
+    from quarry.spec import near, phrase, term
+
+    rng = random.Random(3)
+    leaves = [*map(term, ("the", "fox", "cat", "of", "dog", "zzz")), phrase("of", "the"), near("cat", "dog", n=4), term("fox", "title")]
+
+    def make(depth):
+        kind = rng.randrange(4) if depth else 3
+        if kind == 0:
+            return make(depth - 1) & make(depth - 1)
+        if kind == 1:
+            return make(depth - 1) | make(depth - 1)
+        return ~make(depth - 1) if kind == 2 else rng.choice(leaves)
+
+    exprs = {k: make(rng.randint(0, 4)) for k in range(60)} | {60: term("the") & ~term("the"), 61: ~term("zzz")}
+    want = rows(mt.match_boolean(idx, exprs))
+    monkeypatch.setattr(mt, "CONDITIONS", 5)
+    assert rows(mt.match_boolean(idx, exprs)) == want
+    monkeypatch.setattr(mt, "CLAUSES", 2)  # most expressions fall back to conditions
+    assert rows(mt.match_boolean(idx, {k: exprs[k] for k in range(12)})) == [r for r in want if r[0] < 12]
+
+
+def test_standing_queries_with_a_hot_word_meet_few_documents(spark):
+    """20,000 queries hold a word of every document; pairs examined follow the rarer words."""
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('the word', id % 100, ' body') AS body")
+    index = ix.build_index("s", docs, ("body",), "doc_id")
+    ids = spark.range(20000)
+    q = (ids.selectExpr("cast(id AS int) AS query_id", "0 AS qpos", "'the' AS term")
+         .union(ids.selectExpr("cast(id AS int)", "1", "concat('word', id)"))
+         .union(spark.sql("SELECT 20000, 0, 'the' UNION ALL SELECT 20001, 0, 'zzz' UNION ALL SELECT 20001, 1, 'the'")))
+    got = mt.match_standing(index.lists_for(q), q)
+    assert rows(got) == rows(mt.match_all(index, q))
+    assert got.count() == 300 + 300

@@ -200,3 +200,30 @@ def test_audited_sources_and_indexed_tag_attributes(spark):
     page = spark.createDataFrame([(1, '<p>text</p><img src="x" alt="a cat"><a title="link words" href="y">z</a>')], "doc_id long, html string")
     index = ix.build_index("p", page, ("html",), "doc_id", strip_html=("html",), html_attrs=ix.HTML_INDEX_ATTRS)
     assert [r["term"] for r in index.postings.orderBy("pos").collect()] == ["text", "z", "a", "cat", "link", "words"]
+
+
+def test_hydrate_of_whole_tables_numbers_like_the_window(spark):
+    """Ties, a null query, one hot query and empty input, over many partitions and without a window over a query."""
+    hits = spark.range(0, 3000, numPartitions=7).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN NULL WHEN id % 10 < 9 THEN 1 ELSE id % 3 + 2 END AS query_id", "id AS doc_id", "id % 17 AS weight")
+    table = spark.range(0, 2990).selectExpr("id", "id * 2 AS v")
+    cols = ("query_id", "doc_id", "weight", "v", "result_index")
+    key = lambda df: sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
+    got = rs.hydrate(hits, table, whole=True)
+    assert key(got) == key(rs.hydrate(hits, table))
+    assert got.columns == rs.hydrate(hits, table).columns
+    assert rs.hydrate(hits.limit(0), table, whole=True).count() == 0
+    assert "row_number" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_excerpts_of_a_text_full_of_hits_are_linear(spark):
+    import time
+
+    took = {}
+    for n in (20_000, 20_000, 100_000):
+        t = spark.createDataFrame([(1, "x y " * n)], "doc_id long, body string")
+        start = time.time()
+        e = rs.build_excerpts(t, "body", ["x"], around=2, limit=10**9).first()["excerpt"]
+        took[n] = time.time() - start
+        assert e.count("x") == n and e.count("y") == n
+    assert took[100_000] < 10 * max(took[20_000], 1.0)
