@@ -1217,6 +1217,7 @@ def q_read_index(spark, sf):
 # 2.9 streaming
 
 from quarry.streaming import delta as sd  # noqa: E402
+from quarry.streaming import latest as sl  # noqa: E402
 
 
 def _corpus_from_batch(batch: DataFrame) -> DataFrame:
@@ -1272,6 +1273,24 @@ def q_stream_dedup(spark, sf):
     return r.select("user_id", "event_type", F.unix_micros("ts").alias("ts_us"), "event_id", "value", "props")
 
 
+@register("stream_latest", SQL["stream_dedup"])
+def q_stream_latest(spark, sf):
+    """As ``stream_dedup`` with one state row per key. Every part arrives as all its files in one run of the query, and the
+    runs share the checkpoint."""
+    st.prep(spark)
+    ev = st.table(spark, sf, "events")
+    src, out, ckpt = (scratch_path(spark, f"latest-{n}") for n in ("source", "out", "ckpt"))
+    lo, hi = (ev.agg(f("ts")).scalar() for f in (F.min, F.max))
+    mid = F.timestamp_seconds((F.unix_timestamp(lo) + F.unix_timestamp(hi)) / 2).cast("timestamp_ntz")
+    keys = ["user_id", "event_type"]
+    for part in (F.col("ts") < mid, F.col("ts") >= mid, F.col("ts") < lo + F.make_dt_interval(F.lit(1))):
+        ev.where(part).write.mode("append").parquet(src)
+        sd.run_versions(sl.stream_latest(sd.read_stream(spark, src, ev.schema), keys, "ts"), out, ckpt,
+                        available_now=True).awaitTermination()
+    r = sd.latest_versions(spark.read.parquet(out), keys, "ts")
+    return r.select(*keys, F.unix_micros("ts").alias("ts_us"), "event_id", "value", "props")
+
+
 @register("stream_facets", """SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS window_start,
  CAST(epoch(date_trunc('day', ts) + INTERVAL 1 DAY) AS BIGINT) AS window_end, event_type, count(*) AS count
 FROM events GROUP BY ALL""")

@@ -58,6 +58,35 @@ def test_stream_dedup_keeps_the_latest_version(spark):
     assert written.where("v = 'too late'").count() == 0  # past the watermark
 
 
+def test_stream_latest_keeps_one_state_row_per_key(spark):
+    """A late row, an older version, a replayed file and expiry: rows written and state rows after every batch."""
+    from quarry.streaming import latest as sl
+
+    root, out = scratch_path(spark, "t-latest"), scratch_path(spark, "t-latest-out")
+    batches = [[("a", "2024-01-01 00:00:00", "old"), ("a", "2024-01-01 01:00:00", "newer"), ("b", "2024-01-01 00:00:00", "only")],
+               [("a", "2024-01-01 00:30:00", "between"), ("c", None, "no time"), ("b", "2024-01-01 00:00:00", "only")],
+               [("a", "2024-01-05 00:00:00", "new")], [("d", "2024-01-05 01:00:00", "fresh")],
+               [("b", "2024-01-01 12:00:00", "too late"), (None, "2024-01-05 00:00:00", "no key")]]
+    written, state, ckpt = [], [], scratch_path(spark, "t-latest-ckpt")
+    kept = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        for part in batches:
+            df = spark.createDataFrame(part, "k string, t string, v string").selectExpr("k", "timestamp(t) ts", "v")
+            df.coalesce(1).write.mode("append").parquet(root)
+            s = spark.readStream.schema("k string, ts timestamp, v string").parquet(root)
+            q = sd.run_versions(sl.stream_latest(s, ["k"], "ts"), out, ckpt, True)
+            q.awaitTermination()
+            written.append(sorted(r["v"] for r in spark.read.parquet(out).collect()))
+            state.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+    assert written[:2] == [["newer", "only"]] * 2  # older versions and replayed rows give nothing
+    assert written[4] == sorted(["newer", "only", "new", "fresh", "no key"])
+    got = sd.latest_versions(spark.read.parquet(out), ["k"], "ts")
+    assert sorted((str(r["k"]), r["v"]) for r in got.collect()) == [("None", "no key"), ("a", "new"), ("b", "only"), ("d", "fresh")]
+    assert state[0] == state[1] and state[4] < 3 * state[0]  # b is freed once the watermark has passed it
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as E
 
