@@ -134,7 +134,8 @@ def _cut(text: str, starts: str, size: str):
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` with later repeated runs of lines removed from the text, plus n_lines (non-empty lines
-    before), n_removed and n_runs (maximal removed runs)."""
+    before), n_removed and n_runs (maximal removed runs). The three are added as the last columns: rename input columns of
+    these names first, else the result holds two of a name."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = stored(repeated_windows(plain, window).groupBy("doc_id").agg(
         F.collect_set("line").alias("_starts"), F.max("size").alias("_size")), "line-removed")

@@ -227,8 +227,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group left (the smallest id), same columns."""
-    gone = stored(near_duplicates(docs, id_col, text_col, shingle, percent).where("NOT kept")
-                  .select(F.col(id_col).alias("_gone")).distinct(), "near-gone")
-    rows = maybe_among(docs.select(F.struct(*docs.columns).alias("_row")), F.col(f"_row.{id_col}").cast("long"), gone)
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # internal names cannot clash with the caller's
+    plain = docs.toDF(*names)
+    key, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    gone = stored(near_duplicates(plain, key, text, shingle, percent).where("NOT kept")
+                  .select(F.col(key).alias("_gone")).distinct(), "near-gone")
+    rows = maybe_among(plain, F.col(key).cast("long"), gone)
     stays = rows.where("_maybe").join(gone, F.col("_key") == F.col("_gone"), "left_anti")
-    return rows.where("NOT _maybe").select("_row.*").union(stays.select("_row.*"))
+    return rows.where("NOT _maybe").select(*names).union(stays.select(*names)).toDF(*docs.columns)

@@ -253,4 +253,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """``docs`` without the rows that the classifier calls toxic, same columns."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     model = fit(plain, _training(labels, id_col, label_col), **limits)
-    return score(docs, *model, text_col).where("_score < 0.5").drop("_score")
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # internal names cannot clash with the caller's
+    kept = score(docs.toDF(*names), *model, names[docs.columns.index(text_col)]).where("_score < 0.5")
+    return kept.drop("_score").toDF(*docs.columns)

@@ -3,7 +3,7 @@ import re
 import corpus_pipeline as P
 from quarry.llm import exact_dedup, near_dedup, toxicity
 from quarry.llm.common import read
-from tests.llm.helpers import near_components
+from tests.llm.helpers import edge_rows, near_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,3 +49,16 @@ def test_near_stage_uses_five_words_and_four_fifths():
 
     signature = inspect.signature(near_dedup.near_dedup)
     assert signature.parameters["shingle"].default == 5 and signature.parameters["percent"].default == 80
+
+
+def test_stages_keep_columns_whose_names_clash_or_hold_dots(spark):
+    rows = [(i, t) for i, t in edge_rows() if i is not None]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", k, 1.5, "x", k) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, _row int, _score double, `a.b` string, _key int")
+    ids = sorted({i for i, _ in rows})
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    tox = toxicity.drop_toxic(docs, labels)
+    assert tox.schema == docs.schema and set(tox.collect()) <= set(docs.collect())
+    near = near_dedup.near_dedup(docs)
+    assert near.schema == docs.schema
+    assert set(near.collect()) <= set(docs.collect()) and near.count() < docs.count()
