@@ -209,9 +209,14 @@ def normalize_terms(terms: DataFrame, method: str = "none") -> DataFrame:
 
 
 def apply_morphology(postings: DataFrame, method: str = "none") -> DataFrame:
-    """Replace each word by its normal form. Python (stemmers) runs once per distinct word only."""
+    """Replace each word by its normal form. Python (stemmers) runs once per distinct word only; soundex is an
+    expression and is applied in place."""
     if method in (None, "none"):
         return postings
+    if method == "soundex":
+        from quarry.functions import morphology
+
+        return postings.withColumn("term", morphology.normalize_column(F.col("term"), method))
     norm = normalize_terms(postings, method)
     return postings.join(norm, "term").select(F.col("norm").alias("term"), *(c for c in postings.columns if c != "term"))
 

@@ -18,6 +18,7 @@ EXCERPT_AFTER = "</b>"
 EXCERPT_SEPARATOR = " ... "
 EXCERPT_LIMIT = 256
 EXCERPT_AROUND = 5
+SENTENCE_END = "[.?!\u2026][ \t\r\n]|\n[ \t\r]*\n"  # the end of a sentence or paragraph
 RESULT_INDEX_FORMAT = "%04d"
 
 
@@ -142,7 +143,8 @@ def excerpt_kwic(hits: DataFrame, texts: DataFrame, phrase: list[str], fields: l
 def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str = "excerpt",
                  before: str = EXCERPT_BEFORE, after: str = EXCERPT_AFTER, separator: str = EXCERPT_SEPARATOR,
                  limit: int = EXCERPT_LIMIT, around: int = EXCERPT_AROUND, exact_phrase: bool = False,
-                 single_passage: bool = False, weight_order: bool = False) -> DataFrame:
+                 single_passage: bool = False, weight_order: bool = False, use_boundaries: bool = False,
+                 boundary: str = SENTENCE_END) -> DataFrame:
     """Add snippets built from the word array of ``text_col``.
 
     Hits are the positions of keyword words (or of whole phrase occurrences when
@@ -150,27 +152,36 @@ def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str
     touching windows merge into one passage. Passages are joined by ``separator`` in text order
     (or by number of hits with ``weight_order``; ``single_passage`` keeps the best one) and added
     while the result stays within ``limit`` characters; a first passage that is too long loses whole words
-    from its end. NULL when there is no hit (an empty text has none).
+    from its end. NULL when there is no hit (an empty text has none). With ``use_boundaries`` no passage and no phrase
+    crosses a place where ``boundary`` (a pattern without word characters) matches: sentence and paragraph ends.
 
     Passages are islands of the sorted hit positions: a hit opens one when it is further than two
     windows from the hit before. Words are marked once for the whole text by merging the sorted hits with the word
     positions, and passages are slices of the marked words: the work is linear in words and hits.
     """
     mk, t, hp, at = f"_{out_col}_marked", f"_{out_col}_toks", f"_{out_col}_hits", f"_{out_col}_at"
-    d = df.withColumn(t, word_array(F.col(text_col)))
+    sg, pt = f"_{out_col}_segment", f"_{out_col}_parts"
+    if use_boundaries:
+        d = df.withColumn(pt, F.transform(F.split(F.col(text_col), boundary), word_array))
+        d = d.withColumns({t: F.flatten(pt), sg: F.flatten(F.transform(F.col(pt), lambda ws, i: F.array_repeat(i, F.size(ws))))})
+    else:
+        d = df.withColumn(t, word_array(F.col(text_col)))
     toks = F.col(t)
+    apart = lambda i, j: F.element_at(F.col(sg), i) != F.element_at(F.col(sg), j) if use_boundaries else F.lit(False)
     kws = F.array(*[F.lit(w) for w in keywords])
     if exact_phrase:
         m = len(keywords)
         d = d.withColumn(hp, _phrase_starts(toks, keywords))
+        d = d.withColumn(hp, F.filter(F.col(hp), lambda i: ~apart(i, i + (m - 1))))
         d = d.withColumn(hp, F.flatten(F.transform(F.col(hp), lambda s0: F.sequence(s0, s0 + (m - 1)))))
     else:
         d = d.withColumn(hp, F.filter(_positions(toks), lambda i: F.array_contains(kws, F.element_at(toks, i))))
     d = d.withColumn(hp, F.array_sort(F.array_distinct(F.col(hp))))
     hits = F.col(hp)
     # indexes (from 1) of the hits that open a passage, and one past the last hit
+    before_it = lambda i: F.element_at(hits, F.greatest(i - 1, F.lit(1)))
     opens = F.filter(_positions(hits), lambda i: (i == 1) | (
-        F.element_at(hits, i) - F.element_at(hits, F.greatest(i - 1, F.lit(1))) > 2 * around + 1))
+        F.element_at(hits, i) - before_it(i) > 2 * around + 1) | apart(F.element_at(hits, i), before_it(i)))
     d = d.withColumn(at, F.concat(opens, F.array(F.size(hits) + 1)))
     ends = F.col(at)
     spans = F.transform(F.slice(ends, 1, F.size(ends) - 1), lambda i, k: F.struct(
@@ -191,7 +202,11 @@ def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str
 
     def marked(span):
         lo = F.greatest(span["first"] - around, F.lit(1))
-        hi = F.least(F.element_at(span["own"], -1) + around, F.size(mk))
+        end = F.element_at(span["own"], -1)
+        hi = F.least(end + around, F.size(mk))
+        if use_boundaries:  # words of the window that stand in the hits' own part
+            lo = F.array_min(F.filter(F.sequence(lo, span["first"]), lambda i: ~apart(i, end)))
+            hi = F.array_max(F.filter(F.sequence(end, hi), lambda i: ~apart(i, end)))
         return F.slice(F.col(mk), lo, hi - lo + 1)
 
     def fit(words):
@@ -211,7 +226,7 @@ def with_excerpt(df: DataFrame, text_col: str, keywords: list[str], out_col: str
     joined = F.aggregate(rest, fit(F.try_element_at(F.col(pw), F.lit(1))), lambda acc, p: F.when(
         F.length(acc) + len(separator) + F.length(p) <= limit, F.concat(acc, F.lit(separator), p)).otherwise(acc))
     d = d.withColumn(out_col, F.when(F.size(hits) > 0, joined))
-    return d.drop(mk, t, hp, at, pw)
+    return d.drop(mk, t, hp, at, pw, sg, pt)
 
 
 def build_excerpts(texts: DataFrame, field: str, keywords: list[str], **opts) -> DataFrame:

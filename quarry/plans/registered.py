@@ -1256,19 +1256,18 @@ def q_stream_compact(spark, sf):
 @register("stream_dedup", """SELECT user_id, event_type, epoch_us(ts) AS ts_us, event_id, value, props FROM (SELECT *, row_number() OVER (
  PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC, value DESC, props DESC) AS r FROM events) WHERE r = 1""")
 def q_stream_dedup(spark, sf):
-    """Three batches: the first and second half of the events, then the oldest day again, too late."""
+    """Three parts: the first and second half of the events, then the oldest day again, too late. Every part arrives as
+    all its files in one run of the query, and the runs share the checkpoint."""
     st.prep(spark)
     ev = st.table(spark, sf, "events")
-    src = scratch_path(spark, "dedup-source")
+    src, out, ckpt = (scratch_path(spark, f"dedup-{n}") for n in ("source", "out", "ckpt"))
     lo, hi = (ev.agg(f("ts")).scalar() for f in (F.min, F.max))
     mid = F.timestamp_seconds((F.unix_timestamp(lo) + F.unix_timestamp(hi)) / 2).cast("timestamp_ntz")
     day = F.make_dt_interval(F.lit(1))
     for part in (F.col("ts") < mid, F.col("ts") >= mid, F.col("ts") < lo + day):
-        ev.where(part).coalesce(1).write.mode("append").parquet(src)
-    s = sd.read_stream(spark, src, ev.schema, max_files=1)
-    out = scratch_path(spark, "dedup")
-    sd.run_versions(sd.stream_dedup(s, ["user_id", "event_type"], "ts"), out, scratch_path(spark, "dedup-ckpt"),
-                    available_now=True).awaitTermination()
+        ev.where(part).write.mode("append").parquet(src)
+        sd.run_versions(sd.stream_dedup(sd.read_stream(spark, src, ev.schema), ["user_id", "event_type"], "ts"), out, ckpt,
+                        available_now=True).awaitTermination()
     r = sd.latest_versions(spark.read.parquet(out), ["user_id", "event_type"], "ts")
     return r.select("user_id", "event_type", F.unix_micros("ts").alias("ts_us"), "event_id", "value", "props")
 
@@ -1354,11 +1353,11 @@ register("match_extended2", SQL["match_extended_field"])(q_match_extended_field)
 
 
 def _excerpt_sql(words: list[str], around: int = 5, limit: int = 256, before: str = "<b>", after: str = "</b>",
-                 separator: str = " ... ", exact_phrase: bool = False, single_passage: bool = False) -> str:
+                 separator: str = " ... ", exact_phrase: bool = False, single_passage: bool = False, boundary: str = "") -> str:
     kw = "[" + ", ".join(repr(w) for w in words) + "]"
     if exact_phrase:
         m = len(words)
-        at = " AND ".join(f"t[i + {k}] = {w!r}" for k, w in enumerate(words))
+        at = " AND ".join([f"t[i + {k}] = {w!r}" for k, w in enumerate(words)] + ([f"g[i] = g[i + {m - 1}]"] if boundary else []))
         hits = (f"list_sort(list_distinct(flatten(list_transform(list_filter(range(1, len(t) - {m - 2}), lambda i: {at}), "
                 f"lambda s0: range(s0, s0 + {m})))))")
     else:
@@ -1366,17 +1365,25 @@ def _excerpt_sql(words: list[str], around: int = 5, limit: int = 256, before: st
     # best passage first: most hits, then earliest
     pick = ("list_transform(list_slice(list_sort(list_transform(spans, lambda x: {'k': -x.n, 's': x.s, 'e': x.e})), 1, 1), "
             "lambda x: {'s': x.s, 'e': x.e, 'n': -x.k})") if single_passage else "spans"
+    # g: the sentence or paragraph of every word
+    split = (f"tk AS (SELECT doc_id, flatten(ws) AS t, flatten(list_transform(range(1, len(ws) + 1), lambda i: list_transform(ws[i], lambda w: i))) AS g "
+             f"FROM (SELECT doc_id, list_transform(regexp_split_to_array(body, '{boundary}'), lambda s: {o.words_sql('s')}) AS ws FROM corpus))"
+             if boundary else f"tk AS (SELECT doc_id, {o.words_sql('body')} AS t, CAST([] AS BIGINT[]) AS g FROM corpus)")
+    apart = f" OR g[p] <> g[acc[len(acc)].e - {around}]" if boundary else ""
+    window = "range(greatest(sp.s, 1), least(sp.e, len(t)) + 1)"
+    if boundary:
+        window = f"list_filter({window}, lambda i: g[i] = g[sp.e - {around}])"
     return f"""WITH {o.CORPUS},
-tk AS (SELECT doc_id, {o.words_sql('body')} AS t FROM corpus),
-hp AS (SELECT doc_id, t, {hits} AS h FROM tk),
-sp0 AS (SELECT doc_id, t, h, list_reduce(h, lambda acc, p:
-   CASE WHEN len(acc) = 0 OR p - {around} > acc[len(acc)].e + 1
+{split},
+hp AS (SELECT doc_id, t, g, {hits} AS h FROM tk),
+sp0 AS (SELECT doc_id, t, g, h, list_reduce(h, lambda acc, p:
+   CASE WHEN len(acc) = 0 OR p - {around} > acc[len(acc)].e + 1{apart}
         THEN list_append(acc, {{'s': p - {around}, 'e': p + {around}, 'n': 1}})
         ELSE list_append(list_slice(acc, 1, len(acc) - 1), {{'s': acc[len(acc)].s, 'e': p + {around}, 'n': acc[len(acc)].n + 1}}) END,
    CAST([] AS STRUCT(s BIGINT, e BIGINT, n BIGINT)[])) AS spans FROM hp),
-sp AS (SELECT doc_id, t, h, {pick} AS spans FROM sp0),
+sp AS (SELECT doc_id, t, g, h, {pick} AS spans FROM sp0),
 pa AS (SELECT doc_id, spans, list_transform(spans, lambda sp: list_transform(
-   range(greatest(sp.s, 1), least(sp.e, len(t)) + 1),
+   {window},
    lambda i: CASE WHEN list_contains(h, i) THEN '{before}' || t[i] || '{after}' ELSE t[i] END)) AS ws FROM sp),
 fi AS (SELECT doc_id, spans, ws, list_reduce(list_transform(ws[1], lambda w: {{'s': w, 'o': length(w) <= {limit}}}), lambda a, x:
    CASE WHEN a.o AND length(a.s) + 1 + length(x.s) <= {limit} THEN {{'s': a.s || ' ' || x.s, 'o': true}} ELSE {{'s': a.s, 'o': false}} END) AS f FROM pa)

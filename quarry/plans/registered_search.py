@@ -7,6 +7,7 @@ from itertools import permutations
 
 from pyspark.sql import functions as F
 
+from quarry.operators import filters as fl
 from quarry.operators import group as gr
 from quarry.operators import index as ix
 from quarry.operators import match as mt
@@ -153,6 +154,19 @@ def q_build_excerpts_limit(spark, sf):
     return rs.build_excerpts(st.corpus(spark, sf), "body", ["of", "the"], limit=EXCERPT_LIMIT)
 
 
+@register("build_excerpts_boundaries", R._excerpt_sql(["of", "the"], boundary=rs.SENTENCE_END))
+def q_build_excerpts_boundaries(spark, sf):
+    """Passages stay within a sentence or paragraph."""
+    st.prep(spark)
+    return rs.build_excerpts(st.corpus(spark, sf), "body", ["of", "the"], use_boundaries=True)
+
+
+@register("build_excerpts_phrase_boundaries", R._excerpt_sql(["of", "the"], exact_phrase=True, around=3, boundary=rs.SENTENCE_END))
+def q_build_excerpts_phrase_boundaries(spark, sf):
+    st.prep(spark)
+    return rs.build_excerpts(st.corpus(spark, sf), "body", ["of", "the"], exact_phrase=True, around=3, use_boundaries=True)
+
+
 @register("build_excerpts_empty", f"""WITH e AS ({R._excerpt_sql(['tion'])})
 SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN excerpt END AS excerpt FROM e""")
 def q_build_excerpts_empty(spark, sf):
@@ -162,6 +176,24 @@ def q_build_excerpts_empty(spark, sf):
     return rs.build_excerpts(texts, "body", ["tion"])
 
 
+@register("search_tag_mode", f"""WITH {o.CORPUS}, tg AS (SELECT p_partkey AS id FROM part
+  WHERE p_name IN ({", ".join(repr(n) for n in R._tag_names())})
+     OR regexp_replace(lower(p_name), '[^a-z0-9_]', '', 'g') IN ({", ".join(repr(fl.normalize_tag(n)) for n in R._tag_names())})),
+h AS (SELECT doc_id, CAST(created_on AS TIMESTAMP) AS created_on FROM corpus WHERE doc_id IN (SELECT l_orderkey FROM lineitem WHERE l_partkey IN (SELECT id FROM tg)))
+SELECT 1 AS query_id, doc_id, row_number() OVER (ORDER BY created_on DESC, doc_id) AS rank, (SELECT count(*) FROM h) AS total_found
+FROM h QUALIFY row_number() OVER (ORDER BY created_on DESC, doc_id) <= 50""")
+def q_search_tag_mode(spark, sf):
+    """The tag list replaces the search words: a document's tags are the parts of the order of its number."""
+    st.prep(spark)
+    tags = (st.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"))
+            .agg(F.collect_set("l_partkey").alias("tag")))
+    docs = st.corpus(spark, sf).join(tags, "doc_id", "left")
+    idx = ix.build_index("entry", docs, ("title", "body"), "doc_id", attrs=["created_on", "tag"])
+    found = search(idx, qtable(spark, Q_TERMS), SearchSpec(
+        tags=(st.tags(spark, sf), R.TAG_NAMES, "tag"), sort_mode="attr_desc", sort_by="created_on", limit=50))
+    return found.hits.join(found.totals, "query_id").select("query_id", "doc_id", F.col("rank").cast("long"), "total_found")
+
+
 _HOLES = (f"{R.ENTRIES_SQL}, h AS (SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN tag END AS tag, "
           "CASE WHEN doc_id % 4 <> 0 THEN o_orderstatus END AS status, CASE WHEN doc_id % 5 <> 0 THEN o_totalprice END AS price, "
           "author_id % 5 AS blog FROM entries)")
@@ -225,3 +257,30 @@ def q_sql_surface_words(spark, sf):
     return spark.sql("""SELECT m.doc_id, r.weight, m.doc_id IN (SELECT doc_id FROM entry_phrase(array('of', 'the'))) AS is_phrase
         FROM entry_match_all(array('of', 'the', 'and')) m JOIN entry_rank_wordcount(array('of', 'the', 'and')) r ON r.doc_id = m.doc_id
         JOIN entry_docs d ON d.doc_id = m.doc_id WHERE d.lang = 'en'""")
+
+
+_SQL_WORDS = [(1, 0, "of"), (1, 1, "the"), (1, 2, "and")]
+
+
+@register("sql_surface_rankers", f"""WITH {o.INDEX}, {QV(_SQL_WORDS)}, {o.bm25_ctes()}, {o.lcs_ctes()},
+px AS (SELECT doc_id, sum(lcs) AS px FROM pf GROUP BY doc_id)
+SELECT bm.doc_id, round(bm25, 6) AS bm25, CAST(px AS BIGINT) AS proximity,
+ CAST(px * 1000 + floor(999 * round(bm25 / (2.2::DOUBLE * sum_idf), 6)) AS BIGINT) AS both_ways
+FROM bm JOIN px USING (doc_id) JOIN sidf USING (query_id)""")
+def q_sql_surface_rankers(spark, sf):
+    sfc.register_sql(spark, corpus_index(spark, sf))
+    return spark.sql("""SELECT b.doc_id, b.weight AS bm25, p.weight AS proximity, x.weight AS both_ways
+        FROM entry_rank_bm25(array('of', 'the', 'and')) b JOIN entry_rank_proximity(array('of', 'the', 'and')) p ON p.doc_id = b.doc_id
+        JOIN entry_rank_proximity_bm25(array('of', 'the', 'and')) x ON x.doc_id = b.doc_id""")
+
+
+@register("sql_surface_matchers", f"""WITH {o.INDEX}, t AS (SELECT doc_id, term FROM postings WHERE term IN {BATCH_WORDS} GROUP BY ALL),
+b AS (SELECT doc_id FROM t GROUP BY doc_id HAVING count(*) FILTER (WHERE term IN ('of', 'the')) = 2
+  AND count(*) FILTER (WHERE term IN ('tion', 'ble')) > 0 AND count(*) FILTER (WHERE term = 'rer') = 0),
+n AS (SELECT DISTINCT x.doc_id FROM postings x JOIN postings y ON y.doc_id = x.doc_id AND y.field = x.field AND abs(y.pos - x.pos) < 5
+  WHERE x.term = 'of' AND y.term = 'the')
+SELECT 'boolean' AS part, doc_id FROM b UNION ALL SELECT 'near', doc_id FROM n""")
+def q_sql_surface_matchers(spark, sf):
+    sfc.register_sql(spark, corpus_index(spark, sf))
+    return spark.sql("""SELECT 'boolean' AS part, doc_id FROM entry_match_boolean(array('of', 'the'), array('tion', 'ble'), array('rer'))
+        UNION ALL SELECT 'near', doc_id FROM entry_near(array('of', 'the'), 5)""")

@@ -13,6 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators.index import Index
+from quarry.spec import BM25_B, BM25_K1
 
 
 class FilterHooks:
@@ -43,12 +44,17 @@ class FilterHooks:
 def register_sql(spark: SparkSession, idx: Index) -> list[str]:
     """Expose ``idx`` to SQL: views ``<name>_docs``, ``<name>_postings``, ``<name>_vocab`` and table
     functions ``<name>_match_any(w)``, ``<name>_match_all2(w1, w2)``, ``<name>_phrase2(w1, w2)``, and over an
-    array of words ``<name>_match_all``, ``<name>_match_words`` (any), ``<name>_phrase``, ``<name>_rank_wordcount``.
+    array of words ``<name>_match_all``, ``<name>_match_words`` (any), ``<name>_phrase``, ``<name>_near(ws, n)`` (all words within n
+    words of a field), ``<name>_match_boolean(every, some, no)`` (an empty array asks nothing) and the rankers
+    ``<name>_rank_wordcount``, ``_rank_bm25``, ``_rank_proximity`` and ``_rank_proximity_bm25`` of ``operators.rank``.
     Filters, grouping and limits are plain SQL over the results joined to ``<name>_docs``."""
     n = idx.name
     idx.docs.createOrReplaceTempView(f"{n}_docs")
     idx.postings.createOrReplaceTempView(f"{n}_postings")
     idx.vocabulary().createOrReplaceTempView(f"{n}_vocab")
+    idx.lists().select("term", "doc_id", "tf", "dl").createOrReplaceTempView(f"{n}_lists")
+    count, mean = idx.stats()
+    spark.range(1).select(count.alias("n_docs"), mean.alias("avgdl")).createOrReplaceTempView(f"{n}_stats")
     spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_match_any(w STRING)
         RETURNS TABLE (doc_id BIGINT)
         RETURN SELECT DISTINCT doc_id FROM {n}_postings WHERE term = w""")
@@ -79,5 +85,42 @@ def register_sql(spark: SparkSession, idx: Index) -> list[str]:
     spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_rank_wordcount(ws ARRAY<STRING>)
         RETURNS TABLE (doc_id BIGINT, weight BIGINT)
         RETURN SELECT doc_id, count(*) AS weight FROM {n}_postings WHERE array_contains(ws, term) GROUP BY doc_id""")
-    words = ["match_all", "match_words", "phrase", "rank_wordcount"]
+    # some window of w words holds them all: an occurrence lies in w windows
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_near(ws ARRAY<STRING>, w INT)
+        RETURNS TABLE (doc_id BIGINT)
+        RETURN SELECT DISTINCT doc_id FROM (
+               SELECT doc_id, field, term, size(array_distinct(ws)) AS m, explode(sequence(pos - w + 1, pos)) AS opens
+               FROM {n}_postings WHERE array_contains(ws, term))
+               GROUP BY doc_id, field, opens HAVING count(DISTINCT term) = max(m)""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_match_boolean(every ARRAY<STRING>, some ARRAY<STRING>, no ARRAY<STRING>)
+        RETURNS TABLE (doc_id BIGINT)
+        RETURN SELECT doc_id FROM (
+               SELECT doc_id, size(array_distinct(every)) AS m, size(some) AS k, array_contains(every, term) AS is_all,
+                      array_contains(some, term) AS is_some, array_contains(no, term) AS is_no
+               FROM {n}_lists WHERE array_contains(concat(every, some, no), term))
+               GROUP BY doc_id HAVING count_if(is_all) = max(m) AND (max(k) = 0 OR bool_or(is_some)) AND NOT bool_or(is_no)""")
+    idf = f"ln(1 + ((SELECT n_docs FROM {n}_stats) - v.docs + 0.5D) / (v.docs + 0.5D))"
+    bm25 = (f"{idf} * l.tf * {BM25_K1 + 1}D / (l.tf + {BM25_K1}D * ({1 - BM25_B}D + {BM25_B}D * l.dl / (SELECT avgdl FROM {n}_stats)))")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_rank_bm25(ws ARRAY<STRING>)
+        RETURNS TABLE (doc_id BIGINT, weight DOUBLE)
+        RETURN SELECT l.doc_id, round(sum(coalesce({bm25}, 0)), 6) AS weight
+               FROM {n}_lists l JOIN {n}_vocab v ON v.term = l.term WHERE array_contains(ws, l.term) GROUP BY l.doc_id""")
+    runs = f"""SELECT doc_id, max(run) AS lcs FROM (
+                 SELECT doc_id, field, count(*) AS run FROM (
+                   SELECT doc_id, field, pos - q AS diag, q - row_number() OVER (PARTITION BY doc_id, field, pos - q ORDER BY q) AS island
+                   FROM (SELECT doc_id, field, pos, explode(filter(sequence(0, size(ws) - 1), i -> ws[i] = term)) AS q
+                         FROM {n}_postings WHERE array_contains(ws, term)))
+                 GROUP BY doc_id, field, diag, island) GROUP BY doc_id, field"""
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_rank_proximity(ws ARRAY<STRING>)
+        RETURNS TABLE (doc_id BIGINT, weight BIGINT)
+        RETURN SELECT doc_id, sum(lcs) AS weight FROM ({runs}) GROUP BY doc_id""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_rank_proximity_bm25(ws ARRAY<STRING>)
+        RETURNS TABLE (doc_id BIGINT, weight BIGINT)
+        RETURN SELECT p.doc_id, p.px * 1000 + floor(999 * round(b.s / ({BM25_K1 + 1}D * i.sum_idf), 6)) AS weight
+               FROM (SELECT doc_id, sum(lcs) AS px FROM ({runs}) GROUP BY doc_id) p
+               JOIN (SELECT l.doc_id, 1 AS one, sum(coalesce({bm25}, 0)) AS s FROM {n}_lists l JOIN {n}_vocab v ON v.term = l.term
+                     WHERE array_contains(ws, l.term) GROUP BY l.doc_id) b ON b.doc_id = p.doc_id
+               JOIN (SELECT 1 AS one, sum({idf}) AS sum_idf FROM {n}_vocab v WHERE array_contains(ws, v.term)) i ON i.one = b.one""")
+    words = ["match_all", "match_words", "phrase", "near", "match_boolean", "rank_wordcount", "rank_bm25", "rank_proximity",
+             "rank_proximity_bm25", "lists", "stats"]
     return [*(f"{n}_{w}" for w in words), f"{n}_docs", f"{n}_postings", f"{n}_vocab", f"{n}_match_any", f"{n}_match_all2", f"{n}_phrase2"]

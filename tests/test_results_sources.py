@@ -227,3 +227,32 @@ def test_excerpts_of_a_text_full_of_hits_are_linear(spark):
         took[n] = time.time() - start
         assert e.count("x") == n and e.count("y") == n
     assert took[100_000] < 10 * max(took[20_000], 1.0)
+
+
+def test_passages_stay_within_a_sentence(spark):
+    t = spark.createDataFrame([(1, "a b x. c d e\n\nf x g? h x"), (2, "one of. the end"), (3, None), (4, "pi is 3.14 x"), (5, "")],
+                              "doc_id long, body string")
+    got = {r["doc_id"]: r["excerpt"] for r in rs.build_excerpts(t, "body", ["x"], around=2, use_boundaries=True).collect()}
+    assert got == {1: "a b <b>x</b> ... f <b>x</b> g ... h <b>x</b>", 2: None, 3: None, 4: "3 14 <b>x</b>", 5: None}
+    both = rs.build_excerpts(t, "body", ["of", "the"], exact_phrase=True, use_boundaries=True).where("doc_id = 2").first()
+    assert both["excerpt"] is None  # a phrase does not cross the end of a sentence
+    best = rs.build_excerpts(t, "body", ["x"], around=2, use_boundaries=True, single_passage=True).where("doc_id = 1").first()
+    assert best["excerpt"] == "a b <b>x</b>"
+
+
+def test_sql_functions_follow_the_rankers(spark, idx):
+    from quarry.operators import index as ix
+    from quarry.operators import match as mt
+    from quarry.operators import rank as rk
+    from quarry.plans.surface import register_sql
+
+    register_sql(spark, idx)
+    q = ix.queries_from_terms(spark, [(1, 0, "of"), (1, 1, "the")])
+    for ranker in ("bm25", "proximity", "proximity_bm25"):
+        asked = spark.sql(f"SELECT doc_id, weight FROM t_rank_{ranker}(array('of', 'the'))").collect()
+        want = rk.rank(idx, q, None, ranker).collect()
+        assert {r["doc_id"]: float(r["weight"]) for r in asked} == {r["doc_id"]: r["weight"] for r in want}
+    near = spark.sql("SELECT doc_id FROM t_near(array('of', 'the'), 3)").collect()
+    assert sorted(r["doc_id"] for r in near) == sorted(r["doc_id"] for r in mt.match_near(idx, q, 3).collect())
+    some = spark.sql("SELECT doc_id FROM t_match_boolean(array('the'), array('cat', 'sea'), array('dog'))").collect()
+    assert sorted(r["doc_id"] for r in some) == [2]
