@@ -137,18 +137,23 @@ def _bucket(anchor: np.ndarray, buckets: int) -> np.ndarray:
     return ((anchor >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def _spans(anchor: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that sorted anchors fall in, and where each one's anchors begin (with the end of the last)."""
+    held, first = np.unique(_bucket(anchor, buckets), return_index=True)
+    return held, np.append(first, len(anchor))
+
+
 def _send_anchors(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 data, offsets, _, null = _unpack(row)
                 anchor = np.unique(anchored_runs(data, offsets, null)[0])
-                ends = np.searchsorted(_bucket(anchor, buckets), np.arange(buckets + 1))
+                held, ends = _spans(anchor, buckets)
                 low = anchor.astype(np.uint32)
-                full = [k for k in range(buckets) if ends[k] < ends[k + 1]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(full, pa.int32()), pa.array([row["chunk_id"]] * len(full), pa.int64()),
-                     pa.array([low[ends[k]:ends[k + 1]].tobytes() for k in full], pa.binary())],
+                    [pa.array(held, pa.int32()), pa.array([row["chunk_id"]] * len(held), pa.int64()),
+                     pa.array([low[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
                     ["bucket", "chunk_id", "anchors"])
 
     return run
@@ -172,9 +177,10 @@ def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
 def _flags(anchor: np.ndarray, buckets: int, answers: list[dict] | None) -> np.ndarray:
     """Per distinct anchor (sorted), whether its bucket said it repeats."""
     out = np.zeros(len(anchor), bool)
-    ends = np.searchsorted(_bucket(anchor, buckets), np.arange(buckets + 1))
+    held, ends = _spans(anchor, buckets)
     for x in answers or ():
-        a, b = ends[x["bucket"]], ends[x["bucket"] + 1]
+        k = np.searchsorted(held, x["bucket"])
+        a, b = ends[k], ends[k + 1]
         out[a:b] = np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=b - a)
     return out
 
@@ -206,16 +212,15 @@ def _send_segments(buckets: int):
         for batch in batches:
             for row in batch.to_pylist():
                 data, _, ids, s0, s1, doc, anchor, seg, new = _candidates(row, buckets)
-                ends = np.searchsorted(_bucket(anchor[new], buckets), np.arange(buckets + 1))
+                held, ends = _spans(anchor[new], buckets)
                 out: list[list] = [[] for _ in range(6)]
-                for k in range(buckets):
-                    at = new[ends[k]:ends[k + 1]]
-                    if len(at):
-                        n = s1[at] - s0[at]
-                        for x, y in zip(out, (k, row["chunk_id"], ids[doc[at]].tobytes(), seg[at].tobytes(),
-                                              n.astype(np.uint8).tobytes(), data[_ranges(s0[at], n + LENGTH)].tobytes()),
-                                        strict=True):
-                            x.append(y)
+                for k, a, b in zip(held.tolist(), ends[:-1], ends[1:], strict=True):
+                    at = new[a:b]
+                    n = s1[at] - s0[at]
+                    for x, y in zip(out, (k, row["chunk_id"], ids[doc[at]].tobytes(), seg[at].tobytes(),
+                                          n.astype(np.uint8).tobytes(), data[_ranges(s0[at], n + LENGTH)].tobytes()),
+                                    strict=True):
+                        x.append(y)
                 kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)],
                                                  ["bucket", "chunk_id", "docs", "segs", "sizes", "bytes"])
@@ -328,10 +333,11 @@ def _cut(buckets: int):
                 if len(new):
                     size = s1 - s0 + 1
                     bits = np.zeros(int(size[new].sum()), bool)
-                    ends = np.searchsorted(_bucket(anchor[new], buckets), np.arange(buckets + 1))
+                    held, ends = _spans(anchor[new], buckets)
                     first = np.concatenate([[0], np.cumsum(size[new])])
                     for x in row["found"] or ():
-                        a, b = first[ends[x["bucket"]]], first[ends[x["bucket"] + 1]]
+                        k = np.searchsorted(held, x["bucket"])
+                        a, b = first[ends[k]], first[ends[k + 1]]
                         bits[a:b] = np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=b - a)
                     which = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(s0))))
                     later = ids[doc] > ids[doc[new]][which]
