@@ -12,6 +12,8 @@ give no rows; columns other than the id and the url are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from quarry.llm.common import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK = "label=block"
+PIECE = 10_000  # repeats of one basket written by one task
 
 
 def split_url(url: str = "url") -> tuple[Column, Column]:
@@ -53,19 +56,45 @@ def url_tokens(url: str, host: Column, path: Column) -> Column:
         F.transform(F.regexp_extract_all(query, F.lit("([^&=]+)="), 1), lambda x: F.concat(F.lit("key:"), x)))))
 
 
-def mine_rules(labelled: DataFrame, min_count: int = 20, min_confidence: float = 0.6,
-               min_lift: float = 1.2) -> DataFrame:
-    """Rules (tokens, index_token, confidence, support) from ``labelled`` (tokens, blocked boolean)."""
-    baskets = stored(labelled.select(F.when(F.col("blocked"), F.array_append("tokens", BLOCK)).otherwise(
-        F.col("tokens")).alias("items")), "url-baskets")
-    total = max(baskets.count(), 1)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, min_count / total), minConfidence=min_confidence).fit(baskets)
-    rules = (model.associationRules
-             .where(F.array_contains("consequent", BLOCK) & (F.col("lift") >= min_lift)
-                    & (F.col("support") * total >= min_count - 0.5))
-             .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
-    count = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    each = rules.select("tokens", "confidence", "support", F.explode("tokens").alias("token")).join(count, "token")
+def mine_rules(labelled: DataFrame, min_count: int = 20, min_share: float = 0.001, min_confidence: float = 0.6,
+               min_lift: float = 1.2) -> tuple[DataFrame, DataFrame]:
+    """Rules (tokens, index_token, confidence, support) from ``labelled`` (tokens, blocked boolean), and the classes
+    (token, rep, freq) of the tokens they name: a rule holds for a url with any token of each of its classes.
+
+    A rule's support is at least ``min_share`` of the labelled rows and ``min_count`` rows, so only tokens of that many
+    blocked rows are mined. Tokens of exactly the same urls are one class, so that a long url repeated many times is one
+    item, not every subset of its tokens; a class found in blocked rows only is a rule by itself (nothing longer is more
+    confident) and is not mined."""
+    rows = stored(labelled.groupBy("tokens").agg(F.count("*").alias("n"), F.sum(F.col("blocked").cast("long")).alias("bad")),
+                  "url-baskets")
+    total, bad = (x or 0 for x in rows.agg(F.sum("n"), F.sum("bad")).first())
+    need = max(min_count, math.ceil(min_share * total))
+    each = rows.select("n", "bad", F.xxhash64("tokens").alias("h1"), F.xxhash64(F.lit(1), "tokens").alias("h2"), F.explode("tokens").alias("token"))
+    same = ["x1", "x2", "freq", "freq_bad"]
+    counted = each.groupBy("token").agg(F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"), F.sum("n").alias("freq"),
+                                        F.sum("bad").alias("freq_bad")).where(F.col("freq_bad") >= need)
+    classes = stored(counted.join(counted.groupBy(*same).agg(F.min("token").alias("rep")), same)
+                     .select("token", "rep", "freq", "freq_bad"), "url-classes")
+    sure = classes.where((F.col("token") == F.col("rep")) & (F.col("freq") == F.col("freq_bad")) & F.lit(total >= min_lift * bad))
+    unsure = classes.where((F.col("token") == F.col("rep")) & (F.col("freq") > F.col("freq_bad")))
+    fed = (rows.select("tokens", "n", "bad", F.explode("tokens").alias("token")).join(unsure.select("token"), "token")
+           .groupBy("tokens", "n", "bad").agg(F.collect_list("token").alias("items"))
+           .groupBy(F.array_sort("items").alias("items")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+           .select(F.inline(F.array(F.struct(F.array_append("items", BLOCK).alias("items"), F.col("bad").alias("n")),
+                                    F.struct("items", (F.col("n") - F.col("bad")).alias("n"))))).where("n > 0"))
+    # a basket as often as it occurs, a frequent one dealt to several tasks
+    fed = fed.select("items", "n", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("long"), F.lit(PIECE).cast("long"))).alias("from"))
+    fed = stored(fed.repartition("items", "from").select("items", F.explode(F.sequence(
+        F.col("from"), F.least(F.col("from") + PIECE, F.col("n")) - 1)).alias("i")).select("items"), "url-baskets")
+    n_fed = max(fed.count(), 1)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, need / n_fed), minConfidence=min_confidence).fit(fed)
+    mined = (model.associationRules.where(F.array_contains("consequent", BLOCK) & (F.col("support") * n_fed >= need - 0.5)
+                                          & (F.col("confidence") * total >= min_lift * bad))
+             .select(F.array_sort("antecedent").alias("tokens"), "confidence", (F.col("support") * n_fed / total).alias("support")))
+    rules = mined.unionByName(sure.select(F.array("rep").alias("tokens"), F.lit(1.0).alias("confidence"),
+                                          (F.col("freq") / total).alias("support")))
+    each = rules.select("tokens", "confidence", "support", F.explode("tokens").alias("token")).join(
+        classes.select("token", "freq"), "token")
     indexed = stored(each.groupBy("tokens").agg(
         F.min(F.struct("freq", "token"))["token"].alias("index_token"), F.first("confidence").alias("confidence"),
         F.first("support").alias("support")), "url-rules")
@@ -75,15 +104,20 @@ def mine_rules(labelled: DataFrame, min_count: int = 20, min_confidence: float =
     longer = (indexed.select("tokens", "confidence", F.explode("tokens").alias("token")).join(inner, "token")
               .where((F.size("s_tokens") < F.size("tokens")) & (F.col("s_conf") >= F.col("confidence"))
                      & (F.size(F.array_except("s_tokens", "tokens")) == 0)).select("tokens").distinct())
-    return stored(indexed.join(longer, "tokens", "left_anti"), "url-rules")
+    return stored(indexed.join(longer, "tokens", "left_anti"), "url-rules"), classes.select("token", "rep", "freq")
 
 
-def match_rules(baskets: DataFrame, rules: DataFrame) -> DataFrame:
-    """Distinct ``baskets`` (basket, tokens) that hold every token of some rule, with the best rule's
-    confidence: rows (basket, confidence, matched)."""
-    return (baskets.select("basket", "tokens", F.explode("tokens").alias("index_token"))
+def match_rules(baskets: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct ``baskets`` (basket, tokens) that hold a token of every class of some rule, with the most confident rule:
+    rows (basket, confidence, matched), ``matched`` being the basket's own tokens."""
+    own = (baskets.select("basket", F.explode("tokens").alias("token")).join(classes.select("token", "rep"), "token")
+           .groupBy("basket", "rep").agg(F.min("token").alias("own"))
+           .groupBy("basket").agg(F.map_from_entries(F.collect_list(F.struct("rep", "own"))).alias("own")))
+    held = F.map_keys("own")
+    return (own.select("basket", "own", F.explode(held).alias("index_token"))
             .join(rules.select(F.col("tokens").alias("r"), "index_token", "confidence"), "index_token")
-            .where(F.size(F.array_except("r", "tokens")) == 0)
+            .where(F.size(F.array_except("r", held)) == 0)
+            .select("basket", "confidence", F.transform("r", lambda x: F.element_at(F.col("own"), x)).alias("r"))
             .groupBy("basket").agg(F.max(F.struct("confidence", "r")).alias("best"))
             .select("basket", F.col("best.confidence").alias("confidence"), F.col("best.r").alias("matched")))
 
@@ -100,9 +134,9 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str,
     judged = stored(judged, "url-pages")
     known = labels.toDF("_id", "blocked").where("_id IS NOT NULL AND blocked IS NOT NULL").groupBy("_id").agg(
         F.max("blocked").alias("blocked"))
-    mined = mine_rules(judged.join(known, "_id").select("tokens", "blocked"), **limits)
+    mined, classes = mine_rules(judged.join(known, "_id").select("tokens", "blocked"), **limits)
     open_pages = judged.where("rule IS NULL").select("basket", "tokens").distinct()
-    hits = stored(match_rules(open_pages, mined), "url-hits")
+    hits = stored(match_rules(open_pages, mined, classes), "url-hits")
     return (judged.join(hits, "basket", "left").select(
         F.col("_id").alias(id_col), "host", "path", "rule",
         F.coalesce("_verdict", F.when(F.col("matched").isNotNull(), "block").otherwise("allow")).alias("verdict"),

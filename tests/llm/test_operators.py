@@ -231,6 +231,59 @@ def test_mined_rules_block_by_tokens(spark):
     assert all(len(r["matched"]) == 1 for r in got.values() if r["verdict"] == "block")  # longer rules are redundant
 
 
+def plain_rules(rows, need, confidence, lift):
+    """Every token set by counting: support, confidence, lift, then without a shorter set as confident."""
+    from itertools import combinations
+
+    total, bad, seen = len(rows), sum(b for _, b in rows), {}
+    for tokens, b in rows:
+        for size in range(1, len(tokens) + 1):
+            for part in combinations(sorted(tokens), size):
+                n, m = seen.get(part, (0, 0))
+                seen[part] = (n + 1, m + b)
+    good = {p: m / n for p, (n, m) in seen.items() if m >= need and m / n >= confidence and m / n * total >= lift * bad}
+    return {p: c for p, c in good.items() if not any(good.get(q, -1) >= c for size in range(1, len(p)) for q in combinations(p, size))}
+
+
+def test_mined_rules_equal_counting(spark):
+    rng, rows = random.Random(11), []
+    for k in range(900):
+        hosts = rng.choice(["a.net", "a.org", "b.net", "c.b.org"])
+        path = "/".join(sorted(rng.sample(["win", "read", "buy", "spin", "jackpot"], rng.randint(0, 3))))
+        twin = "?ref=1&via=2" if k % 4 else "?ref=1"
+        bad = ("win" in path and hosts.startswith("a")) or ("spin" in path and rng.random() < .7) or rng.random() < .1
+        rows.append((k, f"http://{hosts}/{path}{twin}", bad))
+    pages = spark.createDataFrame([(k, u) for k, u, _ in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(k, b) for k, _, b in rows if k % 3], "doc_id long, blocked boolean")
+    got = {r["page_id"]: r for r in url_filter.url_filter(pages, labels, [], min_share=0.03).collect()}
+
+    def tokens(u):
+        host, rest = u.split("://")[1].split("/", 1)
+        path, query = rest.split("?")
+        return {f"host:{x}" for x in host.split(".")} | {f"path:{x}" for x in path.split("/") if x} | {
+            f"key:{x.split('=')[0]}" for x in query.split("&")}
+
+    rules = plain_rules([(tokens(u), b) for k, u, b in rows if k % 3], 20, 0.6, 1.2)
+    assert rules and any(len(p) > 1 for p in rules)
+    for k, u, _ in rows:
+        best = max((c for p, c in rules.items() if set(p) <= tokens(u)), default=None)
+        assert (got[k]["verdict"] == "block") == (best is not None) and got[k]["confidence"] == pytest.approx(best), u
+        assert best is None or set(got[k]["matched"]) <= tokens(u)
+
+
+def test_a_long_url_repeated_is_one_item(spark):
+    long = "http://h.net/" + "/".join(a + b for a in ("qu", "we", "rt", "yu", "io") for b in ("xa", "xb", "xc", "xd"))
+    rows = [(k, long, k % 10 != 0) for k in range(60)] + [(k, f"http://n.org/p{'abc'[k % 3]}", False) for k in range(60, 200)]
+    pages = spark.createDataFrame([(k, u) for k, u, _ in rows] + [(900, "http://z.org/weXC"), (901, None)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, b) for k, _, b in rows], "doc_id long, blocked boolean")
+    got = {r["page_id"]: r for r in url_filter.url_filter(pages, labels, []).collect()}
+    assert all((got[k]["verdict"] == "block") == (k < 60) for k, _, _ in rows)
+    assert got[900]["matched"] == ["path:wexc"] and got[900]["confidence"] == pytest.approx(0.9)  # any token of the class
+    assert got[901]["verdict"] == "allow"
+    none = pages.where("page_id < 0")
+    assert url_filter.url_filter(none, labels, queries.URL_RULES).count() == 0
+
+
 # ---- op10
 
 
