@@ -399,3 +399,64 @@ def test_words_split_like_the_definition():
     assert np.diff(ends).tolist() == [len(words(t)) for t in texts]
     sets = row_shingles(hashes, ends, 3)
     assert (sets[0] == sets[1]).all() and (sets[0] == sets[8]).all()
+
+
+# ---- op6 against plain code
+
+
+def plain_cells(text):
+    """Cells of the 3- to 5-character grams of one text, gram by gram."""
+    chars, out = [ord(c) for c in f" {text} ".lower()], set()
+    for n in toxicity.ORDERS:
+        for i in range(len(chars) - n + 1):
+            poly = 0
+            for c in chars[i: i + n]:
+                poly = (poly * 0x01000193 + c) % (1 << 32)
+            cell = (poly * 0x9E3779B1) % (1 << 32) ^ ((poly >> 15) * (0x85EBCA77 + 2 * n)) % (1 << 32)
+            out.add(cell >> (32 - toxicity.FEATURE_BITS))
+    return out
+
+
+def plain_scores(rows, label, steps=150, l1=3e-4):
+    """Log-count ratios, proximal gradient fit on a dense table and scores of ``rows`` (id, text), learned from ``label``."""
+    held = {i: plain_cells(t or "") for i, t in rows}
+    train = sorted(label)
+    n = [sum(1 for i in train if label[i] == k) for k in (0, 1)]
+    ratio = {}
+    for cell in set().union(*(held[i] for i in train)):
+        count = [sum(cell in held[i] for i in train if label[i] == k) for k in (0, 1)]
+        neg, pos = count[0] + 0.5, count[1] + 0.5
+        r = np.log(pos / (n[1] + 1)) - np.log(neg / (n[0] + 1))
+        if sum(count) >= toxicity.MIN_ROWS and abs(r) / np.sqrt(1 / pos + 1 / neg) >= toxicity.MIN_Z:
+            ratio[cell] = r
+    cells = sorted(ratio)
+    table = lambda ids: np.array([[ratio[c] * (c in held[i]) for c in cells] for i in ids])
+    x, y = table(train), np.array([label[i] for i in train], float)
+    w, b = np.zeros(len(cells)), np.log(n[1] / n[0])
+    g2, gb2 = np.full(len(cells), 1e-8), 1e-8
+    for _ in range(steps):
+        e = 1 / (1 + np.exp(-(x @ w + b))) - y
+        g, gb = x.T @ e / len(y), e.mean()
+        g2, gb2 = g2 + g * g, gb2 + gb * gb
+        rate = 0.3 / np.sqrt(g2)
+        w = w - rate * g
+        w = np.sign(w) * np.maximum(abs(w) - rate * l1, 0)
+        b -= 0.3 * gb / np.sqrt(gb2)
+    ids = [i for i, _ in rows]
+    return dict(zip(ids, 1 / (1 + np.exp(-(table(ids) @ w + b))), strict=True))
+
+
+def test_toxicity_equals_plain_code(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(160):
+        bad = ["vile", "rotten", "scum"] if k % 3 == 0 else ["calm", "kind", "warm"]
+        rows.append((k, " ".join(rng.choice(bad + ["the", "of", "and", "river", "É1"]) for _ in range(rng.randint(0, 12)))))
+    rows += [(200, None), (201, "")]
+    label = {k: int(k % 3 == 0) for k in range(160) if zlib.crc32(str(k).encode()) % 5}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(160)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels).collect()}
+    want = plain_scores(rows, label)
+    assert got.keys() == want.keys() and max(want.values()) > 0.9 and min(want.values()) < 0.1
+    assert max(abs(got[k] - want[k]) for k in want) < 1e-3
