@@ -2,22 +2,22 @@
 
 1. Document frequencies of all words over the whole corpus, in ``2**CELL_BITS`` hashed cells (a fixed size,
    summed block by block), give the IDF weights.
-2. The benchmark items, as TF-IDF passages, get a randomised SVD: a Gaussian sketch of their matrix with one power
-   iteration, each product summed over Spark partitions; only rank x rank matrices reach the driver. The
-   right singular vectors map words to the latent space.
-3. Every document is cut into overlapping windows of ``2 * STEP`` words. A window whose weight in benchmark
-   words is too small to reach the cosine threshold is skipped (an exact bound); the others are projected
-   and compared with every item.
-4. Whatever its cosine, an item is also a candidate where the verdict of step 5 can accept it: documents are cut into
-   overlapping chunks that hold the surroundings of ``CHUNK`` or more windows, and the item's words that occur in a
-   chunk, counted as often as the item has them, bound every common subsequence in it from above (``_Cover``). A chunk
-   that reaches the verdict's own shares is verified as a whole, then window by window. So the cosine decides which
-   near items are reported, never whether a document is contaminated.
-5. A candidate is verified on the words themselves: longest common subsequence of the item with the words
+2. The benchmark items are cut into overlapping passages of at most a window's length, ``2 * STEP`` words. Their TF-IDF
+   matrix gets a randomised SVD: a Gaussian sketch with one power iteration, each product summed over Spark partitions;
+   only a block's matrices reach the driver. The latent space keeps the fewest singular directions that hold
+   ``ENERGY`` of all weight and ``FLOOR`` of every passage's own, at most ``RANK``.
+3. Every document is cut into overlapping windows of ``2 * STEP`` words, which are projected into the latent space
+   and compared with every passage. An item is a candidate where its passage's cosine shows that the window holds
+   ``SHARE`` of the passage's weight: the bound follows from the passage's and the window's weight and from how much of
+   the passage the latent space kept. A window whose words of the benchmark weigh less than that share of the lightest
+   passage is skipped.
+4. A candidate is verified on the words themselves: longest common subsequence of the item with the words
    around the window, and a check of the item's answer (its last words, or a given answer column) in order.
 
-Items are handled in blocks of at most ``ITEMS`` and ``RANK``, so that a block's space is complete and what is sent to workers stays bounded by a block's words
-times ``RANK``, however many items there are. The tests compare the result with the verdict over all windows and items.
+``SHARE`` is half of the smallest share of words that step 4 accepts (``LIKELY``), so that a copy spread over twice its
+length is still found. Retrieval is approximate: the tests measure its recall against step 4 over all windows and items.
+Items are handled in blocks of about ``PASSAGES`` passages, whole items, so that what is sent to workers stays
+bounded by a block's words times ``RANK``, however many items there are.
 
 Edge cases: null or empty documents are clean; null or wordless items match nothing; repeated items or rows give
 repeated results; an empty benchmark leaves every document clean; empty tables give no rows; an item shorter
@@ -27,7 +27,6 @@ than four words must be found whole; other columns pass through ``decontaminate`
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -41,9 +40,10 @@ from quarry.llm.words import byte_tables, slabs, word_hashes
 
 CELL_BITS, BLOCK_BITS = 20, 14
 STEP = 16
-CHUNK = 32  # windows of a chunk, at least
-RANK, ITEMS = 256, 256
-MIN_COSINE, SURE, LIKELY = 0.4, 0.7, 0.5
+RANK, PASSAGES = 256, 512
+ENERGY, FLOOR = 0.8, 0.25
+SURE, LIKELY = 0.7, 0.5
+SHARE = LIKELY / 2
 ANSWER_WORDS = 5
 
 
@@ -102,8 +102,13 @@ def idf_weights(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log((rows + 2) / (df + 1)).astype(np.float32)
 
 
+def passage_starts(n: int) -> list[int]:
+    """First words of the passages of ``n`` words: every ``STEP`` words, the last one ends with the text."""
+    return [*range(0, n - 2 * STEP, STEP), max(0, n - 2 * STEP)]
+
+
 def _item_words(idf: np.ndarray):
-    """Items as (item_id, words, answer words, distinct words, TF-IDF weights of unit length)."""
+    """Items as (item_id, words, answer words, and of every passage: distinct words, TF-IDF weights, weight of its words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, space = _tables()
@@ -113,17 +118,29 @@ def _item_words(idf: np.ndarray):
             out = []
             for i in range(batch.num_rows):
                 w, a = words[ends[i]:ends[i + 1]], answer[answer_ends[i]:answer_ends[i + 1]]
-                term, n = np.unique(w, return_counts=True)
-                weight = n * idf[_cells(term)].astype(np.float64)
-                weight /= max(np.sqrt((weight ** 2).sum()), 1e-12)
-                out.append([x.tobytes() for x in (w, a if len(a) else w[-ANSWER_WORDS:], term, weight)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), *(pa.array([o[k] for o in out], pa.binary()) for k in range(4))],
-                ["item_id", "words", "answer", "terms", "weights"])
+                terms, weights, mass = [], [], []
+                for start in passage_starts(len(w)) if len(w) else ():
+                    term, n = np.unique(w[start: start + 2 * STEP], return_counts=True)
+                    one = idf[_cells(term)].astype(np.float64)
+                    terms.append(term.tobytes())
+                    weights.append((n * one).tobytes())
+                    mass.append(float((n * one ** 2).sum()))
+                out.append((w.tobytes(), (a if len(a) else w[-ANSWER_WORDS:]).tobytes(), terms, weights, mass))
+            columns = [pa.array([o[k] for o in out], kind) for k, kind in enumerate(
+                (pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.float64())))]
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), *columns],
+                                             ["item_id", "words", "answer", "terms", "weights", "mass"])
 
     return run
 
 
+ITEM = "item_id long, words binary, answer binary, terms array<binary>, weights array<binary>, mass array<double>"
+
+
+def _vectors(rows: list[bytes], kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(r, kind) for r in rows]
+
+
 def _gauss(terms: np.ndarray, width: int) -> np.ndarray:
     """Rows of a random normal matrix, named by the word hash (Box-Muller on hashed uniforms)."""
     col = np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -139,12 +156,13 @@ def _power(width: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            terms = [np.frombuffer(t, np.uint64) for t in batch.column("terms").to_pylist()]
-            weights = [np.frombuffer(w, np.float64) for w in batch.column("weights").to_pylist()]
+            terms = _vectors([t for row in batch.column("terms").to_pylist() for t in row], np.uint64)
+            weights = _vectors([w for row in batch.column("weights").to_pylist() for w in row], np.float64)
             used, col = np.unique(np.concatenate(terms), return_inverse=True)
             total, at = np.zeros((len(used), width)), 0
             for t, w in zip(terms, weights, strict=True):
-                total[col[at: at + len(t)]] += w[:, None] * (w @ _gauss(t, width))
+                unit = w / np.linalg.norm(w)
+                total[col[at: at + len(t)]] += unit[:, None] * (unit @ _gauss(t, width))
                 at += len(t)
             yield pa.RecordBatch.from_arrays([pa.array(used.view(np.int64)), pa.array([r.tobytes() for r in total], pa.binary())],
                                              ["term", "vec"])
@@ -170,12 +188,11 @@ def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["g"])
 
 
-def latent_basis(items: DataFrame, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
-    """Randomised SVD of the items' TF-IDF matrix: words (sorted hashes) and their rows of the right
-    singular vectors, at most ``rank`` columns."""
+def _range_basis(items: DataFrame, rank: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words (sorted hashes) of the passages and their rows of an orthonormal basis of the sketch."""
     slices = 16
     width = rank + 8
-    z = stored(items.where("length(terms) > 0").coalesce(slices).mapInArrow(_power(width), "term long, vec binary")
+    z = stored(items.coalesce(slices).mapInArrow(_power(width), "term long, vec binary")
                .groupBy(F.pmod(F.xxhash64("term"), F.lit(slices)).alias("slice"))
                .applyInPandas(_sum_vectors, "term long, vec binary"), "decontam-basis")
     grams = [np.frombuffer(r["g"], np.float64).reshape(width, width)
@@ -183,8 +200,7 @@ def latent_basis(items: DataFrame, rank: int = RANK) -> tuple[np.ndarray, np.nda
     if not grams:
         return np.empty(0, np.uint64), np.empty((0, 1), np.float32)
     value, turn = np.linalg.eigh(sum(grams))
-    keep = np.argsort(-value)[:rank]
-    keep = keep[value[keep] > value.max() * 1e-12]
+    keep = np.flatnonzero(value > value.max() * 1e-12)
     turn = turn[:, keep] / np.sqrt(value[keep])
     rows = z.collect()  # one block of items: bounded by its words times rank
     terms = np.array([r["term"] for r in rows], np.int64).view(np.uint64)
@@ -192,6 +208,24 @@ def latent_basis(items: DataFrame, rank: int = RANK) -> tuple[np.ndarray, np.nda
     return terms[order], np.stack([np.frombuffer(rows[i]["vec"], np.float64) for i in order]) @ turn
 
 
+def latent_space(items: DataFrame, terms_of: list[np.ndarray], weights_of: list[np.ndarray],
+                 rank: int = RANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Randomised SVD of the passages' TF-IDF matrix (rows of unit length): words (sorted hashes), their rows of the right
+    singular vectors, and the passages in the latent space. The space has as few directions as keep
+    ``ENERGY`` of all weight and ``FLOOR`` of every passage's, ``rank`` at most."""
+    terms, basis = _range_basis(items, rank)
+    latent = np.zeros((len(terms_of), basis.shape[1]))
+    for i, (t, w) in enumerate(zip(terms_of, weights_of, strict=True)):
+        latent[i] = (w / np.linalg.norm(w)) @ basis[np.searchsorted(terms, t)]
+    value, turn = np.linalg.eigh(latent.T @ latent)
+    turn = turn[:, np.argsort(-value)][:, :rank]
+    latent = latent @ turn
+    kept = np.cumsum(latent ** 2, axis=1)
+    enough = (kept.sum(axis=0) >= ENERGY * len(kept)) & (kept.min(axis=0, initial=1) >= FLOOR)
+    r = int(np.argmax(enough)) + 1 if enough.any() else latent.shape[1]
+    return terms, basis @ turn[:, :r], latent[:, :r]
+
+
 def common_subsequence(pattern: np.ndarray, text: np.ndarray) -> int:
     """Length of the longest common subsequence, one big-integer step per word of ``text``."""
     where: dict[int, int] = {}
@@ -216,79 +250,17 @@ def verdict(item: np.ndarray, answer: np.ndarray, around: np.ndarray) -> tuple[f
     return share, said, share >= SURE or (share >= LIKELY and said)
 
 
-class _Cover:
-    """Pairs of chunk and item that the verdict may accept, for the items of one class of lengths."""
-
-    def __init__(self, which: list[int], items: list[np.ndarray], answers: list[np.ndarray], terms: np.ndarray):
-        self.which = which
-        self.longest = max(len(items[i]) for i in which)
-        self.windows = max(CHUNK, -(-2 * self.longest // STEP))
-        own = np.unique(np.concatenate([items[i] for i in which]))
-        self.index = np.full(len(terms), -1, np.int64)
-        self.index[np.searchsorted(terms, own)] = np.arange(len(own))
-        # a word's count in the item, and above the shift whether it is in the answer
-        kind, self.shift, most = (np.uint32, 20, 1 << 11) if self.longest < 1 << 20 else (np.uint64, 40, 1 << 20)
-        self.counts = np.zeros((len(own), len(which)), kind)
-        self.sure, self.likely, self.said = (np.zeros(len(which), np.int64) for _ in range(3))
-        for k, i in enumerate(which):
-            term, n = np.unique(items[i], return_counts=True)
-            self.counts[np.searchsorted(own, term), k] = n
-            answer = np.intersect1d(answers[i], own)[:most]
-            self.counts[np.searchsorted(own, answer), k] += kind(1 << self.shift)
-            self.said[k] = len(answer)
-            m = len(items[i])
-            share = np.arange(m + 1) / m
-            self.sure[k] = m if m < 4 else np.argmax(share >= SURE)
-            self.likely[k] = m if m < 4 else np.argmax(share >= LIKELY)
-
-    def pairs(self, ends: np.ndarray, at: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
-        """(row, first and last window, first and last word, item); ``at`` are the places of words of the
-        block, ``pos`` their terms."""
-        own = self.index[pos]
-        at, own = at[own >= 0], own[own >= 0]
-        n_windows = np.maximum(-(-np.diff(ends) // STEP) - 1, np.minimum(np.diff(ends), 1))
-        n_chunks = -(-n_windows // self.windows)
-        row = np.repeat(np.arange(len(n_windows)), n_chunks)
-        first = self.windows * (np.arange(len(row)) - np.repeat(np.cumsum(n_chunks) - n_chunks, n_chunks))
-        last = np.minimum(first + self.windows, n_windows[row])
-        lo = np.maximum(ends[row], ends[row] + STEP * first - self.longest)
-        hi = np.minimum(ends[row + 1], ends[row] + STEP * (last + 1) + self.longest)
-        a, b = np.searchsorted(at, lo), np.searchsorted(at, hi)
-        full = np.flatnonzero(b - a >= 1)
-        size = max(1, min(256, (1 << 24) // len(self.counts)))
-        for k in range(0, len(full), size):
-            c = full[k: k + size]
-            n = b[c] - a[c]
-            place = np.arange(n.sum()) + np.repeat(a[c] - (np.cumsum(n) - n), n)
-            seen = np.zeros((len(c), len(self.counts)), bool)
-            seen[np.repeat(np.arange(len(c)), n), own[place]] = True
-            chunk, word = np.nonzero(seen)
-            heads = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
-            for h in range(0, len(heads), 64):
-                end = heads[h + 64] if h + 64 < len(heads) else len(word)
-                sums = np.add.reduceat(self.counts[word[heads[h]:end]], heads[h: h + 64] - heads[h], axis=0).astype(np.int64)
-                cover = sums & ((1 << self.shift) - 1)
-                good = (cover >= self.sure) | ((cover >= self.likely) & (sums >> self.shift >= self.said))
-                for x, item in zip(*np.nonzero(good), strict=True):
-                    j = c[h + x]
-                    yield int(row[j]), int(first[j]), int(last[j]), int(lo[j]), int(hi[j]), self.which[item]
-
-
-def _covers(items: list[np.ndarray], answers: list[np.ndarray], terms: np.ndarray) -> list[_Cover]:
-    """One cover per class of lengths: up to 2 * STEP words, twice that, and so on."""
-    classes: dict[int, list[int]] = {}
-    for i, words in enumerate(items):
-        classes.setdefault(max(0, (len(words) - 1) // (2 * STEP)).bit_length(), []).append(i)
-    return [_Cover(which, items, answers, terms) for _, which in sorted(classes.items())]
-
-
 def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, ids: list, items: list[np.ndarray],
-            answers: list[np.ndarray], latent: np.ndarray, min_cosine: float):
-    """Adds _hit to every row: the best verified or best candidate item."""
+            answers: list[np.ndarray], owner: np.ndarray, latent: np.ndarray, size: np.ndarray, mass: np.ndarray, share: float):
+    """Adds _hit to every row: the best verified or best candidate item. Of every passage: ``owner`` its item,
+    ``latent`` its unit vector's projection, ``size`` its vector's length, ``mass`` the weight of its words."""
     weight2 = (idf.astype(np.float64) ** 2).astype(np.float32)
     holds = np.zeros(1 << CELL_BITS, bool)
     holds[_cells(terms)] = True
-    rows32, latent32 = basis.astype(np.float32), latent.astype(np.float32)
+    kept = np.sqrt((latent ** 2).sum(axis=1))
+    rows32, latent32 = basis.astype(np.float32), (latent / np.maximum(kept, 1e-9)[:, None]).astype(np.float32)
+    bound = (share * kept * mass / size).astype(np.float32)  # of cosine times the window's length
+    least = share * float(mass.min(initial=np.inf))
     kind = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()),
                       ("answer_found", pa.bool_()), ("contaminated", pa.bool_())])
 
@@ -300,24 +272,8 @@ def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, id
         good = terms[pos] == words[at]
         return at[good], pos[good]
 
-    def accepted(words: np.ndarray, ends: np.ndarray, at: np.ndarray, pos: np.ndarray, covers: list[_Cover]) -> Iterator[tuple]:
-        """The same for all windows that the verdict accepts, whatever their cosine."""
-        for cover in covers:
-            for row, first, last, lo, hi, item in cover.pairs(ends, at, pos):
-                if not verdict(items[item], answers[item], words[lo:hi])[2]:
-                    continue
-                m = len(items[item])
-                for s in range(first, last):
-                    begin = int(ends[row]) + STEP * s
-                    end = min(begin + 2 * STEP, int(ends[row + 1]))
-                    if verdict(items[item], answers[item], words[max(ends[row], begin - m): min(ends[row + 1], end + m)])[2]:
-                        i, j = np.searchsorted(at, [begin, end])
-                        cell = _cells(words[begin:end])
-                        dot = idf[cell[at[i:j] - begin]] @ (rows32[pos[i:j]] @ latent32[item])
-                        yield row, begin, end, item, float(dot / np.sqrt(weight2[cell].sum()))
-
     def candidates(words: np.ndarray, ends: np.ndarray, at: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
-        """(row, first word, last word, item, cosine) of the windows that reach the threshold."""
+        """(row, first word, last word, item, cosine) of the windows that reach the bound of one of the item's passages."""
         n_words = np.diff(ends)
         n_steps = -(-n_words // STEP)
         first = np.concatenate([[0], np.cumsum(n_steps)])
@@ -334,7 +290,7 @@ def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, id
         nxt = np.append(row[1:] == row[:-1], False)
         alone = n_steps[row] == 1
         both_all, both_in = e_all + np.where(nxt, np.append(e_all[1:], 0), 0), e_in + np.where(nxt, np.append(e_in[1:], 0), 0)
-        win = np.flatnonzero((nxt | alone) & (both_in >= min_cosine ** 2 * both_all) & (both_in > 0))
+        win = np.flatnonzero((nxt | alone) & (both_in >= least * (1 - 1e-5)) & (both_in > 0))
         if not len(win):
             return
         # steps of the surviving windows
@@ -354,15 +310,21 @@ def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, id
             v = vec[np.searchsorted(need, w)]
             more = np.flatnonzero(nxt[w])
             v[more] += vec[np.searchsorted(need, w[more] + 1)]
-            cosine = v @ latent32.T / np.sqrt(both_all[w])[:, None]
-            for x, item in zip(*np.nonzero(cosine >= min_cosine), strict=True):
+            dot = v @ latent32.T
+            x, passage = np.nonzero(dot >= bound)
+            if not len(x):
+                continue
+            cosine = dot[x, passage] / np.sqrt(both_all[w[x]])
+            pair, at_ = np.unique(x * len(items) + owner[passage], return_inverse=True)
+            best = np.zeros(len(pair), np.float32)
+            np.maximum.at(best, at_, cosine)
+            for x, item, c in zip(pair // len(items), pair % len(items), best, strict=True):
                 s = w[x]
                 end = min(begin[s] + 2 * STEP, ends[row[s] + 1])
-                yield int(row[s]), int(begin[s]), int(end), int(item), float(cosine[x, item])
+                yield int(row[s]), int(begin[s]), int(end), int(item), float(c)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, space = _tables()
-        covers = _covers(items, answers, terms) if len(terms) else []
         for batch in batches:
             data, offsets = text_bytes(batch.column(text))
             hits: list[dict | None] = [None] * batch.num_rows
@@ -370,7 +332,7 @@ def _search(text: str, idf: np.ndarray, terms: np.ndarray, basis: np.ndarray, id
             for a, b in slabs(offsets) if len(terms) else ():
                 words, ends = word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], values, space)
                 at, pos = known(words)
-                for row, lo, hi, item, cosine in chain(candidates(words, ends, at, pos), accepted(words, ends, at, pos, covers)):
+                for row, lo, hi, item, cosine in candidates(words, ends, at, pos):
                     m = len(items[item])
                     around = words[max(ends[row], lo - m): min(ends[row + 1], hi + m)]
                     share, said, bad = verdict(items[item], answers[item], around)
@@ -390,57 +352,55 @@ HIT = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("cosin
 
 
 def _dealt(parsed: DataFrame) -> tuple[DataFrame, int]:
-    """Items with their block, by rank over (hash, id): every block but the last is full, none holds more than
-    ``RANK``, so every block's basis is complete."""
-    size = min(ITEMS, RANK)
-    blocks = max(1, -(-parsed.count() // size))
+    """Items with their block: passages are numbered by (hash, id) of their item, and an item goes to the block of its first
+    passage, so a block holds ``PASSAGES`` and what its last item has beyond."""
+    total = parsed.agg(F.sum(F.size("terms")).alias("n")).first()["n"] or 0
+    blocks = max(1, -(-total // PASSAGES))
     if blocks == 1:
         return parsed.withColumn("block", F.lit(0).cast("long")), 1
     hashed = parsed.withColumn("_hash", F.xxhash64("item_id", "words")).withColumn("_part", F.pmod("_hash", F.lit(blocks)))
     starts, upto = [], 0
-    for r in hashed.groupBy("_part").count().orderBy("_part").collect():  # a row per block
+    for r in hashed.groupBy("_part").agg(F.sum(F.size("terms")).alias("n")).orderBy("_part").collect():  # a row per block
         starts.append((r["_part"], upto))
-        upto += r["count"]
+        upto += r["n"]
     starts = parsed.sparkSession.createDataFrame(starts, "_part long, _start long")
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy("_hash", "item_id", "words"))
-    dealt = hashed.withColumn("_rank", rank).join(starts, "_part")
-    block = F.floor((F.col("_start") + F.col("_rank") - 1) / F.lit(size)).cast("long")
+    w = Window.partitionBy("_part").orderBy("_hash", "item_id", "words").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = hashed.withColumn("_before", F.coalesce(F.sum(F.size("terms")).over(w), F.lit(0))).join(starts, "_part")
+    block = F.floor((F.col("_start") + F.col("_before")) / F.lit(PASSAGES)).cast("long")
     return stored(dealt.select(*parsed.columns, block.alias("block")), "decontam-blocks"), blocks
 
 
 def _searches(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: str, item_text: str,
-              answer: str | None, min_cosine: float) -> list:
+              answer: str | None, share: float) -> list:
     """One search per block of items."""
     idf = idf_weights(docs, text_col)
     rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"),
                             (F.col(answer) if answer else F.lit(None)).cast("string").alias("answer"))
-    parsed = stored(rows.where("item_id IS NOT NULL").mapInArrow(
-        _item_words(idf), "item_id long, words binary, answer binary, terms binary, weights binary")
-        .where("length(words) > 0"), "decontam-items")
+    parsed = stored(rows.where("item_id IS NOT NULL").mapInArrow(_item_words(idf), ITEM)
+                    .where("length(words) > 0"), "decontam-items")
     parsed, blocks = _dealt(parsed)
     out = []
     for k in range(blocks):
         items = parsed.where(F.col("block") == k)
-        terms, basis = latent_basis(items, RANK)
         held = sorted(items.collect(), key=lambda r: (r["item_id"], r["words"]))
-        latent = np.zeros((len(held), basis.shape[1]))
-        for i, r in enumerate(held):
-            latent[i] = np.frombuffer(r["weights"], np.float64) @ basis[np.searchsorted(terms, np.frombuffer(r["terms"], np.uint64))]
-        latent /= np.maximum(np.sqrt((latent ** 2).sum(axis=1, keepdims=True)), 1e-12)
+        weights = _vectors([w for r in held for w in r["weights"]], np.float64)
+        terms, basis, latent = latent_space(items, _vectors([t for r in held for t in r["terms"]], np.uint64), weights, RANK)
         out.append(_search("_text", idf, terms, basis, [r["item_id"] for r in held],
-                           [np.frombuffer(r["words"], np.uint64) for r in held],
-                           [np.frombuffer(r["answer"], np.uint64) for r in held], latent, min_cosine))
+                           _vectors([r["words"] for r in held], np.uint64), _vectors([r["answer"] for r in held], np.uint64),
+                           np.repeat(np.arange(len(held)), [len(r["terms"]) for r in held]), latent,
+                           np.array([np.linalg.norm(w) for w in weights]),
+                           np.array([m for r in held for m in r["mass"]], np.float64), share))
     return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", answer: str | None = None,
-                  min_cosine: float = MIN_COSINE) -> DataFrame:
+                  share: float = SHARE) -> DataFrame:
     """One row per row of ``docs``: id, contaminated, and of the item that matches best (null without a
     candidate): item_id, cosine, lcs_share, answer_found."""
     found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = found.schema["_id"].dataType
-    searches = _searches(docs, benchmark, text_col, item_id, item_text, answer, min_cosine)
+    searches = _searches(docs, benchmark, text_col, item_id, item_text, answer, share)
     best = None
     for i, search in enumerate(searches):
         schema = T.StructType([T.StructField("_id", kind), T.StructField("_text", T.StringType()),
@@ -457,7 +417,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item, same columns, rows in place."""
     names = [f"_c{i}" for i in range(len(docs.columns))]  # internal names cannot clash with the caller's
-    args = {"item_id": "item_id", "item_text": "text", "answer": None, "min_cosine": MIN_COSINE} | options
+    args = {"item_id": "item_id", "item_text": "text", "answer": None, "share": SHARE} | options
     rows = docs.toDF(*names).withColumn("_text", F.col(names[docs.columns.index(text_col)]))
     for search in _searches(docs, benchmark, text_col, **args):
         schema = T.StructType([*rows.schema.fields, T.StructField("_hit", HIT)])
