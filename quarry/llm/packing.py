@@ -5,6 +5,10 @@ about ``SHARD_ROWS`` by a hash of id and piece (lengths, sources and clusters on
 shard is packed on its own, longest piece first: the tightest open bin that has room and no conflict takes
 it, else a new bin opens. Two pieces conflict when they share a source or a duplicate cluster.
 
+Every shard leaves some bins with much room. The pieces of all bins with more than ``capacity / SLACK`` of room are dealt to
+new shards and packed again, so they meet pieces of other shards. Rounds go on until one shard holds what is left or a
+round settles less than half of its pieces (then conflicts, not shards, keep the bins open); its result stands.
+
 Bins are ordered by residual. Each carries a bitmap of its sources and clusters, and a tree over the residuals
 holds the AND of the bitmaps below: a subtree whose every bin has one of the piece's bits is skipped whole,
 so the successor search reaches the tightest compatible bin without walking the incompatible ones (a hot
@@ -12,11 +16,13 @@ source fills most of them).
 
 Edge cases: null source or cluster never conflicts; null, zero or negative lengths count as 1; ties go to the
 smaller id, then the earlier bin; repeated rows are packed each; an empty table gives no rows; null ids pack
-like others; columns other than the four named ones are not read.
+like others and are dealt by a row number, so that they fill no shard of their own; columns other than the four named ones are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,6 +32,8 @@ from quarry.llm.common import stored
 
 CAPACITY = 2048
 SHARD_ROWS = 8192
+SLACK = 8
+PIECE = ["id", "piece", "length", "source", "cluster", "salt"]
 
 
 class OpenBins:
@@ -97,7 +105,7 @@ def best_fit(lengths: list[int], bits: list[int], capacity: int) -> tuple[list[i
     return bins, offsets
 
 
-def _pack(capacity: int):
+def _pack(capacity: int, round_: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "id", "piece", "source", "cluster"], ascending=[False, True, True, True, True],
                               kind="stable").reset_index(drop=True)
@@ -108,9 +116,9 @@ def _pack(capacity: int):
         bits = [(1 << (int(s) + 1) if s >= 0 else 0) | (1 << (base + int(number[c])) if c >= 0 and seen[c] > 1 else 0)
                 for s, c in zip(source, cluster, strict=True)]
         bins, offsets = best_fit(pdf["length"].tolist(), bits, capacity)
-        return pd.DataFrame({"id": pdf["id"], "piece": pdf["piece"], "length": pdf["length"],
-                             "bin_id": (np.int64(pdf["shard"].iloc[0]) << 32) + np.array(bins, np.int64),
-                             "bin_offset": np.array(offsets, np.int32)})
+        room = capacity - np.bincount(bins, pdf["length"]).astype(np.int32)
+        first = np.int64(round_ << 56 | int(pdf["shard"].iloc[0]) << 32)
+        return pdf[PIECE].assign(bin_id=first + np.array(bins, np.int64), bin_offset=np.array(offsets, np.int32), room=room[bins])
 
     return run
 
@@ -123,8 +131,21 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length_col: str = "length", so
                        F.col(cluster_col).cast("string").alias("cluster"))
     pieces = stored(rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / capacity) - 1)))
                     .withColumn("length", F.least(F.lit(capacity), F.col("n") - F.col("piece") * capacity).cast("int"))
-                    .drop("n"), "packing-pieces")
-    shards = max(1, -(-pieces.count() // shard_rows))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("id", "piece"), F.lit(shards)).cast("int"))
-    out = dealt.groupBy("shard").applyInPandas(_pack(capacity), "id long, piece long, length int, bin_id long, bin_offset int")
-    return out.withColumnRenamed("id", id_col)
+                    .withColumn("salt", F.when(F.col("id").isNull(), F.monotonically_increasing_id())).select(*PIECE), "packing-pieces")
+    schema = "id long, piece long, length int, source string, cluster string, salt long, bin_id long, bin_offset int, room int"
+    count, round_, settled = pieces.count(), 0, []
+    while True:
+        shards = max(1, -(-count // shard_rows))
+        shard = F.pmod(F.xxhash64(F.lit(round_), "id", "piece", "salt"), F.lit(shards)).cast("int")
+        out = pieces.withColumn("shard", shard).groupBy("shard").applyInPandas(_pack(capacity, round_), schema)
+        if shards == 1:
+            break
+        out = stored(out, "packing-round")
+        loose = F.col("room") * SLACK > capacity
+        left = out.where(loose).count()
+        if 2 * left > count:
+            break
+        settled.append(out.where(~loose))
+        pieces, count, round_ = out.where(loose).select(*PIECE), left, round_ + 1
+    return (reduce(DataFrame.union, settled, out)
+            .select(F.col("id").alias(id_col), "piece", "length", "bin_id", "bin_offset"))

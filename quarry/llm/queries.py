@@ -85,7 +85,9 @@ def packing_rows(docs: DataFrame) -> DataFrame:
 
 @register("op3_best_fit_packing")
 def op3(spark, sf):
-    return packing.pack(packing_rows(read(spark, sf, "documents")))
+    docs = read(spark, sf, "documents")
+    near = near_dedup.near_duplicates(docs, shingle=5, percent=80).groupBy("doc_id").agg(F.min("component_id").alias("cluster"))
+    return packing.pack(packing_rows(docs).drop("cluster").join(near, "doc_id", "left"))
 
 
 @register("op10_benchmark_decontamination")

@@ -119,6 +119,24 @@ def test_pack_places_every_piece_once(spark):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_loose_bins_of_all_shards_are_packed_again(spark):
+    rng = random.Random(11)
+    rows = [(k if k % 5 else None, rng.randint(20, 70), None, None) for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, length int, source string, cluster string")
+
+    def bins(shard_rows):
+        out = packing.pack(docs, capacity=100, shard_rows=shard_rows).collect()
+        assert sorted(r["length"] for r in out) == sorted(r[1] for r in rows)
+        held = {}
+        for r in out:
+            held.setdefault(r["bin_id"], []).append((r["bin_offset"], r["length"]))
+        assert all(sum(n for _, n in h) <= 100 and len({a for a, _ in h}) == len(h) for h in held.values())
+        return len(held)
+
+    one, many = bins(1 << 20), bins(50)
+    assert one <= many <= 1.01 * one
+
+
 # ---- op4
 
 
