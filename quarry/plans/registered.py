@@ -1232,7 +1232,7 @@ def q_stream_delta_index(spark, sf):
     st.prep(spark)
     schema = st.table(spark, sf, "documents").schema
     out = scratch_path(spark, "stream-delta")
-    s = sd.read_stream(spark, sf, schema, glob="documents.parquet")
+    s = sd.read_table_stream(spark, sf, "documents", schema)
     q = sd.stream_delta_index(s, ("title", "body"), out, scratch_path(spark, "stream-delta-ckpt"),
                               prepare=_corpus_from_batch, available_now=True)
     q.awaitTermination()
@@ -1296,7 +1296,7 @@ FROM events GROUP BY ALL""")
 def q_stream_facets(spark, sf):
     st.prep(spark)
     schema = st.table(spark, sf, "events").schema
-    s = sd.read_stream(spark, sf, schema, glob="events.parquet")
+    s = sd.read_table_stream(spark, sf, "events", schema)
     f = sd.stream_facets(s, "ts", ["event_type"], window="1 day")
     return spark.read.parquet(sd.run_to_sink(f, "facets"))
 
@@ -1305,7 +1305,7 @@ def q_stream_facets(spark, sf):
 def q_stream_facets_session(spark, sf):
     st.prep(spark)
     schema = st.table(spark, sf, "events").schema
-    s = sd.read_stream(spark, sf, schema, glob="events.parquet")
+    s = sd.read_table_stream(spark, sf, "events", schema)
     f = sd.stream_facets(s, "ts", ["user_id"], session_gap="2 hours")
     return spark.read.parquet(sd.run_to_sink(f, "facets-session"))
 
@@ -1315,7 +1315,7 @@ def q_stream_alerts(spark, sf):
     st.prep(spark)
     schema = st.table(spark, sf, "documents").schema
     out = scratch_path(spark, "alerts")
-    s = sd.read_stream(spark, sf, schema, glob="documents.parquet")
+    s = sd.read_table_stream(spark, sf, "documents", schema)
     q = sd.stream_alerts(s, qtable(spark, Q_TERMS), ("title", "body"), out, scratch_path(spark, "alerts-ckpt"),
                          prepare=_corpus_from_batch, available_now=True)
     q.awaitTermination()

@@ -39,6 +39,12 @@ def read_stream(spark: SparkSession, directory: str, schema: T.StructType, glob:
     return r.parquet(directory)
 
 
+def read_table_stream(spark: SparkSession, directory: str, name: str, schema: T.StructType) -> DataFrame:
+    """A stored table (``<name>.parquet`` in ``directory``, one file or a folder of files) as a stream. The name is a glob, as
+    a stream's plain path must be a folder, and a file filter on the name would leave out a folder's files."""
+    return read_stream(spark, f"{directory.rstrip('/')}/{name}.parque[t]", schema)
+
+
 def _run(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool,
          trigger: str = DELTA_TRIGGER, output_mode: str = "append"):
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).outputMode(output_mode)

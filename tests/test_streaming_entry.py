@@ -30,6 +30,21 @@ def test_stream_equals_batch(spark, docs, idx):
     assert rows(spark.read.parquet(aout).select("query_id", "doc_id")) == rows(mt.match_all(idx, queries))
 
 
+def test_a_table_streams_from_one_file_or_a_folder(spark, docs):
+    """A stored table may be a folder of part files; each holds the same rows as one file."""
+    root = scratch_path(spark, "t-table")
+    docs.repartition(3).write.parquet(f"{root}/folder/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{root}/one")
+    os.makedirs(f"{root}/file")
+    part = next(f for f in os.listdir(f"{root}/one") if f.endswith(".parquet"))
+    os.link(f"{root}/one/{part}", f"{root}/file/documents.parquet")
+    for kind in ("folder", "file"):
+        out = scratch_path(spark, f"t-table-{kind}")
+        s = sd.read_table_stream(spark, f"{root}/{kind}", "documents", docs.schema)
+        sd.stream_delta_index(s, ("title", "body"), out, scratch_path(spark, "t-table-ckpt"), available_now=True).awaitTermination()
+        assert sorted(r["doc_id"] for r in spark.read.parquet(f"{out}/docs").collect()) == [1, 2, 3, 4, 5, 6]
+
+
 def test_stream_facets_and_dedup(spark):
     root = scratch_path(spark, "t-ev")
     ev = spark.createDataFrame([(1, "2024-01-01 01:00:00", "a"), (2, "2024-01-01 02:00:00", "a"),
