@@ -21,8 +21,9 @@ from quarry.session import local_table
 from quarry.spec import And, Expr, Near, Not, Or, Phrase, Term
 
 
-# ---- fixed values: expressions matched as conditions, alternatives of one expression, the leaf every document has ----
-CONDITIONS, CLAUSES, ANY_DOC = 64, 64, -1
+# ---- fixed values: expressions matched as conditions, alternatives of one expression, the leaf every document has, numbers
+# of a broadcast answer table at most ----
+CONDITIONS, CLAUSES, ANY_DOC, ANSWERS = 64, 64, -1, 2 ** 22
 # ---- end of fixed values ----
 
 
@@ -179,8 +180,20 @@ def _match_many(idx: Index, exprs: dict[int, Expr], clauses: dict[int, set], hit
     hits = hits.select(F.col("leaf").alias("item"), "doc_id")
     if wants_all:
         hits = hits.unionByName(idx.docs.select(F.lit(ANY_DOC).alias("item"), "doc_id"))
-    found = held_clauses(hits, local_table(spark, rows, "clause int, item int, wanted boolean"))
-    return found.join(local_table(spark, owner, "clause int, query_id int"), "clause").select("query_id", "doc_id").distinct()
+    table = local_table(spark, rows, "clause int, item int, wanted boolean")
+    owners = local_table(spark, owner, "clause int, query_id int")
+    # documents with the same leaves have the same answers: one document of each such class is matched for all
+    docs = hits.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.array_sort(F.collect_set("item")).alias("held"))
+    classes = docs.groupBy("held").agg(F.min("doc_id").alias("doc_id"))
+    found = held_clauses(classes.select(F.explode("held").alias("item"), "doc_id"), table).join(owners, "clause")
+    answers = (found.groupBy("doc_id").agg(F.collect_set("query_id").alias("query_ids"))
+               .join(classes, "doc_id").select("held", "query_ids"))
+    leaves = len({i for _, i, _ in rows})
+    if leaves < 24 and len(exprs) * 2 ** leaves <= ANSWERS:  # no more than that many numbers, however many documents
+        answers = F.broadcast(answers)
+    out = docs.join(answers, "held").select(F.explode("query_ids").alias("query_id"), "doc_id")
+    nameless = held_clauses(hits.where("doc_id IS NULL").distinct(), table).join(owners, "clause")
+    return out.unionByName(nameless.select("query_id", "doc_id").distinct())
 
 
 def match_boolean(idx: Index, expr: Expr | dict[int, Expr], query_id: int = 1) -> DataFrame:
