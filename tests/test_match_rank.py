@@ -305,3 +305,33 @@ def test_standing_queries_with_a_hot_word_meet_few_documents(spark):
     got = mt.match_standing(index.lists_for(q), q)
     assert rows(got) == rows(mt.match_all(index, q))
     assert got.count() == 300 + 300
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_expressions_are_matched_once_per_class_of_documents(spark):
+    """Documents with the same words, one repeated and one without an id, against more expressions than conditions take."""
+    texts = [(i, "cat dog" if i % 3 else "cat fox") for i in range(30)] + [(40, "dog"), (40, "fox"), (None, "cat fox"), (50, "ox")]
+    index = ix.build_index("many", spark.createDataFrame(texts, "doc_id long, body string"), ("body",), "doc_id", attrs=[])
+    exprs = {i: e for i, e in enumerate([term("cat") & ~term("fox"), term("dog") & term("fox"), term("cat") & (term("dog") | ~term("fox")),
+                                         ~term("cat")] * (mt.CONDITIONS // 4 + 1))}
+    got = mt.match_boolean(index, exprs)
+    assert "BroadcastHashJoin [held" in _plan(got)  # was: every expression looked up for every document
+    held = {i: set(t.split()) for i, t in texts if i is not None} | {40: {"dog", "fox"}}
+    want = set()
+    for q in exprs:
+        for i, w in held.items():
+            ok = [("cat" in w and "fox" not in w), {"dog", "fox"} <= w, "cat" in w and ("dog" in w or "fox" not in w), "cat" not in w][q % 4]
+            want |= {(q, i)} if ok else set()
+    found = [(r["query_id"], r["doc_id"]) for r in got.collect()]
+    assert len(found) == len(set(found)) and {f for f in found if f[1] is not None} == want
+
+
+def test_batched_bm25_sums_documents_without_a_second_exchange(spark, idx):
+    q = Q(spark, [(i, p, w) for i in range(5) for p, w in enumerate(("the", "fox", "cat")[: i % 3 + 1])])
+    got = rk.rank(idx, q, None, "bm25")
+    assert "hashpartitioning(query_id" not in _plan(got)  # was: one shuffled row per query and document
+    one = {(r["doc_id"], r["weight"]) for r in rk.rank(idx, Q(spark, [(2, 0, "the"), (2, 1, "fox"), (2, 2, "cat")]), None, "bm25").collect()}
+    assert {(r["doc_id"], r["weight"]) for r in got.where("query_id = 2").collect()} == one
