@@ -7,9 +7,11 @@ a replayed batch finds its rows in the state and gives nothing either.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,37 @@ from quarry.streaming.delta import LOOKBACK
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+# ---- fixed values: rows of a task that are brought down to the newest of each key at a time ----
+COMBINED_ROWS = 500_000
+# ---- end of fixed values ----
+
+
+def _newest(keys: list[str], order: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The newest row of every key among the next rows of a task, by the order of ``_order``."""
+
+    def combine(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches)
+        if any(pa.types.is_floating(c.type) and pc.any(pc.is_nan(c)).as_py() for c in rows.columns):
+            yield from batches  # not a number has no place in that order
+            return
+        rows = rows.take(pc.sort_indices(rows, [(c, "ascending") for c in order], null_placement="at_start"))
+        at = rows.append_column("_at", pa.array(range(rows.num_rows), pa.int64()))
+        last = at.select([*keys, "_at"]).group_by(keys, use_threads=False).aggregate([("_at", "max")])
+        yield from rows.take(last["_at_max"]).combine_chunks().to_batches()
+
+    def newest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, n = [], 0
+        for b in batches:
+            kept, n = [*kept, b], n + b.num_rows
+            if n >= COMBINED_ROWS:
+                yield from combine(kept)
+                kept, n = [], 0
+        if kept:
+            yield from combine(kept)
+
+    return newest
+
+
 def _order(row: tuple) -> tuple:
     """Time first, then the other columns; null before any value."""
     plain = (v.timestamp() if isinstance(v, datetime) else v for v in row)
@@ -38,7 +71,8 @@ class Latest(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = max((tuple(r[f] for f in self.fields) for r in rows), key=_order)
-        old = tuple(self.newest.get()) if self.newest.exists() else None
+        old = self.newest.get()  # None for a new key
+        old = tuple(old) if old is not None else None
         if old is not None and _order(new) <= _order(old):
             return
         if old is not None:
@@ -63,6 +97,8 @@ def stream_latest(stream: DataFrame, keys: list[str], ts_col: str, delay: str =
     rest = [c for c in stream.columns if c != ts_col and c not in keys]
     fields = ["_micros", *rest]
     s = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp")).where(F.col(ts_col).isNotNull())
+    if not any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in s.schema.fields):
+        s = s.mapInArrow(_newest(keys, [ts_col, *rest]), s.schema)  # the older rows of a task need not meet the state
     s = s.withWatermark(ts_col, delay).withColumn("_micros", F.unix_micros(ts_col))
     of = {f.name: f.dataType for f in s.schema.fields}
     state, out = (T.StructType([T.StructField(n, of[n], True) for n in names]) for names in (fields, [*keys, *fields]))
