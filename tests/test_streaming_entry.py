@@ -111,3 +111,19 @@ def test_entry_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 90
+
+
+def test_older_rows_of_a_task_do_not_reach_the_state():
+    import pyarrow as pa
+
+    from quarry.streaming.latest import _newest
+
+    def batch(*rows):
+        return pa.RecordBatch.from_pylist([dict(zip(("k", "t", "v", "x"), r)) for r in rows],
+                                          pa.schema([("k", pa.string()), ("t", pa.int64()), ("v", pa.int64()), ("x", pa.float64())]))
+
+    run = lambda *b: sorted((str(r["k"]), r["t"], r["v"]) for o in _newest(["k"], ["t", "v", "x"])(iter(b)) for r in o.to_pylist())
+    a = batch(("a", 1, 9, 0.0), ("a", 2, None, 0.0), (None, 5, 2 ** 60 + 1, 0.0), ("b", 1, 1, 0.0))
+    b = batch(("a", 2, 3, 0.0), (None, 5, 2 ** 60, 0.0))
+    assert run(a, b) == [("None", 5, 2 ** 60 + 1), ("a", 2, 3), ("b", 1, 1)]
+    assert len(run(a, batch(("a", 0, 0, float("nan"))))) == 5  # no order: all rows go on
