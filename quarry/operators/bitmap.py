@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# ---- fixed values: bitmap rows (4 KB each) that are broadcast ----
+FEW = 2000
+# ---- end of fixed values ----
+
 
 def id_bitmap(ids: DataFrame) -> DataFrame:
     """``_part, _bits`` over the single column of ``ids`` (nulls are left out)."""
@@ -17,6 +21,11 @@ def id_bitmap(ids: DataFrame) -> DataFrame:
         F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("_bits"))
 
 
+def known(ids: DataFrame) -> DataFrame:
+    """The bitmaps, marked for broadcast if counting finds them few: the rows tested against them then stay where they are."""
+    return F.broadcast(ids) if ids.limit(FEW + 1).count() <= FEW else ids
+
+
 def _tested(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     at = F.bitmap_bit_position(F.col(id_col))
     byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")

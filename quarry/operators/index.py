@@ -22,9 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import html_attr_values, html_strip, words
+from quarry.operators import doc_words as dw
 from quarry.operators import positions as ps
 from quarry.session import local_table
 
+# Repeated document ids that are listed apart.
+REPEATED = 100_000
+
 # The tag attributes the reference indexes with a page's text.
 HTML_INDEX_ATTRS = {"img": ["alt", "title"], "a": ["title"]}
 
@@ -48,6 +52,7 @@ class Index:
     _lists: DataFrame | None = field(default=None, repr=False)
     _doc_lengths: DataFrame | None = field(default=None, repr=False)
     _vocab: DataFrame | None = field(default=None, repr=False)
+    _words: DataFrame | None = field(default=None, repr=False)  # doc_id, dl, an array of words per field: where nothing else is indexed
 
     # -- derived tables ------------------------------------------------------------------
     def lists(self, terms: DataFrame | None = None) -> DataFrame:
@@ -66,6 +71,24 @@ class Index:
         return self._listed(rows, F.collect_list(F.struct("field", "pos")).alias("occ")).select(
             "term", "doc_id", "tf", "dl", ps.by_field(F.col("occ")).alias("at"))
 
+    def whole(self) -> tuple[DataFrame, DataFrame | None]:
+        """What a stored index keeps of every word: ``lists()``, and ``doc_id, dl, words`` by document (None: to be made of the
+        lists). Documents whose id stands once are listed as they are read, without an exchange."""
+        if self._lists is not None or self._words is None:
+            return self.lists(), None
+        again = self._words.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+        ids = [r["doc_id"] for r in again.limit(REPEATED + 1).collect()]
+        if len(ids) > REPEATED:
+            return self.lists(), None
+        if not ids:
+            return dw.doc_lists(self._words, self.fields), dw.doc_words(self._words, self.fields)
+        many = F.broadcast(local_table(self.docs.sparkSession, [(i,) for i in ids], "many bigint"))
+        same = F.col("doc_id").eqNullSafe(F.col("many"))
+        once = self._words.join(many, same, "left_anti")
+        grouped = self._listed(self.postings.join(many, same, "left_semi"), F.collect_list(F.struct("field", "pos")).alias("occ"))
+        grouped = grouped.select("term", "doc_id", "tf", "dl", ps.by_field(F.col("occ")).alias("at"))
+        return dw.doc_lists(once, self.fields).unionByName(grouped), dw.doc_words(once, self.fields).unionByName(words_by_doc(grouped))
+
     def lists_for(self, terms: DataFrame) -> DataFrame:
         """``term, doc_id, tf, dl`` for the words in ``terms`` only: the document lists that matching and BM25 read (a
         frequent word costs one row per document holding it, not one per occurrence)."""
@@ -152,6 +175,14 @@ class Index:
 # tokenize / postings
 
 
+def _field_words(df: DataFrame, fields, id_col: str, strip_html: tuple = ()) -> DataFrame:
+    """``doc_id, dl`` and per field its array of words."""
+    txt = [html_strip(t) if f in strip_html else t for f, t in ((f, F.coalesce(F.col(f), F.lit(""))) for f in fields)]
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), *(words(t).alias(f"toks{i}") for i, t in enumerate(txt)))
+    size = sum((F.size(f"toks{i}") for i in range(len(txt))), F.lit(0).cast("long"))
+    return rows.select("doc_id", size.alias("dl"), *(f"toks{i}" for i in range(len(txt))))
+
+
 def _stack_fields(df: DataFrame, fields, id_col: str, strip_html: tuple = (), min_len: int = 1) -> DataFrame:
     """One row per (doc_id, field) with the field's word array, and ``dl``, the words of ``min_len`` or more of all fields."""
     cols, items, size = [], [], F.lit(0).cast("long")
@@ -254,8 +285,14 @@ def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attr
     p = p.select("term", "doc_id", "field", "pos", *(c for c in p.columns if c == "dl"))
     # fields without words have no row, which neither the document count nor the mean changes
     lengths = postings_lengths(p) if counted else field_lengths(docs, fields, id_col, strip_html, min_len).where("len > 0")
+    plain = not counted and min_len <= 1 and morphology in (None, "none")
     return Index(name=name, docs=d, postings=p, lengths=lengths, fields=fields, texts=texts,
-                 morphology=morphology)
+                 morphology=morphology, _words=_field_words(docs, fields, id_col, strip_html) if plain else None)
+
+
+def words_by_doc(lists: DataFrame) -> DataFrame:
+    """``doc_id, dl, words`` of the lists."""
+    return lists.groupBy("doc_id").agg(F.first("dl").alias("dl"), F.collect_list(F.struct("term", "tf")).alias("words"))
 
 
 def postings_lengths(postings: DataFrame) -> DataFrame:

@@ -292,6 +292,12 @@ class MergedIndex(Index):
     def lists(self, terms: DataFrame | None = None) -> DataFrame:
         return self.both(lambda part: part.lists(terms))
 
+    def whole(self) -> tuple[DataFrame, DataFrame | None]:
+        (lists, words), (new, new_words) = (part.whole() for part in self.parts)
+        none = words is None or new_words is None
+        ids = bm.known(self.replaced)
+        return bm.without(lists, ids).unionByName(new), None if none else bm.without(words, ids).unionByName(new_words)
+
     def lists_for(self, terms: DataFrame) -> DataFrame:
         return self.both(lambda part: part.lists_for(terms))
 

@@ -6,7 +6,7 @@ Layout under ``path``:
   per range of words, a frequent word split over as many files as it needs.
 * ``vocabulary/``  (term, docs, hits), sorted by term.
 * ``directory/``   sparse term directory: first and last word of every file of the two tables above.
-* ``words/``       the words of each document (doc_id, dl, words), sorted by doc_id, so that counts can be corrected when
+* ``words/``       the words of each document (doc_id, dl, words), every file sorted by doc_id, so that counts can be corrected when
   documents are replaced.
 * ``docs/``, ``lengths/``, ``texts/``  plain Parquet.
 * ``meta/``        one row: name, fields, morphology, n_docs, avg_len, has_texts.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import bitmap as bm
 from quarry.operators import positions as ps
-from quarry.operators.index import Index
+from quarry.operators.index import Index, words_by_doc
 from quarry.session import local_table
 
 # ---- fixed values: rows of a file at most; words resolved on the driver at most; resolved searches kept ----
@@ -38,20 +38,20 @@ DIRECTORY = "tab string, file string, first string, last string"
 
 
 def write_index(idx: Index, path: str, rows_per_file: int = ROWS_PER_FILE, mode: str = "overwrite") -> None:
-    """Write the index. The text is tokenized and the lists are made once; vocabulary, words by document, directory
-    and statistics are derived from the written lists."""
+    """Write the index. Lists and words by document come from ``Index.whole`` and only the lists are exchanged, once;
+    vocabulary, directory and statistics are derived from what was written."""
     spark = idx.docs.sparkSession
 
-    def save(df: DataFrame, name: str, *order: str) -> DataFrame:
-        (df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode)
+    def save(df: DataFrame, name: str, *order: str, ranges: bool = True) -> DataFrame:
+        ((df.repartitionByRange(*order) if ranges else df).sortWithinPartitions(*order).write.mode(mode)
          .option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/{name}"))
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
-    lists = save(idx.lists().select("term", "doc_id", "tf", "dl", "at"), "lists", "term", "doc_id")
+    lists, words = idx.whole()
+    lists = save(lists.select("term", "doc_id", "tf", "dl", "at"), "lists", "term", "doc_id")
     vocab = save(lists.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").cast("long").alias("hits")),
                  "vocabulary", "term")
-    words = save(lists.groupBy("doc_id").agg(F.first("dl").alias("dl"), F.collect_list(F.struct("term", "tf")).alias("words")),
-                 "words", "doc_id")
+    words = save(words_by_doc(lists) if words is None else words, "words", "doc_id", ranges=False)
     ranges = [t.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file")).agg(
         F.min("term").alias("first"), F.max("term").alias("last")).select(F.lit(n).alias("tab"), "file", "first", "last")
         for n, t in (("lists", lists), ("vocabulary", vocab))]
@@ -129,6 +129,9 @@ class StoredIndex(Index):
     def lists(self, terms: DataFrame | None = None) -> DataFrame:
         return self._lists if terms is None else self._pruned("lists", self._lists, terms)
 
+    def whole(self) -> tuple[DataFrame, DataFrame]:
+        return self._lists, self.words
+
     def postings_for(self, terms: DataFrame) -> DataFrame:
         return ps.occurrences(self.lists(terms))
 
