@@ -140,8 +140,8 @@ def stream_alerts(stream: DataFrame, queries: DataFrame, fields, out_dir: str, c
                   id_col: str = "doc_id", prepare: Callable[[DataFrame], DataFrame] | None = None,
                   available_now: bool = False):
     """Standing queries: every new batch of documents is indexed and matched (all words) against
-    the stored queries table; matches go to ``out_dir/batch=<id>``. The queries are indexed by their words in turn
-    (``match_standing``): a hot word costs only the queries that have no rarer one in the batch."""
+    the stored queries table; matches go to ``out_dir/batch=<id>`` (``match_standing``: no pair of query and document is
+    exchanged)."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         d = prepare(batch) if prepare else batch

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 
 import pytest
@@ -308,6 +309,28 @@ def test_standing_queries_with_a_hot_word_meet_few_documents(spark):
     assert got.count() == 300 + 300
 
 
+def test_standing_queries_exchange_no_pairs(spark, monkeypatch):
+    """Against plain sets: classes of equal queries, words of no document, repeated and missing ids; several small groups."""
+    from quarry.operators import standing
+
+    monkeypatch.setattr(standing, "GROUP_DOCS", 7)
+    rng = random.Random(3)
+    texts = [(i // 2 if i > 90 else i, " ".join(rng.choices("abcdefgh", k=rng.randint(0, 6)))) for i in range(100)] + [(None, "a b")]
+    asked = {q: rng.choices("abcdefghz", k=rng.randint(1, 4)) for q in range(60)} | {60: ["a"], 61: ["a"], 62: ["z"]}
+    index = ix.build_index("g", spark.createDataFrame(texts, "doc_id long, body string"), ("body",), "doc_id", attrs=[])
+    q = spark.createDataFrame([(k, i, w) for k, ws in asked.items() for i, w in enumerate(ws)] + [(63, 0, "a"), (63, 1, None)],
+                              "query_id int, qpos int, term string")
+    got = mt.match_standing(index.lists_for(q), q)
+    assert "MapInArrow" in _plan(got)  # was: pairs dealt by item and document
+    held = {}
+    for i, t in texts:
+        held.setdefault(i, set()).update(t.split())
+    want = {(k, i) for k, ws in asked.items() for i, w in held.items() if i is not None and set(ws) <= w}
+    found = [(r["query_id"], r["doc_id"]) for r in got.collect()]
+    assert len(found) == len(set(found)) and {f for f in found if f[1] is not None} == want
+    assert {(60, None), (61, None)} <= set(found)
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
