@@ -7,7 +7,7 @@ a shuffle join on ``term`` that AQE splits where a frequent word makes a partiti
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from itertools import batched
 
@@ -301,6 +301,14 @@ class MergedIndex(Index):
         ids = bm.known(self.replaced)
         return bm.without(lists, ids).unionByName(new), None if none else bm.without(words, ids).unionByName(new_words)
 
+    def settled(self) -> "MergedIndex":
+        """The same for writing: the replaced ids are counted, so that where they are few no document or text is exchanged."""
+        main, delta = self.parts
+        ids = bm.known(self.replaced)
+        texts = None if self.texts is None else bm.without(main.texts, ids).unionByName(delta.texts)
+        return replace(self, docs=bm.without(main.docs, ids).unionByName(delta.docs, allowMissingColumns=True),
+                       lengths=bm.without(main.lengths, ids).unionByName(delta.lengths), texts=texts, replaced=ids)
+
     def lists_for(self, terms: DataFrame) -> DataFrame:
         return self.both(lambda part: part.lists_for(terms))
 

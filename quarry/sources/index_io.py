@@ -32,6 +32,7 @@ from quarry.session import local_table
 ROWS_PER_FILE = 4_000_000
 PUSHED_WORDS = 1000
 KEPT = 16
+CODEC = "zstd"  # of all files of an index
 # ---- end of fixed values ----
 
 DIRECTORY = "tab string, file string, first string, last string"
@@ -44,7 +45,7 @@ def write_index(idx: Index, path: str, rows_per_file: int = ROWS_PER_FILE, mode:
 
     def save(df: DataFrame, name: str, *order: str, ranges: bool = True) -> DataFrame:
         ((df.repartitionByRange(*order) if ranges else df).sortWithinPartitions(*order).write.mode(mode)
-         .option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/{name}"))
+         .option("maxRecordsPerFile", rows_per_file).option("compression", CODEC).parquet(f"{path}/{name}"))
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     lists, words = idx.whole()
@@ -55,11 +56,11 @@ def write_index(idx: Index, path: str, rows_per_file: int = ROWS_PER_FILE, mode:
     ranges = [t.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file")).agg(
         F.min("term").alias("first"), F.max("term").alias("last")).select(F.lit(n).alias("tab"), "file", "first", "last")
         for n, t in (("lists", lists), ("vocabulary", vocab))]
-    ranges[0].unionByName(ranges[1]).write.mode(mode).parquet(f"{path}/directory")
-    idx.docs.write.mode(mode).parquet(f"{path}/docs")
-    idx.lengths.select("doc_id", "field", "len").write.mode(mode).parquet(f"{path}/lengths")
+    ranges[0].unionByName(ranges[1]).write.mode(mode).option("compression", CODEC).parquet(f"{path}/directory")
+    idx.docs.write.mode(mode).option("compression", CODEC).parquet(f"{path}/docs")
+    idx.lengths.select("doc_id", "field", "len").write.mode(mode).option("compression", CODEC).parquet(f"{path}/lengths")
     if idx.texts is not None:
-        idx.texts.write.mode(mode).parquet(f"{path}/texts")
+        idx.texts.write.mode(mode).option("compression", CODEC).parquet(f"{path}/texts")
     n = spark.read.parquet(f"{path}/docs").count()
     total = words.agg(F.sum("dl")).first()[0] or 0
     meta = local_table(

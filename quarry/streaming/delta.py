@@ -87,7 +87,7 @@ def compact(main: ix.Index, delta: ix.Index, out_dir: str) -> ix.Index:
     caller repoints readers to it (the reference's index rotation)."""
     from quarry.sources.index_io import read_index, write_index
 
-    merged = mt.main_delta(main, delta)
+    merged = mt.main_delta(main, delta).settled()
     write_index(merged, out_dir)
     return read_index(main.postings.sparkSession, out_dir)
 

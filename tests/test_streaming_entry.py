@@ -30,6 +30,26 @@ def test_stream_equals_batch(spark, docs, idx):
     assert rows(spark.read.parquet(aout).select("query_id", "doc_id")) == rows(mt.match_all(idx, queries))
 
 
+def test_compaction_exchanges_no_texts(spark, docs, idx):
+    """The replaced ids are counted and broadcast; files are compressed alike."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    delta = ix.build_index("d", docs.where("doc_id IN (2, 6)").withColumn("body", F.lit("new words of the sea")), ("title", "body"),
+                           "doc_id", attrs=["lang", "source", "author_id", "created_on"])
+    merged = mt.main_delta(idx, delta).settled()
+    for table in (merged.docs, merged.texts, merged.lengths):  # was: hashed by their part of the ids
+        assert "rightHint=(strategy=broadcast)" in table._jdf.queryExecution().optimizedPlan().toString()
+    out = scratch_path(spark, "t-compact")
+    once = sd.compact(idx, delta, out)
+    assert rows(once.texts) == rows(mt.main_delta(idx, delta).texts) and rows(once.lengths) == rows(mt.main_delta(idx, delta).lengths)
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for d in ("lists", "words", "docs", "texts")
+              for f in glob.glob(f"{out}/{d}/*.parquet") if pq.ParquetFile(f).metadata.num_rows}
+    assert codecs == {"ZSTD"}
+
+
 def test_a_table_streams_from_one_file_or_a_folder(spark, docs):
     """A stored table may be a folder of part files; each holds the same rows as one file."""
     root = scratch_path(spark, "t-table")
