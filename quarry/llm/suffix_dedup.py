@@ -237,6 +237,15 @@ def _names(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.unique(pair * top + c, return_inverse=True)[1]
 
 
+def _order(rank: np.ndarray, below: int) -> np.ndarray:
+    """Positions in the order of their ranks (less than ``below``), those of equal rank in any order. Distinct ranks, the usual
+    case, are put in their places without a sort."""
+    at = np.full(below, -1, np.int64)
+    at[rank] = np.arange(len(rank))
+    out = at[at >= 0]
+    return out if len(out) == len(rank) else np.argsort(rank)
+
+
 def suffix_ranks(s: np.ndarray, depth: int) -> np.ndarray:
     """Rank of every suffix of ``s`` (integers > 0) in the order of its first ``depth`` or more symbols, by the
     difference cover {1, 2} modulo 3. Suffixes equal that far are in any order."""
@@ -251,7 +260,7 @@ def suffix_ranks(s: np.ndarray, depth: int) -> np.ndarray:
         reduced = np.concatenate([name[: len(ones)] + 2, [1], name[len(ones):] + 2])
         deep = suffix_ranks(reduced, -(-depth // 3))
         name = np.concatenate([deep[: len(ones)], deep[len(ones) + 1:]])
-    order = sample[np.argsort(name, kind="stable")]
+    order = sample[_order(name, len(sample) + 1)]
     rank = np.zeros(n + 3, np.int64)  # of sampled suffixes, from 1; past the end 0
     rank[order] = np.arange(1, len(order) + 1)
     wide = np.int64(n + 3)
@@ -262,7 +271,7 @@ def suffix_ranks(s: np.ndarray, depth: int) -> np.ndarray:
     def triple(i):
         return (text[i] * (text.max() + 1) + text[i + 1]) * wide + rank[i + 2]
 
-    rest = zeros[np.argsort(pair(zeros), kind="stable")]
+    rest = zeros[np.argsort(pair(zeros))]
     by1, by2 = order[order % 3 == 1], order[order % 3 == 2]
     # sampled suffixes before each remaining one
     before = np.searchsorted(pair(by1), pair(rest)) + np.searchsorted(triple(by2), triple(rest))
@@ -283,7 +292,7 @@ def smallest_holder(blob: np.ndarray, sizes: np.ndarray, owner: np.ndarray) -> n
     rank = suffix_ranks(text, LENGTH)
     start = _ranges(begin, sizes + 1)
     who = np.repeat(owner, sizes + 1)
-    order = np.argsort(rank[start], kind="stable")
+    order = _order(rank[start], len(text))
     pos = start[order]
     word = text.astype(np.uint64)  # nine bits a symbol: seven symbols a word
     word = np.concatenate([word, np.zeros(8, np.uint64)])

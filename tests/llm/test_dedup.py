@@ -144,6 +144,14 @@ def test_suffix_dedup_matches_brute_force(spark, monkeypatch, chunk, piece):
     assert suffix_dedup.suffix_dedup(edge_docs(spark, rows).limit(0)).count() == 0
 
 
+def test_distinct_ranks_are_placed_without_a_sort(monkeypatch):
+    ranks = np.random.default_rng(2).permutation(500)[:300]
+    want = np.argsort(ranks).tolist()
+    assert np.diff(np.array([3, 1, 1, 0])[suffix_dedup._order(np.array([3, 1, 1, 0]), 4)]).min() >= 0
+    monkeypatch.setattr(suffix_dedup.np, "argsort", None)  # was: two stable sorts of permutations in every suffix array
+    assert suffix_dedup._order(ranks, 500).tolist() == want and suffix_dedup._order(ranks[:0], 0).tolist() == []
+
+
 def test_suffix_ranks_order_suffixes():
     rng = np.random.default_rng(3)
     for n, letters in ((1, 2), (2, 2), (7, 1), (300, 2), (900, 30)):
