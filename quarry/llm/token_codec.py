@@ -31,11 +31,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import shuffle_partitions
+from quarry.llm.common import shuffle_partitions, text_bytes
 
 BLOCK_TOKENS, STEPS = 1 << 20, 256
 ORDER0_BITS, TOTAL_BITS, SLOT_BITS = 18, 24, 18
@@ -44,18 +45,57 @@ MAGIC = b"TKB1"
 HEADER = "<4sQIII"
 HEADER_BYTES = struct.calcsize(HEADER)
 BLOCKS = "part int, block int, doc_ids array<long>, lengths array<long>, n_tokens long, payload binary"
-PIECE_CACHE = 600_000
+PIECE_CACHE, PIECE_BYTES, TEXT_BYTES = 600_000, 64, 1 << 23
 # texts whose white space is single spaces and newlines between other characters split safely before each
 UNSAFE = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z|\x00")
-# and before a comma or full stop that follows a letter or digit
-STOP = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
+# by bytes: kinds that a split looks at
+SPACE, NEWLINE, STOP, ALNUM, ODD, LATIN, LEAD = (1 << k for k in range(7))
+KIND = np.zeros(256, np.uint8)
+KIND[0x20], KIND[0x0A], KIND[[0x2E, 0x2C]], KIND[0xC3] = SPACE, NEWLINE, STOP, LATIN
+KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = ALNUM
+KIND[[0, 0x09, *range(0x0B, 0x0E), *range(0x1C, 0x20)]] = ODD  # no text that holds one splits safely
+KIND[[0xC2, 0xE1, 0xE2, 0xE3]] = LEAD  # the first bytes of all other white space
+
+
+def split_safely(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of UTF-8 texts laid end to end begin (a text's first byte does), and per text whether it splits at
+    all: before a single space, around a single newline, and before a comma or full stop that follows a letter (of Latin-1)
+    or digit. Texts with a character that may be other white space are looked at one by one."""
+    kind = KIND[data]
+    full = offsets[1:] > offsets[:-1]
+    first, last = offsets[:-1][full], offsets[1:][full] - 1
+    white = (kind & (SPACE | NEWLINE)) != 0
+    bad = (kind & ODD) != 0
+    bad[1:] |= white[1:] & white[:-1]
+    bad[first] = (kind[first] & (SPACE | NEWLINE | ODD)) != 0  # whatever the text before ends with
+    bad[last] |= white[last]
+    def none(at):
+        place = np.searchsorted(at, offsets)
+        return place[1:] == place[:-1]
+
+    safe = none(np.flatnonzero(bad))
+    lead = np.flatnonzero((kind[:-1] & LEAD) != 0)
+    one, two = data[lead], data[lead + 1]
+    odd = np.where(one == 0xC2, (two == 0x85) | (two == 0xA0), (two == 0x9A) & (one == 0xE1) | (two == 0x80) & (one >= 0xE2) |
+                   (two == 0x81) & (one == 0xE2))
+    for t in np.flatnonzero(safe & ~none(lead[odd])):
+        safe[t] = not UNSAFE.search(data[offsets[t]:offsets[t + 1]].tobytes().decode())
+    starts = white.copy()
+    starts[1:] |= (kind[:-1] & NEWLINE) != 0
+    letter = (kind & ALNUM) != 0
+    letter[1:] |= ((kind[:-1] & LATIN) != 0) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    starts[1:] |= ((kind[1:] & STOP) != 0) & letter[:-1]
+    for t in np.flatnonzero(~safe):
+        starts[offsets[t]:offsets[t + 1]] = False
+    starts[first] = True
+    return np.flatnonzero(starts), safe
 
 
 class PieceEncoder:
     """Ids of whole texts from a ``tokenizers`` file. The byte-level pattern always splits before a single
     space, around a single newline and between a word and a stop, so such pieces are encoded once and
     looked up; a text with any other white space, or with the string of an added token (which the library takes
-    out first), goes through the library whole."""
+    out first), goes through the library whole. Pieces are found and looked up by whole arrays."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -63,7 +103,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -71,15 +111,36 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        pieces = [None if UNSAFE.search(t) or any(x in t for x in self.added) else
-                  STOP.sub("\x00", t).replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00") for t in texts]
+        out: list[bytes | None] = [None] * len(texts)
+        whole = [i for i, t in enumerate(texts) if any(x in t for x in self.added)]
+        for i, found in zip(whole, self._library([texts[i] for i in whole]), strict=True):
+            out[i] = found
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, found in zip(rest, self._pieces([texts[i] for i in rest]), strict=True):
+            out[i] = found
+        return out
+
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        data, offsets = text_bytes(pa.array(texts, pa.string()))
+        starts, _ = split_safely(data, offsets)
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
+        coded = pieces.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > PIECE_CACHE:
             self.known.clear()
-        new = list({x for p in pieces if p for x in p if x not in self.known})
-        self.known.update(zip(new, self._library(new), strict=True))
-        whole = iter(self._library([t for t, p in zip(texts, pieces, strict=True) if p is None]))
-        get = self.known.__getitem__
-        return [next(whole) if p is None else b"".join(map(get, p)) for p in pieces]
+        ids = list(map(self.known.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        for i, found in zip(new, self._library([words[i].decode() for i in new]), strict=True):
+            ids[i] = found
+            if len(words[i]) <= PIECE_BYTES:  # a whole text is not kept
+                self.known[words[i]] = found
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        every = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.uint32))).take(coded.indices)
+        cuts = every.offsets.to_numpy()[np.searchsorted(starts, offsets)]
+        flat = every.values.to_numpy()
+        return [flat[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def worker_encoder(path: str) -> PieceEncoder:
@@ -98,7 +159,7 @@ class Mixer:
         self.vocab, self.lanes, self.step = vocab, lanes, 0
         self.count = np.zeros(vocab, np.int64)
         self.fresh: list[np.ndarray] = []
-        self.follow = [np.zeros(vocab + 1, np.uint64), np.zeros(1 << SLOT_BITS, np.uint64)]
+        self.follow = [np.zeros(vocab + 1, np.int64), np.zeros(1 << SLOT_BITS, np.int64)]
         self.outcome = np.tile(np.array([2, 1, 3], np.int64), (128, 1))
         self.before = [np.full(lanes, vocab, np.int64), np.full(lanes, vocab, np.int64)]
         self.rebuild(False)
@@ -118,38 +179,38 @@ class Mixer:
         """Masses for the first ``active`` lanes: order-0 share, the two point masses in id order."""
         p1, p2 = self.before[0][:active], self.before[1][:active]
         self.at = [p1, ((p1 * 0x2545F491 + p2 * 0x9E3779B1) >> 7) & ((1 << SLOT_BITS) - 1)]
-        held = [self.follow[k][self.at[k]] for k in (0, 1)]
-        self.guess = [(h & np.uint64(0xFFFFFFF)).astype(np.int64) - 1 for h in held]
-        self.hits = [(h >> np.uint64(28) & np.uint64(7)).astype(np.int64) for h in held]
+        self.held = [self.follow[k].take(self.at[k]) for k in (0, 1)]
+        self.guess = [(h & 0xFFFFFFF) - 1 for h in self.held]
+        self.hits = [h >> 28 for h in self.held]
         one, two = self.guess
         same = one == two
         self.state = self.hits[1] << 4 | self.hits[0] << 1 | same
         room = (1 << TOTAL_BITS) - (1 << ORDER0_BITS)
-        share = self.outcome[:, :2] * room // self.outcome.sum(axis=1, keepdims=True)
-        q2 = np.where(two >= 0, share[self.state, 0], 0)
-        q1 = np.where(one >= 0, share[self.state, 1], 0)
+        share = (self.outcome[:, :2] * room // self.outcome.sum(axis=1, keepdims=True)).T.copy()
+        q2 = share[0].take(self.state) * (two >= 0)
+        q1 = share[1].take(self.state) * (one >= 0)
         low = np.minimum(one, two)
         high = np.maximum(one, two)
-        q_low = np.where(same, q1 + q2, np.where(one < two, q1, q2))
-        q_high = q1 + q2 - q_low
-        return (1 << TOTAL_BITS) - q1 - q2, low, high, q_low, q_high
+        both = q1 + q2
+        q_low = np.where(one < two, q1, q2) + q1 * same
+        return (1 << TOTAL_BITS) - both, low, high, q_low, both - q_low
 
     def bounds(self, ids, q0, low, high, q_low, q_high):
         """Cumulative mass below each id, and its own mass."""
-        a = (q0 * self.cum[ids] >> ORDER0_BITS) + q_low * (low < ids) + q_high * (high < ids)
-        b = (q0 * self.cum[ids + 1] >> ORDER0_BITS) + q_low * (low <= ids) + q_high * (high <= ids)
+        a = (q0 * self.cum.take(ids) >> ORDER0_BITS) + q_low * (low < ids) + q_high * (high < ids)
+        b = (q0 * self.cum.take(ids + 1) >> ORDER0_BITS) + q_low * (low <= ids) + q_high * (high <= ids)
         return a, b - a
 
     def find(self, v, q0, low, high, q_low, q_high):
         """The id whose interval holds ``v``."""
         a, b = np.maximum(low, 0), np.maximum(high, 0)
-        from_a = q0 * self.cum[a] >> ORDER0_BITS
-        to_a = (q0 * self.cum[a + 1] >> ORDER0_BITS) + q_low
-        from_b = (q0 * self.cum[b] >> ORDER0_BITS) + q_low
-        to_b = (q0 * self.cum[b + 1] >> ORDER0_BITS) + q_low + q_high
+        from_a = q0 * self.cum.take(a) >> ORDER0_BITS
+        to_a = (q0 * self.cum.take(a + 1) >> ORDER0_BITS) + q_low
+        from_b = (q0 * self.cum.take(b) >> ORDER0_BITS) + q_low
+        to_b = (q0 * self.cum.take(b + 1) >> ORDER0_BITS) + q_low + q_high
         rest = v - q_low * (v >= to_a) - q_high * (v >= to_b)
         slot = (((rest + 1) << ORDER0_BITS) - 1) // q0
-        ids = self.slot[np.clip(slot, 0, len(self.slot) - 1)]
+        ids = self.slot.take(slot, mode="clip")
         ids = np.where((high >= 0) & (v >= from_b) & (v < to_b), high, ids)
         return np.where((low >= 0) & (v >= from_a) & (v < to_a), low, ids)
 
@@ -158,13 +219,12 @@ class Mixer:
         hit = [self.guess[0] == ids, self.guess[1] == ids]
         kind = np.where(hit[1], 0, np.where(hit[0], 1, 2))
         self.outcome += np.bincount(self.state * 3 + kind, minlength=384).reshape(128, 3)
-        # of lanes that share a context the last one counts, by a stamp that grows with step and lane
-        stamp = (np.arange(n, dtype=np.int64) + (self.step + 1) * self.lanes) << 31
+        # of lanes that share a context the last one counts: repeated places keep the last value assigned
+        # a hit counts one up, a miss one down or, with none left, puts its id in the place
+        new = ids + 1
         for k in (0, 1):
-            keep = hit[k] | ((self.hits[k] > 0) & (self.guess[k] >= 0))
-            hits = np.where(hit[k], np.minimum(self.hits[k] + 1, TOP_HITS), np.maximum(self.hits[k] - 1, 0))
-            value = stamp | np.where(keep, hits, 0) << 28 | (np.where(keep, self.guess[k], ids) + 1)
-            np.maximum.at(self.follow[k], self.at[k], value.astype(np.uint64))
+            up = self.held[k] + ((self.hits[k] < TOP_HITS) * (1 << 28))
+            self.follow[k][self.at[k]] = np.where(hit[k], up, np.where(self.hits[k] > 0, self.held[k] - (1 << 28), new))
         self.before = [ids, self.before[0][:n]]
         self.fresh.append(ids)
         self.step += 1
@@ -299,9 +359,11 @@ def _encode(path: str, end_id: int):
         for batch in batches:
             encoder = encoder or worker_encoder(path)
             doc = batch.column("doc_id").to_pylist()
-            for a in range(0, len(doc), 256):
-                texts = [t or "" for t in batch.column("text").slice(a, 256).to_pylist()]
-                for i, found in zip(doc[a: a + 256], encoder.encode(texts), strict=True):
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // TEXT_BYTES, prepend=-1, append=-1)) if len(doc) else [0]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                texts = [t or "" for t in batch.column("text").slice(a, b - a).to_pylist()]
+                for i, found in zip(doc[a:b], encoder.encode(texts), strict=True):
                     ids.append(i)
                     held.append(found + end)
                     size += len(found) // 4 + 1

@@ -82,6 +82,25 @@ def plain_best_fit(lengths, tags, capacity):
     return out
 
 
+def test_pieces_of_many_texts_are_the_librarys(monkeypatch):
+    """Odd characters at every border, many texts at a time; long pieces and whole texts are not kept."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(1)
+    some = [" ", "\n", "a", "B9", "\u00e9", "\u00d7", "\u00f7", "\u0178", ".", ",", "\u201c", "\u3001", "\u4e2d", "'s", "x" * 70]
+    odd = ["  ", "\t", "\x00", "\u00a0", "\u2003", "\u3000", "\x85", "\u1680", "\u205f", "\x1c", "<|endoftext|>"]
+    texts = ["".join(rng.choices(some if rng.random() < 0.8 else some + odd, k=rng.randint(0, 8))) for _ in range(3000)]
+    enc, plain = token_codec.PieceEncoder(queries.byte_bpe()), Tokenizer.from_file(queries.byte_bpe())
+    want = [np.array(x.ids, np.uint32).tobytes() for x in plain.encode_batch(texts, add_special_tokens=False)]
+    assert enc.encode(texts) == want and enc.encode([]) == [] and enc.encode(["", ""]) == [b"", b""]
+    assert enc.known and max(map(len, enc.known)) <= token_codec.PIECE_BYTES  # was: of any length, looked up one by one
+    data, offsets = np.frombuffer("ab c\u00e9.\u00d7,\nqd  e".encode(), np.uint8), np.array([0, 0, 12, 16])
+    starts, safe = token_codec.split_safely(data, offsets)
+    assert starts.tolist() == [0, 2, 6, 10, 11, 12] and safe.tolist() == [True, True, False]
+
+
 def test_best_fit_equals_plain_search():
     rng = random.Random(2)
     for trial in range(30):
