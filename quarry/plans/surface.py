@@ -85,13 +85,20 @@ def register_sql(spark: SparkSession, idx: Index) -> list[str]:
     spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_rank_wordcount(ws ARRAY<STRING>)
         RETURNS TABLE (doc_id BIGINT, weight BIGINT)
         RETURN SELECT doc_id, count(*) AS weight FROM {n}_postings WHERE array_contains(ws, term) GROUP BY doc_id""")
-    # some window of w words holds them all: an occurrence lies in w windows
+    # a field's occurrences as one array of numbers (position, then word), read in order of position: a word stands last at
+    # ``last``, and where all words stand last within w words of an occurrence, they lie in one window
     spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_near(ws ARRAY<STRING>, w INT)
         RETURNS TABLE (doc_id BIGINT)
         RETURN SELECT DISTINCT doc_id FROM (
-               SELECT doc_id, field, term, size(array_distinct(ws)) AS m, explode(sequence(pos - w + 1, pos)) AS opens
-               FROM {n}_postings WHERE array_contains(ws, term))
-               GROUP BY doc_id, field, opens HAVING count(DISTINCT term) = max(m)""")
+               SELECT doc_id, max(m) AS m, max(w) AS w, array_sort(collect_set(pos * m + k)) AS occ FROM (
+                 SELECT doc_id, field, CAST(pos AS BIGINT) AS pos, size(array_distinct(ws)) AS m, w,
+                        array_position(array_distinct(ws), term) - 1 AS k
+                 FROM {n}_postings WHERE array_contains(ws, term))
+               GROUP BY doc_id, field)
+               WHERE aggregate(occ, named_struct('last', array_repeat(CAST(NULL AS BIGINT), m), 'found', false), (a, o) ->
+                 CASE WHEN a.found THEN a ELSE named_struct(
+                   'last', transform(a.last, (l, i) -> CASE WHEN i = o % m THEN o div m ELSE l END),
+                   'found', forall(sequence(0, m - 1), i -> i = o % m OR coalesce(a.last[i] > o div m - w, false))) END, a -> a.found)""")
     spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {n}_match_boolean(every ARRAY<STRING>, some ARRAY<STRING>, no ARRAY<STRING>)
         RETURNS TABLE (doc_id BIGINT)
         RETURN SELECT doc_id FROM (
