@@ -45,9 +45,14 @@ MAGIC = b"TKB1"
 HEADER = "<4sQIII"
 HEADER_BYTES = struct.calcsize(HEADER)
 BLOCKS = "part int, block int, doc_ids array<long>, lengths array<long>, n_tokens long, payload binary"
-PIECE_CACHE, PIECE_BYTES, TEXT_BYTES = 600_000, 64, 1 << 23
+PIECE_CACHE, PIECE_BYTES, TEXT_BYTES, JOINED = 600_000, 64, 1 << 23, 256
 # texts whose white space is single spaces and newlines between other characters split safely before each
 UNSAFE = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z|\x00")
+# the characters that stand for bytes in a byte-level vocabulary; here a tab, which no word holds, becomes a plain space
+SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)} | {9: 0x20}
+# one word of the pattern: digits, or (if letters all) characters up to U+04FF
+WORD = re.compile(rb" ?(?:[0-9]+|[\x41-\x5A\x61-\x7A\x80-\xD3]+)")
 # by bytes: kinds that a split looks at
 SPACE, NEWLINE, STOP, ALNUM, ODD, LATIN, LEAD = (1 << k for k in range(7))
 KIND = np.zeros(256, np.uint8)
@@ -95,20 +100,46 @@ class PieceEncoder:
     """Ids of whole texts from a ``tokenizers`` file. The byte-level pattern always splits before a single
     space, around a single newline and between a word and a stop, so such pieces are encoded once and
     looked up; a text with any other white space, or with the string of an added token (which the library takes
-    out first), goes through the library whole. Pieces are found and looked up by whole arrays."""
+    out first), goes through the library whole. Pieces are found and looked up by whole arrays. New ones that
+    are one word of the pattern go through the library's model many at a time, already split."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
+        # pieces met since the last turn and before it; at a turn those not met since are let go
         self.known: dict[bytes, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.older: dict[bytes, bytes] = {}
+        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.split = Tokenizer(self.tokenizer.model)  # the same model
+        self.split.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.splits = (len(self.newline) == 1 and self.tokenizer.normalizer is None
+                       and isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel))
+
+    def _library(self, texts: list[str], tokenizer=None) -> list[bytes]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32).tobytes() for x in found]
 
+    def _new(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces that were not met before. ``JOINED`` words at a time, with newlines between, are written in the
+        vocabulary's characters; their ids must have as many newlines."""
+        out: list[bytes | None] = [None] * len(pieces)
+        words = [i for i, x in enumerate(pieces) if len(x) <= PIECE_BYTES and WORD.fullmatch(x) and (
+            x[-1] <= 0x39 or x.decode().lstrip(" ").isalpha())] if self.splits else []
+        groups = [words[at:at + JOINED] for at in range(0, len(words), JOINED)]
+        texts = [b"\t\n\t".join([pieces[i] for i in g]).decode("latin-1").translate(ALPHABET) for g in groups]
+        for group, found in zip(groups, self._library(texts, self.split), strict=True):
+            cuts = (np.flatnonzero(np.frombuffer(found, np.uint32) == self.newline[0]) * 4).tolist()
+            if len(cuts) == len(group) - 1:
+                for i, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(found)], strict=True):
+                    out[i] = found[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, found in zip(rest, self._library([pieces[i].decode() for i in rest]), strict=True):
+            out[i] = found
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         out: list[bytes | None] = [None] * len(texts)
@@ -128,11 +159,15 @@ class PieceEncoder:
         pieces = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
         coded = pieces.dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) > PIECE_CACHE:
-            self.known.clear()
+        if len(self.known) > PIECE_CACHE // 2:
+            self.known, self.older = {}, self.known
         ids = list(map(self.known.get, words))
+        for i in [i for i, x in enumerate(ids) if x is None]:
+            ids[i] = found = self.older.pop(words[i], None)
+            if found is not None:
+                self.known[words[i]] = found
         new = [i for i, x in enumerate(ids) if x is None]
-        for i, found in zip(new, self._library([words[i].decode() for i in new]), strict=True):
+        for i, found in zip(new, self._new([words[i] for i in new]), strict=True):
             ids[i] = found
             if len(words[i]) <= PIECE_BYTES:  # a whole text is not kept
                 self.known[words[i]] = found
@@ -150,6 +185,15 @@ def worker_encoder(path: str) -> PieceEncoder:
     return state.get(path) or state.setdefault(path, PieceEncoder(path))
 
 
+def _div(a: np.ndarray, b) -> np.ndarray:
+    """``a // b`` by way of doubles: exact for a below 2**53 and b times the quotient's next power of two below 2**52."""
+    return (a / b).astype(np.int64)
+
+
+# what a hit (odd places) or a miss adds to a counter of hits, by counter
+STEP = np.array([(c < TOP_HITS) - 0 if hit else -(c > 0) for c in range(8) for hit in (0, 1)], np.int64) << 28
+
+
 class Mixer:
     """The adaptive model shared by the lanes of a block; coder and decoder run the same steps."""
 
@@ -171,15 +215,15 @@ class Mixer:
             self.fresh = []
         sums = np.concatenate([[0], np.cumsum(self.count)])
         free = (1 << ORDER0_BITS) - self.vocab
-        extra = sums * free // sums[-1] if sums[-1] else np.arange(self.vocab + 1) * free // self.vocab
+        extra = _div(sums * free, sums[-1]) if sums[-1] else np.arange(self.vocab + 1) * free // self.vocab
         self.cum = np.arange(self.vocab + 1) + extra
         self.slot = np.repeat(np.arange(self.vocab), np.diff(self.cum)) if table else None
 
     def predict(self, active: int):
-        """Masses for the first ``active`` lanes: order-0 share, the two point masses in id order."""
+        """Masses for the first ``active`` lanes: order-0 share and the two point masses."""
         p1, p2 = self.before[0][:active], self.before[1][:active]
         self.at = [p1, ((p1 * 0x2545F491 + p2 * 0x9E3779B1) >> 7) & ((1 << SLOT_BITS) - 1)]
-        self.held = [self.follow[k].take(self.at[k]) for k in (0, 1)]
+        self.held = [self.follow[k].take(self.at[k], mode="clip") for k in (0, 1)]
         self.guess = [(h & 0xFFFFFFF) - 1 for h in self.held]
         self.hits = [h >> 28 for h in self.held]
         one, two = self.guess
@@ -187,44 +231,47 @@ class Mixer:
         self.state = self.hits[1] << 4 | self.hits[0] << 1 | same
         room = (1 << TOTAL_BITS) - (1 << ORDER0_BITS)
         share = (self.outcome[:, :2] * room // self.outcome.sum(axis=1, keepdims=True)).T.copy()
-        q2 = share[0].take(self.state) * (two >= 0)
-        q1 = share[1].take(self.state) * (one >= 0)
-        low = np.minimum(one, two)
-        high = np.maximum(one, two)
-        both = q1 + q2
-        q_low = np.where(one < two, q1, q2) + q1 * same
-        return (1 << TOTAL_BITS) - both, low, high, q_low, both - q_low
-
-    def bounds(self, ids, q0, low, high, q_low, q_high):
+        q2 = share[0].take(self.state, mode="clip") * (two >= 0)
+        q1 = share[1].take(self.state, mode="clip") * (one >= 0)
+        return (1 << TOTAL_BITS) - q1 - q2, q1, q2
+
+    def bounds(self, ids, q0, q1, q2):
         """Cumulative mass below each id, and its own mass."""
-        a = (q0 * self.cum.take(ids) >> ORDER0_BITS) + q_low * (low < ids) + q_high * (high < ids)
-        b = (q0 * self.cum.take(ids + 1) >> ORDER0_BITS) + q_low * (low <= ids) + q_high * (high <= ids)
-        return a, b - a
+        one, two = self.guess
+        self.hit = [one == ids, two == ids]
+        below = q0 * self.cum.take(ids, mode="clip") >> ORDER0_BITS
+        upto = q0 * self.cum.take(ids + 1, mode="clip") >> ORDER0_BITS
+        return below + q1 * (one < ids) + q2 * (two < ids), upto - below + q1 * self.hit[0] + q2 * self.hit[1]
 
-    def find(self, v, q0, low, high, q_low, q_high):
+    def find(self, v, q0, q1, q2):
         """The id whose interval holds ``v``."""
+        one, two = self.guess
+        low, high = np.minimum(one, two), np.maximum(one, two)
+        q_low = np.where(one < two, q1, q2) + q1 * (one == two)
+        q_high = q1 + q2 - q_low
         a, b = np.maximum(low, 0), np.maximum(high, 0)
-        from_a = q0 * self.cum.take(a) >> ORDER0_BITS
-        to_a = (q0 * self.cum.take(a + 1) >> ORDER0_BITS) + q_low
-        from_b = (q0 * self.cum.take(b) >> ORDER0_BITS) + q_low
-        to_b = (q0 * self.cum.take(b + 1) >> ORDER0_BITS) + q_low + q_high
+        from_a = q0 * self.cum.take(a, mode="clip") >> ORDER0_BITS
+        to_a = (q0 * self.cum.take(a + 1, mode="clip") >> ORDER0_BITS) + q_low
+        from_b = (q0 * self.cum.take(b, mode="clip") >> ORDER0_BITS) + q_low
+        to_b = (q0 * self.cum.take(b + 1, mode="clip") >> ORDER0_BITS) + q_low + q_high
         rest = v - q_low * (v >= to_a) - q_high * (v >= to_b)
-        slot = (((rest + 1) << ORDER0_BITS) - 1) // q0
+        slot = _div(((rest + 1) << ORDER0_BITS) - 1, q0)
         ids = self.slot.take(slot, mode="clip")
         ids = np.where((high >= 0) & (v >= from_b) & (v < to_b), high, ids)
         return np.where((low >= 0) & (v >= from_a) & (v < to_a), low, ids)
 
     def learn(self, ids, table: bool) -> None:
-        n = len(ids)
-        hit = [self.guess[0] == ids, self.guess[1] == ids]
-        kind = np.where(hit[1], 0, np.where(hit[0], 1, 2))
-        self.outcome += np.bincount(self.state * 3 + kind, minlength=384).reshape(128, 3)
+        n, hit = len(ids), self.hit
+        # columns: neither guess hit, the first alone, the second
+        kind = np.bincount((self.state << 2) + (hit[0].view(np.int8) + 2 * hit[1].view(np.int8)), minlength=512).reshape(128, 4)
+        self.outcome += np.stack([kind[:, 2] + kind[:, 3], kind[:, 1], kind[:, 0]], axis=1)
         # of lanes that share a context the last one counts: repeated places keep the last value assigned
         # a hit counts one up, a miss one down or, with none left, puts its id in the place
         new = ids + 1
         for k in (0, 1):
-            up = self.held[k] + ((self.hits[k] < TOP_HITS) * (1 << 28))
-            self.follow[k][self.at[k]] = np.where(hit[k], up, np.where(self.hits[k] > 0, self.held[k] - (1 << 28), new))
+            held = self.held[k]
+            lost = (self.hits[k] == 0) & ~hit[k]
+            self.follow[k][self.at[k]] = held + STEP.take((self.hits[k] << 1) + hit[k], mode="clip") + (new - held) * lost
         self.before = [ids, self.before[0][:n]]
         self.fresh.append(ids)
         self.step += 1

@@ -524,3 +524,33 @@ def test_toxicity_equals_plain_code(spark):
     want = plain_scores(rows, label)
     assert got.keys() == want.keys() and max(want.values()) > 0.9 and min(want.values()) < 0.1
     assert max(abs(got[k] - want[k]) for k in want) < 1e-3
+
+
+def test_new_words_go_through_the_library_many_at_a_time():
+    """op1: words are split already when they reach the library; ids stay those of whole texts."""
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(5)
+    letters = "abzAZéßñžЖяԱΩ²½ªʰ１٣́0179'-.,԰ՠ" + "​"
+    words = ["".join(rnd.choices(letters, k=rnd.randrange(1, 9))) for _ in range(3000)]
+    words += ["".join(rnd.choices("abcdeéñж", k=rnd.randrange(1, 70))) for _ in range(2000)] + [str(rnd.randrange(10**9)) for _ in range(500)]
+    texts = ["\n".join(" ".join(rnd.choices(words, k=rnd.randrange(1, 40))) for _ in range(3)) for _ in range(300)]
+    enc, plain = token_codec.PieceEncoder(queries.byte_bpe()), Tokenizer.from_file(queries.byte_bpe())
+    calls, library = [], enc._library
+    enc._library = lambda t, *of: calls.append(len(t)) or library(t, *of)
+    got = enc.encode(texts)
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, np.uint32).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert sum(calls) < len(enc.known)  # was: one call's text for every new piece
+
+
+def test_pieces_in_use_outlast_the_cache(monkeypatch):
+    """op1: a full cache lets go of what was not met lately, not of everything."""
+    monkeypatch.setattr(token_codec, "PIECE_CACHE", 20)
+    enc = token_codec.PieceEncoder(queries.byte_bpe())
+    calls, library = [], enc._library
+    enc._library = lambda t, *of: calls.extend(t) or library(t, *of)
+    for k in range(12):
+        enc.encode([f"kept {' '.join(str(1000 * k + i) for i in range(8))}"])
+        assert len(enc.known) + len(enc.older) <= 20 + 2 * 9
+    assert sum("k" in t.lower() for t in calls) == 1
