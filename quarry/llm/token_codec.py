@@ -191,7 +191,7 @@ def _div(a: np.ndarray, b) -> np.ndarray:
 
 
 # what a hit (odd places) or a miss adds to a counter of hits, by counter
-STEP = np.array([(c < TOP_HITS) - 0 if hit else -(c > 0) for c in range(8) for hit in (0, 1)], np.int64) << 28
+STEP = np.array([(c < TOP_HITS) if hit else -(c > 0) for c in range(8) for hit in (0, 1)], np.int64) << 28
 
 
 class Mixer:
@@ -202,6 +202,8 @@ class Mixer:
             raise ValueError(f"vocabulary of {vocab} ids is out of range")
         self.vocab, self.lanes, self.step = vocab, lanes, 0
         self.count = np.zeros(vocab, np.int64)
+        self.every, self.sums, self.cum = np.arange(vocab + 1), np.zeros(vocab + 1), np.empty(vocab + 1, np.int64)
+        self.slot = np.empty(1 << ORDER0_BITS, np.int32)
         self.fresh: list[np.ndarray] = []
         self.follow = [np.zeros(vocab + 1, np.int64), np.zeros(1 << SLOT_BITS, np.int64)]
         self.outcome = np.tile(np.array([2, 1, 3], np.int64), (128, 1))
@@ -213,11 +215,19 @@ class Mixer:
         if self.fresh:
             self.count += np.bincount(np.concatenate(self.fresh), minlength=self.vocab)
             self.fresh = []
-        sums = np.concatenate([[0], np.cumsum(self.count)])
-        free = (1 << ORDER0_BITS) - self.vocab
-        extra = _div(sums * free, sums[-1]) if sums[-1] else np.arange(self.vocab + 1) * free // self.vocab
-        self.cum = np.arange(self.vocab + 1) + extra
-        self.slot = np.repeat(np.arange(self.vocab), np.diff(self.cum)) if table else None
+        free, total = (1 << ORDER0_BITS) - self.vocab, int(self.count.sum()) or self.vocab
+        np.cumsum(self.count, out=self.sums[1:], dtype=float)
+        if not self.sums[-1]:
+            self.sums[:] = self.every
+        # free shares by count, rounded down: in doubles exact while the block's ids are fewer than 2**34
+        self.sums *= free
+        self.sums /= total
+        np.copyto(self.cum, self.sums, casting="unsafe")
+        self.cum += self.every
+        if table:
+            self.slot[:] = 0
+            self.slot[self.cum[1:-1]] = 1
+            np.cumsum(self.slot, out=self.slot, dtype=np.int32)
 
     def predict(self, active: int):
         """Masses for the first ``active`` lanes: order-0 share and the two point masses."""
@@ -257,14 +267,16 @@ class Mixer:
         rest = v - q_low * (v >= to_a) - q_high * (v >= to_b)
         slot = _div(((rest + 1) << ORDER0_BITS) - 1, q0)
         ids = self.slot.take(slot, mode="clip")
-        ids = np.where((high >= 0) & (v >= from_b) & (v < to_b), high, ids)
-        return np.where((low >= 0) & (v >= from_a) & (v < to_a), low, ids)
+        # a guess not made yet is without mass and stands for id 0
+        ids = np.where((v >= from_b) & (v < to_b), b, ids)
+        return np.where((v >= from_a) & (v < to_a), a, ids)
 
     def learn(self, ids, table: bool) -> None:
         n, hit = len(ids), self.hit
         # columns: neither guess hit, the first alone, the second
         kind = np.bincount((self.state << 2) + (hit[0].view(np.int8) + 2 * hit[1].view(np.int8)), minlength=512).reshape(128, 4)
-        self.outcome += np.stack([kind[:, 2] + kind[:, 3], kind[:, 1], kind[:, 0]], axis=1)
+        self.outcome[:, 0] += kind[:, 2] + kind[:, 3]
+        self.outcome[:, 1:] += kind[:, 1::-1]
         # of lanes that share a context the last one counts: repeated places keep the last value assigned
         # a hit counts one up, a miss one down or, with none left, puts its id in the place
         new = ids + 1
