@@ -22,6 +22,7 @@ writes no block; other columns are not read; ids outside the vocabulary are an e
 
 from __future__ import annotations
 
+import codecs
 import re
 import struct
 import sys
@@ -45,27 +46,29 @@ MAGIC = b"TKB1"
 HEADER = "<4sQIII"
 HEADER_BYTES = struct.calcsize(HEADER)
 BLOCKS = "part int, block int, doc_ids array<long>, lengths array<long>, n_tokens long, payload binary"
-PIECE_CACHE, PIECE_BYTES, TEXT_BYTES, JOINED = 600_000, 64, 1 << 23, 256
+PIECE_CACHE, PIECE_BYTES, TEXT_BYTES, JOINED = 600_000, 64, 1 << 23, 512
 # texts whose white space is single spaces and newlines between other characters split safely before each
 UNSAFE = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z|\x00")
 # the characters that stand for bytes in a byte-level vocabulary; here a tab, which no word holds, becomes a plain space
 SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)} | {9: 0x20}
+HIDDEN = [b for b in range(256) if b not in SHOWN]
+ALPHABET = "".join(" " if b == 9 else chr(b if b in SHOWN else 256 + HIDDEN.index(b)) for b in range(256))
 # one word of the pattern: digits, or (if letters all) characters up to U+04FF
 WORD = re.compile(rb" ?(?:[0-9]+|[\x41-\x5A\x61-\x7A\x80-\xD3]+)")
 # by bytes: kinds that a split looks at
-SPACE, NEWLINE, STOP, ALNUM, ODD, LATIN, LEAD = (1 << k for k in range(7))
+SPACE, NEWLINE, STOP, LETTER, DIGIT, ODD, LATIN, LEAD = (1 << k for k in range(8))
 KIND = np.zeros(256, np.uint8)
-KIND[0x20], KIND[0x0A], KIND[[0x2E, 0x2C]], KIND[0xC3] = SPACE, NEWLINE, STOP, LATIN
-KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = ALNUM
+KIND[0x21:0x7F] = STOP
+KIND[0x20], KIND[0x0A], KIND[0xC3], KIND[0x30:0x3A] = SPACE, NEWLINE, LATIN, DIGIT
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
 KIND[[0, 0x09, *range(0x0B, 0x0E), *range(0x1C, 0x20)]] = ODD  # no text that holds one splits safely
 KIND[[0xC2, 0xE1, 0xE2, 0xE3]] = LEAD  # the first bytes of all other white space
 
 
 def split_safely(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the pieces of UTF-8 texts laid end to end begin (a text's first byte does), and per text whether it splits at
-    all: before a single space, around a single newline, and before a comma or full stop that follows a letter (of Latin-1)
-    or digit. Texts with a character that may be other white space are looked at one by one."""
+    all: before a single space, around a single newline, and before a mark of ASCII that follows a letter (of Latin-1) or
+    digit. Texts with a character that may be other white space are looked at one by one."""
     kind = KIND[data]
     full = offsets[1:] > offsets[:-1]
     first, last = offsets[:-1][full], offsets[1:][full] - 1
@@ -87,7 +90,7 @@ def split_safely(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         safe[t] = not UNSAFE.search(data[offsets[t]:offsets[t + 1]].tobytes().decode())
     starts = white.copy()
     starts[1:] |= (kind[:-1] & NEWLINE) != 0
-    letter = (kind & ALNUM) != 0
+    letter = (kind & (LETTER | DIGIT)) != 0
     letter[1:] |= ((kind[:-1] & LATIN) != 0) & (data[1:] != 0x97) & (data[1:] != 0xB7)
     starts[1:] |= ((kind[1:] & STOP) != 0) & letter[:-1]
     for t in np.flatnonzero(~safe):
@@ -96,9 +99,23 @@ def split_safely(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.flatnonzero(starts), safe
 
 
+def plain_words(pieces: list[bytes]) -> np.ndarray:
+    """Per piece whether it is one word of the pattern, of digits or of letters of Latin-1, with or without a space before."""
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    starts, data = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pieces), np.uint8)
+    if not len(data):
+        return np.zeros(len(pieces), bool)
+    kind = KIND[data]
+    letter = (kind & (LETTER | LATIN)) != 0
+    letter[1:] |= ((kind[:-1] & LATIN) != 0) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    long = sizes - (data[starts] == 0x20)
+    count = [np.add.reduceat(x, starts, dtype=np.int32) for x in (letter, (kind & DIGIT) != 0)]
+    return (long > 0) & ((count[0] == long) | (count[1] == long))
+
+
 class PieceEncoder:
     """Ids of whole texts from a ``tokenizers`` file. The byte-level pattern always splits before a single
-    space, around a single newline and between a word and a stop, so such pieces are encoded once and
+    space, around a single newline and between a word and a mark, so such pieces are encoded once and
     looked up; a text with any other white space, or with the string of an added token (which the library takes
     out first), goes through the library whole. Pieces are found and looked up by whole arrays. New ones that
     are one word of the pattern go through the library's model many at a time, already split."""
@@ -112,28 +129,34 @@ class PieceEncoder:
         # pieces met since the last turn and before it; at a turn those not met since are let go
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.split = Tokenizer(self.tokenizer.model)  # the same model
         self.split.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.splits = (len(self.newline) == 1 and self.tokenizer.normalizer is None
-                       and isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel))
+        vocab = self.tokenizer.get_vocab()
+        # bytes that an id stands for
+        self.width = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
+        self.width[list(vocab.values())] = list(map(len, vocab))
+        self.splits = (self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
+                       and all(x in vocab for x in ALPHABET if x != " "))
 
     def _library(self, texts: list[str], tokenizer=None) -> list[bytes]:
         found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32).tobytes() for x in found]
 
     def _new(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of pieces that were not met before. ``JOINED`` words at a time, with newlines between, are written in the
-        vocabulary's characters; their ids must have as many newlines."""
+        """Ids of pieces that were not met before. ``JOINED`` words at a time, with spaces between, are written in the
+        vocabulary's characters; the bytes that their ids stand for must end where the words do."""
         out: list[bytes | None] = [None] * len(pieces)
-        words = [i for i, x in enumerate(pieces) if len(x) <= PIECE_BYTES and WORD.fullmatch(x) and (
-            x[-1] <= 0x39 or x.decode().lstrip(" ").isalpha())] if self.splits else []
+        words = [i for i, plain in enumerate(plain_words(pieces).tolist()) if len(pieces[i]) <= PIECE_BYTES and (
+            plain or WORD.fullmatch(pieces[i]) and pieces[i].decode().lstrip(" ").isalpha())] if self.splits else []
         groups = [words[at:at + JOINED] for at in range(0, len(words), JOINED)]
-        texts = [b"\t\n\t".join([pieces[i] for i in g]).decode("latin-1").translate(ALPHABET) for g in groups]
+        texts = [codecs.charmap_decode(b"\t".join([pieces[i] for i in g]), "strict", ALPHABET)[0] for g in groups]
         for group, found in zip(groups, self._library(texts, self.split), strict=True):
-            cuts = (np.flatnonzero(np.frombuffer(found, np.uint32) == self.newline[0]) * 4).tolist()
-            if len(cuts) == len(group) - 1:
-                for i, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(found)], strict=True):
+            upto = np.cumsum(self.width[np.frombuffer(found, np.uint32)])
+            ends = np.cumsum([len(pieces[i]) for i in group])
+            at = np.searchsorted(upto, ends)
+            if len(upto) and upto[-1] == ends[-1] and (upto[at] == ends).all():
+                cuts = ((at + 1) * 4).tolist()
+                for i, a, b in zip(group, [0, *cuts], cuts):
                     out[i] = found[a:b]
         rest = [i for i, x in enumerate(out) if x is None]
         for i, found in zip(rest, self._library([pieces[i].decode() for i in rest]), strict=True):
@@ -190,102 +213,112 @@ def _div(a: np.ndarray, b) -> np.ndarray:
     return (a / b).astype(np.int64)
 
 
-# what a hit (odd places) or a miss adds to a counter of hits, by counter
-STEP = np.array([(c < TOP_HITS) if hit else -(c > 0) for c in range(8) for hit in (0, 1)], np.int64) << 28
+# a place of a context holds its guess (one more than an id, 0: none yet) and above that its counter of hits
+HIT = np.int32(1 << 28)
 
 
 class Mixer:
-    """The adaptive model shared by the lanes of a block; coder and decoder run the same steps."""
+    """The adaptive model shared by the lanes of a block; coder and decoder run the same steps. Ids go in and out as one
+    more than they are, so that 0 is free."""
 
     def __init__(self, vocab: int, lanes: int):
         if not 0 < vocab < 1 << (ORDER0_BITS - 1):
             raise ValueError(f"vocabulary of {vocab} ids is out of range")
         self.vocab, self.lanes, self.step = vocab, lanes, 0
         self.count = np.zeros(vocab, np.int64)
-        self.every, self.sums, self.cum = np.arange(vocab + 1), np.zeros(vocab + 1), np.empty(vocab + 1, np.int64)
+        self.every, self.sums, self.shares = np.arange(vocab + 1), np.zeros(vocab + 1, np.int64), np.empty(vocab + 1)
+        # cumulative shares below each id, and up to it
+        self.below = np.zeros(vocab + 2, np.int64)
+        self.upto = self.below[1:]
         self.slot = np.empty(1 << ORDER0_BITS, np.int32)
         self.fresh: list[np.ndarray] = []
-        self.follow = [np.zeros(vocab + 1, np.int64), np.zeros(1 << SLOT_BITS, np.int64)]
+        self.follow = [np.zeros(vocab + 2, np.int32), np.zeros(1 << SLOT_BITS, np.int32)]
         self.outcome = np.tile(np.array([2, 1, 3], np.int64), (128, 1))
-        self.before = [np.full(lanes, vocab, np.int64), np.full(lanes, vocab, np.int64)]
+        self.before = [np.full(lanes, vocab + 1, np.int64), np.full(lanes, vocab + 1, np.int64)]
         self.rebuild(False)
 
     def rebuild(self, table: bool) -> None:
         """Order-0 cumulative shares, every id at least one of 2**ORDER0_BITS."""
         if self.fresh:
-            self.count += np.bincount(np.concatenate(self.fresh), minlength=self.vocab)
+            self.count += np.bincount(np.concatenate(self.fresh), minlength=self.vocab + 1)[1:]
             self.fresh = []
-        free, total = (1 << ORDER0_BITS) - self.vocab, int(self.count.sum()) or self.vocab
-        np.cumsum(self.count, out=self.sums[1:], dtype=float)
-        if not self.sums[-1]:
-            self.sums[:] = self.every
+        free = (1 << ORDER0_BITS) - self.vocab
+        np.cumsum(self.count, out=self.sums[1:])
+        total = int(self.sums[-1])
         # free shares by count, rounded down: in doubles exact while the block's ids are fewer than 2**34
-        self.sums *= free
-        self.sums /= total
-        np.copyto(self.cum, self.sums, casting="unsafe")
-        self.cum += self.every
+        np.multiply(self.sums if total else self.every, float(free), out=self.shares)
+        self.shares /= total or self.vocab
+        np.copyto(self.upto, self.shares, casting="unsafe")
+        self.upto += self.every
         if table:
             self.slot[:] = 0
-            self.slot[self.cum[1:-1]] = 1
+            self.slot[0] = 1
+            self.slot[self.upto[1:-1]] = 1
             np.cumsum(self.slot, out=self.slot, dtype=np.int32)
 
     def predict(self, active: int):
         """Masses for the first ``active`` lanes: order-0 share and the two point masses."""
         p1, p2 = self.before[0][:active], self.before[1][:active]
-        self.at = [p1, ((p1 * 0x2545F491 + p2 * 0x9E3779B1) >> 7) & ((1 << SLOT_BITS) - 1)]
+        self.at = [p1, (((p1 - 1) * 0x2545F491 + (p2 - 1) * 0x9E3779B1) >> 7) & ((1 << SLOT_BITS) - 1)]
         self.held = [self.follow[k].take(self.at[k], mode="clip") for k in (0, 1)]
-        self.guess = [(h & 0xFFFFFFF) - 1 for h in self.held]
-        self.hits = [h >> 28 for h in self.held]
+        self.guess = [h & (HIT - 1) for h in self.held]
         one, two = self.guess
-        same = one == two
-        self.state = self.hits[1] << 4 | self.hits[0] << 1 | same
+        # counter of order 2, of order 1, and whether both guess the same
+        self.state = (self.held[1] >> 24 | self.held[0] >> 27 | (one == two)).astype(np.int64)
         room = (1 << TOTAL_BITS) - (1 << ORDER0_BITS)
         share = (self.outcome[:, :2] * room // self.outcome.sum(axis=1, keepdims=True)).T.copy()
-        q2 = share[0].take(self.state, mode="clip") * (two >= 0)
-        q1 = share[1].take(self.state, mode="clip") * (one >= 0)
+        share[0, 1::2] += share[1, 1::2]  # the same guess has one mass
+        share[1, 1::2] = 0
+        q2 = share[0].take(self.state, mode="clip") * (two > 0)
+        q1 = share[1].take(self.state, mode="clip") * (one > 0)
         return (1 << TOTAL_BITS) - q1 - q2, q1, q2
 
     def bounds(self, ids, q0, q1, q2):
         """Cumulative mass below each id, and its own mass."""
         one, two = self.guess
+        self.ids, at = ids, ids.astype(np.int64)
+        self.before = [at, self.before[0][:len(at)]]
         self.hit = [one == ids, two == ids]
-        below = q0 * self.cum.take(ids, mode="clip") >> ORDER0_BITS
-        upto = q0 * self.cum.take(ids + 1, mode="clip") >> ORDER0_BITS
-        return below + q1 * (one < ids) + q2 * (two < ids), upto - below + q1 * self.hit[0] + q2 * self.hit[1]
+        below = q0 * self.below.take(at, mode="clip") >> ORDER0_BITS
+        own = (q0 * self.upto.take(at, mode="clip") >> ORDER0_BITS) - below
+        below += q1 * (one < ids)
+        below += q2 * (two < ids)
+        own += q1 * self.hit[0]
+        own += q2 * self.hit[1]
+        return below, own
 
     def find(self, v, q0, q1, q2):
         """The id whose interval holds ``v``."""
         one, two = self.guess
         low, high = np.minimum(one, two), np.maximum(one, two)
-        q_low = np.where(one < two, q1, q2) + q1 * (one == two)
+        q_low = np.where(one < two, q1, q2)
         q_high = q1 + q2 - q_low
-        a, b = np.maximum(low, 0), np.maximum(high, 0)
-        from_a = q0 * self.cum.take(a, mode="clip") >> ORDER0_BITS
-        to_a = (q0 * self.cum.take(a + 1, mode="clip") >> ORDER0_BITS) + q_low
-        from_b = (q0 * self.cum.take(b, mode="clip") >> ORDER0_BITS) + q_low
-        to_b = (q0 * self.cum.take(b + 1, mode="clip") >> ORDER0_BITS) + q_low + q_high
-        rest = v - q_low * (v >= to_a) - q_high * (v >= to_b)
-        slot = _div(((rest + 1) << ORDER0_BITS) - 1, q0)
-        ids = self.slot.take(slot, mode="clip")
-        # a guess not made yet is without mass and stands for id 0
-        ids = np.where((v >= from_b) & (v < to_b), b, ids)
-        return np.where((v >= from_a) & (v < to_a), a, ids)
-
-    def learn(self, ids, table: bool) -> None:
-        n, hit = len(ids), self.hit
+        # where the guesses' masses end, each after the order-0 share of its id; one not made yet has none
+        end_low = (q0 * self.upto.take(low, mode="clip") >> ORDER0_BITS) + q_low
+        end_high = (q0 * self.upto.take(high, mode="clip") >> ORDER0_BITS) + q_low + q_high
+        above_low, above_high = v >= end_low, v >= end_high
+        rest = v - q_low * above_low - q_high * above_high
+        ids = self.slot.take(_div(rest << ORDER0_BITS | (1 << ORDER0_BITS) - 1, q0), mode="clip")
+        np.copyto(ids, high, where=(v >= end_high - q_high) > above_high)
+        np.copyto(ids, low, where=(v >= end_low - q_low) > above_low)
+        return ids
+
+    def learn(self, table: bool) -> None:
+        """From the ids that ``bounds`` was asked for."""
+        hit = self.hit
         # columns: neither guess hit, the first alone, the second
         kind = np.bincount((self.state << 2) + (hit[0].view(np.int8) + 2 * hit[1].view(np.int8)), minlength=512).reshape(128, 4)
         self.outcome[:, 0] += kind[:, 2] + kind[:, 3]
         self.outcome[:, 1:] += kind[:, 1::-1]
         # of lanes that share a context the last one counts: repeated places keep the last value assigned
         # a hit counts one up, a miss one down or, with none left, puts its id in the place
-        new = ids + 1
         for k in (0, 1):
-            held = self.held[k]
-            lost = (self.hits[k] == 0) & ~hit[k]
-            self.follow[k][self.at[k]] = held + STEP.take((self.hits[k] << 1) + hit[k], mode="clip") + (new - held) * lost
-        self.before = [ids, self.before[0][:n]]
-        self.fresh.append(ids)
+            held, none = self.held[k], self.held[k] < HIT
+            up, down = hit[k] & (held < TOP_HITS * HIT), ~(hit[k] | none)
+            new = held + (up.view(np.int8) - down.view(np.int8)) * HIT
+            np.copyto(new, self.ids, where=none > hit[k])
+            self.follow[k][self.at[k]] = new
+        self.fresh.append(self.before[0])
         self.step += 1
         if self.step < 8 or self.step % 8 == 0:
             self.rebuild(table)
@@ -306,8 +339,9 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
     head = struct.pack(HEADER, MAGIC, len(ids), vocab, lanes, zlib.crc32(ids.tobytes()))
     if not lanes:
         return head
-    grid = np.zeros(lanes * STEPS, np.int64)
+    grid = np.zeros(lanes * STEPS, np.int32)
     grid[: len(ids)] = ids
+    grid += 1
     grid = np.ascontiguousarray(grid.reshape(lanes, STEPS).T)
     model = Mixer(vocab, lanes)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
@@ -318,18 +352,18 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
         mass = model.predict(active)
         a, n = model.bounds(own, *mass)
         part = size[:active] >> np.uint64(TOTAL_BITS)
-        low[:active] += part * a.astype(np.uint64)
-        size[:active] = part * n.astype(np.uint64)
+        low[:active] += part * a.view(np.uint64)
+        size[:active] = part * n.view(np.uint64)
         out = _shrink(low, size, active)
         words.append((low[out] >> np.uint64(32)).astype(np.uint32))
         owner.append(out)
         low[out] <<= np.uint64(32)
         size[out] <<= np.uint64(32)
-        model.learn(own, False)
+        model.learn(False)
     words.append(((low + size - np.uint64(1)) >> np.uint64(32)).astype(np.uint32))
     owner.append(np.arange(lanes))
     owner, words = np.concatenate(owner), np.concatenate(words)
-    order = np.argsort(owner, kind="stable")
+    order = np.argsort(owner.astype(np.min_scalar_type(lanes)), kind="stable")  # by radix where lanes are few
     count = np.bincount(owner, minlength=lanes).astype(np.uint16)
     return head + count.tobytes() + words[order].tobytes()
 
@@ -379,14 +413,14 @@ def decode_block(block: bytes) -> np.ndarray:
         v = np.minimum((code[:active] - low[:active]) // part, top).astype(np.int64)
         own = model.find(v, *mass)
         a, m = model.bounds(own, *mass)
-        low[:active] += part * a.astype(np.uint64)
-        size[:active] = part * m.astype(np.uint64)
+        low[:active] += part * a.view(np.uint64)
+        size[:active] = part * m.view(np.uint64)
         out = _shrink(low, size, active)
         low[out] <<= np.uint64(32)
         size[out] <<= np.uint64(32)
         code[out] = code[out] << np.uint64(32) | take(out)
-        grid[t, :active] = own
-        model.learn(own, True)
+        grid[t, :active] = own - 1
+        model.learn(True)
     ids = np.ascontiguousarray(grid.T).reshape(-1)[:n]
     if zlib.crc32(ids.tobytes()) != crc:
         raise ValueError("a token block fails its checksum")

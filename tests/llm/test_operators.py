@@ -554,3 +554,35 @@ def test_pieces_in_use_outlast_the_cache(monkeypatch):
         enc.encode([f"kept {' '.join(str(1000 * k + i) for i in range(8))}"])
         assert len(enc.known) + len(enc.older) <= 20 + 2 * 9
     assert sum("k" in t.lower() for t in calls) == 1
+
+
+def test_marks_after_words_are_pieces_of_their_own():
+    """op1: a word is met once whatever follows it; new words reach the library without anything between but spaces."""
+    from tokenizers import Tokenizer
+
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()] + ["***", "!!", "''s", "'ll", ").", "\"'t"]
+    words = ["ab", "café", "B9", "12", "één", "жу"]
+    texts = [f"{w} {w}{m} x{m}{w}{m}\n{m}{w} {m} {w}{m}" for w in words for m in marks]
+    enc, plain = token_codec.PieceEncoder(queries.byte_bpe()), Tokenizer.from_file(queries.byte_bpe())
+    sent, library = [], enc._library
+    enc._library = lambda t, *of: sent.extend(t if of and of[0] else []) or library(t, *of)
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in texts]
+    assert enc.encode(texts) == want
+    assert {b" ab", b" caf\xc3\xa9", b"***"} <= enc.known.keys()
+    assert not {b" ab***", b" 12***", b" caf\xc3\xa9#"} & enc.known.keys()  # was: a piece for every word and mark
+    assert sent and not any("Ċ" in t for t in sent)  # was: a newline after every word
+
+
+def test_plain_words():
+    pieces = [b" ab", b"ab", b" 12", b"3", b" a1", b" ", b"a.", b" caf\xc3\xa9", b"\xc3\x97", b" \xc3\xb7a", b"\xd0\xb6", b"\n", b"  a", b"a\xc2\xaa"]
+    assert token_codec.plain_words(pieces).tolist() == [True] * 4 + [False] * 3 + [True] + [False] * 6
+    assert token_codec.plain_words([]).tolist() == []
+
+
+def test_block_bytes_stay_the_same():
+    """op1: files written before can be read."""
+    for n, crc in [(1, 2183311521), (257, 473537163), (5000, 1842682769), (100000, 2435554512)]:
+        k = np.arange(n, dtype=np.int64)
+        ids = np.where(k % 3 == 0, k * k * 2654435761 % 50257, k // 7 % 40).astype(np.uint32)
+        block = token_codec.encode_block(ids, 50257)
+        assert zlib.crc32(block) == crc and (token_codec.decode_block(block) == ids).all()
