@@ -146,7 +146,7 @@ def stream_alerts(stream: DataFrame, queries: DataFrame, fields, out_dir: str, c
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         d = prepare(batch) if prepare else batch
         idx = ix.build_index("alerts", d, fields, id_col)
-        m = mt.match_standing(idx.lists_for(queries), queries).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        m = mt.match_standing(idx.lists_for(queries), queries, idx).withColumn("batch_id", F.lit(batch_id).cast("long"))
         m.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
 
     return _run(stream, per_batch, checkpoint, available_now)

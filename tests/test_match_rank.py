@@ -400,3 +400,44 @@ def test_long_documents_are_listed_in_parts(monkeypatch):
     assert len(parts) > 1 and sum(p.num_rows for p in parts) == 4
     got = sorted((r["term"], r["doc_id"], r["tf"], r["at"][0]["pos"]) for p in parts for r in dw._list_rows(p, ("body",)).to_pylist())
     assert got == [("a", 5, 1, [1]), ("a", 7, 2, [0, 1]), ("b", 5, 2, [0, 2]), ("c", 8, 1, [0])]
+
+
+def test_standing_classes_are_not_copied_to_every_group(spark, monkeypatch):
+    """Texts as they are read, with a field's words in capitals and Cyrillic, repeated, missing and empty documents, against
+    classes of several rows."""
+    from quarry.operators import standing
+
+    monkeypatch.setattr(standing, "GROUP_DOCS", 5)
+    rng = random.Random(5)
+    texts = [(i // 2 if i > 70 else i, rng.choice(["A-b", "Ж_1 b", None, ""]), " ".join(rng.choices("aBcdж", k=rng.randint(0, 5)))) for i in range(80)]
+    texts += [(None, "a", "b"), (None, "c", "Ж")]
+    docs = spark.createDataFrame(texts, "doc_id long, title string, body string").repartition(3)
+    asked = {q: rng.choices(["a", "b", "c", "d", "ж", "ж_1", "z"], k=rng.randint(1, 3)) for q in range(40)}
+    q = spark.createDataFrame([(k, i, w) for k, ws in asked.items() for i, w in enumerate(ws)] + [(40, 0, None), (None, 0, "a"), (None, 1, "c")],
+                              "query_id int, qpos int, term string")
+    for table in (docs, docs.where("doc_id <= 35")):
+        index = ix.build_index("t", table, ("title", "body"), "doc_id", attrs=[])
+        got = mt.match_standing(index.lists_for(q), q, index)
+        plan = _plan(got.where("doc_id >= 0"))
+        assert "sequence(0" not in plan and ("CartesianProduct" in plan or "NestedLoop" in plan)  # was: a copy for every group
+        held = {}
+        for i, *ts in (tuple(r) for r in table.collect()):
+            held.setdefault(i, set()).update(w for t in ts for w in re.findall("[0-9a-z_а-я]+", (t or "").lower()))
+        want = {(k, i) for k, ws in (asked | {None: ["a", "c"]}).items() for i, w in held.items() if i is not None and set(ws) <= w}
+        found = [(r["query_id"], r["doc_id"]) for r in got.collect()]
+        assert len(found) == len(set(found)) and {f for f in found if f[1] is not None} == want
+        assert ((None, None) in found) == (None in held) == any(f[1] is None for f in found)
+
+
+def test_words_of_whole_batches_are_those_of_the_text_column(spark):
+    import pyarrow as pa
+
+    from quarry.functions.text import words
+    from quarry.operators import doc_words as dw
+
+    rng = random.Random(1)
+    texts = ["".join(rng.choices("abzAZ09_ -.АЯЁЪабяёўЀѐРПрп中é𝒳\n", k=rng.randint(0, 30))) for _ in range(500)] + ["", "я", "Я", "", "a"]
+    want = [r["w"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(words("t").alias("w")).collect()]
+    assert dw.word_lists(pa.array(texts)).to_pylist() == want
+    assert dw.word_lists(pa.array(texts)[3:]).to_pylist() == want[3:]
+    assert dw.word_lists(pa.array([], pa.string())).to_pylist() == []
