@@ -28,8 +28,11 @@ def known(ids: DataFrame) -> DataFrame:
 
 def _tested(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     at = F.bitmap_bit_position(F.col(id_col))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    bit = F.getbit(byte, (at % 8).cast("int"))
+    value = lambda i: F.conv(F.hex(F.substring(F.col("_bits"), i + 1, F.lit(1))), 16, 10).cast("int")
+    signed = lambda i: (F.pmod(value(i) + 128, F.lit(256)) - 128).cast("byte")
+    # an array of bytes: reading one byte of a joined binary copies all of it
+    ids = ids.select("_part", F.transform(F.sequence(F.lit(0), F.length("_bits") - 1), signed).alias("_bytes"))
+    bit = F.getbit(F.get(F.col("_bytes"), F.floor(at / 8).cast("int")), (at % 8).cast("int"))
     return (rows.withColumn("_part", F.bitmap_bucket_number(F.col(id_col))).join(ids, "_part", "left")
             .withColumn("_held", F.coalesce(bit == 1, F.lit(False))))
 

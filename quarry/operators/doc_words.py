@@ -31,9 +31,11 @@ for _u, _l in zip((*UPPER_CHARS, *LOWER_CHARS, *"0123456789_"), (*LOWER_CHARS, *
         _PAIR[int.from_bytes(_u.encode())] = int.from_bytes(_l.encode())
 _LEAD = np.zeros(256, bool)
 _LEAD[np.flatnonzero(_PAIR) >> 8] = True
+_LEAST_LEAD = np.flatnonzero(_LEAD)[0]
 
 LISTS = "term string, doc_id long, tf long, dl long, at array<struct<field:string,pos:array<int>>>"
 WORDS = "doc_id long, dl long, words array<struct<term:string,tf:long>>"
+LENGTHS = "doc_id long, field string, len long"
 
 
 def word_lists(col: pa.StringArray) -> pa.ListArray:
@@ -42,20 +44,22 @@ def word_lists(col: pa.StringArray) -> pa.ListArray:
     ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset: col.offset + n + 1].astype(np.int64)
     text = np.frombuffer(raw, np.uint8)[ends[0]: ends[-1]] if raw is not None else np.zeros(0, np.uint8)
     ends -= ends[0]
-    folded, held = _FOLDED[text], np.zeros(len(text) + 1, bool)
-    held[:-1] = _IN_WORD[text]
-    lead = np.flatnonzero(_LEAD[text[:-1]])
-    lower = _PAIR[text[lead].astype(np.uint16) << 8 | text[lead + 1]]
-    lead, lower = lead[lower > 0], lower[lower > 0]
-    held[lead] = held[lead + 1] = True
-    folded[lead], folded[lead + 1] = lower >> 8, lower & 255
-    first = held.copy()
-    first[1:] &= ~held[:-1]
-    first[ends] = held[ends]  # a word ends with its text
-    starts = np.flatnonzero(first)
-    size = np.add.reduceat(held, starts, dtype=np.int32) if len(starts) else np.zeros(0, np.int32)
-    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(0, np.cumsum(size)).astype(np.int32)),
-                                        pa.py_buffer(folded[held[:-1]]))
+    folded, held = _FOLDED[text], np.zeros(len(text) + 2, bool)  # a byte that is no word before and after
+    inside = held[1:-1]
+    inside[:] = _IN_WORD[text]
+    if (text >= _LEAST_LEAD).any():
+        lead = np.flatnonzero(_LEAD[text[:-1]])
+        lower = _PAIR[text[lead].astype(np.uint16) << 8 | text[lead + 1]]
+        lead, lower = lead[lower > 0], lower[lower > 0]
+        inside[lead] = inside[lead + 1] = True
+        folded[lead], folded[lead + 1] = lower >> 8, lower & 255
+    edges = np.flatnonzero(held[1:] != held[:-1])  # first byte of a word, byte after it, and so on
+    cut = np.unique(ends[held[ends] & held[ends + 1]])  # a word ends with its text
+    if len(cut):
+        edges = np.sort(np.concatenate([edges, cut, cut]), kind="stable")
+    starts = edges[::2]
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(0, np.cumsum(edges[1::2] - starts)).astype(np.int32)),
+                                        pa.py_buffer(folded[inside]))
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(starts, ends).astype(np.int32)), words)
 
 
@@ -137,6 +141,14 @@ def _word_rows(batch: pa.RecordBatch, names: tuple[str, ...]) -> pa.RecordBatch:
                                        pa.ListArray.from_arrays(_offsets(rows, len(word)), words)], ["doc_id", "dl", "words"])
 
 
+def _length_rows(batch: pa.RecordBatch, names: tuple[str, ...]) -> pa.RecordBatch:
+    n = len(batch)
+    rows = pa.RecordBatch.from_arrays(
+        [pa.concat_arrays([batch.column(0)] * len(names)), pa.array(names, pa.string()).take(pa.array(np.repeat(np.arange(len(names)), n))),
+         pa.concat_arrays([pc.list_value_length(batch.column(2 + f)).cast(pa.int64()) for f in range(len(names))])], ["doc_id", "field", "len"])
+    return rows.filter(pc.greater(rows.column(2), 0))
+
+
 def parts(batches: Iterator[pa.RecordBatch], n_fields: int) -> Iterator[pa.RecordBatch]:
     """Texts as words, in runs of rows."""
     for batch in batches:
@@ -162,3 +174,8 @@ def doc_lists(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
 def doc_words(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """``doc_id, dl, words`` of the documents that have words."""
     return _each(docs, names, _word_rows, WORDS)
+
+
+def doc_lengths(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """``doc_id, field, len`` of the fields that have words."""
+    return _each(docs, names, _length_rows, LENGTHS)

@@ -16,6 +16,7 @@ Everything else (per-document term counts, vocabulary, statistics) derives from
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,24 @@ QUERY_SCHEMA = T.StructType([
 ])
 
 
+@dataclass
+class Source:
+    """Part of an index for writing: either texts (``doc_id`` and one per field of ``names``) or lists, with the words by document
+    where they are known."""
+
+    names: tuple[str, ...]
+    texts: DataFrame | None = None
+    lists: DataFrame | None = None
+    words: DataFrame | None = None
+
+    @property
+    def frame(self) -> DataFrame:
+        return self.texts if self.lists is None else self.lists
+
+    def each(self, change) -> "Source":
+        return Source(self.names, *(None if t is None else change(t) for t in (self.texts, self.lists, self.words)))
+
+
 @dataclass
 class Index:
     name: str
@@ -71,19 +90,29 @@ class Index:
         return self._listed(rows, F.collect_list(F.struct("field", "pos")).alias("occ")).select(
             "term", "doc_id", "tf", "dl", ps.by_field(F.col("occ")).alias("at"))
 
-    def whole(self) -> tuple[DataFrame, DataFrame | None]:
-        """What a stored index keeps of every word: ``lists()``, and ``doc_id, dl, words`` by document (None: to be made of the
-        lists). Documents whose id stands once are listed as they are read, without an exchange."""
+    def sources(self) -> list["Source"]:
+        """What a stored index keeps of every word, by part: documents whose id stands once as texts, the others as lists."""
         found = self.texts_once()
         if found is None:
-            return self.lists(), None
+            return [Source(self.fields, lists=self.lists())]
         once, many = found
         if many is None:
-            return dw.doc_lists(once, self.fields), dw.doc_words(once, self.fields)
+            return [Source(self.fields, texts=once)]
         same = F.col("doc_id").eqNullSafe(F.col("many"))
         grouped = self._listed(self.postings.join(many, same, "left_semi"), F.collect_list(F.struct("field", "pos")).alias("occ"))
         grouped = grouped.select("term", "doc_id", "tf", "dl", ps.by_field(F.col("occ")).alias("at"))
-        return dw.doc_lists(once, self.fields).unionByName(grouped), dw.doc_words(once, self.fields).unionByName(words_by_doc(grouped))
+        return [Source(self.fields, texts=once), Source(self.fields, lists=grouped, words=words_by_doc(grouped))]
+
+    def whole(self) -> tuple[DataFrame, DataFrame | None]:
+        """What a stored index keeps of every word: ``lists()``, and ``doc_id, dl, words`` by document (None: to be made of the
+        lists). Documents whose id stands once are listed as they are read, without an exchange."""
+        parts = self.sources()
+        lists = [dw.doc_lists(s.texts, s.names) if s.lists is None else s.lists for s in parts]
+        return reduce(DataFrame.unionByName, lists), words_of_sources(parts)
+
+    def sized(self) -> DataFrame:
+        """``lengths`` for writing: of the texts as they are read, where there are any."""
+        return self.lengths if self._words is None or self._lists is not None else dw.doc_lengths(self._words, self.fields)
 
     def texts_once(self) -> tuple[DataFrame, DataFrame | None] | None:
         """``doc_id`` and a text per field of the documents whose id stands once, and the other ids (``many``; None: there are
@@ -298,6 +327,12 @@ def build_index(name: str, docs: DataFrame, fields, id_col: str = "doc_id", attr
                  morphology=morphology, _words=_field_texts(docs, fields, id_col, strip_html) if plain else None)
 
 
+def words_of_sources(parts: list[Source]) -> DataFrame | None:
+    """``doc_id, dl, words`` of all parts; None where a part does not know its own."""
+    found = [dw.doc_words(s.texts, s.names) if s.lists is None else s.words for s in parts]
+    return None if any(w is None for w in found) else reduce(DataFrame.unionByName, found)
+
+
 def words_by_doc(lists: DataFrame) -> DataFrame:
     """``doc_id, dl, words`` of the lists."""
     return lists.groupBy("doc_id").agg(F.first("dl").alias("dl"), F.collect_list(F.struct("term", "tf")).alias("words"))

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import bitmap as bm
+from quarry.operators import doc_words as dw
 from quarry.operators import positions as ps
-from quarry.operators.index import Index
+from quarry.operators.index import Index, Source
 from quarry.operators.standing import asked, match_sets
 from quarry.session import local_table
 from quarry.spec import And, Expr, Near, Not, Or, Phrase, Term
@@ -296,11 +297,17 @@ class MergedIndex(Index):
     def lists(self, terms: DataFrame | None = None) -> DataFrame:
         return self.both(lambda part: part.lists(terms))
 
-    def whole(self) -> tuple[DataFrame, DataFrame | None]:
-        (lists, words), (new, new_words) = (part.whole() for part in self.parts)
-        none = words is None or new_words is None
+    def sources(self) -> list[Source]:
+        """Main's documents are left out before their words are listed."""
+        main, delta = self.parts
         ids = bm.known(self.replaced)
-        return bm.without(lists, ids).unionByName(new), None if none else bm.without(words, ids).unionByName(new_words)
+        return [s.each(lambda t: bm.without(t, ids)) for s in main.sources()] + delta.sources()
+
+    def sized(self) -> DataFrame:
+        main, delta = self.parts
+        if main._words is None or main._lists is not None:
+            return bm.without(main.sized(), self.replaced).unionByName(delta.sized())
+        return dw.doc_lengths(bm.without(main._words, self.replaced), main.fields).unionByName(delta.sized())
 
     def settled(self) -> "MergedIndex":
         """The same for writing: the replaced ids are counted, so that where they are few no document or text is exchanged."""

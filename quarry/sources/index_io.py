@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from quarry.operators import bitmap as bm
 from quarry.operators import positions as ps
-from quarry.operators.index import Index, words_by_doc
+from quarry.operators.index import Index, Source, words_by_doc, words_of_sources
+from quarry.operators.list_ranges import lists_in_ranges
 from quarry.session import local_table
 
 # ---- fixed values: rows of a file at most; words resolved on the driver at most; resolved searches kept ----
@@ -39,26 +40,28 @@ DIRECTORY = "tab string, file string, first string, last string"
 
 
 def write_index(idx: Index, path: str, rows_per_file: int = ROWS_PER_FILE, mode: str = "overwrite") -> None:
-    """Write the index. Lists and words by document come from ``Index.whole`` and only the lists are exchanged, once;
-    vocabulary, directory and statistics are derived from what was written."""
+    """Write the index. Lists and words by document come from ``Index.sources`` and only the lists are exchanged, once, packed by
+    range; vocabulary, directory and statistics are derived from what was written."""
     spark = idx.docs.sparkSession
 
-    def save(df: DataFrame, name: str, *order: str, ranges: bool = True) -> DataFrame:
-        ((df.repartitionByRange(*order) if ranges else df).sortWithinPartitions(*order).write.mode(mode)
-         .option("maxRecordsPerFile", rows_per_file).option("compression", CODEC).parquet(f"{path}/{name}"))
+    def save(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).option("compression", CODEC).parquet(f"{path}/{name}")
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
-    lists, words = idx.whole()
-    lists = save(lists.select("term", "doc_id", "tf", "dl", "at"), "lists", "term", "doc_id")
-    vocab = save(lists.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").cast("long").alias("hits")),
-                 "vocabulary", "term")
-    words = save(words_by_doc(lists) if words is None else words, "words", "doc_id", ranges=False)
-    ranges = [t.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file")).agg(
-        F.min("term").alias("first"), F.max("term").alias("last")).select(F.lit(n).alias("tab"), "file", "first", "last")
-        for n, t in (("lists", lists), ("vocabulary", vocab))]
+    parts = idx.sources()
+    lists = save(lists_in_ranges(parts, idx.docs.count()), "lists")
+    vocab = save(lists.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").cast("long").alias("hits"))
+                 .repartitionByRange("term").sortWithinPartitions("term"), "vocabulary")
+    words = words_of_sources(parts)
+    words = save((words_by_doc(lists) if words is None else words).sortWithinPartitions("doc_id"), "words")
+    # a file's distinct words first: hashing finds them, and only they are compared (the count keeps Spark from merging both steps)
+    ranges = [t.groupBy(F.input_file_name().alias("path"), "term").agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+              .groupBy(F.element_at(F.split("path", "/"), -1).alias("file")).agg(F.min("term").alias("first"), F.max("term").alias("last"))
+              .select(F.lit(n).alias("tab"), "file", "first", "last")
+              for n, t in (("lists", lists), ("vocabulary", vocab))]
     ranges[0].unionByName(ranges[1]).write.mode(mode).option("compression", CODEC).parquet(f"{path}/directory")
     idx.docs.write.mode(mode).option("compression", CODEC).parquet(f"{path}/docs")
-    idx.lengths.select("doc_id", "field", "len").write.mode(mode).option("compression", CODEC).parquet(f"{path}/lengths")
+    idx.sized().select("doc_id", "field", "len").write.mode(mode).option("compression", CODEC).parquet(f"{path}/lengths")
     if idx.texts is not None:
         idx.texts.write.mode(mode).option("compression", CODEC).parquet(f"{path}/texts")
     n = spark.read.parquet(f"{path}/docs").count()
@@ -130,8 +133,8 @@ class StoredIndex(Index):
     def lists(self, terms: DataFrame | None = None) -> DataFrame:
         return self._lists if terms is None else self._pruned("lists", self._lists, terms)
 
-    def whole(self) -> tuple[DataFrame, DataFrame]:
-        return self._lists, self.words
+    def sources(self) -> list[Source]:
+        return [Source(self.fields, lists=self._lists, words=self.words)]
 
     def postings_for(self, terms: DataFrame) -> DataFrame:
         return ps.occurrences(self.lists(terms))

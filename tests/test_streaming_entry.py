@@ -147,3 +147,60 @@ def test_older_rows_of_a_task_do_not_reach_the_state():
     b = batch(("a", 2, 3, 0.0), (None, 5, 2 ** 60, 0.0))
     assert run(a, b) == [("None", 5, 2 ** 60 + 1), ("a", 2, 3), ("b", 1, 1)]
     assert len(run(a, batch(("a", 0, 0, float("nan"))))) == 5  # no order: all rows go on
+
+
+def test_compaction_lists_documents_once(spark, monkeypatch):
+    """Lists reach their ranges without a pass that only looks for the ranges, and replaced documents are not listed. A word of
+    every document over several ranges, repeated and missing ids, a stored main; files are in order and do not overlap."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from quarry.operators import list_ranges as lr
+
+    for name, few in (("CUT_DOCS", 20), ("CUT_KEYS", 200), ("RANGE_ROWS", 60), ("SMALL_ROWS", 10), ("PACK_ROWS", 7)):
+        monkeypatch.setattr(lr, name, few)
+    ids = [None, None, 7, 7, 40_000, *range(8, 90)]
+    table = spark.createDataFrame([(i, f"the w{k % 9}" if k % 5 else None, f"the z{k} the ж{k % 4}") for k, i in enumerate(ids)],
+                                  "doc_id long, title string, body string").repartition(3)
+    main = ix.build_index("m", table, ("title", "body"), "doc_id", attrs=[])
+    delta = ix.build_index("d", table.where("doc_id < 60 OR doc_id > 1000").withColumn("body", F.lit("the new end")), ("title", "body"), "doc_id", attrs=[])
+    merged = mt.main_delta(main, delta).settled()
+    plan = lr.lists_in_ranges(merged.sources(), 87)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan  # was: every document listed twice, the first time for the ranges only
+
+    def table_of(df):
+        return sorted((str((r["term"], r["doc_id"], r["tf"], sorted((a["field"], sorted(a["pos"])) for a in r["at"]))) for r in df.collect()))
+
+    def sizes(df):
+        return sorted(str(tuple(r)) for r in df.select("doc_id", "field", "len").collect())
+
+    out = scratch_path(spark, "t-compact-once")
+    once = sd.compact(main, delta, out)
+    again = sd.compact(once, delta, f"{out}-again")
+    want = table_of(merged.lists()), sizes(merged.lengths), rows(merged.vocabulary())
+    for path, found in ((out, once), (f"{out}-again", again)):
+        assert (table_of(found.lists()), sizes(found.lengths), rows(found.vocabulary())) == want
+        spans = []
+        for f in glob.glob(f"{path.removeprefix('file://').removeprefix('file:')}/lists/*.parquet"):
+            keys = [(r["term"], -1 if r["doc_id"] is None else r["doc_id"]) for r in pq.read_table(f, columns=["term", "doc_id"]).to_pylist()]
+            assert keys == sorted(keys)
+            spans += [(keys[0], keys[-1], f)] if keys else []
+        spans.sort()
+        assert len(spans) > 3 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        assert sum(a[0][0] <= "the" <= a[1][0] for a in spans) > 1
+        files = {(r["file"], r["first"], r["last"]) for r in spark.read.parquet(f"{path}/directory").where("tab = 'lists'").collect()}
+        assert files == {(os.path.basename(f), a[0], b[0]) for a, b, f in spans}
+
+
+def test_ids_are_tested_bit_by_bit(spark):
+    import random
+
+    from quarry.operators import bitmap as bm
+
+    held = set(random.Random(2).sample(range(-40_000, 70_000), 30_000))
+    ids = bm.id_bitmap(spark.createDataFrame([(i,) for i in held], "i long"))
+    table = spark.createDataFrame([(i,) for i in range(-40_000, 70_000, 3)] + [(None,)], "doc_id long")
+    assert {r[0] for r in bm.without(table, ids).collect()} == {i for i in range(-40_000, 70_000, 3) if i not in held} | {None}
+    assert {r[0] for r in bm.within(table, ids).collect()} == {i for i in range(-40_000, 70_000, 3) if i in held}
