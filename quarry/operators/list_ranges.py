@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from quarry.operators import doc_words as dw
 
-# ---- fixed values: documents the cuts follow, keys looked at, rows of a range and of a small range, rows of lists packed together ----
-CUT_DOCS, CUT_KEYS = 2000, 40_000
-RANGE_ROWS, SMALL_ROWS, PACK_ROWS = 1_000_000, 50_000, 500_000
+# ---- fixed values: documents the cuts follow, keys looked at, rows of lists packed together; a row counts as so many numbers
+# besides its positions; numbers of a range and of a small range ----
+CUT_DOCS, CUT_KEYS, PACK_ROWS = 2000, 40_000, 500_000
+ROW_NUMBERS, RANGE_NUMBERS, SMALL_NUMBERS = 12, 14_000_000, 700_000
 # ---- end of fixed values ----
 
 _PACKED = "part int, size long, rows binary"
@@ -110,19 +111,22 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cuts(sources: list, n_docs: int, at_once: int) -> list[tuple[str, int]]:
-    """Where ranges begin, by the keys of about ``CUT_DOCS`` documents; those of least hash are looked at."""
+    """Where ranges begin, by the rows of about ``CUT_DOCS`` documents; those of least hash are looked at."""
     every = max(1, n_docs // CUT_DOCS)
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0
     keys = reduce(DataFrame.union, ((dw.doc_lists(s.texts.where(chosen), s.names) if s.lists is None else s.lists.where(chosen))
-                                    .select("term", "doc_id") for s in sources))
-    found = keys.select("term", "doc_id", F.xxhash64("term", "doc_id").alias("h")).orderBy("h").limit(CUT_KEYS).collect()
-    n = len(found)
-    if n == CUT_KEYS:  # the greatest of so many least hashes says how many keys there are
-        n = int(n / ((found[-1]["h"] + (1 << 63)) / (1 << 64)))
-    rows = n * every
-    ranges = max(-(-rows // RANGE_ROWS), min(at_once, -(-rows // SMALL_ROWS)), 1)
-    order = sorted((r["term"] or "", _NO_ID if r["doc_id"] is None else r["doc_id"]) for r in found)
-    return sorted({order[len(order) * i // ranges] for i in range(1, ranges)}) if order else []
+                                    .select("term", "doc_id", "tf") for s in sources))
+    found = keys.withColumn("h", F.xxhash64("term", "doc_id")).orderBy("h").limit(CUT_KEYS).collect()
+    if not found:
+        return []
+    # the greatest of so many least hashes says how many rows there are
+    seen = (found[-1]["h"] + (1 << 63)) / (1 << 64) if len(found) == CUT_KEYS else 1.0
+    order = sorted((r["term"] or "", _NO_ID if r["doc_id"] is None else r["doc_id"], r["tf"]) for r in found)
+    upto = np.cumsum([ROW_NUMBERS + tf for _, _, tf in order])
+    numbers = upto[-1] * every / max(seen, 1e-9)
+    ranges = int(max(-(-numbers // RANGE_NUMBERS), min(at_once, -(-numbers // SMALL_NUMBERS)), 1))
+    firsts = np.searchsorted(upto, upto[-1] * np.arange(1, ranges) / ranges, "right")
+    return sorted({order[min(i, len(order) - 1)][:2] for i in firsts})
 
 
 def lists_in_ranges(sources: list, n_docs: int) -> DataFrame:

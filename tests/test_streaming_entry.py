@@ -159,7 +159,7 @@ def test_compaction_lists_documents_once(spark, monkeypatch):
 
     from quarry.operators import list_ranges as lr
 
-    for name, few in (("CUT_DOCS", 20), ("CUT_KEYS", 200), ("RANGE_ROWS", 60), ("SMALL_ROWS", 10), ("PACK_ROWS", 7)):
+    for name, few in (("CUT_DOCS", 20), ("CUT_KEYS", 200), ("RANGE_NUMBERS", 900), ("SMALL_NUMBERS", 100), ("PACK_ROWS", 7)):
         monkeypatch.setattr(lr, name, few)
     ids = [None, None, 7, 7, 40_000, *range(8, 90)]
     table = spark.createDataFrame([(i, f"the w{k % 9}" if k % 5 else None, f"the z{k} the ж{k % 4}") for k, i in enumerate(ids)],
